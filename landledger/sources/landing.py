@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,10 +43,17 @@ def latest_snapshot(df: DataFrame, col: str = "snapshot") -> DataFrame:
 
 
 def list_landing(spark: SparkSession, path: str) -> DataFrame:
-    """Files below ``path``: (path, name, length, modified). Contents are not read."""
+    """Files below ``path``: (path, name, length, modified). Contents are not read.
+
+    Spark plans no task for an empty file, so those are added from the file index: a failed download
+    must not vanish from the list.
+    """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    return files.select("path", last_segment("path").alias("name"), "length",
-                        F.col("modificationTime").alias("modified"))
+    seen = files.select("path", "length", F.col("modificationTime").alias("modified"))
+    indexed = spark.createDataFrame([(unquote(p),) for p in files.inputFiles()], "path string")
+    return indexed.join(seen, "path", "left").select(
+        "path", last_segment("path").alias("name"), F.coalesce("length", F.lit(0)).alias("length"), "modified"
+    )
 
 
 def prefix_of(path: Column | str) -> Column:

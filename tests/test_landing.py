@@ -154,14 +154,14 @@ def test_load_snapshot_isolates_failures(spark, tmp_path):
     base = tmp_path / "2024_01_01_00_00_00"
     put(base, "Prcl-Main.CSV", 'Parcel ID,Order\n1,a\n2,"b\nc"\n')
     put(base, "bad.csv", "a,b\n1\n")
-    put(base, "empty.csv", "")
+    put(base, "empty file.csv", "")
     put(base, "x_1.csv", "a\n1\n")
     put(base, "x-1.csv", "a\n2\n")
     put(base, "notes.txt", "a\n2\n")
     catalog.reset_layer(spark, "staging_t")
     report = {r["file"].rsplit("/", 1)[1]: r for r in csvfiles.load_snapshot(spark, str(tmp_path), "staging_t").collect()}
     assert {k: v["status"] for k, v in report.items()} == {
-        "Prcl-Main.CSV": "loaded", "bad.csv": "failed", "empty.csv": "failed", "x_1.csv": "failed", "x-1.csv": "failed"}
+        "Prcl-Main.CSV": "loaded", "bad.csv": "failed", "empty file.csv": "failed", "x_1.csv": "failed", "x-1.csv": "failed"}
     assert report["Prcl-Main.CSV"]["rows"] == 2
     assert rows(spark.table("staging_t.prcl_main").select("parcel_id", "order_")) == [("1", "a"), ("2", "b\nc")]
     assert not spark.catalog.tableExists("staging_t.bad")
