@@ -8,17 +8,10 @@ from pyspark.sql import functions as F
 # Tokens that mean "no value" in landed text.
 NULL_TOKENS = ("", "null", "NULL")
 
-# Accepted date spellings, most specific first.
-TIMESTAMP_FORMATS = (
-    "yyyy-MM-dd HH:mm:ss[.SSSSSS][.SSS][.SS][.S]",
-    "yyyy-MM-dd'T'HH:mm:ss",
-    "M/d/yyyy H:mm:ss",
-    "MM/dd/yy HH:mm:ss",
-    "yyyy-MM-dd",
-    "M/d/yyyy",
-    "yyyy/MM/dd",
-)
+# Accepted date spellings besides ISO.
+DATE_FORMATS = ("M/d/yyyy", "M/d/yyyy H:mm:ss", "MM/dd/yy HH:mm:ss", "yyyy/MM/dd")
 
+_ISO = "^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}([ T].*)?$"
 _INTEGER = "^[+-]?[0-9]+$"
 _NUMBER = r"^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$"
 _TRUE = ("true", "yes", "y", "1", "t")
@@ -60,9 +53,11 @@ def to_number(value: Column | str) -> Column:
 
 
 def to_moment(value: Column | str) -> Column:
-    """Timestamp by the first fitting format, else null."""
+    """Timestamp without time zone by the first fitting spelling, else null."""
     value = F.trim(_text(value))
-    return F.coalesce(*(F.try_to_timestamp(value, F.lit(fmt)) for fmt in TIMESTAMP_FORMATS))
+    iso = F.when(value.rlike(_ISO), value.try_cast("timestamp_ntz"))
+    slashed = F.coalesce(*(F.try_to_timestamp(value, F.lit(fmt)) for fmt in DATE_FORMATS)).cast("timestamp_ntz")
+    return F.coalesce(iso, F.when(value.contains("/"), slashed))
 
 
 def is_date(value: Column | str) -> Column:

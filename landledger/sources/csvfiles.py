@@ -189,7 +189,8 @@ def read_field_definitions(spark: SparkSession, path: str) -> DataFrame:
 
 def write_csv(df: DataFrame, path: str) -> None:
     """Text spill of a frame, one folder, readable by ``read_text_csv`` file by file."""
-    df.write.mode("overwrite").csv(path, header=True, nullValue="", emptyValue='""', quote='"', escape='"')
+    df.write.mode("overwrite").csv(path, header=True, nullValue="", emptyValue='""', quote='"', escape='"',
+                                   ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
 
 
 def _cause(error: Exception) -> str:

@@ -142,18 +142,22 @@ def sniff(name: Column | str, content_type: Column | str, sample: Column | str)
     )
 
 
+def manifest_of(files: DataFrame, category: Column, name: Column, path: Column, content: Column) -> DataFrame:
+    """Per row of ``files``: category, name, path, sha256, byte count."""
+    binary = content.cast("binary")
+    return files.select(
+        category.alias("category"), name.alias("name"), path.alias("path"), F.sha2(binary, 256).alias("sha256"),
+        F.octet_length(binary).cast("bigint").alias("length"),
+    )
+
+
 def manifest(spark: SparkSession, path: str, category: str | None = None) -> DataFrame:
-    """Per file: category (its folder unless given), name, path, sha256, byte count, UTC run time."""
+    """Manifest of the files below ``path`` with its UTC run time; a file's folder is its category."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
     folder = F.substring_index(F.substring_index("path", "/", -2), "/", 1)
-    return files.select(
-        (F.lit(category) if category else folder).alias("category"),
-        last_segment("path").alias("name"),
-        "path",
-        F.sha2("content", 256).alias("sha256"),
-        "length",
-        F.date_format(F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("run_at"),
-    )
+    listed = manifest_of(files, F.lit(category) if category else folder, last_segment("path"), F.col("path"), F.col("content"))
+    now = F.to_utc_timestamp(F.current_timestamp(), F.current_timezone())
+    return listed.withColumn("run_at", F.date_format(now, "yyyy-MM-dd'T'HH:mm:ss'Z'"))
 
 
 def manifest_drift(before: DataFrame, after: DataFrame, key: str = "path") -> DataFrame:
