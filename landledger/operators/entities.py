@@ -53,7 +53,7 @@ def decode(df: DataFrame, vocabulary: DataFrame, code: str, out: str,
     when it is below the size threshold, and sort-merges with skew handling when it is not.
     """
     words = (
-        vocabulary.where(F.col(identifier).isNotNull() & (F.col(identifier) != F.lit("").cast("string")))
+        vocabulary.where(F.col(identifier).cast("string") != "")
         .groupBy(F.col(identifier).alias("_code"))
         .agg(F.min(title).alias(out))
     )

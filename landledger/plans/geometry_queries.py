@@ -1 +1,109 @@
+"""Polygons made from part and order keys: load, reproject, dissolve."""
 
+from __future__ import annotations
+
+from math import radians
+
+from pyspark.sql import functions as F
+
+from landledger.functions.projection import CRS
+from landledger.operators import geo as G
+from landledger.plans.registry import query
+
+WIDTH = 40
+
+
+def _squares(t, key: str):
+    """One unit square per part on a grid ``WIDTH`` wide, as WKT."""
+    x, y = F.col("p_partkey") % WIDTH, F.floor(F.col("p_partkey") / WIDTH)
+    wkt = F.format_string("MULTIPOLYGON (((%1$d %2$d, %3$d %2$d, %3$d %4$d, %1$d %4$d, %1$d %2$d)))", x, y, x + 1, y + 1)
+    return G.load_polygons(t.part.select("p_partkey", F.col(key).alias("parcel_id"), wkt.alias("geom")), srid=26796)
+
+
+@query("""
+    SELECT p_partkey, 26796 AS srid, 3.0::DOUBLE AS area_wkt, 3.0::DOUBLE AS area_geojson, 2 AS n_polygons FROM part""")
+def load_polygons(t):
+    x, y = F.col("p_partkey") % WIDTH, F.floor(F.col("p_partkey") / WIDTH)
+    corner = [x, y, x + 3, y + 3, x + 1, y + 1, x + 2, y + 2]
+    shell, hole = "%1$d %2$d, %3$d %2$d, %3$d %4$d, %1$d %4$d, %1$d %2$d", "%5$d %6$d, %7$d %6$d, %7$d %8$d, %5$d %8$d, %5$d %6$d"
+    wkt = F.format_string(f"MULTIPOLYGON ((({shell}), ({hole})), ((-4 0, -3 0, -3.0 1e0, -4 1, -4 0)))", *corner)
+    ring = "[[%1$d,%2$d],[%3$d,%2$d],[%3$d,%4$d],[%1$d,%4$d],[%1$d,%2$d]]"
+    inner = "[[%5$d,%6$d],[%7$d,%6$d],[%7$d,%8$d],[%5$d,%8$d],[%5$d,%6$d]]"
+    json = F.format_string('{"type":"Polygon","coordinates":[' + ring + "," + inner + "]}", *corner)
+    rows = t.part.select("p_partkey", wkt.alias("wkt"), json.alias("json"))
+    loaded = G.load_polygons(G.load_polygons(rows, "wkt", "wkt"), "json", "geojson", 26796)
+    return loaded.select(
+        "p_partkey", "srid", (G.area("wkt") - 6).alias("area_wkt"), (G.area("json") - 5).alias("area_geojson"),
+        F.size("wkt").alias("n_polygons"),
+    )
+
+
+def _inverse_sql(srid: int) -> str:
+    crs = CRS[srid]
+    e = crs.ellipsoid
+    e1 = f"((1 - sqrt(1 - {e.e2!r})) / (1 + sqrt(1 - {e.e2!r})))"
+    return f"""
+    WITH p AS (SELECT o_orderkey, (850000 + o_orderkey % 1000 * 50.0 + o_totalprice / 100) AS x, (980000 + o_custkey * 10.0) AS y FROM orders),
+    a AS (SELECT *, (x * {crs.unit!r} - {crs.false_easting!r}) AS xm,
+                 ({e.meridian(radians(crs.lat0))!r} + y * {crs.unit!r} / {crs.k0!r})
+                   / ({e.a!r} * (1 - {e.e2!r} / 4 - 3 * pow({e.e2!r}, 2) / 64 - 5 * pow({e.e2!r}, 3) / 256)) AS mu FROM p),
+    f AS (SELECT *, mu + (3 * {e1} / 2 - 27 * pow({e1}, 3) / 32) * sin(2 * mu) + (21 * pow({e1}, 2) / 16 - 55 * pow({e1}, 4) / 32) * sin(4 * mu)
+                 + (151 * pow({e1}, 3) / 96) * sin(6 * mu) + (1097 * pow({e1}, 4) / 512) * sin(8 * mu) AS phi FROM a),
+    r AS (SELECT *, {e.ep2!r} * cos(phi) * cos(phi) AS c, tan(phi) * tan(phi) AS t, 1 - {e.e2!r} * sin(phi) * sin(phi) AS w FROM f),
+    d AS (SELECT *, {e.a!r} / sqrt(w) AS n, {e.a!r} * (1 - {e.e2!r}) / (w * sqrt(w)) AS m, xm / ({e.a!r} / sqrt(w) * {crs.k0!r}) AS d FROM r)
+    SELECT o_orderkey, 4326 AS srid,
+           round({crs.lon0!r} + degrees((d - (1 + 2 * t + c) * d * d * d / 6
+              + (5 - 2 * c + 28 * t - 3 * c * c + 8 * {e.ep2!r} + 24 * t * t) * pow(d, 5) / 120) / cos(phi)), 7) AS lon,
+           round(degrees(phi - n * tan(phi) / m * (d * d / 2 - (5 + 3 * t + 10 * c - 4 * c * c - 9 * {e.ep2!r}) * pow(d, 4) / 24
+              + (61 + 90 * t + 298 * c + 45 * t * t - 252 * {e.ep2!r} - 3 * c * c) * pow(d, 6) / 720)), 7) AS lat
+    FROM d"""
+
+
+def _reprojected(t, srid: int):
+    x = 850000 + F.col("o_orderkey") % 1000 * 50.0 + F.col("o_totalprice") / 100
+    y = 980000 + F.col("o_custkey") * 10.0
+
+    def point(dx, dy):
+        return F.struct((x + dx).cast("double").alias("x"), (y + dy).cast("double").alias("y"))
+
+    ring = F.array(point(0, 0), point(100, 0), point(0, 100), point(0, 0))
+    geometry = G.to_multipolygon(F.array(ring))
+    parcel = G.set_srid(t.orders.select("o_orderkey", geometry.alias("geom")), srid)
+    first = F.col("geom")[0][0][0]
+    return G.reproject(parcel, srid).select("o_orderkey", "srid", F.round(first["x"], 7).alias("lon"), F.round(first["y"], 7).alias("lat"))
+
+
+@query(_inverse_sql(26796))
+def reproject_city(t):
+    return _reprojected(t, 26796)
+
+
+@query(_inverse_sql(102696))
+def reproject_county(t):
+    return _reprojected(t, 102696)
+
+
+_CELLS = f"""
+    WITH c AS (SELECT p_type AS parcel_id, p_partkey % {WIDTH} AS x, p_partkey // {WIDTH} AS y FROM part),
+    touching AS (SELECT a.parcel_id, count(*) AS n FROM c a JOIN c b ON a.parcel_id = b.parcel_id
+                 AND ((b.x = a.x + 1 AND b.y = a.y) OR (b.x = a.x AND b.y = a.y + 1)) GROUP BY a.parcel_id)"""
+
+
+@query(f"""{_CELLS}
+    SELECT parcel_id, count(*)::DOUBLE AS area, (4 * count(*) - 2 * coalesce(any_value(n), 0))::BIGINT AS boundary
+    FROM c LEFT JOIN touching USING (parcel_id) GROUP BY parcel_id""")
+def dissolve_outline(t):
+    rings = G.trace_rings(G.boundary_edges(_squares(t, "p_type"), "parcel_id"), "parcel_id")
+    return rings.groupBy("parcel_id").agg(
+        F.sum("signed_area").alias("area"), F.sum((F.size("points") - 1).cast("bigint")).alias("boundary")
+    )
+
+
+@query("""
+    SELECT p_brand || '/' || p_type || '/' || p_partkey // 400 AS parcel_id, count(*)::DOUBLE AS area FROM part GROUP BY 1""")
+def dissolve(t):
+    squares = _squares(t, "p_type").withColumn("block", F.floor(F.col("p_partkey") / 400).cast("string"))
+    keyed = squares.join(t.part.select("p_partkey", "p_brand"), "p_partkey").withColumn(
+        "parcel_id", F.concat_ws("/", "p_brand", "parcel_id", "block")
+    )
+    return G.dissolve(keyed.select("parcel_id", "geom"), "parcel_id").select("parcel_id", G.area("geom").alias("area"))

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from landledger.operators import quality as Q
+from landledger.operators.typing import infer_types
 from landledger.plans.registry import query
+from landledger.plans.text_queries import infer_sql
 
 
 def _routed(events):
@@ -130,11 +132,26 @@ def flag_profile(t):
     return Q.profile(staged, exact=True)
 
 
-@query()
+_DIFF_SQL = f"""
+    WITH later AS (SELECT o_custkey, o_orderkey, o_orderstatus, o_totalprice || '$' AS o_totalprice, o_orderdate, '' AS o_comment FROM orders),
+    old AS ({infer_sql("orders", ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"])}),
+    new AS ({infer_sql("later", ["o_custkey", "o_orderkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_comment"])})
+    SELECT 'orders' AS "table", "column", CASE WHEN old.type IS NULL THEN 'added' WHEN new.type IS NULL THEN 'removed'
+             WHEN old.position <> new.position THEN 'moved' ELSE 'retyped' END AS change,
+           old.position AS old_position, new.position AS new_position, old.type AS old_type, new.type AS new_type
+    FROM old FULL OUTER JOIN new USING ("column")
+    WHERE old.type IS NULL OR new.type IS NULL OR old.position <> new.position OR old.type <> new.type"""
+
+
+@query(_DIFF_SQL)
 def schema_diff(t):
-    altered = t.orders.withColumn("o_comment", F.lit("")).withColumn("o_totalprice", F.col("o_totalprice").cast("string")).drop("o_orderpriority")
-    altered = altered.select("o_custkey", "o_orderkey", *altered.columns[2:])
-    return Q.schema_diff(Q.schema_frame(t.orders, "orders"), Q.schema_frame(altered, "orders"))
+    price = F.concat(F.col("o_totalprice").cast("string"), F.lit("$")).alias("o_totalprice")
+    later = t.orders.select("o_custkey", "o_orderkey", "o_orderstatus", price, "o_orderdate", F.lit("").alias("o_comment"))
+    before, after = (
+        infer_types(Q.as_text(frame)).select(F.lit("orders").alias("table"), "column", "position", "type")
+        for frame in (t.orders, later)
+    )
+    return Q.schema_diff(before, after)
 
 
 @query("""

@@ -1 +1,55 @@
+"""Tables written as CSV snapshots and taken back through the staging load."""
 
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import functions as F
+
+from landledger.operators import catalog
+from landledger.operators import typing as TY
+from landledger.plans.registry import query
+from landledger.session import scratch_path
+from landledger.sources import csvfiles
+
+
+def _land(t, *names: str) -> str:
+    """Spill tables to one snapshot folder, a ``<name>.csv`` folder each."""
+    base = scratch_path(t.spark, "landing") + "/2024_01_31_00_00_00"
+    for name in names:
+        csvfiles.write_csv(getattr(t, name), f"{base}/{name}.csv")
+    return base
+
+
+@query("""
+    SELECT 'customer' AS "table", 'loaded' AS status, count(*) AS "rows" FROM customer UNION ALL SELECT 'orders', 'loaded', count(*) FROM orders
+    UNION ALL SELECT 'documents', 'loaded', count(*) FROM documents UNION ALL SELECT 'conversations', 'loaded', count(*) FROM conversations""")
+def staging_load(t):
+    base = _land(t, "customer", "orders", "documents", "conversations")
+    database = f"staging_{uuid.uuid4().hex[:12]}"
+    catalog.reset_layer(t.spark, database, scratch_path(t.spark, "staging"))
+    report = csvfiles.load_snapshot(t.spark, base, database)
+    t.spark.sql(f"DROP DATABASE {database} CASCADE")
+    return report.select("table", "status", "rows")
+
+
+@query("""
+    SELECT o_orderkey::INTEGER AS o_orderkey, o_custkey::VARCHAR AS o_custkey, o_orderstatus, o_totalprice,
+           strftime(o_orderdate, '%Y-%m-%d') AS o_orderdate, o_orderpriority FROM orders""")
+def staging_round_trip(t):
+    staged = csvfiles.read_text_csv(t.spark, _land(t, "orders") + "/orders.csv")
+    staged = staged.withColumn("o_orderdate", F.substring("o_orderdate", 1, 10))
+    types = TY.type_map(TY.infer_types(staged, force_text=["o_custkey"]))
+    good, _ = TY.apply_types(staged, types)
+    return good.withColumn("o_orderdate", F.col("o_orderdate").cast("string"))
+
+
+@query("""SELECT doc_id::VARCHAR AS doc_id, text, lang, source, n_chars::VARCHAR AS n_chars FROM documents""")
+def staging_quoted_text(t):
+    return csvfiles.read_text_csv(t.spark, _land(t, "documents") + "/documents.csv")
+
+
+@query("""SELECT 'documents.csv' AS name, true AS ok, 5 AS width, 0::BIGINT AS long_rows""")
+def csv_gate(t):
+    verdict = csvfiles.gate_csv(t.spark, _land(t, "documents") + "/documents.csv")
+    return verdict.select(F.substring_index("path", "/", -1).alias("name"), "ok", "width", "long_rows")

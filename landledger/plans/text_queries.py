@@ -112,7 +112,7 @@ def numeric_clean(t):
     return TY.clean_numeric(landed, ["amount"])
 
 
-def _infer_sql(table: str, columns: list[str], forced: str) -> str:
+def infer_sql(table: str, columns: list[str], forced: str = "") -> str:
     one = """
       SELECT '{c}' AS "column", {i} AS position, CASE
         WHEN '{c}' = '{forced}' OR count(v) = 0 THEN 'string'
@@ -127,12 +127,12 @@ def _infer_sql(table: str, columns: list[str], forced: str) -> str:
     return "\n UNION ALL ".join(one.format(c=c, i=i + 1, table=table, forced=forced) for i, c in enumerate(columns))
 
 
-@query(_infer_sql("orders", ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"], "o_custkey"))
+@query(infer_sql("orders", ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"], "o_custkey"))
 def infer_types(t):
     return TY.infer_types(as_text(t.orders), force_text=["O_CUSTKEY"])
 
 
-@query(_infer_sql("events", ["event_id", "ts", "user_id", "event_type", "value", "props"], ""))
+@query(infer_sql("events", ["event_id", "ts", "user_id", "event_type", "value", "props"], ""))
 def infer_event_types(t):
     return TY.infer_types(as_text(t.events))
 

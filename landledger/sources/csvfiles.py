@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from concurrent.futures import ThreadPoolExecutor
 
 from py4j.protocol import Py4JJavaError
@@ -11,7 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from landledger.functions.names import clean_headers, clean_table, require_safe
-from landledger.sources.landing import list_landing, table_collisions
+from landledger.operators import catalog
+from landledger.sources.landing import list_landing
 
 MAX_COLUMNS = "20000"
 _CORRUPT = "_ragged_record"
@@ -58,7 +60,7 @@ def _quotes(column: str) -> Column:
 
 
 def read_text_csv(spark: SparkSession, path: str, mode: str = "load", multi_line: bool | None = None) -> DataFrame:
-    """One landed CSV as text columns.
+    """One landed CSV, or a folder of CSV parts with equal headers, as text columns.
 
     ``load`` aborts on a row with too few or too many fields, as COPY does. ``gate`` keeps such rows
     and adds ``_ragged_record``, null for regular rows.
@@ -78,7 +80,7 @@ def read_text_csv(spark: SparkSession, path: str, mode: str = "load", multi_line
         return _reader(spark, False).schema(T.StructType(text)).csv(path, header=True, mode="FAILFAST")
     if not multi_line:
         return _reader(spark, False).options(**permissive).schema(gate).csv(path, header=True)
-    records = record_lines(spark, path)
+    records = record_lines(spark, path).where("record_no > 1")
     parsed = records.select(
         "record", F.from_csv("record", gate.toDDL(), {**_OPTIONS, **permissive, "multiLine": "true"}).alias("r")
     )
@@ -92,47 +94,48 @@ def read_text_csv(spark: SparkSession, path: str, mode: str = "load", multi_line
 
 
 def record_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Records of a CSV with quoted line breaks, as (record_no, record), header left out.
+    """Records of CSVs with quoted line breaks, as (file, record_no, record); record 1 is the header.
 
     Lines are read in splits of bounded size. The quotes before a line decide whether it starts
     inside a quoted field: their parity is carried within a split by a window and across splits by
-    one total per split. Lines are then grouped by the record they belong to, so no task reads the
+    one total per split. Lines are then grouped by the record they belong to, so no task reads a
     whole file.
     """
+    split = ["file", "block"]
     lines = spark.read.text(path, lineSep="\n").select(
+        F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("line"),
         "value",
         _quotes("value").cast("bigint").alias("quotes"),
     )
-    before = Window.partitionBy("block").orderBy("line").rowsBetween(Window.unboundedPreceding, -1)
-    placed = lines.withColumn("_before", F.coalesce(F.sum("quotes").over(before), F.lit(0)))
 
-    def carried(blocks: DataFrame, value: str, out: str) -> DataFrame:
-        """Per block, the sum of ``value`` over earlier blocks (one row per split)."""
-        prior = Window.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-        return blocks.select("block", F.coalesce(F.sum(value).over(prior), F.lit(0)).alias(out))
-
-    totals = lines.groupBy("block").agg(F.sum("quotes").alias("n"))
-    opened = placed.join(carried(totals, "n", "_carried"), "block").withColumn(
-        "starts", ((F.col("_before") + F.col("_carried")) % 2 == 0).cast("bigint")
-    )
-    upto = Window.partitionBy("block").orderBy("line")
-    started = opened.withColumn("_started", F.sum("starts").over(upto))
-    starts = started.groupBy("block").agg(F.max("_started").alias("n"))
-    numbered = started.join(carried(starts, "n", "_records"), "block").withColumn(
+    def carried(rows: DataFrame, total: Column, out: str) -> DataFrame:
+        """Per split, ``total`` summed over the earlier splits of its file (one row per split)."""
+        prior = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+        totals = rows.groupBy(*split).agg(total.alias("n"))
+        return totals.select(*split, F.coalesce(F.sum("n").over(prior), F.lit(0)).alias(out))
+
+    within = Window.partitionBy(*split).orderBy("line")
+    before = F.coalesce(F.sum("quotes").over(within.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    opened = lines.withColumn("_before", before).join(carried(lines, F.sum("quotes"), "_carried"), split)
+    starts = ((F.col("_before") + F.col("_carried")) % 2 == 0).cast("bigint")
+    started = opened.withColumn("_started", F.sum(starts).over(within))
+    numbered = started.join(carried(started, F.max("_started"), "_records"), split).withColumn(
         "record_no", F.col("_started") + F.col("_records")
     )
-    joined = F.array_sort(F.collect_list(F.struct("block", "line", "value")))
-    records = numbered.groupBy("record_no").agg(
-        F.regexp_replace(F.array_join(F.transform(joined, lambda item: item["value"]), "\n"), "\r$", "").alias("record")
-    )
-    return records.where((F.col("record_no") > 1) & (F.col("record") != ""))
+    pieces = F.array_sort(F.collect_list(F.struct("block", "line", "value")))
+    text = F.array_join(F.transform(pieces, lambda piece: piece["value"]), "\n")
+    records = numbered.groupBy("file", "record_no").agg(F.regexp_replace(text, "\r$", "").alias("record"))
+    return records.where("record <> ''")
 
 
 def _fields_in(record: str) -> Column:
-    """Number of fields of a raw record; quoted fields are set aside before commas are counted."""
-    bare = F.regexp_replace(record, '(?<=^|,)"(?:[^"]|"")*"', "")
+    """Number of fields of a raw record; quoted fields are set aside before commas are counted.
+
+    The possessive pattern runs in constant stack space however long the field is.
+    """
+    bare = F.regexp_replace(record, '(?<=^|,)"[^"]*+(?:""[^"]*+)*+"', "")
     return F.length(bare) - F.length(F.translate(bare, ",", "")) + 1
 
 
@@ -148,7 +151,7 @@ def gate_csv(spark: SparkSession, path: str) -> DataFrame:
         return spark.createDataFrame([(path, False, 0, 0)], "path string, ok boolean, width int, long_rows bigint")
     if has_line_breaks_in_quotes(spark, path):
         records = record_lines(spark, path).select("record_no", _fields_in("record").alias("n"))
-        first = records.orderBy("record_no").limit(1)
+        first = records.where("record_no > 1").orderBy("record_no").limit(1)
     else:
         records = spark.read.text(path).where("value <> ''").select(_fields_in("value").alias("n"))
         first = spark.createDataFrame(records.head(2)[1:], records.schema)
@@ -199,23 +202,32 @@ def _cause(error: Exception) -> str:
     return (causes[-1].removeprefix("Caused by: ") if causes else str(error).splitlines()[0])[:300]
 
 
+def landed_tables(spark: SparkSession, path: str) -> DataFrame:
+    """(path, table) per landed table: a CSV file, or a folder named ``*.csv`` with its part files."""
+    files = list_landing(spark, path)
+    folder = F.regexp_extract("path", r"(?i)^(.*?[.]csv)/[^/]+$", 1)
+    unit = F.when(folder != "", folder).when(F.lower("name").endswith(".csv"), F.col("path"))
+    hidden = F.substring("name", 1, 1).isin("_", ".")
+    units = files.where(~hidden).select(unit.alias("path")).dropna().distinct()
+    return units.withColumn("table", clean_table("path"))
+
+
 def load_snapshot(spark: SparkSession, path: str, database: str, parallel: int = 4) -> DataFrame:
     """Load every CSV below ``path`` into ``database``: (file, table, status, rows, error).
 
     One job per file, several at a time. A file that fails is reported and does not stop the others;
-    two files that map to one table are both refused, since one would overwrite the other.
+    files that map to one table are all refused, since one would overwrite the other.
     """
-    files = list_landing(spark, path).where(F.lower("name").endswith(".csv"))
-    clashing = {row["table"] for row in table_collisions(files).select("table").collect()}
-    work = [(row["path"], row["table"]) for row in files.select("path", clean_table("path").alias("table")).collect()]
+    work = [(row["path"], row["table"]) for row in landed_tables(spark, path).collect()]
+    uses = Counter(table for _, table in work)
 
     def load(item: tuple[str, str]):
         file, table = item
-        if table in clashing:
+        if uses[table] > 1:
             return file, table, "failed", None, "several files map to this table"
         try:
             require_safe([table])
-            read_text_csv(spark, file).write.mode("overwrite").format("parquet").saveAsTable(f"{database}.{table}")
+            catalog.replace_table(read_text_csv(spark, file), database, table)
             return file, table, "loaded", spark.table(f"{database}.{table}").count(), None
         except (PySparkException, Py4JJavaError, ValueError) as error:
             spark.sql(f"DROP TABLE IF EXISTS {database}.{table}")
