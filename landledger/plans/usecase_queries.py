@@ -1 +1,149 @@
+"""Use cases and the whole spine build on the test tables."""
 
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from landledger.operators import keys as K
+from landledger.operators import quality as Q
+from landledger.plans import spine, usecases
+from landledger.plans.registry import query
+
+
+@query("""
+    SELECT c_nationkey, count(*) AS n_parcels, count(*) FILTER (o_orderstatus = 'F') AS n_vacant,
+           round(count(*) FILTER (o_orderstatus = 'F') / count(*), 6) AS vacancy_rate
+    FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY c_nationkey""")
+def vacancy(t):
+    parcels = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
+    return usecases.vacancy_by_neighborhood(parcels, F.col("o_orderstatus") == "F", "c_nationkey")
+
+
+@query("""SELECT o_orderkey, o_custkey FROM orders WHERE o_orderstatus = 'F' AND o_totalprice < 100000""")
+def vacancy_list(t):
+    vacant = (F.col("o_orderstatus") == "F") & (F.col("o_totalprice") < 100000)
+    return usecases.vacancy_list(t.orders, vacant, ["o_orderkey", "o_custkey"])
+
+
+@query("""
+    WITH e AS (
+      SELECT o_custkey AS property_id, strftime(o_orderdate, '%Y-%m-%d') AS event_date, 'permit' AS kind, o_orderkey AS ref, o_orderpriority AS detail FROM orders
+      UNION ALL SELECT user_id, strftime(ts, '%Y-%m-%d'), 'service', event_id, event_type FROM events)
+    SELECT *, row_number() OVER (PARTITION BY property_id ORDER BY event_date, kind, ref) AS seq FROM e""")
+def timeline(t):
+    permits = t.orders.select(
+        F.col("o_custkey").alias("property_id"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("event_date"),
+        F.col("o_orderkey").alias("ref"), F.col("o_orderpriority").alias("detail"),
+    )
+    services = t.events.select(
+        F.col("user_id").alias("property_id"), F.date_format("ts", "yyyy-MM-dd").alias("event_date"),
+        F.col("event_id").alias("ref"), F.col("event_type").alias("detail"),
+    )
+    return usecases.timeline({"permit": permits, "service": services})
+
+
+@query("""
+    WITH m AS (SELECT regr_slope(l_extendedprice, l_quantity) AS b, regr_intercept(l_extendedprice, l_quantity) AS a FROM lineitem WHERE l_returnflag <> 'N'),
+    g AS (SELECT l_suppkey % 25 AS neighborhood, count(*) AS n_inactive, 0::BIGINT AS n_skipped, sum(l_extendedprice::DECIMAL(18,2))::DOUBLE AS assessed,
+                 round(sum(a + b * l_quantity), 1) AS modelled FROM lineitem, m WHERE l_returnflag = 'N' GROUP BY 1)
+    SELECT *, round(modelled - assessed, 1) AS gap FROM g""")
+def blight_gap(t):
+    parcels = t.lineitem.withColumn("neighborhood", F.col("l_suppkey") % 25)
+    return usecases.blight_gap(parcels, ["l_quantity"], "l_extendedprice", F.col("l_returnflag") != "N", "neighborhood")
+
+
+@query()
+def blight_gap_model(t):
+    joined = t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey")).withColumn("neighborhood", F.col("l_suppkey") % 25)
+    features = ["l_quantity", "l_tax", "p_size", "p_retailprice"]
+    return usecases.blight_gap(joined, features, "l_extendedprice", F.col("l_returnflag") != "N", "neighborhood")
+
+
+@query("""
+    WITH own AS (SELECT user_id AS area, min(ts) AS own FROM events WHERE event_type = 'signup' AND user_id % 2 = 0 AND value > 20 GROUP BY 1),
+    areas AS (SELECT DISTINCT user_id AS area, user_id % 3 AS level FROM events),
+    cuts AS (SELECT area, level, own, coalesce(own, min(own) OVER (PARTITION BY level)) AS cut FROM areas LEFT JOIN own USING (area)),
+    v AS (SELECT user_id AS area, ts, value::DECIMAL(18,2) AS value FROM events WHERE event_type = 'purchase'),
+    m AS (SELECT level, round(sum(value) FILTER (own IS NOT NULL AND ts < cut)::DOUBLE / count(*) FILTER (own IS NOT NULL AND ts < cut), 6) AS treated_before,
+                 round(sum(value) FILTER (own IS NOT NULL AND ts >= cut)::DOUBLE / count(*) FILTER (own IS NOT NULL AND ts >= cut), 6) AS treated_after,
+                 round(sum(value) FILTER (own IS NULL AND ts < cut)::DOUBLE / nullif(count(*) FILTER (own IS NULL AND ts < cut), 0), 6) AS control_before,
+                 round(sum(value) FILTER (own IS NULL AND ts >= cut)::DOUBLE / count(*) FILTER (own IS NULL AND ts >= cut), 6) AS control_after
+          FROM v JOIN cuts USING (area) GROUP BY level)
+    SELECT *, round((treated_after - treated_before) - (control_after - control_before), 5) AS effect FROM m""")
+def demolition_effect(t):
+    values = t.events.where("event_type = 'purchase'").select(F.col("user_id").alias("area"), F.col("ts").alias("at"), "value")
+    razed = t.events.where("event_type = 'signup' and user_id % 2 = 0 and value > 20")
+    levels = t.events.select(F.col("user_id").alias("area")).distinct().withColumn("level", F.col("area") % 3)
+    return usecases.demolition_effect(values, razed.select(F.col("user_id").alias("area"), F.col("ts").alias("at")), levels)
+
+
+@query("""
+    SELECT o_orderkey, c_name, o_totalprice FROM orders JOIN customer ON o_custkey = c_custkey WHERE c_mktsegment = 'BUILDING' AND c_acctbal < 1000""")
+def owner_explorer(t):
+    owners = t.customer.withColumnRenamed("c_custkey", "o_custkey")
+    held = (F.col("c_mktsegment") == "BUILDING") & (F.col("c_acctbal") < 1000)
+    return usecases.explorer(t.orders, owners, "o_custkey", held, ["o_orderkey", "c_name", "o_totalprice"])
+
+
+@query("""
+    SELECT r_name, c_mktsegment, count(*) AS n, sum(o_totalprice::DECIMAL(18,2))::DOUBLE AS total,
+           (CASE WHEN grouping(c_mktsegment) = 0 THEN 2 WHEN grouping(r_name) = 0 THEN 1 ELSE 0 END)::INTEGER AS depth
+    FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
+    GROUP BY ROLLUP (r_name, c_mktsegment)""")
+def development_dashboard(t):
+    facts = (
+        t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
+        .join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"))
+        .join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))
+    )
+    return usecases.dashboard(facts, ["r_name", "c_mktsegment"], "o_totalprice")
+
+
+# --- the spine, end to end -----------------------------------------------------------------------
+
+def _spine(t):
+    line = t.lineitem
+    key = [F.col("l_orderkey").alias("cityblock"), F.col("l_linenumber").alias("parcel"), F.col("l_suppkey").alias("ownercode")]
+    accounts = line.select(
+        F.col("l_orderkey").alias("handle"), *key, F.col("l_orderkey").alias("giscityblock"), F.lit(1).alias("gisparcel"),
+        F.col("l_suppkey").alias("gisownercode"), F.col("l_returnflag").alias("landuse"), F.lit("N").alias("vacantland"),
+        F.col("l_linestatus").alias("zoning"), F.col("l_quantity").alias("frontage"), F.col("l_partkey").alias("tie"),
+        F.col("l_extendedprice").alias("price"), F.col("l_shipdate").alias("shipped"),
+    )
+    # The account key of the stand-in is not unique across land uses; details are those of loaded accounts.
+    line = line.where("l_returnflag <> 'A'")
+    detail = line.select(*key, F.lit(1).alias("bldgnum"), F.col("l_extendedprice").alias("totalarea"))
+    section = line.select(*key, F.lit(1).alias("bldgnum"), F.explode(F.sequence(F.lit(1), F.pmod("l_partkey", F.lit(3)) + 1)).alias("sectnum"))
+    homes = line.where("l_partkey % 3 = 1").select(*key, F.lit(1).alias("bldgnum"))
+    feeds = spine.Feeds(accounts, detail, homes, section)
+    return spine.build(feeds, K.empty_crosswalk(t.spark), spine.Region(840, 29510), not_real_estate=["A"])
+
+
+_SPINE_SQL = """
+    WITH loaded AS (SELECT *, count(*) OVER (PARTITION BY l_orderkey) AS n FROM lineitem WHERE l_returnflag <> 'A'),
+    x AS (SELECT h AS l_orderkey, row_number() OVER (ORDER BY h::VARCHAR) AS seq FROM (SELECT DISTINCT l_orderkey AS h FROM loaded)),
+    condo AS (SELECT l_orderkey, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_suppkey, l_partkey, l_quantity) AS u
+              FROM loaded WHERE n > 1 AND l_linenumber <> 1),
+    simple AS (SELECT l_orderkey, u FROM loaded, unnest(range(1, 2 + CASE WHEN l_partkey % 3 = 2 THEN 2 ELSE 0 END)) AS s(u) WHERE n = 1)"""
+
+
+@query(f"""{_SPINE_SQL}
+    SELECT printf('840.29510.%06d.0001.%05d', seq, u) AS unit_id, printf('840.29510.%06d.0001.00000', seq) AS building_id, l_orderkey AS handle
+    FROM (SELECT * FROM condo UNION ALL SELECT * FROM simple) JOIN x USING (l_orderkey)""")
+def spine_units(t):
+    return _spine(t).unit
+
+
+@query(f"""{_SPINE_SQL}
+    SELECT printf('840.29510.%06d.0001.00000', seq) AS building_id, printf('840.29510.%06d.0000.00000', seq) AS parcel_id, shape, totalarea FROM (
+      SELECT l_orderkey, 'simple' AS shape, l_extendedprice AS totalarea FROM loaded WHERE n = 1
+      UNION ALL SELECT DISTINCT l_orderkey, 'condo', NULL FROM loaded WHERE n > 1) JOIN x USING (l_orderkey)""")
+def spine_buildings(t):
+    return _spine(t).building.select("building_id", "parcel_id", "shape", "totalarea")
+
+
+@query("""
+    SELECT count(*) FILTER (l_returnflag <> 'A') AS loaded, count(*) FILTER (l_returnflag = 'A') AS excluded, 0::BIGINT AS rejected,
+           count(*) AS source, true AS balanced FROM lineitem""")
+def spine_reconciliation(t):
+    return Q.reconcile(_spine(t).routed)
