@@ -1,23 +1,17 @@
-"""Inverse transverse Mercator and datum shift as column expressions over points.
+"""Inverse transverse Mercator and datum shift over arrays of coordinates.
 
 Formulas: J. P. Snyder, Map Projections - A Working Manual (USGS Professional Paper 1395), section 8.
-Each step maps a point struct to the next one, so shared values are computed once per point instead
-of being copied through one huge expression.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from dataclasses import dataclass
 from math import radians, sin, sqrt
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+import numpy as np
 
 US_FOOT = 1200 / 3937  # metres
 
-Step = Callable[[Column], Column]
-
 
 @dataclass(frozen=True)
 class Ellipsoid:
@@ -67,100 +61,54 @@ CRS = {
 CONUS_1927_SHIFT = (-8.0, 160.0, 176.0)
 
 
-def _inverse_steps(crs: TransverseMercator) -> list[Step]:
+def inverse(crs: TransverseMercator, x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Projected coordinates to longitude and latitude in degrees, on the projection's own datum."""
     ell = crs.ellipsoid
     e2, ep2 = ell.e2, ell.ep2
     e1 = (1 - sqrt(1 - e2)) / (1 + sqrt(1 - e2))
-    m0 = ell.meridian(radians(crs.lat0))
     per_arc = ell.a * (1 - e2 / 4 - 3 * e2**2 / 64 - 5 * e2**3 / 256)
-
-    def arc(p: Column) -> Column:
-        mu = (F.lit(m0) + p["y"] * crs.unit / crs.k0) / per_arc
-        return F.struct((p["x"] * crs.unit - crs.false_easting).alias("x"), mu.alias("mu"))
-
-    def footpoint(p: Column) -> Column:
-        mu = p["mu"]
-        lat = (
-            mu
-            + (3 * e1 / 2 - 27 * e1**3 / 32) * F.sin(2 * mu)
-            + (21 * e1**2 / 16 - 55 * e1**4 / 32) * F.sin(4 * mu)
-            + (151 * e1**3 / 96) * F.sin(6 * mu)
-            + (1097 * e1**4 / 512) * F.sin(8 * mu)
-        )
-        return F.struct(p["x"].alias("x"), lat.alias("lat"))
-
-    def trig(p: Column) -> Column:
-        return F.struct(
-            p["x"].alias("x"), p["lat"].alias("lat"), F.cos(p["lat"]).alias("cos"), F.tan(p["lat"]).alias("tan"),
-            (1 - e2 * F.sin(p["lat"]) * F.sin(p["lat"])).alias("w2"),
-        )
-
-    def radii(p: Column) -> Column:
-        n = ell.a / F.sqrt(p["w2"])
-        return F.struct(
-            p["lat"].alias("lat"), p["cos"].alias("cos"), p["tan"].alias("tan"),
-            (ep2 * p["cos"] * p["cos"]).alias("c"), (p["tan"] * p["tan"]).alias("t"),
-            ((1 - e2) / p["w2"]).alias("r_n"),  # meridian radius over normal radius
-            (p["x"] / (n * crs.k0)).alias("d"),
-        )
-
-    def degrees(p: Column) -> Column:
-        c, t, d = p["c"], p["t"], p["d"]
-        d2 = d * d
-        lat = p["lat"] - p["tan"] / p["r_n"] * d2 * (
-            F.lit(0.5)
-            - (5 + 3 * t + 10 * c - 4 * c * c - 9 * ep2) * d2 / 24
-            + (61 + 90 * t + 298 * c + 45 * t * t - 252 * ep2 - 3 * c * c) * d2 * d2 / 720
-        )
-        lon = d * (
-            F.lit(1.0)
-            - (1 + 2 * t + c) * d2 / 6
-            + (5 - 2 * c + 28 * t - 3 * c * c + 8 * ep2 + 24 * t * t) * d2 * d2 / 120
-        ) / p["cos"]
-        return F.struct((F.lit(crs.lon0) + F.degrees(lon)).alias("x"), F.degrees(lat).alias("y"))
-
-    return [arc, footpoint, trig, radii, degrees]
-
-
-def _shift_steps(source: Ellipsoid, shift: tuple[float, float, float]) -> list[Step]:
-    """Geodetic to geocentric, translate, and back (Bowring's formula), at height zero."""
-
-    def angles(p: Column) -> Column:
-        lat, lon = F.radians(p["y"]), F.radians(p["x"])
-        n = source.a / F.sqrt(1 - source.e2 * F.sin(lat) * F.sin(lat))
-        return F.struct(n.alias("n"), F.sin(lat).alias("s"), F.cos(lat).alias("c"), lon.alias("lon"))
-
-    def moved(p: Column) -> Column:
-        return F.struct(
-            (p["n"] * p["c"] * F.cos(p["lon"]) + shift[0]).alias("x"),
-            (p["n"] * p["c"] * F.sin(p["lon"]) + shift[1]).alias("y"),
-            (p["n"] * (1 - source.e2) * p["s"] + shift[2]).alias("z"),
-        )
-
-    def reduced(p: Column) -> Column:
-        r = F.sqrt(p["x"] * p["x"] + p["y"] * p["y"])
-        return F.struct(p["x"].alias("x"), p["y"].alias("y"), p["z"].alias("z"), r.alias("r"),
-                        F.atan2(p["z"] * WGS_84.a, r * WGS_84.b).alias("u"))
-
-    def back(p: Column) -> Column:
-        up = p["z"] + WGS_84.ep2 * WGS_84.b * F.pow(F.sin(p["u"]), 3)
-        out = p["r"] - WGS_84.e2 * WGS_84.a * F.pow(F.cos(p["u"]), 3)
-        return F.struct(F.degrees(F.atan2(p["y"], p["x"])).alias("x"), F.degrees(F.atan2(up, out)).alias("y"))
-
-    return [angles, moved, reduced, back]
-
-
-def steps_to_degrees(srid: int, shift: tuple[float, float, float] | None = None) -> list[Step]:
-    if srid not in CRS:
-        raise ValueError(f"no transform from SRID {srid}; known: {sorted(CRS)}")
+    mu = (ell.meridian(radians(crs.lat0)) + y * crs.unit / crs.k0) / per_arc
+    foot = (
+        mu
+        + (3 * e1 / 2 - 27 * e1**3 / 32) * np.sin(2 * mu)
+        + (21 * e1**2 / 16 - 55 * e1**4 / 32) * np.sin(4 * mu)
+        + (151 * e1**3 / 96) * np.sin(6 * mu)
+        + (1097 * e1**4 / 512) * np.sin(8 * mu)
+    )
+    cos, tan = np.cos(foot), np.tan(foot)
+    w2 = 1 - e2 * np.sin(foot) ** 2
+    normal = ell.a / np.sqrt(w2)
+    c, t = ep2 * cos**2, tan**2
+    d = (x * crs.unit - crs.false_easting) / (normal * crs.k0)
+    lat = foot - tan * w2 / (1 - e2) * (
+        d**2 / 2
+        - (5 + 3 * t + 10 * c - 4 * c**2 - 9 * ep2) * d**4 / 24
+        + (61 + 90 * t + 298 * c + 45 * t**2 - 252 * ep2 - 3 * c**2) * d**6 / 720
+    )
+    lon = (
+        d
+        - (1 + 2 * t + c) * d**3 / 6
+        + (5 - 2 * c + 28 * t - 3 * c**2 + 8 * ep2 + 24 * t**2) * d**5 / 120
+    ) / cos
+    return crs.lon0 + np.degrees(lon), np.degrees(lat)
+
+
+def shift_datum(source: Ellipsoid, shift: tuple[float, float, float], lon: np.ndarray, lat: np.ndarray):
+    """Geodetic to geocentric at height zero, translate, and back on WGS 84 (Bowring's formula)."""
+    phi, lam = np.radians(lat), np.radians(lon)
+    n = source.a / np.sqrt(1 - source.e2 * np.sin(phi) ** 2)
+    x = n * np.cos(phi) * np.cos(lam) + shift[0]
+    y = n * np.cos(phi) * np.sin(lam) + shift[1]
+    z = n * (1 - source.e2) * np.sin(phi) + shift[2]
+    r = np.hypot(x, y)
+    u = np.arctan2(z * WGS_84.a, r * WGS_84.b)
+    up = z + WGS_84.ep2 * WGS_84.b * np.sin(u) ** 3
+    out = r - WGS_84.e2 * WGS_84.a * np.cos(u) ** 3
+    return np.degrees(np.arctan2(y, x)), np.degrees(np.arctan2(up, out))
+
+
+def to_degrees(srid: int, shift: tuple[float, float, float] | None, x: np.ndarray, y: np.ndarray):
+    """Coordinates of ``srid`` to longitude and latitude, with an optional datum shift."""
     crs = CRS[srid]
-    return _inverse_steps(crs) + (_shift_steps(crs.ellipsoid, shift) if shift else [])
-
-
-def to_degrees(points: Column, srid: int, shift: tuple[float, float, float] | None = None) -> Column:
-    """Array of (x, y) structs to longitude (x) and latitude (y) in degrees."""
-    for step in steps_to_degrees(srid, shift):
-        points = F.transform(points, step)
-    return points
-
-
+    lon, lat = inverse(crs, x, y)
+    return shift_datum(crs.ellipsoid, shift, lon, lat) if shift else (lon, lat)

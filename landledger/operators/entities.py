@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from landledger.operators.ordering import number_copies, number_rows
+from landledger.session import materialize
 
 # The account key, and the columns both parcel tables are cut to before their union.
 ACCOUNT = ("cityblock", "parcel", "ownercode")
@@ -209,7 +210,7 @@ def simple_units(building: DataFrame, sections: DataFrame, residential: DataFram
         "handle", *keys, F.lit(1).cast("bigint").alias("unit_seq"), F.lit(None).cast("string").alias("sectnum")
     )
     split = kinds.where("not _whole").select("handle", *keys).join(sections, keys)
-    numbered = number_rows(split, ["handle", *keys], ["sectnum"], "unit_seq")
+    numbered = number_rows(materialize(split, "sections"), ["handle", *keys], ["sectnum"], "unit_seq")
     return whole.unionByName(
         numbered.select("handle", *keys, "unit_seq", F.col("sectnum").cast("string").alias("sectnum"))
     )
@@ -227,7 +228,7 @@ def condo_units(accounts: DataFrame, shape: DataFrame, order: Sequence[str], key
     condos = shape.where("shape = 'condo'").select(key)
     members = accounts.where(~F.coalesce(footprint, F.lit(False))).join(condos, key, "left_semi")
     ties = [c for c in accounts.columns if c not in (*order, key)]
-    unique = number_copies(members, "_copy")
+    unique = materialize(number_copies(members, "_copy"), "condo-accounts")
     return number_rows(unique, [key], [*order, *ties, "_copy"], "unit_seq").drop("_copy").withColumn(
         "bldgnum", F.lit(1).cast("bigint")
     )

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from landledger.functions import ids
 from landledger.operators.ordering import number_rows
 from landledger.operators.quality import pk_violations
+from landledger.session import materialize
 
 CROSSWALK = "region string, native_ref string, seq bigint"
 
@@ -38,7 +39,8 @@ def mint(crosswalk: DataFrame, refs: DataFrame) -> DataFrame:
     depends neither on arrival order nor on partitioning; minted rows are never changed.
     """
     last = crosswalk.groupBy("region").agg(F.max("seq").alias("start"))
-    return number_rows(unminted(refs, crosswalk), ["region"], ["native_ref"], "seq", start=last)
+    new = materialize(unminted(refs, crosswalk), "new-refs")
+    return number_rows(new, ["region"], ["native_ref"], "seq", start=last)
 
 
 def extend(crosswalk: DataFrame, refs: DataFrame) -> DataFrame:

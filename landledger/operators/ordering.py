@@ -16,16 +16,41 @@ def number_rows(
     order: Sequence[str],
     out: str = "seq",
     start: DataFrame | None = None,
+    window_rows: int = 1_000_000,
 ) -> DataFrame:
     """``row_number() over (partition by keys order by order)`` as bigint, for keys of any size.
 
-    A window sends each key to one task. Here the rows are range-partitioned on ``keys + order``, so
-    a hot key spreads over many sorted partitions; a row's number is its offset in its partition plus
-    the rows of its key in earlier partitions. ``order`` must be total within a key.
+    ``order`` must be total within a key. Keys of at most ``window_rows`` rows take a plain window,
+    one shuffle; larger keys, which a window would send to one task, are placed by range instead.
+    ``start`` (keys and a ``start`` column) is added to the numbers of its key.
 
-    ``start`` (keys + ``start`` column) is added to the numbers of its key.
+    ``df`` is read twice, so materialize it first when it is costly to compute.
     """
     keys, order = list(keys), list(order)
+    window = Window.partitionBy(*keys).orderBy(*order)
+    hot = materialize(
+        df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > window_rows).select(*keys), "hot"
+    )
+    # At most one key per ``window_rows`` rows.
+    if hot.isEmpty():
+        numbered = df.withColumn(out, F.row_number().over(window).cast("bigint"))
+    else:
+        cold = null_safe_join(df, hot, keys, "left_anti")
+        numbered = cold.withColumn(out, F.row_number().over(window).cast("bigint")).unionByName(
+            _place_by_range(null_safe_join(df, hot, keys, "left_semi"), keys, order, out)
+        )
+    if start is None:
+        return numbered
+    shifted = null_safe_join(numbered, start, keys)
+    return shifted.withColumn(out, F.col(out) + F.coalesce("start", F.lit(0))).select(*df.columns, out)
+
+
+def _place_by_range(df: DataFrame, keys: list[str], order: list[str], out: str) -> DataFrame:
+    """Row numbers from sorted range partitions.
+
+    A key spreads over as many partitions as it needs; a row's number is its offset in its partition
+    plus the rows of its key in earlier partitions.
+    """
     sort = [F.col(name) for name in keys + order]
     placed = materialize(
         df.repartitionByRange(*sort)
@@ -36,20 +61,19 @@ def number_rows(
     )
     runs = placed.groupBy("_part", *keys).agg(F.min("_row").alias("_first"), F.count(F.lit(1)).alias("_n"))
     earlier = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    runs = runs.withColumn("_base", F.coalesce(F.sum("_n").over(earlier), F.lit(0)) - F.col("_first") + 1)
-    if start is not None:
-        runs = _null_safe_join(runs, start, keys).withColumn("_base", F.col("_base") + F.coalesce("start", F.lit(0)))
-    # At most one row per partition plus one per key; written, so the planner knows its real size.
-    runs = materialize(runs.select("_part", *keys, "_base"), "runs")
-    numbered = _null_safe_join(placed, runs, ["_part", *keys], how="inner")
+    base = F.coalesce(F.sum("_n").over(earlier), F.lit(0)) - F.col("_first") + 1
+    # One row per partition and key in it; written, so the planner knows how small it is.
+    runs = materialize(runs.select("_part", *keys, base.alias("_base")), "runs")
+    numbered = null_safe_join(placed, runs, ["_part", *keys], how="inner")
     return numbered.select(*df.columns, (F.col("_row") + F.col("_base")).alias(out))
 
 
-def _null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
+def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
+    """Join on equal keys, nulls equal too; the keys of ``right`` are dropped."""
     renamed = right.select(*[F.col(c).alias(f"_r_{c}") if c in keys else F.col(c) for c in right.columns])
     on = F.lit(True)
     for key in keys:
-        on = on & left[key].eqNullSafe(renamed[f"_r_{key}"])
+        on = on & F.col(key).eqNullSafe(F.col(f"_r_{key}"))
     return left.join(renamed, on, how).drop(*[f"_r_{key}" for key in keys])
 
 
@@ -89,6 +113,6 @@ def next_value(
     ahead = df.withColumn("_ahead", F.lead(value).over(inner)).withColumn(
         "_is_last", F.lead(F.lit(True)).over(inner).isNull()
     )
-    joined = _null_safe_join(ahead, heads, [*keys, bucket])
+    joined = null_safe_join(ahead, heads, [*keys, bucket])
     picked = F.when(F.col("_is_last"), F.col("_next_bucket")).otherwise(F.col("_ahead"))
     return joined.withColumn(out, picked).select(*df.columns, out)

@@ -14,8 +14,6 @@ DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    # Collected sets and lists stay in the hash aggregate for more than the default 128 keys.
-    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "100000",
 }
 
 
