@@ -13,19 +13,20 @@ def _text(value: Column | str) -> Column:
     return F.col(value) if isinstance(value, str) else value
 
 
-def _segment(value: Column | str | int, name: str, width: int) -> Column:
+def _zero_filled(value: Column | str | int, name: str, width: int) -> Column:
+    """Digits filled to ``width``. A wider number raises: padding alone would cut it silently."""
     number = F.lit(value) if isinstance(value, int) else _text(value)
     number = F.coalesce(number.cast("bigint"), F.lit(0))
-    fits = number.between(0, 10**width - 1)
     message = F.concat(F.lit(f"{name} does not fit {width} digits: "), number.cast("string"))
-    return F.when(fits, number).otherwise(F.raise_error(message).cast("bigint"))
+    return F.when(
+        number.between(0, 10**width - 1), F.lpad(number.cast("string"), width, "0")
+    ).otherwise(F.raise_error(message).cast("string"))
 
 
 def global_id(country, region, parcel, building=0, unit=0) -> Column:
-    """Zero-filled text id. A segment wider than its slot raises: cutting it would merge parcels."""
+    """Zero-filled text id; a segment wider than its slot raises, since cutting it would merge parcels."""
     values = (country, region, parcel, building, unit)
-    parts = [_segment(value, name, width) for value, (name, width) in zip(values, SEGMENTS)]
-    return F.format_string(".".join(f"%0{width}d" for _, width in SEGMENTS), *parts)
+    return F.concat_ws(".", *[_zero_filled(value, name, width) for value, (name, width) in zip(values, SEGMENTS)])
 
 
 def parse_global_id(value: Column | str) -> Column:
@@ -57,18 +58,18 @@ def in_region(value: Column | str, country: int, region: int) -> Column:
     return _text(value).startswith(f"{country:03d}.{region:05d}.")
 
 
-def namespaced_id(country, region, entity: str, seq: Column | str) -> Column:
-    return F.concat_ws(".", F.format_string("%03d", F.lit(country)), F.format_string("%05d", F.lit(region)),
-                       F.lit(entity), _text(seq).cast("string"))
+def namespaced_id(country: int, region: int, entity: str, seq: Column | str) -> Column:
+    return F.concat(F.lit(f"{country:03d}.{region:05d}.{entity}."), _text(seq).cast("string"))
 
 
-def _block(value: Column) -> Column:
+def _block(value: Column | str) -> Column:
     """City block ``#.##`` as six digits, the decimal point dropped."""
-    return F.format_string("%06d", F.round(value.cast("decimal(10,2)") * 100).cast("bigint"))
+    hundredths = F.round(_text(value).cast("decimal(10,2)") * 100)
+    return _zero_filled(hundredths, "city block", 6)
 
 
 def parcel9(block: Column | str, parcel: Column | str) -> Column:
-    return F.concat(_block(_text(block)), F.format_string("%03d", _text(parcel).cast("bigint")))
+    return F.concat(_block(block), _at_least(parcel, 3))
 
 
 def parcel11(block: Column | str, parcel: Column | str, owner: Column | str) -> Column:
@@ -77,8 +78,14 @@ def parcel11(block: Column | str, parcel: Column | str, owner: Column | str) ->
 
 def handle(block: Column | str, condo: Column, parcel: Column | str, owner: Column | str) -> Column:
     """Block without its point, ``8`` for condominiums or ``0``, four-digit parcel, owner code."""
-    return F.concat(_block(_text(block)), F.when(condo, F.lit("8")).otherwise(F.lit("0")),
-                    F.format_string("%04d", _text(parcel).cast("bigint")), _text(owner).cast("string"))
+    return F.concat(_block(block), F.when(condo, F.lit("8")).otherwise(F.lit("0")), _at_least(parcel, 4),
+                    _text(owner).cast("string"))
+
+
+def _at_least(value: Column | str, width: int) -> Column:
+    """Digits zero-filled to ``width``; longer ones stay whole."""
+    digits = _text(value).cast("bigint").cast("string")
+    return F.lpad(digits, F.greatest(F.length(digits), F.lit(width)), F.lit("0"))
 
 
 def is_condo_placeholder(parcel: Column | str) -> Column:

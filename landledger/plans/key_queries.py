@@ -9,6 +9,7 @@ from landledger.operators import keys as K
 from landledger.operators import quality as Q
 from landledger.operators.ordering import number_rows
 from landledger.plans.registry import query
+from landledger.session import materialize
 
 
 def _customer_crosswalk(t):
@@ -104,8 +105,9 @@ def namespaced_surrogate(t):
            printf('840.29510.%06d.0000.00000', l_orderkey) AS parent_id, count(*) AS n_rows
     FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey AND o_orderstatus <> 'P' WHERE o_orderkey IS NULL GROUP BY ALL""")
 def parent_links(t):
+    # Ids are stored columns of the published tables; links are checked on those.
     building = t.lineitem.select(ids.global_id(840, F.lit(29510), "l_orderkey", "l_linenumber").alias("building_id"))
-    linked = building.withColumn("parent_id", ids.parent_id("building_id"))
+    linked = materialize(building, "building").withColumn("parent_id", ids.parent_id("building_id"))
     parcel = t.orders.where("o_orderstatus <> 'P'").select(ids.global_id(840, F.lit(29510), "o_orderkey").alias("parcel_id"))
     orphans = Q.fk_violations(linked, parcel, [("parent_id", "parcel_id")]).select("parent_id")
     return linked.join(orphans, "parent_id").groupBy("building_id", "parent_id").agg(F.count(F.lit(1)).alias("n_rows"))
