@@ -8,8 +8,13 @@ from pyspark.sql import functions as F
 # Tokens that mean "no value" in landed text.
 NULL_TOKENS = ("", "null", "NULL")
 
-# Accepted date spellings besides ISO.
-DATE_FORMATS = ("M/d/yyyy", "M/d/yyyy H:mm:ss", "MM/dd/yy HH:mm:ss", "yyyy/MM/dd")
+# Accepted date spellings besides ISO, by shape.
+DATE_FORMATS = (
+    ("^[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}$", "M/d/yyyy"),
+    ("^[0-9]{1,2}/[0-9]{1,2}/[0-9]{4} [0-9]{1,2}:[0-9]{2}:[0-9]{2}$", "M/d/yyyy H:mm:ss"),
+    ("^[0-9]{2}/[0-9]{2}/[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2}$", "MM/dd/yy HH:mm:ss"),
+    ("^[0-9]{4}/[0-9]{2}/[0-9]{2}$", "yyyy/MM/dd"),
+)
 
 _ISO = "^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}([ T].*)?$"
 _INTEGER = "^[+-]?[0-9]+$"
@@ -41,9 +46,14 @@ def is_integer(value: Column | str) -> Column:
     return plain_number(value).rlike(_INTEGER)
 
 
-def is_float(value: Column | str) -> Column:
+def to_integer(value: Column | str, type_name: str = "bigint") -> Column:
+    """Comma-tolerant integer, else null. Only well-formed text is cast: a failing cast is costly."""
     number = plain_number(value)
-    return number.rlike(_NUMBER) | number.rlike("(?i)^[+-]?(nan|inf|infinity)$")
+    return F.when(number.rlike(_INTEGER), number.try_cast(type_name))
+
+
+def is_float(value: Column | str) -> Column:
+    return plain_number(value).rlike(f"{_NUMBER}|(?i)^[+-]?(nan|inf|infinity)$")
 
 
 def to_number(value: Column | str) -> Column:
@@ -53,11 +63,18 @@ def to_number(value: Column | str) -> Column:
 
 
 def to_moment(value: Column | str) -> Column:
-    """Timestamp without time zone by the first fitting spelling, else null."""
+    """Timestamp without time zone, else null. The shape of the text picks the one format to parse."""
     value = F.trim(_text(value))
-    iso = F.when(value.rlike(_ISO), value.try_cast("timestamp_ntz"))
-    slashed = F.coalesce(*(F.try_to_timestamp(value, F.lit(fmt)) for fmt in DATE_FORMATS)).cast("timestamp_ntz")
-    return F.coalesce(iso, F.when(value.contains("/"), slashed))
+    moment = F.when(value.rlike(_ISO), value.try_cast("timestamp_ntz"))
+    for shape, pattern in DATE_FORMATS:
+        moment = moment.when(value.rlike(shape), F.try_to_timestamp(value, F.lit(pattern)).cast("timestamp_ntz"))
+    return moment
+
+
+def has_time(moment: Column | str) -> Column:
+    """Whether a moment says a time other than midnight; false when it is null."""
+    moment = _text(moment)
+    return F.coalesce(moment != moment.cast("date").cast("timestamp_ntz"), F.lit(False))
 
 
 def is_date(value: Column | str) -> Column:
@@ -66,8 +83,7 @@ def is_date(value: Column | str) -> Column:
 
 def is_timestamp(value: Column | str) -> Column:
     """A date that also says a time other than midnight."""
-    moment = to_moment(value)
-    return F.coalesce(moment != F.date_trunc("day", moment), F.lit(False))
+    return has_time(to_moment(value))
 
 
 def to_boolean(value: Column | str) -> Column:
@@ -88,6 +104,8 @@ def cast_text(value: Column | str, type_name: str) -> Column:
         return to_moment(value)
     if type_name == "date":
         return to_moment(value).cast("date")
+    if type_name in ("int", "bigint"):
+        return to_integer(value, type_name)
     return plain_number(value).try_cast(type_name)
 
 

@@ -301,6 +301,22 @@ def assessments(df: DataFrame, parcel: str, total: str, land: str, improvement:
     )
 
 
+def inspections(df: DataFrame, key: str, building: str, on: Column, kind: str) -> DataFrame:
+    """Inspections; completion date and number of violations have no source and stay null."""
+    return df.select(
+        F.col(key).alias("inspection_id"), F.col(building).alias("building_id"), on.cast("date").alias("inspection_date"),
+        F.lit(None).cast("date").alias("completion_date"), F.col(kind).alias("inspection_type"),
+        F.lit(None).cast("int").alias("number_of_violations"),
+    )
+
+
+def condemnations(df: DataFrame, key: str, inspection: str, letter: Column, kind: str, status: str) -> DataFrame:
+    return df.select(
+        F.col(key).alias("condemnation_id"), F.col(inspection).alias("inspection_id"), letter.cast("date").alias("letter_date"),
+        F.col(kind).alias("condemnation_type"), F.col(status).alias("status"),
+    )
+
+
 def delinquencies(df: DataFrame, entity: str, balance: str) -> DataFrame:
     """Owners with a balance due; the last paid year has no source and stays null."""
     due = F.col(balance).cast("double")

@@ -170,7 +170,8 @@ def boundary_edges(df: DataFrame, key: str, column: str = "geom") -> DataFrame:
 def _successors(edges: DataFrame, key: str) -> DataFrame:
     """For each edge the one that follows it: at its end, the first outgoing edge clockwise.
 
-    Windows hold the edges at one vertex, a handful of rows.
+    ``torn`` marks a corner where the next edge clockwise arrives too: shapes overlap there. Windows
+    hold the edges at one vertex, a handful of rows.
     """
     def angle(to: str, at: str) -> Column:
         return F.atan2(F.col(to)["y"] - F.col(at)["y"], F.col(to)["x"] - F.col(at)["x"])
@@ -180,17 +181,27 @@ def _successors(edges: DataFrame, key: str) -> DataFrame:
     starts = edges.select(key, F.col("a").alias("v"), angle("b", "a").alias("angle"), edge, F.lit(0).alias("arrives"))
     around = Window.partitionBy(key, "v").orderBy(F.desc("angle"), F.desc("arrives"))
     whole = around.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    following = F.coalesce(F.lead("edge").over(around), F.first("edge").over(whole))
-    return ends.unionByName(starts).withColumn("next", following).where("arrives = 1").select(key, "edge", "next")
+    end = F.struct("edge", "arrives")
+    following = F.coalesce(F.lead(end).over(around), F.first(end).over(whole))
+    rows = ends.unionByName(starts).withColumn("_next", following).where("arrives = 1")
+    return rows.select(key, "edge", F.col("_next.edge").alias("next"), (F.col("_next.arrives") == 1).alias("torn"))
 
 
 def trace_rings(edges: DataFrame, key: str, small: int = 20_000) -> DataFrame:
-    """Closed rings from directed edges: (key, ring_id, points, signed_area).
+    """Closed rings from directed edges: (key, ring_id, points, signed_area). Overlaps raise."""
+    follows = materialize(_successors(edges, key), "edges")
+    torn = follows.where("torn").select(key).head(1)
+    if torn:
+        raise ValueError(f"shapes overlap, e.g. of {torn}")
+    return _trace(follows, key, small)
+
+
+def _trace(follows: DataFrame, key: str, small: int = 20_000) -> DataFrame:
+    """Rings of materialized successors.
 
     A key with at most ``small`` edges is stitched within one task, after a single shuffle. Larger
     keys, of any size, go through ``_trace_large``.
     """
-    follows = materialize(_successors(edges, key), "edges")
     large = materialize(
         follows.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > small).select(F.col(key).alias("_key")),
         "large",
@@ -295,6 +306,8 @@ def _hole_parents(rings: DataFrame, key: str) -> DataFrame:
     )
     # As many stripes as the key has points keeps stripes short; a long edge covers several.
     height = F.greatest((F.col("y_high") - F.col("y_low")) / F.sqrt(F.col("n_points").cast("double")), F.lit(1e-12))
+    # Only keys with holes take part.
+    bounds = bounds.join(holes.select(F.col(key).alias("_key")).distinct(), F.col(key).eqNullSafe(F.col("_key")), "left_semi")
     grid = bounds.select(F.col(key).alias("_key"), "y_low", height.alias("height"))
 
     def on_grid(df: DataFrame) -> DataFrame:
@@ -327,9 +340,8 @@ def _hole_parents(rings: DataFrame, key: str) -> DataFrame:
     return crossings.groupBy(key, "hole_id").agg(F.min_by("shell_id", "signed_area").alias("shell_id"))
 
 
-def dissolve_polygons(df: DataFrame, key: str, column: str = "geom") -> DataFrame:
-    """Union per key, one row per resulting polygon: (key, polygon)."""
-    rings = materialize(trace_rings(boundary_edges(df, key, column), key), "outline")
+def _polygons(rings: DataFrame, key: str) -> DataFrame:
+    """Rings to polygons, each shell with its holes: (key, polygon)."""
     owners = rings.where("signed_area > 0").select(
         key, F.col("ring_id").alias("shell_id"), F.struct(F.lit(0).alias("o"), "ring_id", "points").alias("r")
     )
@@ -349,15 +361,28 @@ def dissolve_polygons(df: DataFrame, key: str, column: str = "geom") -> DataFram
     )
 
 
-def dissolve(df: DataFrame, key: str, column: str = "geom") -> DataFrame:
-    """Union per key, one row per key with its multipolygon: (key, geom).
+def dissolve(df: DataFrame, key: str, column: str = "geom", small: int = 20_000) -> DataFrame:
+    """Union per key, one row per key with its multipolygon: (key, geom, dissolved).
 
-    Keys with a single row keep their geometry untouched; only repeated keys are traced.
+    Keys with a single row keep their geometry untouched; only repeated keys are traced. Where shapes
+    overlap at an edge or corner no outline can be traced: such a key keeps its distinct polygons side
+    by side, and ``dissolved`` is false.
     """
     repeated = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(F.col(key).alias("_key"))
+    repeated = materialize(repeated, "repeated")
     same = F.col(key).eqNullSafe(F.col("_key"))
-    alone = df.join(repeated, same, "left_anti").select(key, column)
-    merged = dissolve_polygons(df.join(repeated, same, "left_semi"), key, column)
+    alone = df.join(repeated, same, "left_anti").select(key, column, F.lit(True).alias("dissolved"))
+    several = df.join(repeated, same, "left_semi").select(key, column)
+    follows = materialize(_successors(boundary_edges(several, key, column), key), "edges")
+    torn = materialize(follows.where("torn").select(F.col(key).alias("_key")).distinct(), "torn")
+    rings = materialize(_trace(follows.join(torn, same, "left_anti"), key, small), "outline")
+    merged = _polygons(rings, key).withColumn("dissolved", F.lit(True))
+    kept = several.join(torn, same, "left_semi").select(key, F.explode(column).alias("polygon")).distinct()
+    polygons = merged.unionByName(kept.withColumn("dissolved", F.lit(False)))
+    united = polygons.groupBy(key, "dissolved").agg(F.array_sort(F.collect_list("polygon")).alias(column))
+    # Keys whose shapes are all null or empty stay, with a null geometry.
     return alone.unionByName(
-        merged.groupBy(key).agg(F.array_sort(F.collect_list("polygon")).alias(column))
+        repeated.join(united, same, "left").select(
+            F.col("_key").alias(key), column, F.coalesce("dissolved", F.lit(True)).alias("dissolved")
+        )
     )

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from landledger.operators.ordering import next_value
+from landledger.operators.ordering import next_in_order
 from landledger.operators.quality import require_unique
 
 
@@ -59,7 +59,6 @@ def validity(
 
     ``bucket`` is a coarser form of ``at`` (its month, say) that splits long-lived keys over tasks.
     """
-    ranged = next_value(
-        history.withColumn("_bucket", bucket), keys, [at, *tie_break], at, "_bucket", "valid_to"
-    ).drop("_bucket")
+    bucketed = history.withColumn("_bucket", bucket)
+    ranged = next_in_order(bucketed, keys, [at, *tie_break], "_bucket", "valid_to").drop("_bucket")
     return ranged.withColumnRenamed(at, "valid_from").withColumn("is_current", F.col("valid_to").isNull())

@@ -95,24 +95,18 @@ def number_copies(df: DataFrame, out: str = "copy_no", chunk: int = 100_000) ->
     return few.unionByName(many)
 
 
-def next_value(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, bucket: str, out: str
-) -> DataFrame:
-    """``lead(value) over (partition by keys order by order)``, with each key's window cut at ``bucket``.
+def next_in_order(df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket: str, out: str) -> DataFrame:
+    """``lead(order[0]) over (partition by keys order by order)``, each key's window cut at ``bucket``.
 
-    ``bucket`` must not decrease along ``order`` (a month, say). Rows look ahead inside their bucket;
-    the last row of a bucket takes the first value of the key's next bucket, found on one row per
-    bucket. A key with most of the table is thus shared by as many tasks as it has buckets.
+    ``bucket`` must not decrease along ``order`` (the month of a date, say). The first value of each
+    bucket, one row per key and bucket, is handed to the bucket before it as one more row, so the
+    window over ``keys + bucket`` is complete in itself. The rows are shuffled once, and a key with
+    most of the table is shared by as many tasks as it has buckets.
     """
-    keys, order = list(keys), list(order)
-    inner = Window.partitionBy(*keys, bucket).orderBy(*order)
-    first = F.min(F.struct(*order, F.col(value).alias("_v"))).alias("_first")
-    heads = df.groupBy(*keys, bucket).agg(first)
-    follow = F.lead("_first").over(Window.partitionBy(*keys).orderBy(bucket))
-    heads = heads.select(*keys, bucket, follow["_v"].alias("_next_bucket"))
-    ahead = df.withColumn("_ahead", F.lead(value).over(inner)).withColumn(
-        "_is_last", F.lead(F.lit(True)).over(inner).isNull()
-    )
-    joined = null_safe_join(ahead, heads, [*keys, bucket])
-    picked = F.when(F.col("_is_last"), F.col("_next_bucket")).otherwise(F.col("_ahead"))
-    return joined.withColumn(out, picked).select(*df.columns, out)
+    keys, order, value = list(keys), list(order), order[0]
+    heads = df.groupBy(*keys, bucket).agg(F.min(value).alias(value))
+    back = F.lag(bucket).over(Window.partitionBy(*keys).orderBy(bucket))
+    markers = heads.select(*keys, back.alias(bucket), value, F.lit(True).alias("_marker")).where(F.col(bucket).isNotNull())
+    rows = df.withColumn("_marker", F.lit(False)).unionByName(markers, allowMissingColumns=True)
+    ahead = F.lead(value).over(Window.partitionBy(*keys, bucket).orderBy("_marker", *order))
+    return rows.withColumn(out, ahead).where("not _marker").drop("_marker")

@@ -49,34 +49,27 @@ def infer_types(df: DataFrame, force_text: Iterable[str] = (), sample: int | Non
         )
     ).select((F.col("pos") + 1).alias("position"), "col.column", "col.forced",
              V.value_or_null("col.value").alias("value"))
+    # Parsed once per cell, before the tests that share the results.
+    parsed = cells.withColumns({
+        "long": V.to_integer("value"), "moment": V.to_moment("value"),
+    })
 
     def fits(test: Column) -> Column:
         return F.bool_and(F.when(F.col("value").isNotNull(), F.coalesce(test, F.lit(False))))
 
-    number = V.plain_number("value").try_cast("decimal(38,0)")
-    whole = F.when(V.is_integer("value"), number)
-    stats = cells.groupBy("position", "column", "forced").agg(
+    stats = parsed.groupBy("position", "column", "forced").agg(
         F.count("value").alias("n_values"),
         fits(V.is_boolean("value")).alias("boolean"),
-        fits(V.is_integer("value")).alias("integer"),
-        fits(V.is_float("value")).alias("float"),
-        fits(V.is_timestamp("value")).alias("timestamp"),
-        fits(V.is_date("value")).alias("date"),
-        F.min(whole).alias("low"),
-        F.max(whole).alias("high"),
-    )
-    in_int = F.col("low").between(INT_MIN, INT_MAX) & F.col("high").between(INT_MIN, INT_MAX)
-    in_long = F.col("low").between(-(2**63), 2**63 - 1) & F.col("high").between(-(2**63), 2**63 - 1)
-    kind = (
-        F.when(F.col("forced") | (F.col("n_values") == 0), "string")
-        .when(F.col("boolean"), "boolean")
-        .when(F.col("integer") & in_int, "int")
-        .when(F.col("integer") & in_long, "bigint")
-        .when(F.col("float"), "double")
-        .when(F.col("timestamp"), "timestamp")
-        .when(F.col("date"), "date")
-        .otherwise("string")
+        fits(F.col("long").between(INT_MIN, INT_MAX)).alias("int"),
+        fits(F.col("long").isNotNull()).alias("bigint"),
+        fits(V.is_float("value")).alias("double"),
+        fits(V.has_time("moment")).alias("timestamp"),
+        fits(F.col("moment").isNotNull()).alias("date"),
     )
+    kind = F.when(F.col("forced") | (F.col("n_values") == 0), "string")
+    for name in ("boolean", "int", "bigint", "double", "timestamp", "date"):
+        kind = kind.when(F.col(name), name)
+    kind = kind.otherwise("string")
     return stats.select("column", "position", kind.alias("type"), "n_values")
 
 

@@ -116,20 +116,27 @@ def address_components(t):
 
 @query("""
     SELECT event_id AS inspection_id, user_id AS building_id, strftime(ts, '%Y-%m-%d') AS inspection_date,
-           NULL::INTEGER AS number_of_violations, n_name AS inspection_type, c_mktsegment AS status
-    FROM events LEFT JOIN nation ON n_nationkey = json_extract_string(props, '$.k')::INTEGER LEFT JOIN customer ON c_custkey = user_id
-    WHERE event_type = 'error'""")
+           NULL::INTEGER AS number_of_violations, n_name AS inspection_type
+    FROM events LEFT JOIN nation ON n_nationkey = json_extract_string(props, '$.k')::INTEGER WHERE event_type = 'error'""")
 def inspection_events(t):
-    code = F.get_json_object("props", "$.k").cast("int")
-    found = t.events.where("event_type = 'error'").select(
-        F.col("event_id").alias("inspection_id"), F.col("user_id").alias("building_id"),
-        F.date_format("ts", "yyyy-MM-dd").alias("inspection_date"), F.lit(None).cast("int").alias("number_of_violations"),
-        code.alias("code"),
+    found = t.events.where("event_type = 'error'").withColumn("code", F.get_json_object("props", "$.k").cast("int"))
+    typed = E.decode(found, t.nation, "code", "kind", "n_nationkey", "n_name")
+    return E.inspections(typed, "event_id", "user_id", F.col("ts"), "kind").drop("completion_date").withColumn(
+        "inspection_date", F.col("inspection_date").cast("string")
     )
-    typed = E.decode(found, t.nation, "code", "inspection_type", "n_nationkey", "n_name").drop("code")
-    status = t.customer.select(F.col("c_custkey").alias("building_id"), F.col("c_mktsegment").alias("status"))
-    return E.composite_join(typed, status, ["building_id"]).select(
-        "inspection_id", "building_id", "inspection_date", "number_of_violations", "inspection_type", "status"
+
+
+@query("""
+    SELECT event_id AS condemnation_id, user_id AS inspection_id, strftime(ts, '%Y-%m-%d') AS letter_date, n_name AS condemnation_type,
+           c_mktsegment AS status
+    FROM events LEFT JOIN nation ON n_nationkey = user_id % 40 LEFT JOIN customer ON c_custkey = user_id WHERE event_type = 'signup'""")
+def condemnation_events(t):
+    letters = t.events.where("event_type = 'signup'").withColumn("code", F.col("user_id") % 40)
+    typed = E.decode(letters, t.nation, "code", "kind", "n_nationkey", "n_name")
+    status = t.customer.select(F.col("c_custkey").alias("user_id"), F.col("c_mktsegment").alias("status"))
+    joined = E.composite_join(typed, status, ["user_id"])
+    return E.condemnations(joined, "event_id", "user_id", F.col("ts"), "kind", "status").withColumn(
+        "letter_date", F.col("letter_date").cast("string")
     )
 
 
@@ -376,6 +383,13 @@ def vacant_land(t):
     return built.unionByName(vacant, allowMissingColumns=True).agg(F.max("n_built").alias("n_built"), F.max("n_vacant").alias("n_vacant"))
 
 
+@query("""
+    SELECT p_size AS street_number, p_name AS street_name, p_type AS street_name_suffix, p_partkey::VARCHAR AS zip, NULL::VARCHAR AS raw_line FROM part""")
+def situs_addresses(t):
+    source = t.part.withColumn("zip_text", F.col("p_partkey").cast("string"))
+    return E.situs_addresses(source, {"street_number": "p_size", "street_name": "p_name", "street_name_suffix": "p_type", "zip": "zip_text"})
+
+
 @query("""
     SELECT c_custkey, '  ' || c_name AS raw_line, c_mktsegment AS city, c_nationkey::VARCHAR AS zip FROM customer""")
 def mailing_addresses(t):

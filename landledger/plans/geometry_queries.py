@@ -70,7 +70,7 @@ def _reprojected(t, srid: int):
     geometry = G.to_multipolygon(F.array(ring))
     parcel = G.set_srid(t.orders.select("o_orderkey", geometry.alias("geom")), srid)
     first = F.col("geom")[0][0][0]
-    return G.reproject(parcel, srid).select("o_orderkey", "srid", F.round(first["x"], 7).alias("lon"), F.round(first["y"], 7).alias("lat"))
+    return G.reproject(parcel, G.srid_of(parcel)).select("o_orderkey", "srid", F.round(first["x"], 7).alias("lon"), F.round(first["y"], 7).alias("lat"))
 
 
 @query(_inverse_sql(26796))

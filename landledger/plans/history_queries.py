@@ -9,10 +9,6 @@ from landledger.plans.registry import query
 from landledger.sources import landing
 
 
-def _day(column: str):
-    return F.date_format(column, "yyyy-MM-dd")
-
-
 @query("""
     SELECT o_orderkey, o_custkey, strftime(o_orderdate, '%Y_%m_01_00_00_00') AS snapshot FROM orders
     WHERE strftime(o_orderdate, '%Y_%m') = (SELECT max(strftime(o_orderdate, '%Y_%m')) FROM orders)""")
@@ -47,8 +43,9 @@ def changes(t):
     SELECT o_custkey, o_orderkey, o_totalprice, strftime(o_orderdate, '%Y-%m-%d') AS valid_from, strftime(nxt, '%Y-%m-%d') AS valid_to,
            nxt IS NULL AS is_current FROM r""")
 def history_ranges(t):
-    versions = t.orders.select("o_custkey", "o_orderkey", "o_totalprice", _day("o_orderdate").alias("day"))
-    return H.validity(versions, ["o_custkey"], "day", F.substring("day", 1, 7), tie_break=["o_orderkey"])
+    versions = t.orders.select("o_custkey", "o_orderkey", "o_totalprice", F.to_date("o_orderdate").alias("day"))
+    ranged = H.validity(versions, ["o_custkey"], "day", F.trunc("day", "month"), tie_break=["o_orderkey"])
+    return ranged.withColumns({c: F.col(c).cast("string") for c in ("valid_from", "valid_to")})
 
 
 @query("""

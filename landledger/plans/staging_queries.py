@@ -53,3 +53,27 @@ def staging_quoted_text(t):
 def csv_gate(t):
     verdict = csvfiles.gate_csv(t.spark, _land(t, "documents") + "/documents.csv")
     return verdict.select(F.substring_index("path", "/", -1).alias("name"), "ok", "width", "long_rows")
+
+
+@query("""
+    SELECT 'all_parcels' AS tablename, (SELECT count(*) FROM orders) AS n_loaded, 0::BIGINT AS n_left
+    UNION ALL SELECT 'owners', (SELECT count(*) FROM customer), 0""")
+def table_lifecycle(t):
+    """Load, reload, swap, list and truncate tables of one database."""
+    spark, database = t.spark, f"current_{uuid.uuid4().hex[:12]}"
+    catalog.create_layer(spark, database, scratch_path(spark, "current"))
+    catalog.replace_table(t.customer, database, "owners")
+    catalog.replace_table(t.customer, database, "owners")
+    catalog.replace_table(t.lineitem, database, "all_parcels")
+    catalog.replace_table(t.orders, database, "deduped")
+    catalog.swap(spark, database, "deduped", "all_parcels")
+
+    def counts() -> list[tuple[str, int]]:
+        names = [row["tablename"] for row in catalog.tables(spark, database).collect()]
+        return [(name, spark.table(f"{database}.{name}").count()) for name in names]
+
+    loaded = spark.createDataFrame(counts(), "tablename string, n_loaded bigint")
+    catalog.truncate_all(spark, database)
+    left = spark.createDataFrame(counts(), "tablename string, n_left bigint")
+    spark.sql(f"DROP DATABASE {database} CASCADE")
+    return loaded.join(left, "tablename")

@@ -123,10 +123,11 @@ CASES = [
 
 
 @pytest.mark.parametrize("small", [0, 20, 20_000])
-def test_dissolve(spark, small, monkeypatch):
-    monkeypatch.setattr(G.trace_rings, "__defaults__", (small,))
+def test_dissolve(spark, small):
     rows = [(name, polygons) for name, parts, _ in CASES for polygons in parts]
-    got = measure(G.dissolve(frame(spark, rows), "k"))
+    merged = G.dissolve(frame(spark, rows), "k", small=small)
+    assert merged.where("not dissolved").isEmpty()
+    got = measure(merged)
     for name, _, want in CASES:
         if want:
             assert got[name] == want, name
@@ -144,3 +145,13 @@ def test_dissolve_random_cells(spark, small):
     sides = sum((x + dx, y + dy) not in cells for x, y in cells for dx, dy in ((0, 1), (1, 0), (0, -1), (-1, 0)))
     assert (row["a"], row["e"], row["z"]) == (len(cells), sides, 0)
     assert G.dissolve(df, "k").select(G.area("geom").alias("a")).head()["a"] == len(cells)
+
+
+def test_overlaps_are_kept_and_flagged(spark):
+    rows = [("edge", [[square(0, 0, 2, 2)]]), ("edge", [[square(0, 0, 1, 2)]]), ("edge", [[square(0, 0, 1, 2)]]), ("fine", [[square(0, 0)]]), ("fine", [[square(1, 0)]])]
+    df = frame(spark, rows)
+    empty = spark.createDataFrame([("none", None), ("none", None), (None, None), (None, [])], f"k string, geom {G.GEOMETRY}")
+    got = {r["k"]: (r["dissolved"], r["geom"] and len(r["geom"])) for r in G.dissolve(df.unionByName(empty), "k").collect()}
+    assert got == {"edge": (False, 2), "fine": (True, 1), "none": (True, None), None: (True, None)}
+    with pytest.raises(ValueError, match="overlap"):
+        G.trace_rings(G.boundary_edges(df, "k"), "k")

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from landledger.operators import keys as K
-from landledger.operators.ordering import next_value, number_copies, number_rows
+from landledger.operators.ordering import next_in_order, number_copies, number_rows
 
 
 def brute_numbers(rows):
@@ -58,11 +58,11 @@ def test_number_copies(spark, chunk):
     assert sorted((tuple(r) for r in got.collect()), key=repr) == sorted(want, key=repr)
 
 
-def test_next_value_matches_lead(spark):
+def test_next_in_order_matches_lead(spark):
     random.seed(3)
     rows = [(random.choice(["hot", "hot", "hot", "b", None]), f"2024-{random.randint(1, 12):02d}-{random.randint(1, 28):02d}", i) for i in range(800)]
     df = spark.createDataFrame(rows, "k string, day string, id int").withColumn("m", F.substring("day", 1, 7))
-    got = next_value(df, ["k"], ["day", "id"], "day", "m", "nxt")
+    got = next_in_order(df, ["k"], ["day", "id"], "m", "nxt")
     df.createOrReplaceTempView("v")
     want = spark.sql("select *, lead(day) over (partition by k order by day, id) as nxt from v")
     assert got.exceptAll(want).isEmpty() and got.count() == 800
