@@ -68,7 +68,7 @@ FOREIGN_KEYS = [
 ]
 
 # Column comments.
-COMMENTS = {("parcel", "parcel_id"): "REDB identifier, not municapal identifier (handle)"}
+COMMENTS = {("parcel", "parcel_id"): "Warehouse identifier, not the municipal identifier (handle)"}
 
 # Codes that the designed model widens to text along with every id.
 TEXT_CODES = {("parcel", "zip_code"), ("parcel", "census_block"), ("use_type", "use_type"), ("address", "zip")}

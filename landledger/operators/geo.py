@@ -366,23 +366,38 @@ def dissolve(df: DataFrame, key: str, column: str = "geom", small: int = 20_000)
 
     Keys with a single row keep their geometry untouched; only repeated keys are traced. Where shapes
     overlap at an edge or corner no outline can be traced: such a key keeps its distinct polygons side
-    by side, and ``dissolved`` is false.
+    by side, and ``dissolved`` is false. Keys whose shapes are all null or empty get a null geometry.
     """
+    alone, repeated, polygons = _dissolved(df, key, column, small)
+    united = polygons.groupBy(key, "dissolved").agg(F.array_sort(F.collect_list("polygon")).alias(column))
+    return alone.withColumn("dissolved", F.lit(True)).unionByName(
+        repeated.join(united, F.col(key).eqNullSafe(F.col("_key")), "left").select(
+            F.col("_key").alias(key), column, F.coalesce("dissolved", F.lit(True)).alias("dissolved")
+        )
+    )
+
+
+def dissolve_polygons(df: DataFrame, key: str, column: str = "geom", small: int = 20_000) -> DataFrame:
+    """``dissolve`` with one row per polygon: (key, polygon, dissolved).
+
+    For keys whose union is too large for one row.
+    """
+    alone, _, polygons = _dissolved(df, key, column, small)
+    return alone.select(key, F.explode(column).alias("polygon"), F.lit(True).alias("dissolved")).unionByName(polygons)
+
+
+def _dissolved(df: DataFrame, key: str, column: str, small: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Rows of single keys, the repeated keys as ``_key``, and the polygons of the repeated keys."""
     repeated = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(F.col(key).alias("_key"))
     repeated = materialize(repeated, "repeated")
     same = F.col(key).eqNullSafe(F.col("_key"))
-    alone = df.join(repeated, same, "left_anti").select(key, column, F.lit(True).alias("dissolved"))
+    alone = df.join(repeated, same, "left_anti").select(key, column)
     several = df.join(repeated, same, "left_semi").select(key, column)
     follows = materialize(_successors(boundary_edges(several, key, column), key), "edges")
     torn = materialize(follows.where("torn").select(F.col(key).alias("_key")).distinct(), "torn")
     rings = materialize(_trace(follows.join(torn, same, "left_anti"), key, small), "outline")
-    merged = _polygons(rings, key).withColumn("dissolved", F.lit(True))
     kept = several.join(torn, same, "left_semi").select(key, F.explode(column).alias("polygon")).distinct()
-    polygons = merged.unionByName(kept.withColumn("dissolved", F.lit(False)))
-    united = polygons.groupBy(key, "dissolved").agg(F.array_sort(F.collect_list("polygon")).alias(column))
-    # Keys whose shapes are all null or empty stay, with a null geometry.
-    return alone.unionByName(
-        repeated.join(united, same, "left").select(
-            F.col("_key").alias(key), column, F.coalesce("dissolved", F.lit(True)).alias("dissolved")
-        )
+    polygons = _polygons(rings, key).withColumn("dissolved", F.lit(True)).unionByName(
+        kept.withColumn("dissolved", F.lit(False))
     )
+    return alone, repeated, polygons

@@ -102,8 +102,19 @@ def dissolve_outline(t):
 @query("""
     SELECT p_brand || '/' || p_type || '/' || p_partkey // 400 AS parcel_id, count(*)::DOUBLE AS area FROM part GROUP BY 1""")
 def dissolve(t):
+    return G.dissolve(_blocks(t), "parcel_id").select("parcel_id", G.area("geom").alias("area"))
+
+
+@query("""
+    SELECT p_type AS parcel_id, true AS dissolved, count(*)::DOUBLE AS area FROM part GROUP BY p_type""")
+def dissolve_polygons(t):
+    polygons = G.dissolve_polygons(_squares(t, "p_type").select("parcel_id", "geom"), "parcel_id")
+    return polygons.groupBy("parcel_id", "dissolved").agg(F.sum(G.area(G.to_multipolygon("polygon"))).alias("area"))
+
+
+def _blocks(t):
+    """The squares keyed by brand, type and block: some keys repeat, some do not."""
     squares = _squares(t, "p_type").withColumn("block", F.floor(F.col("p_partkey") / 400).cast("string"))
-    keyed = squares.join(t.part.select("p_partkey", "p_brand"), "p_partkey").withColumn(
-        "parcel_id", F.concat_ws("/", "p_brand", "parcel_id", "block")
+    return squares.join(t.part.select("p_partkey", "p_brand"), "p_partkey").select(
+        F.concat_ws("/", "p_brand", "parcel_id", "block").alias("parcel_id"), "geom"
     )
-    return G.dissolve(keyed.select("parcel_id", "geom"), "parcel_id").select("parcel_id", G.area("geom").alias("area"))

@@ -89,7 +89,7 @@ def build(feeds: Feeds, crosswalk: DataFrame, where: Region, not_real_estate: Co
     present = {target: source for target, source in PARCEL_SOURCE.items() if source in loaded.columns}
     parcel = with_seq(E.parcels(loaded, present)).select(gid().alias("parcel_id"), "handle", *present)
 
-    built = E.buildings(E.not_vacant(loaded), shape, feeds.buildings)
+    built = materialize(E.buildings(E.not_vacant(loaded), shape, feeds.buildings), "buildings")
     building = with_seq(built).select(
         gid("bldgnum").alias("building_id"), gid().alias("parcel_id"), "handle", "bldgnum", "shape",
         *[c for c in feeds.buildings.columns if c not in (*E.ACCOUNT, "bldgnum")],

@@ -152,7 +152,10 @@ def manifest_of(files: DataFrame, category: Column, name: Column, path: Column,
 
 
 def manifest(spark: SparkSession, path: str, category: str | None = None) -> DataFrame:
-    """Manifest of the files below ``path`` with its UTC run time; a file's folder is its category."""
+    """Manifest of the files below ``path`` with its UTC run time; a file's folder is its category.
+
+    Meant for reference files: each is hashed as one binary value, so it must be below 2 GB.
+    """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
     folder = F.substring_index(F.substring_index("path", "/", -2), "/", 1)
     listed = manifest_of(files, F.lit(category) if category else folder, last_segment("path"), F.col("path"), F.col("content"))

@@ -112,7 +112,7 @@ def test_lifecycle(spark):
     C.create_all(spark, "current_t")
     assert C.tables(spark, "current_t").count() == 19
     comment = [c.description for c in spark.catalog.listColumns("current_t.parcel") if c.name == "parcel_id"]
-    assert comment == ["REDB identifier, not municapal identifier (handle)"]
+    assert comment == ["Warehouse identifier, not the municipal identifier (handle)"]
     spark.sql("insert into current_t.use_type values (1, 2)")
     spark.sql("insert into current_t.building values (1, 1, 1, 1, 1, 1)")
     spark.sql("insert into current_t.address values (1, 1, '', '', '', '', '', '', 1)")
