@@ -10,7 +10,7 @@ from landledger.operators import catalog
 from landledger.operators import typing as TY
 from landledger.plans.registry import query
 from landledger.session import scratch_path
-from landledger.sources import csvfiles
+from landledger.sources import csvfiles, landing
 
 
 def _land(t, *names: str) -> str:
@@ -26,6 +26,7 @@ def _land(t, *names: str) -> str:
     UNION ALL SELECT 'documents', 'loaded', count(*) FROM documents UNION ALL SELECT 'conversations', 'loaded', count(*) FROM conversations""")
 def staging_load(t):
     base = _land(t, "customer", "orders", "documents", "conversations")
+    base = landing.newest_landing(t.spark, base.rsplit("/", 1)[0])
     database = f"staging_{uuid.uuid4().hex[:12]}"
     catalog.reset_layer(t.spark, database, scratch_path(t.spark, "staging"))
     report = csvfiles.load_snapshot(t.spark, base, database)

@@ -57,12 +57,18 @@ def list_landing(spark: SparkSession, path: str) -> DataFrame:
 
 
 def prefix_of(path: Column | str) -> Column:
-    """Snapshot directory of a landed file, or null at the root."""
+    """Snapshot folder a landed file is in, or null at the root."""
     path = F.col(path) if isinstance(path, str) else path
-    found = F.regexp_extract(path, r"/([0-9]{4}(?:_[0-9]{2}){5})/[^/]+$", 1)
+    found = F.regexp_extract(path, r"/([0-9]{4}(?:_[0-9]{2}){5})/", 1)
     return F.when(found != "", found)
 
 
+def newest_landing(spark: SparkSession, path: str) -> str:
+    """The newest snapshot folder below ``path``; ``path`` itself when there is none."""
+    newest = list_landing(spark, path).agg(F.max(prefix_of("path")).alias("m")).head()["m"]
+    return f"{path.rstrip('/')}/{newest}" if newest else path
+
+
 def action(name: Column | str) -> Column:
     """What to do with a source file, by its extension (case matters)."""
     name = F.col(name) if isinstance(name, str) else name

@@ -187,3 +187,14 @@ def test_metadata_scans(spark, tmp_path):
         '"","0","115","","189","x","ASMTLAND","0"\n"","0","115","","195","x","AsrLandUse1","24"\n"","0","110","a, ""b""","189","x","HANDLE","0"\n')
     fields = {r["NAME"]: (r["kind"], r["type"]) for r in csvfiles.read_field_definitions(spark, str(tmp_path / "f")).collect()}
     assert fields == {"ASMTLAND": ("amount", "double"), "AsrLandUse1": ("amount", "string"), "HANDLE": ("number", "string")}
+
+
+def test_newest_landing(spark, tmp_path):
+    put(tmp_path, "a.csv", "x\n1\n")
+    assert landing.newest_landing(spark, str(tmp_path)) == str(tmp_path)
+    for name in ("2024_02_01_00_00_00", "2023_12_31_23_59_59"):
+        put(tmp_path, f"{name}/a.csv", "x\n1\n")
+        put(tmp_path, f"{name}/b.csv/part-0.csv", "x\n1\n")
+    assert landing.newest_landing(spark, str(tmp_path)) == str(tmp_path / "2024_02_01_00_00_00")
+    tables = csvfiles.landed_tables(spark, landing.newest_landing(spark, str(tmp_path)))
+    assert sorted(r["table"] for r in tables.collect()) == ["a", "b"]
