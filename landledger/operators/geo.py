@@ -202,14 +202,13 @@ def _trace(follows: DataFrame, key: str, small: int = 20_000) -> DataFrame:
     A key with at most ``small`` edges is stitched within one task, after a single shuffle. Larger
     keys, of any size, go through ``_trace_large``.
     """
-    large = materialize(
-        follows.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > small).select(F.col(key).alias("_key")),
-        "large",
-    )
+    counted = follows.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    large = counted.where(F.col("_n") > small).select(F.col(key).alias("_key"))
     same = F.col(key).eqNullSafe(F.col("_key"))
     if large.isEmpty():
         traced = _trace_small(follows, key)
     else:
+        large = materialize(large, "large")
         traced = _trace_small(follows.join(large, same, "left_anti"), key).unionByName(
             _trace_large(follows.join(large, same, "left_semi"), key)
         )

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from landledger.functions import ids
+from landledger.operators import catalog
 from landledger.operators import entities as E
 from landledger.operators import keys as K
 from landledger.operators import quality as Q
@@ -121,3 +122,19 @@ def checks(spine: Spine) -> dict[str, DataFrame]:
         "building without unit": E.buildings_without_units(spine.building, spine.unit, ["building_id"]),
         "crosswalk": K.crosswalk_violations(spine.crosswalk),
     }
+
+
+def publish(spine: Spine, database: str) -> list[str]:
+    """Replace the spine tables of ``database``, parents first, once every check is clean."""
+    broken = {rule: bad.head(1) for rule, bad in checks(spine).items()}
+    broken = {rule: example for rule, example in broken.items() if example}
+    if broken:
+        raise ValueError(f"not published: {broken}")
+    tables = {
+        "parcel": spine.parcel, "building": spine.building, "unit": spine.unit,
+        "municipal_parcel_id_mapping": spine.mapping, "exclusion_log": spine.logs(),
+        "secondary_owner_log": spine.secondary_owners,
+    }
+    for name, df in tables.items():
+        catalog.replace_table(df, database, name)
+    return list(tables)

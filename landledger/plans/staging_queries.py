@@ -50,10 +50,16 @@ def staging_quoted_text(t):
     return csvfiles.read_text_csv(t.spark, _land(t, "documents") + "/documents.csv")
 
 
-@query("""SELECT 'documents.csv' AS name, true AS ok, 5 AS width, 0::BIGINT AS long_rows""")
+@query("""
+    SELECT 'orders.csv' AS name, count(*) FILTER (o_orderkey % 100 = 50) = 0 AS ok, 3 AS width, count(*) FILTER (o_orderkey % 100 = 50) AS long_rows FROM orders
+    UNION ALL SELECT 'documents.csv', count(*) FILTER (doc_id IS NULL) = 0, 5, count(*) FILTER (doc_id IS NULL) FROM documents""")
 def csv_gate(t):
-    verdict = csvfiles.gate_csv(t.spark, _land(t, "documents") + "/documents.csv")
-    return verdict.select(F.substring_index("path", "/", -1).alias("name"), "ok", "width", "long_rows")
+    """Documents hold quoted commas and line breaks and pass; orders get short rows, which pass, and long ones."""
+    base = _land(t, "documents")
+    extra = F.when(F.col("o_orderkey") % 100 == 50, ',"a, ""b""",').when(F.col("o_orderkey") % 100 == 70, "").otherwise(",x")
+    t.orders.select(F.concat("o_orderkey", F.lit(",p"), extra)).write.text(f"{base}/orders.csv")
+    verdicts = [csvfiles.gate_csv(t.spark, f"{base}/{name}.csv") for name in ("documents", "orders")]
+    return verdicts[0].unionByName(verdicts[1]).select(F.substring_index("path", "/", -1).alias("name"), "ok", "width", "long_rows")
 
 
 @query("""

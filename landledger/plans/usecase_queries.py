@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from landledger.operators import keys as K
 from landledger.operators import quality as Q
-from landledger.plans import spine, usecases
+from landledger.plans import owners, spine, usecases
 from landledger.plans.registry import query
 
 
@@ -80,9 +80,9 @@ def demolition_effect(t):
 @query("""
     SELECT o_orderkey, c_name, o_totalprice FROM orders JOIN customer ON o_custkey = c_custkey WHERE c_mktsegment = 'BUILDING' AND c_acctbal < 1000""")
 def owner_explorer(t):
-    owners = t.customer.withColumnRenamed("c_custkey", "o_custkey")
+    holders = t.customer.withColumnRenamed("c_custkey", "o_custkey")
     held = (F.col("c_mktsegment") == "BUILDING") & (F.col("c_acctbal") < 1000)
-    return usecases.explorer(t.orders, owners, "o_custkey", held, ["o_orderkey", "c_name", "o_totalprice"])
+    return usecases.explorer(t.orders, holders, "o_custkey", held, ["o_orderkey", "c_name", "o_totalprice"])
 
 
 @query("""
@@ -147,3 +147,41 @@ def spine_buildings(t):
            count(*) AS source, true AS balanced FROM lineitem""")
 def spine_reconciliation(t):
     return Q.reconcile(_spine(t).routed)
+
+
+# --- owners --------------------------------------------------------------------------------------
+
+def _owner_tables(t):
+    customers = t.customer.select(
+        F.concat(F.lit("Owner "), (F.col("c_custkey") % 400).cast("string")).alias("name"),
+        F.concat((F.col("c_nationkey") % 7).cast("string"), F.lit(" Main St.")).alias("raw_line"),
+        F.col("c_mktsegment").alias("city"), F.lit("MO").alias("state"), F.lit(None).cast("string").alias("zip"),
+    )
+    suppliers = t.supplier.select(
+        F.concat(F.lit("OWNER, "), (F.col("s_suppkey") % 400).cast("string")).alias("name"),
+        F.concat((F.col("s_nationkey") % 7).cast("string"), F.lit("  main st")).alias("raw_line"),
+        F.lit("building").alias("city"), F.lit("mo").alias("state"), F.lit(None).cast("string").alias("zip"),
+    )
+    return owners.build([customers, suppliers], K.empty_crosswalk(t.spark), 840, 29510)
+
+
+_OWNER_SQL = """
+    WITH s AS (
+      SELECT 'OWNER ' || c_custkey % 400 AS n, c_nationkey % 7 || ' MAIN ST|' || c_mktsegment || '|MO|' AS a,
+             'Owner ' || c_custkey % 400 AS name, c_nationkey % 7 || ' Main St.' AS raw_line FROM customer
+      UNION ALL SELECT 'OWNER ' || s_suppkey % 400, s_nationkey % 7 || ' MAIN ST|BUILDING|MO|', 'OWNER, ' || s_suppkey % 400,
+             s_nationkey % 7 || '  main st' FROM supplier),
+    addr AS (SELECT a, row_number() OVER (ORDER BY a) AS id, min(raw_line) AS raw_line FROM s GROUP BY a),
+    ent AS (SELECT n, a, row_number() OVER (ORDER BY n || '|' || a) AS id, min(name) AS name FROM s GROUP BY n, a)"""
+
+
+@query(f"""{_OWNER_SQL}
+    SELECT '840.29510.legal_entity.' || ent.id AS legal_entity_id, name, '840.29510.address.' || addr.id AS address_id FROM ent JOIN addr USING (a)""")
+def owner_entities(t):
+    return _owner_tables(t).legal_entity
+
+
+@query(f"""{_OWNER_SQL}
+    SELECT '840.29510.address.' || id AS address_id, raw_line FROM addr""")
+def owner_addresses(t):
+    return _owner_tables(t).address.select("address_id", "raw_line")

@@ -1,3 +1,5 @@
+import dataclasses
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -5,7 +7,7 @@ from landledger.functions import ids
 from landledger.operators import entities as E
 from landledger.operators import keys as K
 from landledger.operators import quality as Q
-from landledger.plans import spine, usecases
+from landledger.plans import owners, spine, usecases
 
 
 def rows(df):
@@ -173,6 +175,30 @@ def test_ids_follow_the_hierarchy(city):
     assert linked.isEmpty()
 
 
+def test_publish(spark, city):
+    from landledger.operators import catalog
+
+    catalog.create_layer(spark, "published_t")
+    assert "unit" in spine.publish(city, "published_t")
+    assert spark.table("published_t.unit").count() == 6 and spark.table("published_t.exclusion_log").count() == 2
+    broken = dataclasses.replace(city, parcel=city.parcel.where("handle <> '100'"))
+    with pytest.raises(ValueError, match="fk building.parcel_id"):
+        spine.publish(broken, "published_t")
+    spark.sql("drop database published_t cascade")
+
+
+def test_owner_ids_survive_a_rerun(spark):
+    feed = spark.createDataFrame([("Acme, Inc", "1 Main St.", "X", "MO", "1"), ("ACME INC", "1 MAIN ST", "x", "mo", "1"), ("Bob", None, None, None, None)],
+                                 "name string, raw_line string, city string, state string, zip string")
+    first = owners.build([feed], K.empty_crosswalk(spark), 840, 29510)
+    assert first.legal_entity.count() == 2 and first.address.count() == 2
+    more = spark.createDataFrame([("Aaron", "0 First", "X", "MO", "1")], feed.schema)
+    again = owners.build([more, feed], first.crosswalk, 840, 29510)
+    assert first.legal_entity.exceptAll(again.legal_entity).isEmpty()
+    assert again.legal_entity.count() == 3
+    assert Q.fk_violations(again.legal_entity, again.address, [("address_id", "address_id")]).isEmpty()
+
+
 # --- use cases -----------------------------------------------------------------------------------
 
 def test_blight_gap_recovers_a_linear_model(spark):
