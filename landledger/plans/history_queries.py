@@ -50,7 +50,7 @@ def history_ranges(t):
 
 @query("""
     SELECT snapshot, count(*) AS n_rows, count(DISTINCT o_orderkey) AS n_keys FROM (
-      SELECT o_orderkey, '2024_01_01_00_00_00' AS snapshot FROM orders WHERE o_orderkey % 2 = 0
+      SELECT o_orderkey, '2024_01_01_00_00_00' AS snapshot FROM orders WHERE o_orderstatus = 'F'
       UNION ALL SELECT o_orderkey, '2024_02_01_00_00_00' FROM orders) GROUP BY snapshot""")
 def history_snapshots(t):
     from landledger.session import scratch_path
@@ -58,7 +58,7 @@ def history_snapshots(t):
     path = scratch_path(t.spark, "history")
     H.snapshot_append(t.orders, path, "2024_01_01_00_00_00")
     # A re-run of a snapshot replaces it; another snapshot is added beside it.
-    H.snapshot_append(t.orders.where("o_orderkey % 2 = 0"), path, "2024_01_01_00_00_00")
+    H.snapshot_append(t.orders.where("o_orderstatus = 'F'"), path, "2024_01_01_00_00_00")
     H.snapshot_append(t.orders, path, "2024_02_01_00_00_00")
     return H.read_history(t.spark, path).groupBy("snapshot").agg(
         F.count(F.lit(1)).alias("n_rows"), F.count_distinct("o_orderkey").alias("n_keys")

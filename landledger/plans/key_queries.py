@@ -133,11 +133,12 @@ def municipal_mapping(t):
 
 
 @query(f"""
-    WITH x AS ({_MINT_SQL})
+    WITH x AS ({_MINT_SQL} WHERE c_mktsegment <> 'BUILDING')
     SELECT o_orderkey, c_name, seq AS parcel_seq FROM orders JOIN customer ON o_custkey = c_custkey
-    LEFT JOIN x ON x.region = c_nationkey::VARCHAR AND native_ref = c_name AND seq % 3 <> 0""")
+    LEFT JOIN x ON x.region = c_nationkey::VARCHAR AND native_ref = c_name""")
 def crosswalk_lookup(t):
-    registered = _customer_crosswalk(t).where("seq % 3 <> 0")
+    known = t.customer.where("c_mktsegment <> 'BUILDING'")
+    registered = K.mint(K.empty_crosswalk(t.spark), K.native_refs(known, "c_nationkey", "c_name"))
     feed = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey")).select("o_orderkey", "c_name", "c_nationkey")
     return K.lookup(feed, registered, F.col("c_nationkey"), "c_name", "parcel_seq").drop("c_nationkey")
 

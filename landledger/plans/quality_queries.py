@@ -80,16 +80,16 @@ def pk_check(t):
 
 
 @query("""
-    WITH altered AS (SELECT o_orderkey, CASE WHEN o_orderkey % 50 = 0 THEN trim(o_orderpriority, '1') ELSE o_orderpriority END AS o_orderpriority,
-                            round(o_totalprice, 1) AS o_totalprice FROM orders WHERE o_orderkey % 97 <> 0),
+    WITH altered AS (SELECT o_orderkey, CASE WHEN o_orderstatus = 'P' THEN ltrim(o_orderpriority, '1') ELSE o_orderpriority END AS o_orderpriority,
+                            round(o_totalprice, 1) AS o_totalprice FROM orders WHERE o_totalprice > 5000),
     both_sides AS (SELECT o_orderkey, o_orderpriority, o_totalprice, 1 AS s, 0 AS l FROM orders UNION ALL SELECT *, 0, 1 FROM altered)
     SELECT o_orderkey, o_orderpriority, o_totalprice, sum(s)::BIGINT AS n_source, sum(l)::BIGINT AS n_loaded
     FROM both_sides GROUP BY ALL HAVING sum(s) <> sum(l)""")
 def no_mutation_audit(t):
     cut = F.regexp_replace("o_orderpriority", "^1+", "")
-    altered = t.orders.where("o_orderkey % 97 <> 0").select(
+    altered = t.orders.where("o_totalprice > 5000").select(
         "o_orderkey",
-        F.when(F.col("o_orderkey") % 50 == 0, cut).otherwise(F.col("o_orderpriority")).alias("o_orderpriority"),
+        F.when(F.col("o_orderstatus") == "P", cut).otherwise(F.col("o_orderpriority")).alias("o_orderpriority"),
         F.round("o_totalprice", 1).alias("o_totalprice"),
     )
     return Q.mutation_audit(t.orders, altered, ["o_orderkey", "o_orderpriority", "o_totalprice"])

@@ -215,13 +215,14 @@ def _manifest(documents, content="text"):
 
 
 @query("""
-    WITH a AS (SELECT source || '/' || doc_id || '.txt' AS path, sha256(text) AS d FROM documents WHERE doc_id % 9 <> 0),
+    WITH a AS (SELECT source || '/' || doc_id || '.txt' AS path, sha256(text) AS d FROM documents WHERE source <> 'src0'),
          b AS (SELECT source || '/' || doc_id || '.txt' AS path,
-                      sha256(CASE WHEN doc_id % 5 = 0 THEN text || '!' ELSE text END) AS d FROM documents WHERE doc_id % 8 <> 0)
+                      sha256(CASE WHEN n_chars > 1000 THEN text || '!' ELSE text END) AS d FROM documents WHERE lang <> 'fr')
     SELECT path, a.d AS old_sha256, b.d AS new_sha256,
            CASE WHEN a.d IS NULL THEN 'added' WHEN b.d IS NULL THEN 'missing' WHEN a.d <> b.d THEN 'changed' ELSE 'same' END AS drift
     FROM a FULL OUTER JOIN b USING (path)""")
 def manifest_drift(t):
-    key = F.col("doc_id")
-    edited = F.when(key % 5 == 0, F.concat("text", F.lit("!"))).otherwise(F.col("text"))
-    return landing.manifest_drift(_manifest(t.documents.where(key % 9 != 0)), _manifest(t.documents.where(key % 8 != 0), edited))
+    """Between the snapshots one source arrives, one language leaves, and long texts change."""
+    edited = F.when(F.col("n_chars") > 1000, F.concat("text", F.lit("!"))).otherwise(F.col("text"))
+    before, after = t.documents.where("source <> 'src0'"), t.documents.where("lang <> 'fr'")
+    return landing.manifest_drift(_manifest(before), _manifest(after, edited))

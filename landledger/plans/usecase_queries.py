@@ -60,7 +60,7 @@ def blight_gap_model(t):
 
 
 @query("""
-    WITH own AS (SELECT user_id AS area, min(ts) AS own FROM events WHERE event_type = 'signup' AND user_id % 2 = 0 AND value > 20 GROUP BY 1),
+    WITH own AS (SELECT user_id AS area, min(ts) AS own FROM events WHERE event_type = 'signup' AND json_extract_string(props, '$.k')::INTEGER >= 95 GROUP BY 1),
     areas AS (SELECT DISTINCT user_id AS area, user_id % 3 AS level FROM events),
     cuts AS (SELECT area, level, own, coalesce(own, min(own) OVER (PARTITION BY level)) AS cut FROM areas LEFT JOIN own USING (area)),
     v AS (SELECT user_id AS area, ts, value::DECIMAL(18,2) AS value FROM events WHERE event_type = 'purchase'),
@@ -72,7 +72,7 @@ def blight_gap_model(t):
     SELECT *, round((treated_after - treated_before) - (control_after - control_before), 5) AS effect FROM m""")
 def demolition_effect(t):
     values = t.events.where("event_type = 'purchase'").select(F.col("user_id").alias("area"), F.col("ts").alias("at"), "value")
-    razed = t.events.where("event_type = 'signup' and user_id % 2 = 0 and value > 20")
+    razed = t.events.where((F.col("event_type") == "signup") & (F.get_json_object("props", "$.k").cast("int") >= 95))
     levels = t.events.select(F.col("user_id").alias("area")).distinct().withColumn("level", F.col("area") % 3)
     return usecases.demolition_effect(values, razed.select(F.col("user_id").alias("area"), F.col("ts").alias("at")), levels)
 
@@ -114,7 +114,7 @@ def _spine(t):
     line = line.where("l_returnflag <> 'A'")
     detail = line.select(*key, F.lit(1).alias("bldgnum"), F.col("l_extendedprice").alias("totalarea"))
     section = line.select(*key, F.lit(1).alias("bldgnum"), F.explode(F.sequence(F.lit(1), F.pmod("l_partkey", F.lit(3)) + 1)).alias("sectnum"))
-    homes = line.where("l_partkey % 3 = 1").select(*key, F.lit(1).alias("bldgnum"))
+    homes = line.where("l_returnflag = 'R'").select(*key, F.lit(1).alias("bldgnum"))
     feeds = spine.Feeds(accounts, detail, homes, section)
     return spine.build(feeds, K.empty_crosswalk(t.spark), spine.Region(840, 29510), not_real_estate=["A"])
 
@@ -124,7 +124,7 @@ _SPINE_SQL = """
     x AS (SELECT h AS l_orderkey, row_number() OVER (ORDER BY h::VARCHAR) AS seq FROM (SELECT DISTINCT l_orderkey AS h FROM loaded)),
     condo AS (SELECT l_orderkey, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_suppkey, l_partkey, l_quantity) AS u
               FROM loaded WHERE n > 1 AND l_linenumber <> 1),
-    simple AS (SELECT l_orderkey, u FROM loaded, unnest(range(1, 2 + CASE WHEN l_partkey % 3 = 2 THEN 2 ELSE 0 END)) AS s(u) WHERE n = 1)"""
+    simple AS (SELECT l_orderkey, u FROM loaded, unnest(range(1, 2 + CASE WHEN l_returnflag = 'R' THEN 0 ELSE l_partkey % 3 END)) AS s(u) WHERE n = 1)"""
 
 
 @query(f"""{_SPINE_SQL}
