@@ -9,8 +9,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from landledger.llm import (
+    jaccard_join,
+    mixing,
     pieces,
     quality_classifier,
+    quality_rules,
+    suffix_dedup,
     token_counts,
     warc,
 )
@@ -66,6 +70,27 @@ def op5_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.suffix_sums(hist)
 
 
+@query(quality_rules.ORACLE)
+def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_rules.judged(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query()
+def op7_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard_join.near_duplicates(table(spark, folder, "documents"))
+
+
+@query(mixing.ORACLE)
+def op8_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents").select("doc_id", "source", "text")
+    return mixing.interleaved(documents).drop("text")
+
+
+@query()
+def op9_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, folder, "documents")).drop("kept")
+
+
 @query("""
     with p as (select page_id, coalesce(html, '') as html from pages),
     f as (select html, min(page_id) as first from p where octet_length(encode(html)) >= 100 group by html)
