@@ -10,12 +10,14 @@ from pyspark.sql import functions as F
 
 from landledger.llm import (
     jaccard_join,
+    licenses,
     mixing,
     pieces,
     quality_classifier,
     quality_rules,
     suffix_dedup,
     token_counts,
+    topk,
     warc,
 )
 from landledger.llm.common import scratch_path, table
@@ -62,6 +64,29 @@ def op2_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return pieces.round_trip(table(spark, folder, "documents"), file_bytes(PIECES), digests=True)
 
 
+@query()
+def op3_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    found = licenses.scan(table(spark, folder, "documents"))
+    return found.select(
+        "doc_id", "n_words", F.size("matches").alias("n_matches"),
+        F.expr("transform(matches, m -> m.license)").alias("licenses"), F.expr("transform(matches, m -> m.coverage)").alias("coverages"),
+        F.expr("transform(matches, m -> m.start)").alias("starts"), F.expr("transform(matches, m -> m.end)").alias("ends"),
+    )
+
+
+@query("""
+    with v as (select vec_id, list_transform(embedding, lambda x: cast(floor(1024 * cast(x as double)) as bigint)) as v from embeddings
+        where vec_id is not null and embedding is not null
+            and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+    c as (select q.vec_id as query_id, c.vec_id, cast(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) as bigint) as score
+        from v q join v c on q.vec_id <> c.vec_id where q.vec_id % 100 = 0)
+    select query_id, cast(row_number() over (partition by query_id order by score desc, vec_id) as integer) as rank, vec_id, score
+    from c qualify rank <= 10
+""")
+def op4_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    return topk.top_k(table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 @query()
 def op5_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     import public_tokenizers

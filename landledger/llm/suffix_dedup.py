@@ -46,7 +46,7 @@ ANCHORS = "bucket int, known boolean, seed binary, d binary, t binary, at binary
 PLACES = "d long, t long, at binary"
 SUFFIXES = "bucket int, hot boolean, cut boolean, d binary, t binary, at binary, before binary, after binary, context binary"
 CUTS = "d long, t long, cut binary"
-KEPT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
+KEPT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept string"
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -353,7 +353,7 @@ def suffixes(splitters: list[bytes], parts: int):
         columns = np.arange(CONTEXT)
         for batch in batches:
             ids, ties = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for row, (text, places) in enumerate(zip(as_bytes(batch.column(2)), batch.column(3).to_pylist())):
+            for row, (text, places) in enumerate(zip(as_bytes(batch.column(2).field("text")), batch.column(3).to_pylist())):
                 at = np.unique(np.frombuffer(b"".join(places), np.int32))
                 padded = np.zeros(len(text) + CONTEXT, np.uint8)
                 padded[LEFT:LEFT + len(text)] = np.frombuffer(text, np.uint8)
@@ -414,13 +414,14 @@ def settle_boundaries(rows: pa.Table) -> pa.Table:
     return pa.table({"d": pa.array(out_d, pa.int64()), "t": pa.array(out_t, pa.int64()), "cut": pa.array(out_cut, pa.binary())})
 
 
-def cut_out(with_text: bool):
+def cut_out(with_text: bool, carried: bool):
     """Per document: the union of its stretches, and what is left of the text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             removed, spans, digests, kept, sizes = [], [], [], [], []
-            for text, cuts in zip(as_bytes(batch.column(1)), batch.column(2).to_pylist()):
+            for text, cuts in zip(batch.column(1).field("text").cast(pa.binary()).to_pylist(), batch.column(2).to_pylist()):
+                missing, text = text is None, text or b""
                 pairs = np.frombuffer(b"".join(cuts or []), np.int64).reshape(-1, 2)
                 starts, ends = united(pairs[:, 0], pairs[:, 1]) if len(pairs) else (np.array([], int), np.array([], int))
                 left = b"".join(text[a:b] for a, b in zip([0, *ends], [*starts, len(text)]))
@@ -428,11 +429,12 @@ def cut_out(with_text: bool):
                 removed.append(len(text) - len(left))
                 spans.append(len(starts))
                 digests.append(hashlib.sha256(left).hexdigest())
-                kept.append(left if with_text else None)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *(pa.array(c, pa.int64()) for c in (sizes, removed, spans)), pa.array(digests, pa.string()), pa.array(kept, pa.binary())],
-                names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"],
-            )
+                kept.append(left.decode("utf-8", "ignore") if with_text and not missing else None)
+            columns = [batch.column(0), *(pa.array(c, pa.int64()) for c in (sizes, removed, spans)), pa.array(digests, pa.string()), pa.array(kept, pa.string())]
+            names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"]
+            if carried:
+                columns, names = [*columns, batch.column(1).field("row")], [*names, "row"]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return run
 
@@ -449,47 +451,48 @@ def sampled_leads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield pa.RecordBatch.from_arrays([pa.array(leads, pa.list_(pa.binary())), pa.array(sizes, pa.int64())], names=["leads", "size"])
 
 
-def identified(documents: DataFrame, id_column: str, text_column: str) -> DataFrame:
-    """(d, t, doc_id, text): the id, with null before all others, and a tie-breaker from the text."""
-    text: Column = F.coalesce(F.col(text_column).cast("string"), F.lit(""))
+def identified(documents: DataFrame, id_column: str, text_column: str, carry: list[str]) -> DataFrame:
+    """(d, t, doc): the id, with null before all others, a tie-breaker from the text, and the text with the columns to carry.
+
+    One struct holds what the joins need, so that both ask for the same columns and Spark shuffles the texts once.
+    """
+    text: Column = F.col(text_column).cast("string")
+    row = [F.struct(*(F.col(c) for c in carry)).alias("row")] if carry else []
     return documents.select(
-        F.coalesce(F.col(id_column).cast("long"), F.lit(LOWEST)).alias("d"), F.xxhash64(text).alias("t"),
-        F.col(id_column).cast("long").alias("doc_id"), text.alias("text"),
+        F.coalesce(F.col(id_column).cast("long"), F.lit(LOWEST)).alias("d"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("t"), F.struct(text.alias("text"), *row).alias("doc"),
     )
 
 
 def remove_repeats(
-    documents: DataFrame, id_column: str = "doc_id", text_column: str = "text", with_text: bool = False,
+    documents: DataFrame, id_column: str = "doc_id", text_column: str = "text", with_text: bool = False, carry: list[str] | None = None,
     bucket_bytes: int = 16 << 20, sample_docs: int = 2000,
 ) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept): one row per row of ``documents``.
 
-    ``kept`` holds the bytes left, if ``with_text``; a cut may fall inside a character. Rows with equal id and equal text count
-    as one document, and each gets its result; rows with equal id and other text are ordered by a hash of the text; a null id
-    comes before all others, and a null text is empty. ``sample_docs`` texts, at most, choose the splitters and the number of
-    buckets (of about ``bucket_bytes`` of text): this bears on balance only.
+    ``kept`` holds the text left, if ``with_text``, without the bytes of characters that a cut went through; the digest is that
+    of all bytes left; a null text stays null. With ``carry``, ``row`` is a struct of these columns. Rows with equal id and equal
+    text count as one document, and each gets its result; rows with equal id and other text are ordered by a hash of the text; a
+    null id comes before all others, and a null text is empty. ``sample_docs`` texts, at most, choose the splitters and the
+    number of buckets (of about ``bucket_bytes`` of text): this bears on balance only.
     """
-    texts = identified(documents, id_column, text_column)
+    texts = identified(documents, id_column, text_column, carry or [])
     n = documents.count()
     share = min(1.0, sample_docs / max(1, n))
-    sample = texts.select("text").sample(share, seed=7).limit(2 * sample_docs).mapInArrow(sampled_leads, "leads array<binary>, size long").collect()
+    sample = texts.select("doc.text").sample(share, seed=7).limit(2 * sample_docs).mapInArrow(sampled_leads, "leads array<binary>, size long").collect()
     size = n * sum(row.size for row in sample) // max(1, len(sample))
     parts = parts_for(size, bucket_bytes, least=4)
     leads = sorted(bytes(lead) for row in sample for lead in row.leads)
     splitters = [leads[len(leads) * i // parts] for i in range(1, parts)] if leads else []
 
-    once = texts.select("d", "t", "text")
-    places = once.mapInArrow(anchor_rows(parts), ANCHORS).groupBy("bucket").applyInArrow(repeated_places, PLACES)
+    places = texts.select("d", "t", "doc.text").mapInArrow(anchor_rows(parts), ANCHORS).groupBy("bucket").applyInArrow(repeated_places, PLACES)
     per_text = places.groupBy("d", "t").agg(F.collect_list("at").alias("at"))
-    found = once.join(per_text, ["d", "t"]).select("d", "t", "text", "at")
+    found = texts.join(per_text, ["d", "t"]).select("d", "t", "doc", "at")
     settled = (
         found.mapInArrow(suffixes(splitters, parts), SUFFIXES)
         .groupBy("bucket").applyInArrow(settle_bucket(parts), SUFFIXES)
         .groupBy("bucket").applyInArrow(settle_boundaries, CUTS)
     )
     cuts = settled.groupBy("d", "t").agg(F.collect_list("cut").alias("cut"))
-    # The id is told apart from its stand-in again; the join's text side is the one of the first join.
-    marked = once.join(cuts, ["d", "t"], "left").select(
-        F.when(F.col("d") != LOWEST, F.col("d")).alias("doc_id"), "text", "cut",
-    )
-    return marked.mapInArrow(cut_out(with_text), KEPT)
+    marked = texts.join(cuts, ["d", "t"], "left").select(F.when(F.col("d") != LOWEST, F.col("d")).alias("doc_id"), "doc", "cut")
+    row = f", row {texts.schema['doc'].dataType['row'].dataType.simpleString()}" if carry else ""
+    return marked.mapInArrow(cut_out(with_text, bool(carry)), KEPT + row)
