@@ -59,7 +59,7 @@ class Index:
         reach = np.cumsum(self.sizes[order])
         cuts = np.unique(np.searchsorted(reach, n * dims * np.arange(1, STEPS + 1) / STEPS) + 1)
         sums, alive, members, done = np.zeros(n), self.ids != own, np.arange(n), 0
-        for cut in cuts:
+        for cut in cuts if dims else ():
             segments = order[done:cut]
             rows = np.concatenate([self.postings[self.starts[s]:self.starts[s + 1]] for s in segments])
             sums += np.bincount(rows, np.repeat(gain.ravel()[segments].astype(float), self.sizes[segments]), n)
