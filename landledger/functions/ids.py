@@ -14,10 +14,13 @@ def _text(value: Column | str) -> Column:
 
 
 def _zero_filled(value: Column | str | int, name: str, width: int) -> Column:
-    """Digits filled to ``width``. A wider number raises: padding alone would cut it silently."""
+    """Digits filled to ``width``. A wider number raises: padding alone would cut it silently.
+
+    A building or unit that is null has none and reads 0; any other missing or unreadable number raises.
+    """
     number = F.lit(value) if isinstance(value, int) else _text(value)
-    number = F.coalesce(number.cast("bigint"), F.lit(0))
-    message = F.concat(F.lit(f"{name} does not fit {width} digits: "), number.cast("string"))
+    number = number.try_cast("bigint") if name not in ("building", "unit") else F.coalesce(number.cast("bigint"), F.lit(0))
+    message = F.concat(F.lit(f"{name} does not fit {width} digits: "), F.coalesce(number.cast("string"), F.lit("none")))
     return F.when(
         number.between(0, 10**width - 1), F.lpad(number.cast("string"), width, "0")
     ).otherwise(F.raise_error(message).cast("string"))

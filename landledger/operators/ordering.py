@@ -103,9 +103,12 @@ def next_in_order(df: DataFrame, keys: Sequence[str], order: Sequence[str], buck
     most of the table is shared by as many tasks as it has buckets.
     """
     keys, order, value = list(keys), list(order), order[0]
+    # Null values come first in the order, in a bucket of their own.
     heads = df.groupBy(*keys, bucket).agg(F.min(value).alias(value))
-    back = F.lag(bucket).over(Window.partitionBy(*keys).orderBy(bucket))
-    markers = heads.select(*keys, back.alias(bucket), value, F.lit(True).alias("_marker")).where(F.col(bucket).isNotNull())
+    place = Window.partitionBy(*keys).orderBy(bucket)
+    markers = heads.select(
+        *keys, F.lag(bucket).over(place).alias(bucket), value, F.lit(True).alias("_marker"), (F.row_number().over(place) > 1).alias("_has_previous"),
+    ).where("_has_previous").drop("_has_previous")
     rows = df.withColumn("_marker", F.lit(False)).unionByName(markers, allowMissingColumns=True)
     ahead = F.lead(value).over(Window.partitionBy(*keys, bucket).orderBy("_marker", *order))
     return rows.withColumn(out, ahead).where("not _marker").drop("_marker")

@@ -72,12 +72,14 @@ def require_unique(df: DataFrame, keys: Sequence[str], what: str = "table") -> D
 def fk_violations(child: DataFrame, parent: DataFrame, on: Sequence[tuple[str, str]]) -> DataFrame:
     """Child key values without a parent, with their row count; a null in the key is no violation.
 
-    The child is reduced to distinct keys before the join, so a hot key is one row by then.
+    Both sides are counted by key in one aggregate, combined before its shuffle: a hot key is one row per task on either side,
+    and there is no join that the optimizer could push below the counts.
     """
     names = [name for name, _ in on]
-    keys = child.select(*names).dropna().groupBy(*names).agg(F.count(F.lit(1)).alias("n_rows"))
-    parents = parent.select(*[F.col(p).alias(c) for c, p in on]).dropna()
-    return keys.join(parents, names, "left_anti")
+    children = child.select(*names, F.lit(1).cast("bigint").alias("_child"), F.lit(0).cast("bigint").alias("_parent"))
+    parents = parent.select(*[F.col(p).alias(c) for c, p in on], F.lit(0).cast("bigint").alias("_child"), F.lit(1).cast("bigint").alias("_parent"))
+    counted = children.unionByName(parents).dropna(subset=names).groupBy(*names).agg(F.sum("_child").alias("n_rows"), F.max("_parent").alias("_parent"))
+    return counted.where("n_rows > 0 and _parent = 0").select(*names, "n_rows")
 
 
 def mutation_audit(source: DataFrame, loaded: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -100,42 +102,32 @@ def as_text(df: DataFrame) -> DataFrame:
     return df.select(*[F.col(c).cast("string").alias(c) for c in df.columns])
 
 
-def _long(df: DataFrame) -> DataFrame:
-    cols = df.columns
-    return as_text(df).select(
-        F.posexplode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("value")) for c in cols]))
-    ).select((F.col("pos") + 1).alias("position"), "col.column", "col.value")
-
-
 def profile(df: DataFrame, exact: bool = False, placeholders: Sequence[str] = ("0", "-", "N/A")) -> DataFrame:
     """One row per column: rows, nulls, blanks, distinct values, text bounds, kind and bucket.
 
-    The default counts distinct values approximately in a single pass. ``exact`` first reduces to
-    distinct (column, value) pairs, which shuffles each distinct value once.
+    All measures of all columns are one aggregate without keys, so no cell becomes a row and nothing is sorted. The default
+    counts distinct values approximately. ``exact`` counts them from distinct (column, value) pairs, which shuffles each
+    distinct value once.
     """
-    cells = _long(df)
-    filled = F.when(F.trim("value") != "", F.col("value"))
+    words = as_text(df)
+    measures = []
+    for place, column in enumerate(words.columns, 1):
+        value = F.col(f"`{column}`")
+        filled = F.when(F.trim(value) != "", value)
+        measures.append(F.struct(
+            F.lit(column).alias("column"), F.lit(place).alias("position"), F.count(F.lit(1)).alias("n_rows"),
+            F.count_if(value.isNull()).alias("n_null"), F.count_if(value.isNotNull() & filled.isNull()).alias("n_blank"),
+            (F.lit(0).cast("bigint") if exact else F.approx_count_distinct(filled)).alias("n_distinct"),
+            F.min(filled).alias("min_text"), F.max(filled).alias("max_text"),
+            F.coalesce(F.bool_and(filled.isin("0", "1")), F.lit(False)).alias("is_flag"),
+            F.coalesce(F.bool_and(filled.isin(*placeholders)), F.lit(False)).alias("is_placeholder"),
+        ))
+    stats = words.agg(F.array(*measures).alias("measures")).select(F.inline("measures"))
     if exact:
-        pairs = cells.groupBy("position", "column", "value").agg(F.count(F.lit(1)).alias("n"))
-        distinct = F.count(filled).alias("n_distinct")
-    else:
-        pairs = cells.withColumn("n", F.lit(1))
-        distinct = F.approx_count_distinct(filled).alias("n_distinct")
-    weight = F.col("n").cast("bigint")
-
-    def total(condition: Column) -> Column:
-        return F.sum(F.when(condition, weight).otherwise(F.lit(0).cast("bigint")))
-
-    stats = pairs.groupBy("position", "column").agg(
-        F.sum(weight).alias("n_rows"),
-        total(F.col("value").isNull()).alias("n_null"),
-        total(F.col("value").isNotNull() & filled.isNull()).alias("n_blank"),
-        distinct,
-        F.min(filled).alias("min_text"),
-        F.max(filled).alias("max_text"),
-        F.coalesce(F.bool_and(filled.isin("0", "1")), F.lit(False)).alias("is_flag"),
-        F.coalesce(F.bool_and(filled.isin(*placeholders)), F.lit(False)).alias("is_placeholder"),
-    )
+        cells = words.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").alias("value")) for c in words.columns])).alias("c"))
+        pairs = cells.select("c.column", "c.value").where(F.trim("value") != "").distinct()
+        distinct = pairs.groupBy("column").agg(F.count(F.lit(1)).alias("_distinct"))
+        stats = stats.join(distinct, "column", "left").withColumn("n_distinct", F.coalesce("_distinct", F.lit(0)))
     empty = F.col("n_distinct") == 0
     two_flags = F.col("is_flag") & (F.col("n_distinct") == 2)
     status = F.when(empty, "empty").when(two_flags, "boolean").when(F.col("is_placeholder"), "placeholder")

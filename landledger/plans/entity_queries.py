@@ -72,9 +72,9 @@ def left_merge(t):
 
 
 @query("""
-    SELECT c_custkey, o_orderkey, o_totalprice FROM customer LEFT JOIN orders ON o_custkey = c_custkey AND o_orderstatus = 'P'""")
+    SELECT c_custkey, o_orderkey, o_totalprice FROM customer LEFT JOIN orders ON o_custkey = c_custkey""")
 def left_merge_fan_out(t):
-    right = t.orders.where("o_orderstatus = 'P'").select("o_custkey", "o_orderkey", "o_totalprice")
+    right = t.orders.select("o_custkey", "o_orderkey", "o_totalprice")
     return E.left_merge(t.customer.select("c_custkey"), right, "c_custkey", "o_custkey")
 
 
@@ -200,18 +200,15 @@ def owner_names(t):
 @query("""
     SELECT event_id, event_type AS permit_type, strftime(ts, '%Y-%m-%d') AS issue_date, value AS cost,
            CASE WHEN event_type = 'click' THEN user_id END AS applicant_id, CASE WHEN event_type = 'purchase' THEN props END AS description
-    FROM events WHERE event_type IN ('click', 'view', 'purchase')""")
+    FROM events""")
 def union_feeds(t):
     def feed(kind: str, *extra):
         day = F.date_format("ts", "yyyy-MM-dd").alias("issue_date")
         return t.events.where(F.col("event_type") == kind).select("event_id", day, F.col("value").alias("cost"), *extra)
 
-    feeds = {
-        "click": feed("click", F.col("user_id").alias("applicant_id")),
-        "view": feed("view"),
-        "purchase": feed("purchase", F.col("props").alias("description")),
-    }
-    return E.union_feeds(feeds, "permit_type")
+    extra = {"click": [F.col("user_id").alias("applicant_id")], "purchase": [F.col("props").alias("description")]}
+    kinds = ("click", "error", "purchase", "signup", "view")
+    return E.union_feeds({kind: feed(kind, *extra.get(kind, [])) for kind in kinds}, "permit_type")
 
 
 @query("""

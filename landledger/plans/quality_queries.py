@@ -114,12 +114,15 @@ def _profile_sql(table: str, columns: list[str]) -> str:
     FROM ({union})"""
 
 
-_LINE_COLUMNS = ["l_orderkey", "l_suppkey", "l_linenumber", "l_returnflag", "l_linestatus", "l_quantity"]
+_LINE_COLUMNS = [
+    "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag",
+    "l_linestatus", "l_shipdate",
+]
 
 
 @query(_profile_sql("lineitem", _LINE_COLUMNS))
 def column_profile(t):
-    return Q.profile(t.lineitem.select(*_LINE_COLUMNS), exact=True)
+    return Q.profile(t.lineitem, exact=True)
 
 
 @query(_profile_sql("(SELECT quality::VARCHAR AS quality, toxic::VARCHAR AS toxic, '' AS blank, CASE WHEN doc_id % 2 = 0 THEN '0' END AS filler, NULL::VARCHAR AS missing FROM labels)",

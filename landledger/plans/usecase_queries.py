@@ -27,16 +27,16 @@ def vacancy_list(t):
 
 @query("""
     WITH e AS (
-      SELECT o_custkey AS property_id, strftime(o_orderdate, '%Y-%m-%d') AS event_date, 'permit' AS kind, o_orderkey AS ref, o_orderpriority AS detail FROM orders
-      UNION ALL SELECT user_id, strftime(ts, '%Y-%m-%d'), 'service', event_id, event_type FROM events)
+      SELECT o_custkey AS property_id, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S.%f') AS event_date, 'permit' AS kind, o_orderkey AS ref, o_orderpriority AS detail FROM orders
+      UNION ALL SELECT user_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f'), 'service', event_id, event_type FROM events)
     SELECT *, row_number() OVER (PARTITION BY property_id ORDER BY event_date, kind, ref) AS seq FROM e""")
 def timeline(t):
     permits = t.orders.select(
-        F.col("o_custkey").alias("property_id"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("event_date"),
+        F.col("o_custkey").alias("property_id"), F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("event_date"),
         F.col("o_orderkey").alias("ref"), F.col("o_orderpriority").alias("detail"),
     )
     services = t.events.select(
-        F.col("user_id").alias("property_id"), F.date_format("ts", "yyyy-MM-dd").alias("event_date"),
+        F.col("user_id").alias("property_id"), F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("event_date"),
         F.col("event_id").alias("ref"), F.col("event_type").alias("detail"),
     )
     return usecases.timeline({"permit": permits, "service": services})

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -18,7 +19,7 @@ DEFAULTS = {
 
 
 def local_session(app: str = "landledger", cores: str = "8", memory: str = "8g", **conf: str) -> SparkSession:
-    """A session for tests and benchmarks; on a cluster, use the one the cluster gives."""
+    """A session of one machine for tests and benchmarks; on a cluster, use the one the cluster gives."""
     builder = SparkSession.builder.master(f"local[{cores}]").appName(app)
     settings = {
         **DEFAULTS,
@@ -37,12 +38,12 @@ def local_session(app: str = "landledger", cores: str = "8", memory: str = "8g",
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach, as named by ``spark.checkpoint.dir``.
 
-    Only a local master may fall back to a temporary folder: on a cluster, such a folder would
-    exist on one machine alone.
+    A session of one process (``local[n]``) that names none gets a new one; any other must name it, since a temporary folder
+    exists on one machine alone.
     """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not named:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="landledger-"))
         named = spark.sparkContext.getCheckpointDir()
