@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import dataclasses
+
 from pyspark.sql import functions as F
 
 from landledger.operators import keys as K
 from landledger.operators import quality as Q
 from landledger.plans import owners, spine, usecases
 from landledger.plans.registry import query
+from landledger.session import materialize
 
 
 @query("""
@@ -101,52 +104,136 @@ def development_dashboard(t):
 
 # --- the spine, end to end -----------------------------------------------------------------------
 
-def _spine(t):
+def _feeds(t):
+    """Line items as accounts: vacant, shared and condo plots, plots without or with several footprints, unmatched details."""
     line = t.lineitem
     key = [F.col("l_orderkey").alias("cityblock"), F.col("l_linenumber").alias("parcel"), F.col("l_suppkey").alias("ownercode")]
     accounts = line.select(
         F.col("l_orderkey").alias("handle"), *key, F.col("l_orderkey").alias("giscityblock"), F.lit(1).alias("gisparcel"),
-        F.col("l_suppkey").alias("gisownercode"), F.col("l_returnflag").alias("landuse"), F.lit("N").alias("vacantland"),
+        F.col("l_suppkey").alias("gisownercode"), F.col("l_returnflag").alias("landuse"),
+        F.when(F.col("l_partkey") % 7 == 0, "Y").otherwise("N").alias("vacantland"),
         F.col("l_linestatus").alias("zoning"), F.col("l_quantity").alias("frontage"), F.col("l_partkey").alias("tie"),
         F.col("l_extendedprice").alias("price"), F.col("l_shipdate").alias("shipped"),
     )
-    # The account key of the stand-in is not unique across land uses; details are those of loaded accounts.
-    line = line.where("l_returnflag <> 'A'")
-    detail = line.select(*key, F.lit(1).alias("bldgnum"), F.col("l_extendedprice").alias("totalarea"))
-    section = line.select(*key, F.lit(1).alias("bldgnum"), F.explode(F.sequence(F.lit(1), F.pmod("l_partkey", F.lit(3)) + 1)).alias("sectnum"))
-    homes = line.where("l_returnflag = 'R'").select(*key, F.lit(1).alias("bldgnum"))
-    feeds = spine.Feeds(accounts, detail, homes, section)
-    return spine.build(feeds, K.empty_crosswalk(t.spark), spine.Region(840, 29510), not_real_estate=["A"])
+    lost = F.when(F.col("l_suppkey") % 50 == 0, F.col("l_linenumber") + 100).otherwise(F.col("l_linenumber")).alias("parcel")
+    key = [key[0], lost, key[2]]
+    detail = line.select(*key, F.lit("1").alias("bldgnum"), F.col("l_extendedprice").alias("totalarea"))
+    section = line.select(*key, F.lit("1").alias("bldgnum"), F.explode(F.sequence(F.lit(1), F.pmod("l_partkey", F.lit(3)) + 1)).alias("sectnum"))
+    homes = line.where("l_returnflag = 'R'").select(*key, F.lit("1").alias("bldgnum"))
+    return spine.Feeds(accounts, detail, homes, section)
+
+
+def _spine(t, crosswalk=None, only=None):
+    feeds = _feeds(t)
+    if only is not None:
+        feeds = dataclasses.replace(feeds, accounts=feeds.accounts.where(only))
+    return spine.build(
+        feeds, crosswalk or K.empty_crosswalk(t.spark), spine.Region(840, 29510), not_real_estate=["A"], condo=F.col("zoning") == "O",
+    )
 
 
-_SPINE_SQL = """
-    WITH loaded AS (SELECT *, count(*) OVER (PARTITION BY l_orderkey) AS n FROM lineitem WHERE l_returnflag <> 'A'),
+_TIES = "l_returnflag, l_partkey % 7 = 0, l_linestatus, l_quantity, l_partkey, l_extendedprice, l_shipdate"
+_SPINE_SQL = f"""
+    WITH real AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber, l_suppkey ORDER BY {_TIES}) AS nth FROM lineitem WHERE l_returnflag <> 'A'),
+    main AS (SELECT l_orderkey, min({{'a': l_linenumber, 'b': l_suppkey}}) AS m FROM real WHERE nth = 1 AND l_linenumber = 1 GROUP BY l_orderkey),
+    routed AS (SELECT real.*, CASE WHEN nth > 1 THEN 'repeated account key' WHEN m IS NULL THEN 'plot without footprint'
+                 WHEN l_linenumber = 1 AND l_suppkey <> m.b THEN 'second footprint of its plot' END AS reason FROM real LEFT JOIN main USING (l_orderkey)),
+    loaded AS (SELECT *, count(*) OVER (PARTITION BY l_orderkey) AS n, bool_or(l_linestatus = 'O') OVER (PARTITION BY l_orderkey) AS condo, l_partkey % 7 = 0 AS vacant
+               FROM routed WHERE reason IS NULL),
+    plots AS (SELECT *, CASE WHEN n = 1 THEN 'simple' WHEN condo THEN 'condo' ELSE 'shared' END AS shape FROM loaded),
     x AS (SELECT h AS l_orderkey, row_number() OVER (ORDER BY h::VARCHAR) AS seq FROM (SELECT DISTINCT l_orderkey AS h FROM loaded)),
-    condo AS (SELECT l_orderkey, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_suppkey, l_partkey, l_quantity) AS u
-              FROM loaded WHERE n > 1 AND l_linenumber <> 1),
-    simple AS (SELECT l_orderkey, u FROM loaded, unnest(range(1, 2 + CASE WHEN l_returnflag = 'R' THEN 0 ELSE l_partkey % 3 END)) AS s(u) WHERE n = 1)"""
+    accounts AS (
+        SELECT l_orderkey, l_linenumber, l_suppkey, 'loaded' AS route, shape, vacant FROM plots
+        UNION ALL SELECT DISTINCT l_orderkey, l_linenumber, l_suppkey, 'rejected', NULL, NULL::BOOLEAN FROM routed r WHERE reason IS NOT NULL
+            AND NOT EXISTS (SELECT 1 FROM plots p WHERE p.l_orderkey = r.l_orderkey AND p.l_linenumber = r.l_linenumber AND p.l_suppkey = r.l_suppkey)
+        UNION ALL SELECT DISTINCT l_orderkey, l_linenumber, l_suppkey, 'excluded', NULL, NULL::BOOLEAN FROM lineitem r WHERE l_returnflag = 'A'
+            AND NOT EXISTS (SELECT 1 FROM real p WHERE p.l_orderkey = r.l_orderkey AND p.l_linenumber = r.l_linenumber AND p.l_suppkey = r.l_suppkey)),
+    fed AS (SELECT l_orderkey, CASE WHEN l_suppkey % 50 = 0 THEN l_linenumber + 100 ELSE l_linenumber END AS l_linenumber, l_suppkey, l_extendedprice, l_partkey, l_returnflag FROM lineitem),
+    details AS (SELECT fed.*, route, CASE WHEN route = 'excluded' THEN 'account excluded' WHEN vacant THEN 'vacant land'
+                  WHEN shape = 'condo' THEN 'condo plot, its one building is synthesized' WHEN route IS NULL THEN 'no such account' WHEN route = 'rejected' THEN 'account rejected'
+                  WHEN shape = 'shared' THEN 'plot shared by several accounts' WHEN nth > 1 THEN 'repeated building number' END AS reason
+                FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber, l_suppkey ORDER BY l_extendedprice) AS nth FROM fed) fed
+                LEFT JOIN accounts USING (l_orderkey, l_linenumber, l_suppkey)),
+    simple AS (SELECT * FROM details WHERE reason IS NULL),
+    parts AS (SELECT 'sections' AS feed, fed.*, s.l_orderkey IS NULL AS lost, u FROM fed LEFT JOIN simple s USING (l_orderkey, l_linenumber, l_suppkey), unnest(range(1, 2 + fed.l_partkey % 3)) AS t(u)
+              UNION ALL SELECT 'residential', fed.*, s.l_orderkey IS NULL, 0 FROM fed LEFT JOIN simple s USING (l_orderkey, l_linenumber, l_suppkey) WHERE fed.l_returnflag = 'R'),
+    homes AS (SELECT DISTINCT l_orderkey FROM parts WHERE feed = 'residential' AND NOT lost),
+    sections AS (SELECT DISTINCT l_orderkey, u FROM parts WHERE feed = 'sections' AND NOT lost),
+    counted AS (SELECT l_orderkey, count(*) AS k FROM sections GROUP BY l_orderkey),
+    units AS (
+        SELECT l_orderkey, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_suppkey) AS u FROM plots WHERE shape = 'condo' AND NOT vacant AND l_linenumber <> 1
+        UNION ALL SELECT l_orderkey, 1 FROM simple LEFT JOIN counted USING (l_orderkey) WHERE l_orderkey IN (SELECT l_orderkey FROM homes) OR coalesce(k, 0) <= 1
+        UNION ALL SELECT l_orderkey, u FROM sections JOIN counted USING (l_orderkey) WHERE k > 1 AND l_orderkey NOT IN (SELECT l_orderkey FROM homes)),
+    buildings AS (SELECT l_orderkey, 'simple' AS shape, l_extendedprice AS totalarea FROM simple
+        UNION ALL SELECT DISTINCT l_orderkey, 'condo', NULL FROM plots WHERE shape = 'condo' AND NOT vacant AND l_linenumber <> 1)"""
+
+
+@query(f"""{_SPINE_SQL}
+    SELECT printf('840.29510.%06d.0000.00000', seq) AS parcel_id, l_orderkey AS handle, l_quantity AS frontage, l_linestatus AS zoning_class_id
+    FROM plots JOIN x USING (l_orderkey) WHERE l_linenumber = 1""")
+def spine_parcels(t):
+    return _spine(t).parcel
 
 
 @query(f"""{_SPINE_SQL}
     SELECT printf('840.29510.%06d.0001.%05d', seq, u) AS unit_id, printf('840.29510.%06d.0001.00000', seq) AS building_id, l_orderkey AS handle
-    FROM (SELECT * FROM condo UNION ALL SELECT * FROM simple) JOIN x USING (l_orderkey)""")
+    FROM units JOIN x USING (l_orderkey)""")
 def spine_units(t):
     return _spine(t).unit
 
 
 @query(f"""{_SPINE_SQL}
-    SELECT printf('840.29510.%06d.0001.00000', seq) AS building_id, printf('840.29510.%06d.0000.00000', seq) AS parcel_id, shape, totalarea FROM (
-      SELECT l_orderkey, 'simple' AS shape, l_extendedprice AS totalarea FROM loaded WHERE n = 1
-      UNION ALL SELECT DISTINCT l_orderkey, 'condo', NULL FROM loaded WHERE n > 1) JOIN x USING (l_orderkey)""")
+    SELECT printf('840.29510.%06d.0001.00000', seq) AS building_id, printf('840.29510.%06d.0000.00000', seq) AS parcel_id, shape, totalarea
+    FROM buildings JOIN x USING (l_orderkey)""")
 def spine_buildings(t):
     return _spine(t).building.select("building_id", "parcel_id", "shape", "totalarea")
 
 
-@query("""
-    SELECT count(*) FILTER (l_returnflag <> 'A') AS loaded, count(*) FILTER (l_returnflag = 'A') AS excluded, 0::BIGINT AS rejected,
-           count(*) AS source, true AS balanced FROM lineitem""")
+@query("SELECT '' AS rule, 0::BIGINT AS n WHERE false")
+def spine_checks(t):
+    return spine.violations(_spine(t))
+
+
+_ROUTES_SQL = f"""{_SPINE_SQL}, routes AS (
+    SELECT 'accounts' AS feed, CASE WHEN reason IS NULL THEN 'loaded' ELSE 'rejected' END AS route, reason FROM routed
+    UNION ALL SELECT 'accounts', 'excluded', 'not real estate' FROM lineitem WHERE l_returnflag = 'A'
+    UNION ALL SELECT 'buildings', CASE WHEN reason IS NULL THEN 'loaded' WHEN reason IN ('account excluded', 'vacant land', 'condo plot, its one building is synthesized')
+        THEN 'excluded' ELSE 'rejected' END, reason FROM details
+    UNION ALL SELECT feed, CASE WHEN lost THEN 'rejected' ELSE 'loaded' END, CASE WHEN lost THEN 'no such building loaded' END FROM parts)"""
+
+
+@query(f"""{_ROUTES_SQL} SELECT feed, route, reason, count(*) AS n FROM routes GROUP BY feed, route, reason""")
+def spine_logs(t):
+    return _spine(t).feeds().groupBy("feed", "route", "reason").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(f"""{_ROUTES_SQL}
+    SELECT feed, count(*) FILTER (route = 'loaded') AS loaded, count(*) FILTER (route = 'excluded') AS excluded, count(*) FILTER (route = 'rejected') AS rejected,
+           count(*) AS source, true AS balanced FROM routes GROUP BY feed""")
 def spine_reconciliation(t):
-    return Q.reconcile(_spine(t).routed)
+    return Q.reconcile(_spine(t).feeds(), "feed")
+
+
+@query(f"""{_SPINE_SQL}
+    SELECT printf('840.29510.%06d.0000.00000', seq) AS parcel_id, l_orderkey::VARCHAR AS municpal_parcel_id, false AS moved
+    FROM (SELECT l_orderkey, row_number() OVER (ORDER BY l_orderkey % 2, l_orderkey::VARCHAR) AS seq FROM x)""")
+def spine_republished(t):
+    """Published for part of the plots, then for all: the plots of the first time keep their ids."""
+    import uuid
+
+    from landledger.operators import catalog
+    from landledger.session import scratch_path
+
+    database = f"current_{uuid.uuid4().hex[:12]}"
+    catalog.create_layer(t.spark, database, scratch_path(t.spark, "current"))
+    spine.publish(_spine(t, only="handle % 2 = 0"), database)
+    first = t.spark.table(f"{database}.municipal_parcel_id_mapping").select("municpal_parcel_id", F.col("parcel_id").alias("was"))
+    first = materialize(first, "first-mapping")
+    spine.publish(_spine(t, spine.published_crosswalk(t.spark, database)), database)
+    again = materialize(t.spark.table(f"{database}.municipal_parcel_id_mapping"), "second-mapping")
+    t.spark.sql(f"DROP DATABASE {database} CASCADE")
+    joined = again.join(first, "municpal_parcel_id", "left")
+    return joined.select("parcel_id", "municpal_parcel_id", F.coalesce(F.col("parcel_id") != F.col("was"), F.lit(False)).alias("moved"))
 
 
 # --- owners --------------------------------------------------------------------------------------
