@@ -16,6 +16,8 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from landledger.llm.common import materialize
+
 PIECE = 4096
 LEVEL = 3
 
@@ -123,8 +125,8 @@ def fit(
         one_label.where("label = 1").orderBy(F.xxhash64("id"), "id").limit(2 * rows)
     )
     texts = documents.select(F.col(id_column).alias("id"), F.col(text_column).alias("text")).where(F.col("text").isNotNull())
-    # At most 4 * rows pairs of an id and a label: the sample fits every executor.
-    labelled = texts.join(F.broadcast(first), "id").select("text", "label")
+    # At most 4 * rows pairs of an id and a label: written, so that Spark sees how small they are and broadcasts them.
+    labelled = texts.join(materialize(first, "labelled-sample"), "id").select("text", "label")
     sample = sampled(labelled, rows, max_bytes, "sample")
     teach, check = sample[::2], sample[1::2]
     good, bad = without_shared_lines([text for text, label in teach if label == 1], [text for text, label in teach if label == 0])

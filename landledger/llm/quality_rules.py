@@ -109,9 +109,11 @@ def cutoffs(labelled: DataFrame, stratum: str, limit: float = 0.01, risk: float
         F.coalesce(F.sum(F.when(F.col("quality") == 1, F.col("n"))), F.lit(0)).alias("good_lost"),
         F.coalesce(F.sum(F.when(F.col("quality") == 0, F.col("n"))), F.lit(0)).alias("bad_caught"),
     )
-    strata = totals.select("stratum").distinct().agg(F.count("*").alias("strata"))
+    # One row per test: few, whatever the number of documents.
+    everything = Window.orderBy(F.lit(1)).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    counted = counted.withColumn("strata", F.size(F.collect_set(F.struct("s")).over(everything)))
     # A tail that starts above the limit's mean can't be small: it is not added up.
-    tried = counted.where((F.col("good_lost") < F.col("good") * each) | (F.col("good_lost") == 0)).crossJoin(F.broadcast(strata))
+    tried = counted.where((F.col("good_lost") < F.col("good") * each) | (F.col("good_lost") == 0))
     tail = F.expr(f"if(good_lost = 0, good * ln(1 - {each}D), {log_tail('good', 'good_lost', each)})")
     certified = tried.withColumn("tail", tail).where(F.col("tail") <= F.log(F.lit(risk) / (F.col("strata") * n_tests)))
     gain = F.col("bad_caught") - 10 * F.col("good_lost")
