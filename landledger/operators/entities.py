@@ -7,7 +7,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from landledger.functions.values import cast_text
 from landledger.operators.ordering import number_copies, number_rows
+from landledger.operators.quality import route
 from landledger.session import materialize
 
 # The account key, and the columns both parcel tables are cut to before their union.
@@ -176,7 +178,7 @@ def buildings(accounts: DataFrame, shape: DataFrame, detail: DataFrame, key: str
     simple = (
         placed.where("shape = 'simple'")
         .join(detail, list(ACCOUNT))
-        .select(key, *ACCOUNT, F.col("bldgnum").cast("bigint").alias("bldgnum"), *extra, F.lit("simple").alias("shape"))
+        .select(key, *ACCOUNT, F.col("bldgnum").try_cast("bigint").alias("bldgnum"), *extra, F.lit("simple").alias("shape"))
     )
     types = dict(simple.dtypes)
     condo = shape.where("shape = 'condo'").select(
@@ -196,7 +198,7 @@ def simple_units(building: DataFrame, sections: DataFrame, residential: DataFram
     section order.
     """
     keys = [*ACCOUNT, "bldgnum"]
-    number = F.col("bldgnum").cast("bigint").alias("bldgnum")
+    number = F.col("bldgnum").try_cast("bigint").alias("bldgnum")
     sections = sections.select(*ACCOUNT, number, "sectnum").dropDuplicates()
     homes = residential.select(*ACCOUNT, number).distinct().withColumn("_home", F.lit(True))
     n_sections = sections.groupBy(*keys).agg(F.count(F.lit(1)).alias("_sections"))
@@ -292,19 +294,33 @@ def mailing_addresses(df: DataFrame, line: str, city: str, state: str, zip_code:
                      F.col(zip_code).cast("string").alias("zip"))
 
 
+def typed(column: str | Column, type_name: str) -> Column:
+    """Staged text to ``type_name``; null where the text does not say one. ``unreadable`` lists those rows."""
+    column = F.col(column) if isinstance(column, str) else column
+    return cast_text(column.cast("string"), type_name)
+
+
+def unreadable(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
+    """All rows with route and reason: rejected where a filled column does not read as its type, else loaded."""
+    return route(df, rejected_if=[
+        (f"unreadable {name}", F.col(name).isNotNull() & (F.trim(F.col(name).cast("string")) != "") & typed(name, kind).isNull())
+        for name, kind in types.items()
+    ])
+
+
 def assessments(df: DataFrame, parcel: str, total: str, land: str, improvement: str, snapshot: Column) -> DataFrame:
     """One row per parcel and snapshot; the assessment date has no source and stays null."""
     return df.select(
         F.col(parcel).alias("parcel_id"), F.lit(None).cast("date").alias("assessment_date"),
-        F.col(total).cast("double").alias("assessment_amount"), F.col(land).cast("double").alias("land_value"),
-        F.col(improvement).cast("double").alias("improvement_value"), snapshot.alias("snapshot"),
+        typed(total, "double").alias("assessment_amount"), typed(land, "double").alias("land_value"),
+        typed(improvement, "double").alias("improvement_value"), snapshot.alias("snapshot"),
     )
 
 
 def inspections(df: DataFrame, key: str, building: str, on: Column, kind: str) -> DataFrame:
     """Inspections; completion date and number of violations have no source and stay null."""
     return df.select(
-        F.col(key).alias("inspection_id"), F.col(building).alias("building_id"), on.cast("date").alias("inspection_date"),
+        F.col(key).alias("inspection_id"), F.col(building).alias("building_id"), typed(on, "date").alias("inspection_date"),
         F.lit(None).cast("date").alias("completion_date"), F.col(kind).alias("inspection_type"),
         F.lit(None).cast("int").alias("number_of_violations"),
     )
@@ -312,14 +328,14 @@ def inspections(df: DataFrame, key: str, building: str, on: Column, kind: str) -
 
 def condemnations(df: DataFrame, key: str, inspection: str, letter: Column, kind: str, status: str) -> DataFrame:
     return df.select(
-        F.col(key).alias("condemnation_id"), F.col(inspection).alias("inspection_id"), letter.cast("date").alias("letter_date"),
+        F.col(key).alias("condemnation_id"), F.col(inspection).alias("inspection_id"), typed(letter, "date").alias("letter_date"),
         F.col(kind).alias("condemnation_type"), F.col(status).alias("status"),
     )
 
 
 def delinquencies(df: DataFrame, entity: str, balance: str) -> DataFrame:
     """Owners with a balance due; the last paid year has no source and stays null."""
-    due = F.col(balance).cast("double")
+    due = typed(balance, "double")
     return df.where(due > 0).select(
         F.col(entity).alias("legal_entity_id"), F.lit(None).cast("int").alias("last_paid_year"),
         due.alias("amount_delinquent"),

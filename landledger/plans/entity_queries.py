@@ -371,6 +371,21 @@ def delinquency(t):
     return E.delinquencies(t.customer.withColumn("due", -F.col("c_acctbal")), "c_custkey", "due")
 
 
+@query("""
+    SELECT 'rejected' AS route, 'unreadable due' AS reason, count(*) AS n, NULL::DOUBLE AS amount FROM customer WHERE c_custkey % 10 = 3
+    UNION ALL SELECT 'loaded', NULL, count(*), sum(CASE WHEN c_custkey % 10 = 4 THEN 1200.5 WHEN -c_acctbal > 0 THEN -c_acctbal ELSE 0 END::DECIMAL(18,2))::DOUBLE
+    FROM customer WHERE c_custkey % 10 <> 3""")
+def delinquency_rejects(t):
+    """Balances as staged text, some of them with a thousands comma, some unreadable."""
+    kind = F.col("c_custkey") % 10
+    text = F.when(kind == 3, "n/a due").when(kind == 4, "1,200.50").otherwise((-F.col("c_acctbal")).cast("string"))
+    routed = E.unreadable(t.customer.withColumn("due", text), {"due": "double"})
+    owed = E.delinquencies(routed.where("route = 'loaded'"), "c_custkey", "due")
+    total = owed.agg(F.sum(E.money("amount_delinquent")).cast("double").alias("amount")).withColumn("of", F.lit("loaded"))
+    counts = routed.groupBy("route", "reason").agg(F.count(F.lit(1)).alias("n"))
+    return counts.join(total, F.col("route") == F.col("of"), "left").drop("of")
+
+
 @query("""
     SELECT count(*) FILTER (kept) AS n_built, count(*) FILTER (NOT kept) AS n_vacant FROM (SELECT coalesce(l_returnflag <> 'N', true) AS kept FROM lineitem)""")
 def vacant_land(t):

@@ -55,11 +55,22 @@ def blight_gap(t):
     return usecases.blight_gap(parcels, ["l_quantity"], "l_extendedprice", F.col("l_returnflag") != "N", "neighborhood")
 
 
+_BLIGHT_FEATURES = ["l_quantity", "l_tax", "p_size", "p_retailprice"]
+
+
+def _blight_parcels(t):
+    return t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey")).withColumn("neighborhood", F.col("l_suppkey") % 25)
+
+
 @query()
 def blight_gap_model(t):
-    joined = t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey")).withColumn("neighborhood", F.col("l_suppkey") % 25)
-    features = ["l_quantity", "l_tax", "p_size", "p_retailprice"]
-    return usecases.blight_gap(joined, features, "l_extendedprice", F.col("l_returnflag") != "N", "neighborhood")
+    return usecases.blight_gap(_blight_parcels(t), _BLIGHT_FEATURES, "l_extendedprice", F.col("l_returnflag") != "N", "neighborhood")
+
+
+@query("""SELECT unnest(['(intercept)', 'l_quantity', 'l_tax', 'p_size', 'p_retailprice']) AS feature, 0.0::DOUBLE AS share""")
+def blight_gap_residuals(t):
+    left = usecases.residual_sums(_blight_parcels(t), _BLIGHT_FEATURES, "l_extendedprice", F.col("l_returnflag") != "N")
+    return left.select("feature", F.abs(F.round("share", 8)).alias("share"))
 
 
 @query("""

@@ -43,6 +43,37 @@ def blight_gap(parcels: DataFrame, features: Sequence[str], value: str, active:
     Per neighborhood: inactive parcels, their assessed and their modelled value, and the gap. Rows
     with a missing feature or value cannot be modelled; they are counted in ``n_skipped``.
     """
+    usable, intercept, weights = fitted(parcels, features, value, active)
+    modelled = F.lit(intercept)
+    for name, weight in weights.items():
+        modelled = modelled + F.col(name) * weight
+    idle = usable.where("not _active")
+    return idle.groupBy(neighborhood).agg(
+        F.count(F.lit(1)).alias("n_inactive"), F.count_if(~F.col("_usable")).alias("n_skipped"),
+        F.sum(F.when(F.col("_usable"), money(value))).cast("double").alias("assessed"),
+        F.round(F.sum(F.when(F.col("_usable"), modelled)), 1).alias("modelled"),
+    ).withColumn("gap", F.round(F.col("modelled") - F.col("assessed"), 1))
+
+
+def residual_sums(parcels: DataFrame, features: Sequence[str], value: str, active: Column) -> DataFrame:
+    """(feature, share): the sum of residual times feature over the active parcels, as a share of value times feature.
+
+    Least squares leaves none: every share is 0, that of the intercept included.
+    """
+    usable, intercept, weights = fitted(parcels, features, value, active)
+    left = F.col(value) - F.lit(intercept)
+    for name, weight in weights.items():
+        left = left - F.col(name) * weight
+    train = usable.where("_usable and _active")
+    terms = {"(intercept)": F.lit(1.0), **{name: F.col(name).cast("double") for name in features}}
+    sums = train.agg(F.array(*[
+        F.struct(F.lit(name).alias("feature"), (F.sum(left * term) / F.sum(F.col(value) * term)).alias("share")) for name, term in terms.items()
+    ]).alias("sums"))
+    return sums.select(F.inline("sums"))
+
+
+def fitted(parcels: DataFrame, features: Sequence[str], value: str, active: Column) -> tuple[DataFrame, float, dict[str, float]]:
+    """The parcels with _active and _usable, and the intercept and weights of a linear model of the usable active ones."""
     flagged = parcels.withColumn("_active", F.coalesce(active, F.lit(False)))
     complete = F.lit(True)
     for column in (*features, value):
@@ -51,15 +82,7 @@ def blight_gap(parcels: DataFrame, features: Sequence[str], value: str, active:
     assembler = VectorAssembler(inputCols=list(features), outputCol="_features")
     train = assembler.transform(usable.where("_usable and _active").select(*features, F.col(value).cast("double").alias("_label")))
     model = LinearRegression(featuresCol="_features", labelCol="_label", solver="normal").fit(train)
-    modelled = F.lit(float(model.intercept))
-    for name, weight in zip(features, model.coefficients.toArray()):
-        modelled = modelled + F.col(name) * float(weight)
-    idle = usable.where("not _active")
-    return idle.groupBy(neighborhood).agg(
-        F.count(F.lit(1)).alias("n_inactive"), F.count_if(~F.col("_usable")).alias("n_skipped"),
-        F.sum(F.when(F.col("_usable"), money(value))).cast("double").alias("assessed"),
-        F.round(F.sum(F.when(F.col("_usable"), modelled)), 1).alias("modelled"),
-    ).withColumn("gap", F.round(F.col("modelled") - F.col("assessed"), 1))
+    return usable, float(model.intercept), {name: float(weight) for name, weight in zip(features, model.coefficients.toArray())}
 
 
 def demolition_effect(values: DataFrame, demolitions: DataFrame, levels: DataFrame, area: str = "area") -> DataFrame:

@@ -51,8 +51,24 @@ def read_headers(spark: SparkSession, path: str) -> list[str]:
 
 
 def has_line_breaks_in_quotes(spark: SparkSession, path: str) -> bool:
-    """Whether some line holds an odd number of quotes, so that a record may go on in the next one."""
-    return not spark.read.text(path).where(_quotes("value") % 2 == 1).isEmpty()
+    """Whether some line holds an odd number of quotes, so that a record may go on in the next one.
+
+    One scan. A file with an odd number of quotes in all has one that is never closed: it is refused here, before the rest of
+    it is taken for one record. Parts of a folder whose first lines differ are refused too: read by position, they would swap
+    columns.
+    """
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("line"), "value", _quotes("value").alias("quotes"),
+    )
+    first = F.min_by(F.when(F.col("block") == 0, F.regexp_replace("value", "\r$", "")), F.when(F.col("block") == 0, F.col("line")))
+    files = lines.groupBy("file").agg(F.sum("quotes").alias("quotes"), F.max(F.col("quotes") % 2).alias("odd"), first.alias("first"))
+    found = files.agg(F.count_if(F.col("quotes") % 2 == 1).alias("open"), F.max("odd").alias("odd"), F.count_distinct("first").alias("heads")).head()
+    if found["open"]:
+        raise ValueError(f"a quote is never closed in {found['open']} file(s) of {path}")
+    if found["heads"] > 1:
+        raise ValueError(f"headers differ between the files of {path}")
+    return found["odd"] == 1
 
 
 def _quotes(column: str) -> Column:
@@ -215,7 +231,7 @@ def landed_tables(spark: SparkSession, path: str) -> DataFrame:
 def load_snapshot(spark: SparkSession, path: str, database: str, parallel: int = 4) -> DataFrame:
     """Load every CSV below ``path`` into ``database``: (file, table, status, rows, error).
 
-    One job per file, several at a time. A file that fails is reported and does not stop the others;
+    One load per file, several at a time. A file that the gate refuses, or that fails, is reported and does not stop the others;
     files that map to one table are all refused, since one would overwrite the other.
     """
     work = [(row["path"], row["table"]) for row in landed_tables(spark, path).collect()]
@@ -227,6 +243,9 @@ def load_snapshot(spark: SparkSession, path: str, database: str, parallel: int =
             return file, table, "failed", None, "several files map to this table"
         try:
             require_safe([table])
+            verdict = gate_csv(spark, file).head()
+            if verdict["long_rows"]:
+                return file, table, "refused", None, f"{verdict['long_rows']} rows are longer than {verdict['width']} fields"
             catalog.replace_table(read_text_csv(spark, file), database, table)
             return file, table, "loaded", spark.table(f"{database}.{table}").count(), None
         except (PySparkException, Py4JJavaError, ValueError) as error:

@@ -49,6 +49,27 @@ def test_quoted_breaks_across_splits(spark, tmp_path):
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
 
 
+def test_open_quotes_and_unlike_headers_are_refused(spark, tmp_path):
+    open_quote = put(tmp_path, "open.csv", 'a,b\n1,"x\n' + "2,y\n" * 50)
+    with pytest.raises(ValueError, match="never closed"):
+        csvfiles.read_text_csv(spark, open_quote)
+    put(tmp_path, "parts.csv/p1.csv", "a,b\n1,2\n")
+    put(tmp_path, "parts.csv/p2.csv", "b,a\n1,2\n")
+    with pytest.raises(ValueError, match="headers differ"):
+        csvfiles.read_text_csv(spark, str(tmp_path / "parts.csv"))
+
+
+def test_load_reports_each_file(spark, tmp_path):
+    put(tmp_path, "good.csv", "a,b\n1,2\n")
+    put(tmp_path, "long.csv", "a,b\n1,2\n1,2,3\n")
+    put(tmp_path, "short.csv", "a,b\n1,2\n1\n")
+    put(tmp_path, "open.csv", 'a,b\n1,"2\n3,4\n')
+    catalog.create_layer(spark, "staging_reports")
+    got = {r.table: (r.status, r.rows) for r in csvfiles.load_snapshot(spark, str(tmp_path), "staging_reports").collect()}
+    spark.sql("drop database staging_reports cascade")
+    assert got == {"good": ("loaded", 1), "long": ("refused", None), "short": ("failed", None), "open": ("failed", None)}
+
+
 @pytest.mark.parametrize("bad", ["3,4\n", "5,6,7,8\n"])
 @pytest.mark.parametrize("quoted", ["", '"multi\nline",y,z\n'])
 def test_load_aborts_on_ragged_rows(spark, tmp_path, bad, quoted):
