@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from landledger.functions import values as V
 from landledger.functions.names import safe_identifier
+from landledger.session import materialize
 
 # Identifier columns of the parcel extract that must stay text.
 FORCE_TEXT = (
@@ -93,7 +94,8 @@ def apply_types(df: DataFrame, types: Mapping[str, str]) -> tuple[DataFrame, Dat
     A row with a value that does not fit its type goes to the rejects as landed, with the names of
     the failing columns; it is never loaded with a null in its place.
     """
-    flagged = _flag(df, types)
+    # Written once: both results come from one scan and one parse of the landed text.
+    flagged = materialize(_flag(df, types), "typed")
     good = flagged.where(F.size("_failed") == 0).select(
         *[F.col("_typed")[c].alias(c) if c in types else F.col(c) for c in df.columns]
     )

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from landledger.functions import ids
 from landledger.operators import keys as K
 from landledger.operators import quality as Q
-from landledger.operators.ordering import number_rows
+from landledger.operators.ordering import number_copies, number_rows
 from landledger.plans.registry import query
 from landledger.session import materialize
 
@@ -170,3 +170,17 @@ def legacy_ids(t):
     SELECT event_type, user_id, event_id, row_number() OVER (PARTITION BY event_type ORDER BY user_id, event_id) AS seq FROM events""")
 def numbered_rows(t):
     return number_rows(t.events.select("event_type", "user_id", "event_id"), ["event_type"], ["user_id", "event_id"])
+
+
+@query("""
+    SELECT l_returnflag, l_orderkey, l_linenumber, l_suppkey, l_partkey, copy_no,
+           row_number() OVER (PARTITION BY l_returnflag ORDER BY l_orderkey, l_linenumber, l_suppkey, l_partkey, copy_no) + 1000 AS seq FROM (
+      SELECT l_returnflag, l_orderkey, l_linenumber, l_suppkey, l_partkey,
+             row_number() OVER (PARTITION BY l_returnflag, l_orderkey, l_linenumber, l_suppkey, l_partkey) AS copy_no FROM lineitem)""")
+def number_large_keys(t):
+    """Rows of three hot keys, placed by range over many tasks, after copies were numbered in chunks of one."""
+    rows = t.lineitem.select("l_returnflag", "l_orderkey", "l_linenumber", "l_suppkey", "l_partkey")
+    unique = materialize(number_copies(rows, chunk=1), "copies")
+    start = t.lineitem.select("l_returnflag").distinct().withColumn("start", F.lit(1000).cast("bigint"))
+    order = ["l_orderkey", "l_linenumber", "l_suppkey", "l_partkey", "copy_no"]
+    return number_rows(unique, ["l_returnflag"], order, "seq", start=start, window_rows=100)

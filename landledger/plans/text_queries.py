@@ -226,3 +226,33 @@ def manifest_drift(t):
     edited = F.when(F.col("n_chars") > 1000, F.concat("text", F.lit("!"))).otherwise(F.col("text"))
     before, after = t.documents.where("source <> 'src0'"), t.documents.where("lang <> 'fr'")
     return landing.manifest_drift(_manifest(before), _manifest(after, edited))
+
+
+@query("""
+    SELECT page_id, name, "table", name || '_' || "table" || '.csv' AS target FROM (
+      SELECT page_id, 'page' || page_id AS name, unnest(['Main', '', 'Sect' || page_id % 3]) AS "table" FROM pages) WHERE "table" <> ''""")
+def table_fan_out(t):
+    """Every page as a multi-table file, one of its table names blank."""
+    tables = F.array(F.lit("Main"), F.lit(""), F.concat(F.lit("Sect"), (F.col("page_id") % 3).cast("string")))
+    files = t.pages.select("page_id", F.concat(F.lit("page"), F.col("page_id").cast("string")).alias("name"), tables.alias("tables"))
+    return landing.fan_out(files).select("page_id", "name", "table", "target")
+
+
+@query("""SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer""")
+def index_column(t):
+    from landledger.sources import csvfiles
+
+    return csvfiles.drop_index_column(t.customer.select(F.col("c_custkey").alias("column_"), "*"))
+
+
+@query("""
+    SELECT event_id, CASE WHEN event_type = 'error' THEN true ELSE false END AS flag, regexp_extract(props, '([0-9]+)', 1)::INTEGER AS units,
+           strftime(ts, '%Y-%m-%d') AS day FROM events""")
+def typed_source(t):
+    """Columns typed by the names that the source system gives its types."""
+    landed = t.events.select(
+        "event_id", F.when(F.col("event_type") == "error", "Yes").otherwise("No").alias("flag"),
+        F.regexp_extract("props", "([0-9]+)", 1).alias("units"), F.date_format("ts", "yyyy-MM-dd").alias("day"),
+    )
+    good, _ = TY.typed_from_text(landed, {"flag": "Yes/No", "units": "Long Integer", "day": "Date/Time"})
+    return good.withColumn("day", F.col("day").cast("string"))
