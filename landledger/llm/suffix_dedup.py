@@ -43,7 +43,7 @@ BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 LETTER = np.random.default_rng(9).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 ANCHORS = "bucket int, known boolean, seed binary, d binary, t binary, at binary"
-PLACES = "d long, t long, at binary"
+PLACES = "d long, t long, at int"
 SUFFIXES = "bucket int, hot boolean, cut boolean, d binary, t binary, at binary, before binary, after binary, context binary"
 CUTS = "d long, t long, cut binary"
 KEPT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept string"
@@ -157,15 +157,15 @@ def anchor_rows(parts: int):
     return run
 
 
-def per_document(d: np.ndarray, t: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
-    """Rows in the order of their document, and that order cut by document."""
+def per_document(d: np.ndarray, t: np.ndarray) -> list[np.ndarray]:
+    """The rows of each document."""
     order = np.lexsort((t, d))
     change = np.flatnonzero((np.diff(d[order]) != 0) | (np.diff(t[order]) != 0)) + 1
-    return order, (np.split(order, change) if len(order) else [])
+    return np.split(order, change) if len(order) else []
 
 
 def repeated_places(rows: pa.Table) -> pa.Table:
-    """Of one bucket, per document, the anchors whose seed another anchor shares."""
+    """Of one bucket, the anchors whose seed another anchor shares."""
     known = rows.column("known").to_numpy(zero_copy_only=False).astype(bool)
     sure, open_ = rows.filter(pa.array(known)), rows.filter(pa.array(~known))
     seed = joined(open_.column("seed"), np.uint64)
@@ -180,11 +180,7 @@ def repeated_places(rows: pa.Table) -> pa.Table:
         np.concatenate([x[shared], joined(sure.column(c), k)])
         for x, c, k in ((d, "d", np.int64), (t, "t", np.int64), (at, "at", np.int32))
     )
-    _, parts = per_document(d, t)
-    return pa.table({
-        "d": pa.array([int(d[i[0]]) for i in parts], pa.int64()), "t": pa.array([int(t[i[0]]) for i in parts], pa.int64()),
-        "at": pa.array([raw(at[i]) for i in parts], pa.binary()),
-    })
+    return pa.table({"d": d, "t": t, "at": at})
 
 
 def multikey(tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -353,8 +349,9 @@ def suffixes(splitters: list[bytes], parts: int):
         columns = np.arange(CONTEXT)
         for batch in batches:
             ids, ties = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for row, (text, places) in enumerate(zip(as_bytes(batch.column(2).field("text")), batch.column(3).to_pylist())):
-                at = np.unique(np.frombuffer(b"".join(places), np.int32))
+            every, bounds = batch.column(3).values.to_numpy(), batch.column(3).offsets.to_numpy()
+            for row, text in enumerate(as_bytes(batch.column(2).field("text"))):
+                at = np.unique(every[bounds[row]:bounds[row + 1]])
                 padded = np.zeros(len(text) + CONTEXT, np.uint8)
                 padded[LEFT:LEFT + len(text)] = np.frombuffer(text, np.uint8)
                 for some in np.array_split(at, parts_for(len(at), HELD_SUFFIXES)):
@@ -407,7 +404,7 @@ def settle_boundaries(rows: pa.Table) -> pa.Table:
     starts = np.concatenate([joined(done.column("before"), np.int64), at[gone] - high[gone]])
     ends = np.concatenate([joined(done.column("after"), np.int64), at[gone] - low[gone] + WIDTH])
     out_d, out_t, out_cut = [], [], []
-    for part in per_document(ds, ts)[1]:
+    for part in per_document(ds, ts):
         out_d.append(int(ds[part[0]]))
         out_t.append(int(ts[part[0]]))
         out_cut.append(raw(np.stack(united(starts[part], ends[part]), 1).astype(np.int64)))
