@@ -35,8 +35,10 @@ LEFT = WIDTH - SEED
 CONTEXT = LEFT + WIDTH
 # Text handled by one round of array operations, anchors and suffixes a task holds before it sends them on.
 CHUNK_BYTES = 1 << 18
-HELD_ANCHORS = 1 << 20
-HELD_SUFFIXES = 1 << 17
+HELD_ANCHORS = 1 << 19
+HELD_SUFFIXES = 1 << 16
+# Rows of a batch that are Python objects at a time.
+ROWS = 512
 LOWEST = -(1 << 63)
 
 BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
@@ -101,6 +103,12 @@ def chunks(texts: list[bytes]) -> Iterator[tuple[int, int]]:
         yield start, len(texts)
 
 
+def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for start in range(0, batch.num_rows, ROWS):
+            yield batch.slice(start, ROWS)
+
+
 def raw(values: np.ndarray) -> bytes:
     return np.ascontiguousarray(values).tobytes()
 
@@ -140,7 +148,7 @@ def anchor_rows(parts: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n = [], 0
-        for batch in batches:
+        for batch in slices(batches):
             d, t = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
             texts = as_bytes(batch.column(2))
             for start, end in chunks(texts):
@@ -347,7 +355,7 @@ def suffixes(splitters: list[bytes], parts: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n = [], 0
         columns = np.arange(CONTEXT)
-        for batch in batches:
+        for batch in slices(batches):
             ids, ties = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             every, bounds = batch.column(3).values.to_numpy(), batch.column(3).offsets.to_numpy()
             for row, text in enumerate(as_bytes(batch.column(2).field("text"))):
@@ -415,7 +423,7 @@ def cut_out(with_text: bool, carried: bool):
     """Per document: the union of its stretches, and what is left of the text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             removed, spans, digests, kept, sizes = [], [], [], [], []
             for text, cuts in zip(batch.column(1).field("text").cast(pa.binary()).to_pylist(), batch.column(2).to_pylist()):
                 missing, text = text is None, text or b""
@@ -462,7 +470,7 @@ def identified(documents: DataFrame, id_column: str, text_column: str, carry: li
 
 def remove_repeats(
     documents: DataFrame, id_column: str = "doc_id", text_column: str = "text", with_text: bool = False, carry: list[str] | None = None,
-    bucket_bytes: int = 16 << 20, sample_docs: int = 2000,
+    bucket_bytes: int = 8 << 20, sample_docs: int = 2000,
 ) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept): one row per row of ``documents``.
 
