@@ -100,7 +100,7 @@ def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules.judged(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
-@query()
+@query(jaccard_join.ORACLE)
 def op7_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_join.near_duplicates(table(spark, folder, "documents"))
 
@@ -111,7 +111,7 @@ def op8_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.interleaved(documents).drop("text")
 
 
-@query()
+@query(suffix_dedup.ORACLE)
 def op9_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return suffix_dedup.remove_repeats(table(spark, folder, "documents")).drop("kept")
 

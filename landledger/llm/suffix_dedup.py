@@ -501,3 +501,22 @@ def remove_repeats(
     marked = texts.join(cuts, ["d", "t"], "left").select(F.when(F.col("d") != LOWEST, F.col("d")).alias("doc_id"), "doc", "cut")
     row = f", row {texts.schema['doc'].dataType['row'].dataType.simpleString()}" if carry else ""
     return marked.mapInArrow(cut_out(with_text, bool(carry)), KEPT + row)
+
+
+ORACLE = r"""
+    with t as (select doc_id, encode(coalesce(text, '')) as h from documents),
+    w as (select doc_id, unnest(list_transform(range(0, octet_length(h) - 99), lambda p: {'p': p, 'm': md5(h[p + 1:p + 100])}), recursive := true) from t),
+    f as (select m, min({'d': doc_id, 'p': p}) as first from w group by m having count(*) > 1),
+    g as (select doc_id, p, doc_id <> first.d or p <> first.p as again from w join f using (m)),
+    m as (select doc_id, p, p > 100 + coalesce(lag(p) over (partition by doc_id order by p), -1000) as opens from g where again),
+    i as (select doc_id, p, sum(cast(opens as int)) over (partition by doc_id order by p) as run from m),
+    spans as (select doc_id, run, min(p) as a, max(p) + 100 as b from i group by doc_id, run),
+    keep as (
+        select doc_id, coalesce(lag(b) over (partition by doc_id order by a), 0) as a, a as b from spans
+        union all select doc_id, max(b), 1000000000 from spans group by doc_id
+    ), k as (select keep.doc_id, string_agg(hex(h[a + 1:b]), '' order by a) as h from keep join t using (doc_id) group by keep.doc_id),
+    c as (select doc_id, sum(b - a) as removed, count(*) as n from spans group by doc_id)
+    select t.doc_id, cast(octet_length(t.h) as bigint) as n_bytes, cast(coalesce(c.removed, 0) as bigint) as n_removed, coalesce(c.n, 0) as n_spans,
+        case when k.h is null then sha256(t.h) else sha256(unhex(k.h)) end as kept_sha256
+    from t left join c using (doc_id) left join k using (doc_id)
+"""
