@@ -14,6 +14,8 @@ import tiktoken
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from landledger.llm.common import materialize
+
 # Lengths that share a block; sums run within a block, then over the blocks.
 BLOCK = 1024
 
@@ -49,8 +51,10 @@ def suffix_sums(hist: DataFrame) -> DataFrame:
     """For every length L of the histogram: the documents of L tokens and more (``docs_from``) and their tokens (``tokens_from``),
     those below (``docs_below``, ``tokens_below``), and the tokens left when every document is cut to L (``tokens_cut``).
 
-    No window holds more than ``BLOCK`` lengths or one row per block.
+    No window holds more than ``BLOCK`` lengths or one row per block. The histogram is written first, so that no text is
+    encoded twice.
     """
+    hist = materialize(hist, "token-histogram")
     block = F.floor(F.col("n_tokens") / BLOCK)
     rows = hist.select("n_tokens", "n_docs", (F.col("n_tokens") * F.col("n_docs")).alias("n_total"), block.alias("block"))
     later = Window.orderBy(F.desc("block")).rowsBetween(Window.unboundedPreceding, -1)
