@@ -228,13 +228,17 @@ def settle(d, t, at, before, after, context) -> tuple[np.ndarray, np.ndarray, np
 
     A window is removed if an earlier suffix of the same group holds the same window. ``open``: some window is not removed,
     so other buckets' suffixes may still have to be compared with it. ``context`` has ``LEFT`` bytes before the anchor and
-    ``WIDTH`` from it on, of which ``before`` and ``after`` lie inside the text.
+    ``WIDTH`` from it on, of which ``before`` and ``after`` lie inside the text. Rows of one place (of repeated rows) count once.
     """
     n = len(at)
     low, high, open_ = np.full(n, -1), np.full(n, -1), np.ones(n, bool)
     if not n:
         return low, high, open_
     by_place = np.lexsort((at, t, d))
+    places = np.stack([d[by_place], t[by_place], at[by_place].astype(np.int64)])
+    again = np.concatenate([[False], (places[:, 1:] == places[:, :-1]).all(0)])
+    open_[by_place[again]] = False
+    by_place = by_place[~again]
     seeds = np.ascontiguousarray(context[by_place][:, LEFT:LEFT + SEED]).view(">u8").astype(np.uint64)
     order, group = multikey(seeds)
     rows = by_place[order]  # by seed, then by place
@@ -244,7 +248,7 @@ def settle(d, t, at, before, after, context) -> tuple[np.ndarray, np.ndarray, np
     for column in range(CONTEXT):
         whole = whole * BASE + LETTER[text[:, column]]
     first = window_firsts(mixed(whole))
-    copy = (first != np.arange(n)) & (bounds == bounds[first]) & (group == group[first])
+    copy = (first != np.arange(len(rows))) & (bounds == bounds[first]) & (group == group[first])
     copy[copy] = (text[copy] == text[first[copy]]).all(1)
     nearest = np.maximum(0, WIDTH - after[rows])
     low[rows[copy]], high[rows[copy]], open_[rows[copy]] = nearest[copy], before[rows][copy], False

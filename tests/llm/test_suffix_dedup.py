@@ -101,3 +101,15 @@ def test_edges(spark):
     assert by[6][0].n_bytes == 0 and by[6][0].kept is None and by[7][0].kept == "" and by[8][0].kept == "short"
     assert by[8][0].row.cut is None and by[9][0].row.cut == "e" and by[9][0].n_removed == brute([rows[-1][1].encode()])[0][1]
     assert sd.remove_repeats(docs.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("held", [4, 1 << 16])
+def test_repeated_rows_do_not_erase_each_other(spark, monkeypatch, held):
+    monkeypatch.setattr(sd, "HELD_SUFFIXES", held)
+    rng = random.Random(8)
+    alone, inner, twice = ("".join(rng.choice("klmnopq ") for _ in range(300)) for _ in range(3))
+    rows = [(1, alone), (1, alone), (1, alone), (None, inner * 2), (None, inner * 2), (3, twice), (3, twice), (4, twice), (4, twice)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = sorted(((r.doc_id or 0, r.n_removed, r.kept) for r in sd.remove_repeats(docs, with_text=True).collect()))
+    want = [(0, 300, inner)] * 2 + [(1, 0, alone)] * 3 + [(3, 0, twice)] * 2 + [(4, 300, "")] * 2
+    assert got == want
