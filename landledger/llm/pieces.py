@@ -102,15 +102,16 @@ def decode(ids: list[list[int]], tokenizer: tokenizers.Tokenizer) -> list[str]:
 
 def round_trip(
     documents: DataFrame, serialized: bytes, id_column: str = "doc_id", text_column: str = "text",
-    threads: int = 2, check_every: int = 50, group: int = 256, digests: bool = False,
+    threads: int = 2, check_every: int = 50, group: int = 256, digests: bool = False, carry: list[str] | None = None,
 ) -> DataFrame:
     """Every text encoded and decoded again: one row per row of ``documents``, with no shuffle.
 
     ``ids``: the token ids as little-endian 32-bit integers. ``round_trip``: whether decoding gave the text back.
     Of every ``check_every`` rows, one is also encoded by SentencePiece (``checked``); a difference raises, for the rebuilt model
     would be wrong everywhere. Equal texts of a group are encoded once. Null counts as the empty text, which has no tokens.
-    ``digests`` gives SHA-256 of the ids and of the decoded text in place of both.
+    ``digests`` gives SHA-256 of the ids and of the decoded text in place of both. The columns of ``carry`` come last, as they are.
     """
+    carry = carry or []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer, original = backends(serialized, threads)
@@ -134,12 +135,13 @@ def round_trip(
                     own += [pa.array([ids_sum[text] for text in texts]), pa.array([back_sum[text] for text in texts])]
                 else:
                     own += [pa.array([packed[text] for text in texts], pa.binary()), pa.array([back[text] for text in texts], pa.string())]
-                own += [pa.array([back[text] == text for text in texts]), pa.array(checked)]
-                names = ["doc_id", "n_tokens", *(("ids_sha256", "decoded_sha256") if digests else ("ids", "decoded")), "round_trip", "checked"]
+                own += [pa.array([back[text] == text for text in texts]), pa.array(checked), *batch.columns[2:]]
+                names = ["doc_id", "n_tokens", *(("ids_sha256", "decoded_sha256") if digests else ("ids", "decoded")), "round_trip", "checked", *carry]
                 yield pa.RecordBatch.from_arrays(own, names=names)
 
-    rows = documents.selectExpr(f"cast(`{id_column}` as long) as doc_id", f"cast(`{text_column}` as string) as text")
-    return rows.mapInArrow(run, DIGESTS if digests else SCHEMA)
+    rows = documents.selectExpr(f"cast(`{id_column}` as long) as doc_id", f"cast(`{text_column}` as string) as text", *(f"`{c}`" for c in carry))
+    kinds = "".join(f", `{c}` {documents.schema[c].dataType.simpleString()}" for c in carry)
+    return rows.mapInArrow(run, (DIGESTS if digests else SCHEMA) + kinds)
 
 
 def model_bytes(spark: SparkSession, path: str) -> bytes:
