@@ -2,15 +2,17 @@
 
 Words that stand once in the text and once in a template are anchors; the longest run of anchors in the same order on both sides is
 kept, and the gaps between are aligned in the same way. The share of the template's words that find a partner is its coverage.
-A document is only aligned where enough words of a template lie close together: no alignment can cover more than that count.
+A match spans at most twice as many words as its template. Of such stretches, only those are aligned whose longest common subsequence
+with the template is long enough, which no alignment could exceed; where patience finds less than that needs, the subsequence counts.
 """
 
 from __future__ import annotations
 
 import re
-from bisect import bisect_left
+from bisect import bisect_left, insort
 from collections import Counter
 from collections.abc import Iterator
+from heapq import heappop, heappush
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -131,21 +133,35 @@ def align(text: list[str], template: list[str]) -> list[tuple[int, int]]:
     return sorted(pairs)
 
 
-def fullest(hits: list[tuple[int, str]], wanted: Counter, span: int, least: int) -> tuple[int, int] | None:
-    """The stretch (first, last) of at most ``span`` words with the most wanted words less others, of those with ``least``; or None."""
+def common(words: list[tuple[int, str]], masks: dict[str, int], size: int) -> tuple[int, int]:
+    """(length, first place) of a longest common subsequence of a stretch and a template of ``size`` words; the shortest stretch up to
+    the last of ``words``.
+
+    ``masks`` has a bit for each place of a word in the template, the last place lowest. One step of whole-number arithmetic a word.
+    """
+    every = (1 << size) - 1
+    row, best, first = every, 0, -1
+    for place, word in reversed(words):
+        both = row & masks[word]
+        row = ((row + both) | (row - both)) & every
+        if size - row.bit_count() > best:
+            best, first = size - row.bit_count(), place
+    return best, first
+
+
+def stretches(hits: list[tuple[int, str]], wanted: Counter, span: int, least: int) -> Iterator[tuple[int, int]]:
+    """(start, end) of all runs of ``hits`` within ``span`` words of the text, ends counted in, with ``least`` wanted words or more."""
     counts: Counter = Counter()
-    best, full, left = None, 0, 0
-    for place, word in hits:
+    full = left = 0
+    for end, (place, word) in enumerate(hits):
         counts[word] += 1
         full += counts[word] <= wanted[word]
-        while hits[left][0] <= place - span or counts[hits[left][1]] > wanted[hits[left][1]]:
+        while hits[left][0] <= place - span:
             full -= counts[hits[left][1]] <= wanted[hits[left][1]]
             counts[hits[left][1]] -= 1
             left += 1
         if full >= least:
-            now = (place - hits[left][0] - 2 * full, hits[left][0], place)
-            best = now if best is None else min(best, now)
-    return best and best[1:]
+            yield left, end
 
 
 def trimmed(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -168,8 +184,46 @@ class Scanner:
         self.words = {name: [w.lower() for w in WORD.findall(text)] for name, text in templates.items()}
         self.words = {name: words for name, words in self.words.items() if words}
         self.counts = {name: Counter(words) for name, words in self.words.items()}
+        self.masks = {
+            name: {word: sum(1 << i for i, w in enumerate(reversed(words)) if w == word) for word in set(words)} for name, words in self.words.items()
+        }
         self.vocabulary = frozenset(w for words in self.words.values() for w in words)
 
+    def matches(self, name: str, words: list[str], hits: list[tuple[int, str]], needed: int) -> Iterator[tuple[list, int, int]]:
+        """(aligned pairs, first and last word) of a template's matches, apart from each other.
+
+        The stretch with the longest common subsequence less other words comes first. What overlaps a match is measured again on what
+        the match leaves of it, and a stretch whose alignment fails takes nothing away from others.
+        """
+        template, masks = self.words[name], self.masks[name]
+        queue: list[tuple[int, int, int, int, int]] = []
+
+        def measure(start: int, end: int) -> None:
+            length, first = common(hits[start:end + 1], masks, len(template))
+            if length >= needed:
+                heappush(queue, (hits[end][0] - first - 2 * length, first, hits[end][0], start, end))
+
+        for start, end in stretches(hits, self.counts[name], 2 * len(template), needed):
+            measure(start, end)
+        taken: list[tuple[int, int]] = []
+        while queue:
+            _, low, high, start, end = heappop(queue)
+            at = bisect_left(taken, (high + 1,))
+            before = taken[at - 1][1] if at else -1
+            if before >= high:
+                continue
+            if before >= low:
+                start = max(start, bisect_left(hits, (before + 1,)))
+                measure(start, end)
+                continue
+            pairs = trimmed(align(words[low:high + 1], template))
+            if len(pairs) < needed:
+                pairs = trimmed(common_subsequence(words[low:high + 1], template))
+            if len(pairs) >= needed:
+                first, last = low + pairs[0][0], low + pairs[-1][0]
+                insort(taken, (first, last))
+                yield pairs, first, last
+
     def scan(self, text: str) -> tuple[int, list[dict]]:
         """Number of words, and the matches in text order; of overlapping ones, the best covered, then longest, then first by name."""
         tokens = WORD.findall(text)
@@ -182,20 +236,7 @@ class Scanner:
             if sum(n for w, n in wanted.items() if w in seen) < needed:
                 continue
             hits = [(i, w) for i, w in enumerate(words) if w in wanted]
-            todo = [hits]
-            while todo:
-                some = todo.pop()
-                stretch = fullest(some, wanted, 2 * len(template), needed)
-                if stretch is None:
-                    continue
-                low, high = stretch
-                pairs = trimmed(align(words[low:high + 1], template))
-                if len(pairs) >= needed:
-                    first, last = low + pairs[0][0], low + pairs[-1][0]
-                    found.append((-len(pairs) / len(template), -len(pairs), name, first, last))
-                else:
-                    first = last = low
-                todo += [[h for h in some if h[0] < first], [h for h in some if h[0] > last]]
+            found += [(-len(pairs) / len(template), -len(pairs), name, first, last) for pairs, first, last in self.matches(name, words, hits, needed)]
         chosen = []
         for match in sorted(found):
             if all(match[4] < other[3] or match[3] > other[4] for other in chosen):

@@ -66,3 +66,36 @@ def test_every_planted_line_is_found(spark, sf):
     found = {r.doc_id for r in L.scan(docs).where("size(matches) > 0").collect()}
     planted = {r.doc_id for r in docs.where("text rlike '(?m)^(Licensed under|Released under|This work is licensed)'").collect()}
     assert found == planted
+
+
+def test_a_stretch_that_fails_hides_no_match():
+    scanner = L.Scanner(L.TEMPLATES, 0.9)
+
+    def places(text):
+        return [(m["license"], m["first_word"], m["last_word"]) for m in scanner.scan(text)[1]]
+
+    assert places("Released [2020] under the MIT License. Released under the MIT License.") == [("MIT", 0, 5), ("MIT", 6, 10)]
+    notice = L.TEMPLATES["MIT-notice"].split()
+    changed = [w if i % 16 else "xyz" for i, w in enumerate(notice)]
+    for copies in ([changed, notice], [changed, notice, changed], [notice, changed, changed, notice]):
+        found = places(" ".join(w for copy in copies for w in copy))
+        assert [m[0] for m in found] == ["MIT-notice"] * len(copies)
+    # A word that comes again out of turn: nine of ten words are in order, but only from the first one on.
+    assert len(L.Scanner({"t": "a b c d e f g h i j"}, 0.9).scan("a b c d e f g h a i")[1]) == 1
+
+
+def test_no_match_is_lost():
+    rng = random.Random(3)
+    template = "a b c d e f c a g h".split()
+    scanner = L.Scanner({"t": " ".join(template)}, 0.8)
+    for _ in range(400):
+        text = [w for _ in range(rng.randint(1, 3)) for w in template if rng.random() < 0.85 or rng.random() < 0.3]
+        text = [w if rng.random() < 0.93 else rng.choice("abgxyz") for w in text]
+        got = scanner.scan(" ".join(text))[1]
+        free = [i for i in range(len(text)) if not any(m["first_word"] <= i <= m["last_word"] for m in got)]
+        for i in free:
+            j = i
+            while j + 1 in free and j + 1 - i < 2 * len(template):
+                j += 1
+            pairs = L.trimmed(L.common_subsequence(text[i:j + 1], template))
+            assert len(pairs) < 8, (text, got)
