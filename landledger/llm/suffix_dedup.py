@@ -9,8 +9,9 @@ byte would be far more data than the text, so suffixes are sorted only where two
 3. *Suffix buckets.* What is left becomes suffixes of ``WIDTH`` bytes with the bytes before them. A task first settles
    what it can alone (a copy of what the task has seen need not travel), then deals the rest over buckets by sampled splitters of the
    leading bytes. A bucket sorts its suffixes by multikey quicksort; in each group of equal seeds, the first start of every window stays.
-4. *Boundaries.* A seed that fills several splitters is dealt over all buckets between them; what those buckets could not settle
-   meets once more. All other seeds lie inside one bucket.
+4. *Boundaries.* A seed that fills several splitters is dealt over all buckets between them; each window that
+   such a bucket has not removed goes to a bucket of its own hash, where its bytes are compared. A bucket of suffixes leaves one start of a
+   window open, so a seed, however frequent, is never in one task. All other seeds lie inside one bucket.
 5. The removed windows of a document are united and cut out.
 
 Hashes choose candidates and pair windows; bytes are compared before anything is removed.
@@ -40,13 +41,16 @@ HELD_SUFFIXES = 1 << 16
 # Rows of a batch that are Python objects at a time.
 ROWS = 512
 LOWEST = -(1 << 63)
+# Buckets of open windows for each bucket of suffixes, as a suffix has up to LEFT + 1 windows.
+WINDOW_BUCKETS = 64
 
 BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 LETTER = np.random.default_rng(9).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 ANCHORS = "bucket int, known boolean, seed binary, d binary, t binary, at binary"
 PLACES = "d long, t long, at int"
-SUFFIXES = "bucket int, hot boolean, cut boolean, d binary, t binary, at binary, before binary, after binary, context binary"
+SUFFIXES = "bucket int, hot boolean, cut boolean, d binary, t binary, at binary, before binary, after binary, context binary, fresh binary"
+WINDOWS = "bucket int, d binary, t binary, start binary, end binary, window binary"
 CUTS = "d long, t long, cut binary"
 KEPT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept string"
 
@@ -122,8 +126,16 @@ def pieces_of(order: np.ndarray, keys: np.ndarray) -> list[np.ndarray]:
     return np.split(order, np.flatnonzero(np.diff(keys)) + 1) if len(order) else []
 
 
+def document_bucket(d: np.ndarray, t: np.ndarray) -> np.ndarray:
+    """A number of 44 bits for each document; null ids, and equal ones, part by their texts."""
+    return (mixed(d.astype(np.uint64) + mixed(t.astype(np.uint64))) >> np.uint64(20)).astype(np.int64)
+
+
 def anchor_rows(parts: int):
-    """Per task: its anchors by bucket of the seed's hash. Of seeds met twice in the task, one goes to the bucket; all are known already."""
+    """Per task: its anchors by bucket of the seed's hash. Of seeds met twice in the task, one goes to the bucket; all are known already.
+
+    Known ones meet nobody and go to a bucket of their document, so that a frequent seed does not fill one.
+    """
 
     def send(held: list) -> Iterator[pa.RecordBatch]:
         d, t, at, seed = (np.concatenate(x) for x in zip(*held))
@@ -134,7 +146,7 @@ def anchor_rows(parts: int):
         rows = []
         for known, chosen in ((True, order[~alone]), (False, order[first])):
             repeated = ~alone[first] if not known else None
-            bucket = (seed[chosen] >> np.uint64(40)).astype(np.int64) % parts
+            bucket = (document_bucket(d[chosen], t[chosen]) if known else (seed[chosen] >> np.uint64(40)).astype(np.int64)) % parts
             place = np.argsort(bucket, kind="stable")
             for part in pieces_of(place, bucket[place]):
                 i = chosen[part]
@@ -224,14 +236,16 @@ def window_firsts(key: np.ndarray) -> np.ndarray:
 
 
 def settle(d, t, at, before, after, context) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(first window removed, last window removed, open) per suffix, as offsets before the anchor; -1 where none is removed.
+    """(first window removed, last window removed, open windows) per suffix, as offsets before the anchor; -1 where none is removed.
 
-    A window is removed if an earlier suffix of the same group holds the same window. ``open``: some window is not removed,
-    so other buckets' suffixes may still have to be compared with it. ``context`` has ``LEFT`` bytes before the anchor and
+    A window is removed if an earlier suffix of the same group holds the same window. The others are open (a truth value for each
+    offset): other buckets' suffixes may still have to be compared with them. ``context`` has ``LEFT`` bytes before the anchor and
     ``WIDTH`` from it on, of which ``before`` and ``after`` lie inside the text. Rows of one place (of repeated rows) count once.
     """
     n = len(at)
-    low, high, open_ = np.full(n, -1), np.full(n, -1), np.ones(n, bool)
+    low, high = np.full(n, -1), np.full(n, -1)
+    offsets = np.arange(LEFT + 1)
+    open_ = (np.maximum(0, WIDTH - after)[:, None] <= offsets) & (offsets <= before[:, None])
     if not n:
         return low, high, open_
     by_place = np.lexsort((at, t, d))
@@ -266,7 +280,6 @@ def settle(d, t, at, before, after, context) -> tuple[np.ndarray, np.ndarray, np
     for column in range(LEFT, CONTEXT):
         value = value * BASE + LETTER[text[:, column]]
     undo, top = np.uint64(pow(int(BASE), -1, 1 << 64)), power(BASE, WIDTH - 1)
-    some_open = np.zeros(len(rows), bool)
     for offset in range(LEFT + 1):
         if offset:
             value = (value - LETTER[text[:, CONTEXT - offset]]) * undo + LETTER[text[:, LEFT - offset]] * top
@@ -280,9 +293,7 @@ def settle(d, t, at, before, after, context) -> tuple[np.ndarray, np.ndarray, np
         gone = rows[i[equal]]
         low[gone] = np.where(low[gone] < 0, offset, low[gone])
         high[gone] = offset
-        some_open[real[~later]] = True
-        some_open[i[~equal]] = True
-    open_[rows] = some_open
+        open_[gone, offset] = False
     return low, high, open_
 
 
@@ -301,14 +312,15 @@ def cut_rows(d, t, at, low, high, parts: int) -> list[tuple]:
     if len(gone):
         d, t = d[gone], t[gone]
         start, end = at[gone].astype(np.int64) - high[gone], at[gone].astype(np.int64) - low[gone] + WIDTH
-        bucket = (mixed(d.astype(np.uint64)) >> np.uint64(20)).astype(np.int64) % parts
+        bucket = document_bucket(d, t) % parts
         place = np.argsort(bucket, kind="stable")
         for part in pieces_of(place, bucket[place]):
-            rows.append((int(bucket[part[0]]), False, True, raw(d[part]), raw(t[part]), b"", raw(start[part]), raw(end[part]), b""))
+            rows.append((int(bucket[part[0]]), False, True, raw(d[part]), raw(t[part]), b"", raw(start[part]), raw(end[part]), b"", b""))
     return rows
 
 
-def suffix_rows(chosen, bucket, hot: bool, d, t, at, before, after, context) -> list[tuple]:
+def suffix_rows(chosen, bucket, hot: bool, d, t, at, before, after, context, fresh=None) -> list[tuple]:
+    """``fresh``: the windows still open, where only these go on."""
     rows = []
     lead = np.ascontiguousarray(context[chosen][:, LEFT:LEFT + SEED]).view(f"S{SEED}").ravel()
     place = np.lexsort((lead, bucket))
@@ -316,13 +328,13 @@ def suffix_rows(chosen, bucket, hot: bool, d, t, at, before, after, context) ->
         i = chosen[part]
         rows.append((
             int(bucket[part[0]]), hot, False, raw(d[i]), raw(t[i]), raw(at[i]), raw(before[i].astype(np.uint8)), raw(after[i].astype(np.uint8)),
-            zstandard.ZstdCompressor(level=1).compress(raw(context[i])),
+            zstandard.ZstdCompressor(level=1).compress(raw(context[i])), b"" if fresh is None else raw(np.packbits(fresh[i], axis=1)),
         ))
     return rows
 
 
-SUFFIX_KINDS = (pa.int32(), pa.bool_(), pa.bool_(), *[pa.binary()] * 6)
-SUFFIX_NAMES = ["bucket", "hot", "cut", "d", "t", "at", "before", "after", "context"]
+SUFFIX_KINDS = (pa.int32(), pa.bool_(), pa.bool_(), *[pa.binary()] * 7)
+SUFFIX_NAMES = ["bucket", "hot", "cut", "d", "t", "at", "before", "after", "context", "fresh"]
 
 
 def as_table(rows: list[tuple]) -> pa.Table:
@@ -345,12 +357,12 @@ def suffixes(splitters: list[bytes], parts: int):
     def send(held: list) -> pa.RecordBatch:
         d, t, at, before, after, context = (np.concatenate(x) for x in zip(*held))
         low, high, open_ = settle(d, t, at, before, after, context)
-        chosen = np.flatnonzero(open_)
+        chosen = np.flatnonzero(open_.any(1))
         lead = np.ascontiguousarray(context[chosen][:, LEFT:LEFT + SEED]).view(f"S{SEED}").ravel()
         left, right = np.searchsorted(fence, lead, "left"), np.searchsorted(fence, lead, "right")
         hot = right - left > 1
         wide = np.where(hot, right - left, 1)
-        bucket = right - (mixed(d[chosen].astype(np.uint64)) % wide.astype(np.uint64)).astype(np.int64)
+        bucket = right - document_bucket(d[chosen], t[chosen]) % wide
         rows = cut_rows(d, t, at, low, high, parts)
         for kind in (False, True):
             rows += suffix_rows(chosen[hot == kind], bucket[hot == kind], kind, d, t, at, before, after, context)
@@ -383,7 +395,7 @@ def suffixes(splitters: list[bytes], parts: int):
 
 
 def settle_bucket(parts: int):
-    """One bucket: stretches pass through; suffixes are settled; open suffixes of hot seeds go on to a bucket of their seed."""
+    """One bucket: stretches pass through; suffixes are settled; suffixes of hot seeds go on with the windows still open."""
 
     def run(rows: pa.Table) -> pa.Table:
         cut = rows.column("cut").to_numpy(zero_copy_only=False).astype(bool)
@@ -394,27 +406,68 @@ def settle_bucket(parts: int):
             low, high, open_ = settle(d, t, at, before, after, context)
             out += cut_rows(d, t, at, low, high, parts)
             if hot and open_.any():
-                chosen = np.flatnonzero(open_)
-                seed = np.zeros(len(chosen), np.uint64)
-                for column in range(LEFT, LEFT + SEED):
-                    seed = seed * BASE + LETTER[context[chosen, column]]
-                out += suffix_rows(chosen, (mixed(seed) % np.uint64(parts)).astype(np.int64), True, d, t, at, before, after, context)
+                chosen = np.flatnonzero(open_.any(1))
+                out += suffix_rows(chosen, document_bucket(d[chosen], t[chosen]) % parts, True, d, t, at, before, after, context, open_)
         return as_table(out)
 
     return run
 
 
-def settle_boundaries(rows: pa.Table) -> pa.Table:
-    """Suffixes of hot seeds from several buckets are compared; all stretches known here are united by document."""
-    cut = rows.column("cut").to_numpy(zero_copy_only=False).astype(bool)
-    done = rows.filter(pa.array(cut))
-    d, t, at, before, after, context = unpacked(rows.filter(pa.array(~cut)))
-    low, high, _ = settle(d, t, at, before, after, context)
-    gone = low >= 0
-    ds = np.concatenate([joined(done.column("d"), np.int64), d[gone]])
-    ts = np.concatenate([joined(done.column("t"), np.int64), t[gone]])
-    starts = np.concatenate([joined(done.column("before"), np.int64), at[gone] - high[gone]])
-    ends = np.concatenate([joined(done.column("after"), np.int64), at[gone] - low[gone] + WIDTH])
+def open_windows(parts: int):
+    """Stretches pass through; each open window of the suffixes of hot seeds goes to a bucket of its hash, with its start and its bytes."""
+    kinds = (pa.int32(), *[pa.binary()] * 5)
+    names = ["bucket", "d", "t", "start", "end", "window"]
+
+    def spread(d, t, start, window) -> pa.RecordBatch:
+        h = np.zeros(len(d), np.uint64)
+        for column in range(WIDTH):
+            h = h * BASE + LETTER[window[:, column]]
+        bucket = (mixed(h) >> np.uint64(20)).astype(np.int64) % (parts * WINDOW_BUCKETS)
+        place = np.argsort(bucket, kind="stable")
+        rows = [(int(bucket[i[0]]), raw(d[i]), raw(t[i]), raw(start[i]), b"", raw(window[i])) for i in pieces_of(place, bucket[place])]
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            cut = batch.column("cut")
+            done = batch.filter(cut)
+            yield pa.RecordBatch.from_arrays(
+                [done.column(c) for c in ("bucket", "d", "t", "before", "after")] + [pa.array([b""] * done.num_rows, pa.binary())], names=names,
+            )
+            for row in np.flatnonzero(~cut.to_numpy(zero_copy_only=False).astype(bool)).tolist():
+                rows = pa.Table.from_batches([batch.slice(row, 1)])
+                d, t, at, _, _, context = unpacked(rows)
+                fresh = np.unpackbits(joined(rows.column("fresh"), np.uint8).reshape(len(d), -1), axis=1)
+                every = np.lib.stride_tricks.sliding_window_view(context, WIDTH, axis=1)
+                for some in np.array_split(np.arange(len(at)), parts_for(len(at), 512)):
+                    i, offset = np.nonzero(fresh[some])
+                    i = some[i]
+                    yield spread(d[i], t[i], at[i].astype(np.int64) - offset, every[i, LEFT - offset])
+
+    return run
+
+
+def later_windows(rows: pa.Table) -> pa.Table:
+    """Of one bucket, the windows that also start earlier, and the stretches that are known, united by document."""
+    d, t, start = (joined(rows.column(c), np.int64) for c in ("d", "t", "start"))
+    sizes = [len(x) // 8 for x in as_bytes(rows.column("d"))]
+    open_ = np.repeat([len(x) > 0 for x in as_bytes(rows.column("window"))], sizes)
+    end = start + WIDTH
+    end[~open_] = joined(rows.column("end"), np.int64)
+    window = joined(rows.column("window"), np.uint8).reshape(-1, WIDTH)
+    gone = ~open_
+    if len(window):
+        place = np.flatnonzero(open_)
+        by_place = np.lexsort((start[place], t[place], d[place]))
+        tokens = np.ascontiguousarray(np.pad(window[by_place], ((0, 0), (0, 4)))).view(">u8").astype(np.uint64)
+        order, group = multikey(tokens)
+        i = place[by_place[order]]
+        first = i[np.searchsorted(group, group, "left")]
+        gone[i] = (d[i] != d[first]) | (t[i] != t[first]) | (start[i] != start[first])
+    return cuts_of(d[gone], t[gone], start[gone], end[gone])
+
+
+def cuts_of(ds, ts, starts, ends) -> pa.Table:
     out_d, out_t, out_cut = [], [], []
     for part in per_document(ds, ts):
         out_d.append(int(ds[part[0]]))
@@ -499,7 +552,8 @@ def remove_repeats(
     settled = (
         found.mapInArrow(suffixes(splitters, parts), SUFFIXES)
         .groupBy("bucket").applyInArrow(settle_bucket(parts), SUFFIXES)
-        .groupBy("bucket").applyInArrow(settle_boundaries, CUTS)
+        .mapInArrow(open_windows(parts), WINDOWS)
+        .groupBy("bucket").applyInArrow(later_windows, CUTS)
     )
     cuts = settled.groupBy("d", "t").agg(F.collect_list("cut").alias("cut"))
     marked = texts.join(cuts, ["d", "t"], "left").select(F.when(F.col("d") != LOWEST, F.col("d")).alias("doc_id"), "doc", "cut")

@@ -1,5 +1,8 @@
 import hashlib
+import os
 import random
+import tempfile
+import uuid
 
 import numpy as np
 import pytest
@@ -113,3 +116,29 @@ def test_repeated_rows_do_not_erase_each_other(spark, monkeypatch, held):
     got = sorted(((r.doc_id or 0, r.n_removed, r.kept) for r in sd.remove_repeats(docs, with_text=True).collect()))
     want = [(0, 300, inner)] * 2 + [(1, 0, alone)] * 3 + [(3, 0, twice)] * 2 + [(4, 300, "")] * 2
     assert got == want
+
+
+def test_a_hot_seed_is_not_gathered_in_one_task(spark, monkeypatch):
+    """A line in every document, other text around it: nothing can be removed there, and no group may hold all its suffixes."""
+    rng = random.Random(11)
+    line = "".join(rng.choice("pqrstuv ") for _ in range(90))
+    passage = "".join(rng.choice("wxyz ") for _ in range(140))
+    docs = ["".join(rng.choice("klmno ") for _ in range(90)) + (line if i % 9 else passage) + "".join(rng.choice("klmno ") for _ in range(90)) for i in range(600)]
+    frame = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string").repartition(6)
+    folder = os.environ["LARGEST_GROUP"] = tempfile.mkdtemp(prefix="largest-")
+    plain = sd.settle
+
+    def noted(d, *rest):
+        with open(f"{os.environ.get('LARGEST_GROUP', folder)}/{uuid.uuid4().hex}", "w") as file:
+            file.write(str(len(d)))
+        return plain(d, *rest)
+
+    monkeypatch.setattr(sd, "HELD_SUFFIXES", 100)
+    monkeypatch.setattr(sd, "settle", noted)
+    got = {r.doc_id: tuple(r)[1:] for r in sd.remove_repeats(frame, with_text=True, bucket_bytes=8000).collect()}
+    assert got == dict(enumerate(brute([d.encode() for d in docs])))
+    sizes = []
+    for name in os.listdir(folder):
+        with open(f"{folder}/{name}") as file:
+            sizes.append(int(file.read()))
+    assert sizes and max(sizes) < 450, max(sizes)
