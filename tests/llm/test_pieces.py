@@ -1,5 +1,6 @@
 import sentencepiece
 import numpy as np
+import pytest
 from sentencepiece import sentencepiece_model_pb2
 
 from landledger.llm import pieces
@@ -63,3 +64,12 @@ def test_round_trip(spark):
     assert by_id[77].n_tokens == 0 and by_id[77].decoded == ""
     assert any(r.checked for r in got) and not all(r.checked for r in got)
     assert pieces.round_trip(docs.limit(0), file_bytes(PIECES)).count() == 0
+
+
+def test_every_text_is_compared(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, f"text number {i}") for i in range(120)], "doc_id long, text string").coalesce(1)
+    assert all(r.checked for r in pieces.round_trip(docs, file_bytes(PIECES)).collect())
+    plain = pieces.encode
+    monkeypatch.setattr(pieces, "encode", lambda texts, tokenizer: [ids + [5] * (text == "text number 77") for text, ids in zip(texts, plain(texts, tokenizer))])
+    with pytest.raises(Exception, match="differs from SentencePiece"):
+        pieces.round_trip(docs, file_bytes(PIECES)).collect()
