@@ -22,6 +22,8 @@ from pyspark.sql import functions as F
 from landledger.llm.common import as_bytes, materialize, parts_for
 
 CHUNK = 1 << 20
+# A field or block of more bytes counts as damage. No cell of a table is as long, so nothing that ``write`` makes is lost.
+MOST = 1 << 31
 # Names and values that the format fixes.
 VERSION = b"WARC/1.1"
 MAGIC = b"\x1f\x8b\x08"
@@ -189,20 +191,26 @@ class Member(Plain):
 
 
 def parsed(source: Plain, most: int) -> tuple[dict[str, str], bytes]:
-    """The next record of ``source``: its fields by lower-case name, and its block."""
+    """The next record of ``source``: its fields by lower-case name, and its block. Fields are read line by line, so damage among
+    them shows at its own line; a long field is no damage.
+    """
     if not source.need(8) or not re.match(rb"WARC/\d\.\d\r\n", bytes(source.ahead[:10] if source.need(10) else source.ahead)):
         raise Damage("no version line")
-    size = 0
-    while (stop := source.ahead.find(END, max(0, size - 3))) < 0:
-        size = len(source.ahead)
-        if size > CHUNK or not source.need(size + 1):
-            raise Damage("no end of the fields")
     fields: dict[str, str] = {}
-    for line in bytes(source.ahead[:stop]).decode("utf-8", "replace").split("\r\n")[1:]:
-        name, colon, value = line.partition(":")
+    begin, seen = source.ahead.find(b"\r\n") + 2, 0
+    while True:
+        while (end := source.ahead.find(b"\r\n", max(begin, seen - 1))) < 0:
+            seen = len(source.ahead)
+            if seen - begin > most or not source.need(seen + 1):
+                raise Damage("no end of the fields")
+        if end == begin:
+            break
+        name, colon, value = bytes(source.ahead[begin:end]).decode("utf-8", "replace").partition(":")
         if not colon:
             raise Damage("a field without a colon")
         fields[name.strip().lower()] = value.strip()
+        begin = end + 2
+    stop = end - 2
     length = fields.get("content-length", "")
     if not length.isdecimal() or int(length) > most:
         raise Damage("no valid length")
@@ -241,10 +249,10 @@ def next_start(file, start: int, size: int) -> int:
     return size
 
 
-def salvage(file, size: int, most: int = 1 << 30) -> Iterator[tuple]:
+def salvage(file, size: int, most: int = MOST) -> Iterator[tuple]:
     """("record", start, fields, block) and ("gap", start, end, inner offset or None, reason) of an archive, in file order.
 
-    Plain records and members may alternate. Blocks above ``most`` bytes count as damage. Within a member, records before the
+    Plain records and members may alternate. Fields and blocks above ``most`` bytes count as damage. Within a member, records before the
     damage stay good, and later version lines are found again while the member can be unpacked.
     """
     at, lost = 0, None
@@ -252,6 +260,7 @@ def salvage(file, size: int, most: int = 1 << 30) -> Iterator[tuple]:
         file.seek(at)
         packed = file.read(3) == MAGIC
         source = Member(file, at) if packed else Plain(file, at)
+        inner, found = 0, at
         try:
             while source.need(1):
                 inner = source.used
@@ -325,7 +334,7 @@ def archives(spark: SparkSession, folder: str) -> DataFrame:
     return files.select("path", F.col("length").alias("bytes"))
 
 
-def read(paths: DataFrame, payloads: bool = True, most: int = 1 << 30, task_bytes: int = 64 << 20) -> DataFrame:
+def read(paths: DataFrame, payloads: bool = True, most: int = MOST, task_bytes: int = 64 << 20) -> DataFrame:
     """One row per record and per gap (``reason`` set) of the archives in ``paths`` (path, bytes).
 
     A response whose payload does not have its digest is a gap too. ``payload_bytes`` is the full payload's length, also for

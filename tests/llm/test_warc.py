@@ -123,3 +123,30 @@ def test_gaps_are_rows(spark, tmp_path):
     assert sum(r.reason is None for r in got) == 5
     gap = next(r for r in got if r.reason)
     assert (gap.start, gap.gap_end) == (len(members[0]), len(members[0]) + len(members[1])) and gap.record_id is None
+
+
+def test_broken_from_the_first_byte():
+    members = [gzip.compress(r) for r in records()]
+    broken = b"\x1f\x8b\x08" + b"\xff" * 40
+    for data, at, kept in (
+        (broken + b"".join(members), 0, range(6)), (members[0] + broken + b"".join(members[1:]), len(members[0]), range(6)), (b"".join(members) + broken, sum(map(len, members)), range(6)),
+    ):
+        found, gaps = events(data)
+        assert found == names(*kept) and [g[:3] for g in gaps] == [(at, at + len(broken), None)]
+
+
+def test_long_fields_are_no_damage(spark, tmp_path):
+    """What ``write`` makes of a page, ``read`` gives back, whatever the length of its address."""
+    url = "http://a/" + "p" * 5_000_000 + " ü"
+    long = spark.createDataFrame([(1, url, LONG), (2, url, LONG), (3, "http://b", "x")], "page_id long, url string, html string")
+    for compress in (True, False):
+        got = warc.read(warc.write(long, str(tmp_path / str(compress)), compress=compress)).collect()
+        assert len(got) == 3 and all(r.reason is None for r in got)
+        assert max(len(r.uri) for r in got) == len(url) + 2  # the blank takes three characters
+
+
+def test_damage_among_fields_stays_small():
+    plain = records()
+    torn = plain[1].replace(b"Content-Type: ", b"Content-Type- ", 1)
+    found, gaps = events(plain[0] + torn + b"".join(plain[2:]))
+    assert found == names(0, 2, 3, 4, 5) and gaps == [(len(plain[0]), len(plain[0]) + len(torn), None, "a field without a colon")]
