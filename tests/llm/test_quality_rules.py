@@ -36,18 +36,59 @@ def test_binomial_tail(spark):
         assert math.isclose(math.exp(got), exact, rel_tol=1e-9)
 
 
-def labelled(spark, n_good, n_bad, stratum, noise=0):
-    rows = [(stratum, 1, 100, 500, 90 if i < noise else 0, 0, 0) for i in range(n_good)]
-    rows += [(stratum, 0, 100, 500, 60, 0, 0) for i in range(n_bad)]
-    return spark.createDataFrame(rows, "lang string, quality int, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long")
-
-
-def test_cutoffs_are_certified(spark):
-    data = labelled(spark, 20_000, 50, "en", noise=3).unionAll(labelled(spark, 300, 50, None)).unionAll(labelled(spark, 20_000, 50, "fr", noise=200))
-    got = {(r.stratum, r.rule): r.cutoff for r in qr.cutoffs(data, "lang").collect()}
-    # 3 of 20,000 proves less than 0.2 %; 0 of 300 does not, nor does 1 %.
-    assert got == {("en", "symbols"): 0.5}
-    assert qr.cutoffs(data.limit(0), "lang").count() == 0
+def labelled(spark, stratum, good, bad, lost=(), caught=()):
+    """Trials of one stratum: ``lost`` and ``caught`` are the levels of good and bad documents that fall."""
+    rows = [(stratum, i, 1, lost[i] if i < len(lost) else None) for i in range(good)]
+    rows += [(stratum, 10 ** 6 + i, 0, caught[i] if i < len(caught) else None) for i in range(bad)]
+    return spark.createDataFrame(rows, "stratum string, doc_id long, quality int, level int")
+
+
+def test_levels_are_nested_and_reach_every_cutoff(spark):
+    for rule, (_, grid) in qr.RULES.items():
+        assert [qr.cutoff(rule, i) for i in range(1, len(grid) + 1)] == grid[::-1] and qr.cutoff(rule, 99) == grid[0]
+    rows = spark.createDataFrame([(100, 500, n, 0, 0) for n in (0, 3, 15, 250)] + [(0, 0, 9, 0, 0), (100, 450, 0, 0, 11), (100, 450, 0, 6, 0)],
+                                 "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long")
+    # 5 characters a word are caught by the strictest cutoffs of the short words only.
+    assert [r[0] for r in rows.select(qr.level()).collect()] == [8, 8, 6, 1, None, 7, 2]
+
+
+def test_levels_are_certified(spark):
+    data = labelled(spark, "en", 400, 30, lost=[3] * 4, caught=[2] * 10 + [3] * 10 + [4] * 10)
+    data = data.unionAll(labelled(spark, None, 30, 20, caught=[1] * 20)).unionAll(labelled(spark, "fr", 400, 20, lost=[2] * 40, caught=[1] * 3 + [5] * 10))
+    got = {r.stratum: (r.level, r.good_lost, r.bad_caught) for r in qr.certified(data).collect()}
+    # 4 of 400 prove less than 5 %; 0 of 30 do not; 40 of 400 end the series at level 2, whatever comes after.
+    assert got == {"en": (4, 4, 30), None: (0, 0, 0), "fr": (1, 0, 3)}
+    assert qr.certified(data.limit(0)).count() == 0
+    # An id is one trial, however often it comes: 30 good documents stay 30.
+    again = labelled(spark, "x", 30, 20, caught=[1] * 20)
+    for _ in range(4):
+        again = again.unionAll(again)
+    assert qr.certified(again).head()[1:4] == (30, 20, 0)
+
+
+def test_false_rejections_stay_below_the_limit(spark):
+    """Of strata whose true loss is above the limit at level 1, at most ``risk`` get a level: here none of 40 at once."""
+    import random
+
+    random.seed(11)
+    frames = None
+    rows = []
+    for s in range(40):
+        rows += [(f"s{s}", i, 1, 1 if random.random() < 0.06 else None) for i in range(500)] + [(f"s{s}", 10_000 + i, 0, 1) for i in range(50)]
+    frames = spark.createDataFrame(rows, "stratum string, doc_id long, quality int, level int")
+    assert qr.certified(frames).where("level > 0").count() == 0
+
+
+def test_a_level_is_in_use_and_decides(spark):
+    """On the test tables the method rejects documents that the base rules keep."""
+    from landledger.llm.common import table
+
+    folder = "/root/testdata/sf0.01"
+    documents, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    got = qr.judged(documents, labels).cache()
+    assert got.where("not base_failed and not kept").count() > 0
+    good = got.where("not base_failed").join(labels.where("quality = 1"), "doc_id")
+    assert good.where("not kept").count() <= 0.05 * good.count()
 
 
 def test_judged(spark):
