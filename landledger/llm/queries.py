@@ -9,12 +9,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from landledger.llm import (
+    divergence,
+    filter_audit,
     jaccard_join,
     licenses,
     mixing,
     pieces,
     quality_classifier,
     quality_rules,
+    sharding,
     suffix_dedup,
     token_counts,
     topk,
@@ -131,3 +134,18 @@ def op10_warc(spark: SparkSession, folder: str) -> DataFrame:
         warc.page_number("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
         warc.page_number("refers_to").alias("refers_to"),
     )
+
+
+@query(filter_audit.ORACLE)
+def op11_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    return filter_audit.audit(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query(divergence.ORACLE)
+def op12_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence.divergence(table(spark, folder, "documents"))
+
+
+@query(sharding.ORACLE)
+def op13_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    return sharding.sharded(table(spark, folder, "documents"))
