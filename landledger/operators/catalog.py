@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from graphlib import TopologicalSorter
 
 from pyspark.sql import DataFrame, SparkSession
@@ -158,14 +159,37 @@ def truncate_all(spark: SparkSession, database: str) -> list[str]:
 
 
 def replace_table(df: DataFrame, database: str, table: str) -> None:
-    """Truncate and reload: the table holds exactly ``df`` afterwards."""
-    df.write.mode("overwrite").format("parquet").saveAsTable(f"{database}.{table}")
+    """Truncate and reload: the table holds exactly ``df`` afterwards.
+
+    The rows are written to a table of their own first. If that fails, or ``df`` reads the table itself, the old rows are still there.
+    """
+    made = f"{table}__new_{uuid.uuid4().hex[:8]}"
+    try:
+        df.write.format("parquet").saveAsTable(f"{database}.{made}")
+    except Exception:
+        df.sparkSession.sql(f"DROP TABLE IF EXISTS {database}.`{made}`")
+        raise
+    swap(df.sparkSession, database, made, table)
 
 
 def swap(spark: SparkSession, database: str, new: str, old: str) -> None:
-    """Drop ``old`` and give its name to ``new``. Two catalog steps, not atomic."""
-    spark.sql(f"DROP TABLE IF EXISTS {database}.`{old}`")
-    spark.sql(f"ALTER TABLE {database}.`{new}` RENAME TO {database}.`{old}`")
+    """Give the name ``old`` to the table ``new``, and drop what had it.
+
+    Catalog steps, not atomic, but none loses rows: the old table is renamed aside, and comes back if the second rename fails.
+    Readers that must never miss a table read from a ``versions.Store``.
+    """
+    aside = f"{old}__old_{uuid.uuid4().hex[:8]}"
+    there = spark.catalog.tableExists(f"{database}.`{old}`")
+    if there:
+        spark.sql(f"ALTER TABLE {database}.`{old}` RENAME TO {database}.`{aside}`")
+    try:
+        spark.sql(f"ALTER TABLE {database}.`{new}` RENAME TO {database}.`{old}`")
+    except Exception:
+        if there:
+            spark.sql(f"ALTER TABLE {database}.`{aside}` RENAME TO {database}.`{old}`")
+        raise
+    if there:
+        spark.sql(f"DROP TABLE {database}.`{aside}`")
 
 
 def layers(spark: SparkSession, names=LAYERS) -> DataFrame:

@@ -9,15 +9,15 @@ from __future__ import annotations
 from collections.abc import Collection
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from landledger.functions import ids
-from landledger.operators import catalog
 from landledger.operators import entities as E
 from landledger.operators import keys as K
 from landledger.operators import quality as Q
 from landledger.operators.ordering import number_copies, number_rows
+from landledger.operators.versions import Store
 from landledger.session import materialize
 
 
@@ -220,27 +220,17 @@ def violations(spine: Spine) -> DataFrame:
     return E.union_standard(parts, ["rule", "n"]).where("n > 0")
 
 
-def publish(spine: Spine, database: str) -> list[str]:
-    """Replace the spine tables of ``database`` once every check is clean: the crosswalk first, then parents before children.
+def publish(spine: Spine, store: Store) -> int:
+    """Publish the spine's tables as one version once every check is clean; returns its number.
 
-    The crosswalk only grows, so a run that ends half way leaves no id that a later run would give to another plot. Read it back
-    with ``published_crosswalk`` for the next build.
+    New rows of the crosswalk are appended first. A run that ends half way leaves the version before it in place, and ids that
+    the next run finds in ``store.crosswalk()``, so no id moves. A crosswalk that grew since the build is a ``Conflict``: build again.
     """
     broken = {row["rule"]: row["n"] for row in violations(spine).collect()}
     if broken:
         raise ValueError(f"not published: {broken}")
-    tables = {
-        "parcel_xref": spine.crosswalk, "parcel": spine.parcel, "building": spine.building, "unit": spine.unit,
-        "municipal_parcel_id_mapping": spine.mapping, "exclusion_log": spine.feeds().where("route <> 'loaded'"),
-        "secondary_owner_log": spine.secondary_owners,
-    }
-    for name, df in tables.items():
-        catalog.replace_table(df, database, name)
-    return list(tables)
-
-
-def published_crosswalk(spark: SparkSession, database: str) -> DataFrame:
-    """The crosswalk of the last publication; empty before the first."""
-    if not spark.catalog.tableExists(f"{database}.parcel_xref"):
-        return K.empty_crosswalk(spark)
-    return materialize(spark.table(f"{database}.parcel_xref"), "published-crosswalk")
+    store.append(spine.crosswalk)
+    return store.publish({
+        "parcel": spine.parcel, "building": spine.building, "unit": spine.unit, "municipal_parcel_id_mapping": spine.mapping,
+        "exclusion_log": spine.feeds().where("route <> 'loaded'"), "secondary_owner_log": spine.secondary_owners,
+    })

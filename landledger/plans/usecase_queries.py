@@ -4,13 +4,16 @@ from __future__ import annotations
 
 import dataclasses
 
+from pyspark.errors import SparkRuntimeException
 from pyspark.sql import functions as F
 
+from landledger.functions import ids
 from landledger.operators import keys as K
 from landledger.operators import quality as Q
+from landledger.operators.versions import Store
 from landledger.plans import owners, spine, usecases
 from landledger.plans.registry import query
-from landledger.session import materialize
+from landledger.session import scratch_path
 
 
 @query("""
@@ -230,23 +233,56 @@ def spine_reconciliation(t):
     FROM (SELECT l_orderkey, row_number() OVER (ORDER BY l_orderkey % 2, l_orderkey::VARCHAR) AS seq FROM x)""")
 def spine_republished(t):
     """Published for part of the plots, then for all: the plots of the first time keep their ids."""
-    import uuid
-
-    from landledger.operators import catalog
-    from landledger.session import scratch_path
-
-    database = f"current_{uuid.uuid4().hex[:12]}"
-    catalog.create_layer(t.spark, database, scratch_path(t.spark, "current"))
-    spine.publish(_spine(t, only="handle % 2 = 0"), database)
-    first = t.spark.table(f"{database}.municipal_parcel_id_mapping").select("municpal_parcel_id", F.col("parcel_id").alias("was"))
-    first = materialize(first, "first-mapping")
-    spine.publish(_spine(t, spine.published_crosswalk(t.spark, database)), database)
-    again = materialize(t.spark.table(f"{database}.municipal_parcel_id_mapping"), "second-mapping")
-    t.spark.sql(f"DROP DATABASE {database} CASCADE")
-    joined = again.join(first, "municpal_parcel_id", "left")
+    store = Store(t.spark, scratch_path(t.spark, "published"))
+    spine.publish(_spine(t, only="handle % 2 = 0"), store)
+    spine.publish(_spine(t, store.crosswalk()), store)
+    first = store.read("municipal_parcel_id_mapping", 1).select("municpal_parcel_id", F.col("parcel_id").alias("was"))
+    joined = store.read("municipal_parcel_id_mapping").join(first, "municpal_parcel_id", "left")
     return joined.select("parcel_id", "municpal_parcel_id", F.coalesce(F.col("parcel_id") != F.col("was"), F.lit(False)).alias("moved"))
 
 
+@query("""
+    WITH x AS (SELECT c_custkey, c_nationkey, c_name, printf('840.%05d.%06d.0000.00000', c_nationkey, row_number() OVER (
+        PARTITION BY c_nationkey ORDER BY c_mktsegment <> 'BUILDING', c_name)) AS id FROM customer),
+    o AS (SELECT o_custkey, count(*) AS n_orders FROM orders GROUP BY o_custkey)
+    SELECT id AS parcel_id, c_name AS municpal_parcel_id, coalesce(n_orders, 0) AS n_orders, c_mktsegment = 'BUILDING' AS in_between, false AS moved,
+           c_mktsegment = 'BUILDING' AS first_time, true AS whole_between FROM x JOIN customer USING (c_custkey, c_name) LEFT JOIN o ON o_custkey = c_custkey""")
+def publication_survives_failure(t):
+    """A publication that fails half way, between two that do not: ids stay, and the old set is whole in between.
+
+    The first covers one segment of the customers. The second mints the others and dies in its last table. Then it is run again.
+    """
+    store = Store(t.spark, scratch_path(t.spark, "published"))
+    counted = t.customer.join(t.orders.groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.count(F.lit(1)).alias("n_orders")), "c_custkey", "left")
+
+    def tables(customers):
+        crosswalk = store.mint(K.native_refs(customers, "c_nationkey", "c_name"))
+        parcel = K.lookup(customers, crosswalk, F.col("c_nationkey"), "c_name", "seq").select(
+            ids.global_id(840, "c_nationkey", "seq").alias("parcel_id"), F.coalesce("n_orders", F.lit(0)).alias("n_orders"),
+        )
+        return {"municipal_parcel_id_mapping": K.municipal_mapping(crosswalk, 840, "region"), "parcel": parcel}
+
+    def published():
+        return store.read("municipal_parcel_id_mapping").join(store.read("parcel"), "parcel_id")
+
+    store.publish(tables(counted.where("c_mktsegment = 'BUILDING'")))
+    first = published().select("municpal_parcel_id", F.col("parcel_id").alias("was"))
+    n_first = first.count()
+    second = tables(counted)
+    try:
+        store.publish(second | {"parcel": second["parcel"].where(F.col("n_orders") < F.raise_error(F.lit("the disk is full")).cast("bigint"))})
+    except SparkRuntimeException:
+        pass
+    between = published().select("municpal_parcel_id", F.lit(True).alias("in_between"))
+    whole = store.current().number == 1 and between.count() == n_first
+    store.publish(tables(counted))
+    joined = published().join(first, "municpal_parcel_id", "left").join(between, "municpal_parcel_id", "left")
+    return joined.select(
+        "parcel_id", "municpal_parcel_id", "n_orders", F.coalesce("in_between", F.lit(False)).alias("in_between"),
+        F.coalesce(F.col("parcel_id") != F.col("was"), F.lit(False)).alias("moved"), F.col("was").isNotNull().alias("first_time"), F.lit(whole).alias("whole_between"),
+    )
+
+
 # --- owners --------------------------------------------------------------------------------------
 
 def _owner_tables(t):

@@ -7,6 +7,7 @@ from landledger.functions import ids
 from landledger.operators import entities as E
 from landledger.operators import keys as K
 from landledger.operators import quality as Q
+from landledger.operators.versions import Store
 from landledger.plans import owners, spine, usecases
 
 
@@ -175,16 +176,14 @@ def test_ids_follow_the_hierarchy(city):
     assert linked.isEmpty()
 
 
-def test_publish(spark, city):
-    from landledger.operators import catalog
-
-    catalog.create_layer(spark, "published_t")
-    assert "unit" in spine.publish(city, "published_t")
-    assert spark.table("published_t.unit").count() == 6 and spark.table("published_t.exclusion_log").count() == 3
+def test_publish(spark, city, tmp_path):
+    store = Store(spark, str(tmp_path / "published"))
+    assert spine.publish(city, store) == 1 and "unit" in store.current().tables
+    assert store.read("unit").count() == 6 and store.read("exclusion_log").count() == 3
     broken = dataclasses.replace(city, parcel=city.parcel.where("handle <> '100'"))
     with pytest.raises(ValueError, match="fk building.parcel_id"):
-        spine.publish(broken, "published_t")
-    spark.sql("drop database published_t cascade")
+        spine.publish(broken, store)
+    assert store.current().number == 1
 
 
 def test_owner_ids_survive_a_rerun(spark):
