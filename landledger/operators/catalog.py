@@ -8,6 +8,8 @@ from graphlib import TopologicalSorter
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from landledger.operators import loading
+
 # Table and column names and types of the normalized model; the key comes first.
 COLUMNS = {
     "parcel": "parcel_id int, county string, owner_id int, ward int, neighborhood string, zip_code int, "
@@ -205,14 +207,12 @@ def tables(spark: SparkSession, database: str) -> DataFrame:
     return spark.createDataFrame(rows, "schemaname string, tablename string")
 
 
-def integrity(frames: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """Violations of every key among the given tables, by rule name; load only if all are empty."""
-    from landledger.operators.quality import fk_violations, pk_violations
+def integrity(frames: dict[str, DataFrame]) -> DataFrame:
+    """(rule, key, n_rows) of all violations of the given tables' keys, in one shuffle; load only if there is none."""
+    return loading.integrity_violations(frames, {t: primary_key(t) for t in frames}, FOREIGN_KEYS)
+
 
-    found = {f"pk {t}": pk_violations(df, [primary_key(t)]) for t, df in frames.items()}
-    for child, column, parent in FOREIGN_KEYS:
-        if child in frames and parent in frames:
-            found[f"fk {child}.{column}"] = fk_violations(
-                frames[child], frames[parent], [(column, primary_key(parent))]
-            )
-    return found
+def load_in_order(routed: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Routed tables, parents first, with what their lost parents take along; see ``loading.cascade``."""
+    found = loading.cascade(routed, {t: primary_key(t) for t in routed}, FOREIGN_KEYS)
+    return {t: found[t] for t in build_order() if t in found}

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from landledger.operators import catalog, loading
 from landledger.operators import quality as Q
 from landledger.operators.typing import infer_types
 from landledger.plans.registry import query
@@ -164,3 +165,117 @@ def decode_health(t):
     kind = F.col("p_partkey") % 6
     title = F.when(kind == 1, "None").when(kind == 2, " ").when(kind == 3, F.lit(None)).otherwise(F.col("p_name"))
     return Q.decode_health(t.part.select(F.col("p_type").alias("vocabulary"), title.alias("title")), "vocabulary", "title")
+
+
+# --- keys and rejects of tables that refer to each other -----------------------------------------------------------------------
+
+_LINKS = [
+    ("nation", "n_regionkey", "region"), ("customer", "c_nationkey", "nation"), ("supplier", "s_nationkey", "nation"), ("orders", "o_custkey", "customer"),
+    ("lineitem", "l_orderkey", "orders"), ("lineitem", "l_partkey", "part"), ("lineitem", "l_suppkey", "supplier"),
+]
+_KEYS = {"region": "r_regionkey", "nation": "n_nationkey", "customer": "c_custkey", "supplier": "s_suppkey", "part": "p_partkey", "orders": "o_orderkey", "lineitem": "l_orderkey"}
+
+
+def _feed_routes(t):
+    """Eight tables with what is wrong with their own rows; part has no row for some numbers that are used."""
+    def routed(df, excluded=(), rejected=()):
+        return Q.route(df, [(why, F.expr(when)) for why, when in excluded], [(why, F.expr(when)) for why, when in rejected])
+
+    return {
+        "lineitem": routed(t.lineitem, rejected=[("too many", "l_quantity > 49")]), "orders": routed(t.orders, excluded=[("pending", "o_orderstatus = 'P'")]),
+        "customer": routed(t.customer, rejected=[("overdrawn", "c_acctbal < -900")]), "supplier": routed(t.supplier), "nation": routed(t.nation),
+        "part": routed(t.part.where("p_partkey % 40 <> 7"), rejected=[("no size", "p_size < 3")]), "region": routed(t.region, excluded=[("out of scope", "r_name = 'AFRICA'")]),
+    }
+
+
+def _lost_sql(name, source, key, own, links):
+    """A table's rows with route, reason and root: ``own`` is (route, reason, condition), ``links`` are (column, table, alias)."""
+    joins = " ".join(f"LEFT JOIN (SELECT k, min({{'o': o, 'route': route, 'root': root}}) AS m FROM {parent} GROUP BY k) p{i} ON {column} = p{i}.k" for i, (column, _, parent) in enumerate(links))
+    lost = [f"WHEN {column} IS NOT NULL AND coalesce(p{i}.m.route, 'missing') <> 'loaded' THEN" for i, (column, *_) in enumerate(links)]
+    reasons = [f"'{column}: {table} ' || coalesce(p{i}.m.route, 'missing')" for i, (column, table, _) in enumerate(links)]
+    route, why, when = own
+    return f"""{name} AS (SELECT k, route, reason, root, CASE route WHEN 'loaded' THEN 1 WHEN 'excluded' THEN 2 ELSE 3 END AS o FROM (SELECT {key} AS k,
+        CASE WHEN {when} THEN '{route}' {' '.join(f"{c} CASE WHEN p{i}.m.route = 'excluded' THEN 'excluded' ELSE 'rejected' END" for i, c in enumerate(lost))} ELSE 'loaded' END AS route,
+        CASE WHEN {when} THEN '{why}' {' '.join(f"{c} {reasons[i]}" for i, c in enumerate(lost))} END AS reason,
+        CASE WHEN {when} THEN '{why}' {' '.join(f"{c} coalesce(p{i}.m.root, {reasons[i]})" for i, c in enumerate(lost))} END AS root
+        FROM {source} {joins}))"""
+
+
+_REJECTS_SQL = "WITH " + ", ".join([
+    _lost_sql("r", "region", "r_regionkey", ("excluded", "out of scope", "r_name = 'AFRICA'"), []),
+    _lost_sql("n", "nation", "n_nationkey", ("rejected", "", "false"), [("n_regionkey", "region", "r")]),
+    _lost_sql("c", "customer", "c_custkey", ("rejected", "overdrawn", "c_acctbal < -900"), [("c_nationkey", "nation", "n")]),
+    _lost_sql("s", "supplier", "s_suppkey", ("rejected", "", "false"), [("s_nationkey", "nation", "n")]),
+    _lost_sql("p", "(SELECT * FROM part WHERE p_partkey % 40 <> 7)", "p_partkey", ("rejected", "no size", "p_size < 3"), []),
+    _lost_sql("o", "orders", "o_orderkey", ("excluded", "pending", "o_orderstatus = 'P'"), [("o_custkey", "customer", "c")]),
+    _lost_sql("l", "lineitem", "l_orderkey", ("rejected", "too many", "l_quantity > 49"), [("l_orderkey", "orders", "o"), ("l_partkey", "part", "p"), ("l_suppkey", "supplier", "s")]),
+]) + ", f AS (" + " UNION ALL ".join(f"SELECT '{t}' AS feed, route, reason, root FROM {a}" for t, a in [
+    ("region", "r"), ("nation", "n"), ("customer", "c"), ("supplier", "s"), ("part", "p"), ("orders", "o"), ("lineitem", "l")]) + ")"
+
+
+def _settled(t):
+    found = loading.cascade(_feed_routes(t), _KEYS, _LINKS)
+    return loading.union_standard([df.select(F.lit(name).alias("feed"), "route", "reason", "root") for name, df in found.items()], ["feed", "route", "reason", "root"])
+
+
+@query(f"{_REJECTS_SQL} SELECT feed, route, reason, root, count(*) AS n FROM f GROUP BY ALL")
+def load_order_rejects(t):
+    """Rows that go with their parents, over a graph of seven tables: each with its first lost parent and the reason at the top."""
+    return _settled(t).groupBy("feed", "route", "reason", "root").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(f"""{_REJECTS_SQL}
+    SELECT feed, count(*) FILTER (route = 'loaded') AS loaded, count(*) FILTER (route = 'excluded') AS excluded, count(*) FILTER (route = 'rejected') AS rejected,
+           count(*) AS source, true AS balanced FROM f GROUP BY feed""")
+def load_order_reconciliation(t):
+    return Q.reconcile(_settled(t), "feed")
+
+
+def _planted(t):
+    """Ten of the normalized tables, with keys that repeat, are missing, or refer to nothing."""
+    line, customer = t.lineitem, t.customer
+    building = F.expr("l_orderkey * 8 + l_linenumber")
+    return {
+        "address": customer.where("c_custkey % 50 <> 3").select(F.col("c_custkey").alias("address_id")),
+        "legal_entity": customer.select(F.col("c_custkey").alias("legal_entity_id"), F.col("c_custkey").alias("address_id")),
+        "zoning_class": t.nation.select(F.when(F.col("n_nationkey") != 4, F.col("n_nationkey")).alias("zoning_class_id")),
+        "use_type": t.part.where("p_partkey <= 40").select(F.col("p_partkey").alias("use_type_id")),
+        "parcel": t.orders.where("o_orderkey % 11 <> 5").select(
+            F.col("o_orderkey").alias("parcel_id"), F.col("o_custkey").alias("owner_id"), F.expr("if(o_orderstatus = 'F', o_custkey % 30, null)").alias("zoning_class_id")),
+        "building": line.select(
+            building.alias("building_id"), F.col("l_orderkey").alias("parcel_id"), F.lit(None).cast("bigint").alias("owner_id"), (F.col("l_suppkey") % 45).alias("use_type_id")),
+        "inspection": t.events.where("event_type = 'view'").select(
+            F.col("event_id").alias("inspection_id"), F.expr("user_id * 8 + 1").alias("building_id"), F.lit(None).cast("bigint").alias("inspection_type_id")),
+        "condemnation": t.events.where("event_type = 'click'").select(F.col("event_id").alias("condemnation_id"), (F.col("event_id") + 1).alias("inspection_id")),
+        "tax_delinquency": t.events.where("event_type = 'purchase'").select(F.col("event_id").alias("tax_delinquency_id"), (F.col("user_id") + 7).alias("legal_entity_id")),
+        "inspection_type": t.region.select(F.col("r_regionkey").alias("inspection_type_id")),
+    }
+
+
+@query("""
+    WITH address AS (SELECT c_custkey AS k FROM customer WHERE c_custkey % 50 <> 3), entity AS (SELECT c_custkey AS k FROM customer),
+    zoning AS (SELECT CASE WHEN n_nationkey <> 4 THEN n_nationkey END AS k FROM nation), use AS (SELECT p_partkey AS k FROM part WHERE p_partkey <= 40),
+    parcel AS (SELECT o_orderkey AS k, o_custkey AS owner, CASE WHEN o_orderstatus = 'F' THEN o_custkey % 30 END AS zoning FROM orders WHERE o_orderkey % 11 <> 5),
+    building AS (SELECT l_orderkey * 8 + l_linenumber AS k, l_orderkey AS parcel, l_suppkey % 45 AS use FROM lineitem),
+    inspection AS (SELECT event_id AS k, user_id * 8 + 1 AS building FROM events WHERE event_type = 'view'),
+    condemnation AS (SELECT event_id AS k, event_id + 1 AS inspection FROM events WHERE event_type = 'click'),
+    tax AS (SELECT event_id AS k, user_id + 7 AS entity FROM events WHERE event_type = 'purchase'),
+    u AS (
+        SELECT 'pk address' AS rule, k FROM address GROUP BY k HAVING count(*) > 1 OR k IS NULL UNION ALL SELECT 'pk legal_entity', k FROM entity GROUP BY k HAVING count(*) > 1 OR k IS NULL)
+    SELECT 'pk zoning_class' AS rule, k::VARCHAR AS key, count(*) AS n_rows FROM zoning GROUP BY k HAVING count(*) > 1 OR k IS NULL
+    UNION ALL SELECT rule, k::VARCHAR, 2 FROM u
+    UNION ALL SELECT 'pk building', k::VARCHAR, count(*) FROM building GROUP BY k HAVING count(*) > 1
+    UNION ALL SELECT 'pk inspection', k::VARCHAR, count(*) FROM inspection GROUP BY k HAVING count(*) > 1
+    UNION ALL SELECT 'pk condemnation', k::VARCHAR, count(*) FROM condemnation GROUP BY k HAVING count(*) > 1
+    UNION ALL SELECT 'pk tax_delinquency', k::VARCHAR, count(*) FROM tax GROUP BY k HAVING count(*) > 1
+    UNION ALL SELECT 'fk legal_entity.address_id', k::VARCHAR, count(*) FROM entity WHERE k NOT IN (SELECT k FROM address) GROUP BY k
+    UNION ALL SELECT 'fk parcel.owner_id', owner::VARCHAR, count(*) FROM parcel WHERE owner NOT IN (SELECT k FROM entity) GROUP BY owner
+    UNION ALL SELECT 'fk parcel.zoning_class_id', zoning::VARCHAR, count(*) FROM parcel WHERE NOT EXISTS (SELECT 1 FROM zoning z WHERE z.k = zoning) AND zoning IS NOT NULL GROUP BY zoning
+    UNION ALL SELECT 'fk building.parcel_id', parcel::VARCHAR, count(*) FROM building WHERE parcel NOT IN (SELECT k FROM parcel) GROUP BY parcel
+    UNION ALL SELECT 'fk building.use_type_id', use::VARCHAR, count(*) FROM building WHERE use NOT IN (SELECT k FROM use) GROUP BY use
+    UNION ALL SELECT 'fk inspection.building_id', building::VARCHAR, count(*) FROM inspection WHERE building NOT IN (SELECT k FROM building) GROUP BY building
+    UNION ALL SELECT 'fk condemnation.inspection_id', inspection::VARCHAR, count(*) FROM condemnation WHERE inspection NOT IN (SELECT k FROM inspection) GROUP BY inspection
+    UNION ALL SELECT 'fk tax_delinquency.legal_entity_id', entity::VARCHAR, count(*) FROM tax WHERE entity NOT IN (SELECT k FROM entity) GROUP BY entity""")
+def current_integrity(t):
+    """Violations of ten primary and ten foreign keys, found in one aggregate."""
+    return catalog.integrity(_planted(t))

@@ -16,6 +16,7 @@ from landledger.functions import ids
 from landledger.operators import entities as E
 from landledger.operators import keys as K
 from landledger.operators import quality as Q
+from landledger.operators.loading import integrity_violations
 from landledger.operators.ordering import number_copies, number_rows
 from landledger.operators.versions import Store
 from landledger.session import materialize
@@ -202,13 +203,11 @@ def build(feeds: Feeds, crosswalk: DataFrame, where: Region, not_real_estate: Co
 
 
 def checks(spine: Spine) -> dict[str, DataFrame]:
-    """Violations by rule; all must be empty before the tables are published."""
+    """Violations by check; all must be empty before the tables are published. ``keys`` holds those of all keys, with their rule."""
+    tables = {"parcel": spine.parcel, "building": spine.building, "unit": spine.unit}
+    links = [("building", "parcel_id", "parcel"), ("unit", "building_id", "building")]
     return {
-        "pk parcel": Q.pk_violations(spine.parcel, ["parcel_id"]),
-        "pk building": Q.pk_violations(spine.building, ["building_id"]),
-        "pk unit": Q.pk_violations(spine.unit, ["unit_id"]),
-        "fk building.parcel_id": Q.fk_violations(spine.building, spine.parcel, [("parcel_id", "parcel_id")]),
-        "fk unit.building_id": Q.fk_violations(spine.unit, spine.building, [("building_id", "building_id")]),
+        "keys": integrity_violations(tables, {t: f"{t}_id" for t in tables}, links),
         "building without unit": E.buildings_without_units(spine.building, spine.unit, ["building_id"]),
         "crosswalk": K.crosswalk_violations(spine.crosswalk),
     }
@@ -216,7 +215,9 @@ def checks(spine: Spine) -> dict[str, DataFrame]:
 
 def violations(spine: Spine) -> DataFrame:
     """(rule, n): the rules that are broken, with the number of their violations."""
-    parts = [bad.groupBy().agg(F.count(F.lit(1)).alias("n")).select(F.lit(rule).alias("rule"), "n") for rule, bad in checks(spine).items()]
+    found = checks(spine)
+    parts = [bad.groupBy().agg(F.count(F.lit(1)).alias("n")).select(F.lit(rule).alias("rule"), "n") for rule, bad in found.items() if rule != "keys"]
+    parts.append(found["keys"].groupBy("rule").agg(F.count(F.lit(1)).alias("n")))
     return E.union_standard(parts, ["rule", "n"]).where("n > 0")
 
 
