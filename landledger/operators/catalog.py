@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 from graphlib import TopologicalSorter
 
 from pyspark.sql import DataFrame, SparkSession
@@ -126,10 +127,27 @@ def create_layer(spark: SparkSession, name: str, location: str | None = None) ->
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}{where}")
 
 
-def reset_layer(spark: SparkSession, name: str, location: str | None = None) -> None:
-    """Drop a layer with all its tables and create it empty. Meant for staging only."""
-    spark.sql(f"DROP DATABASE IF EXISTS {name} CASCADE")
-    create_layer(spark, name, location)
+def location(spark: SparkSession, database: str) -> str:
+    """The folder of a database."""
+    return spark.catalog.getDatabase(database).locationUri.rstrip("/")
+
+
+def reset_layer(spark: SparkSession, name: str, location_uri: str | None = None) -> None:
+    """Drop a layer with all its tables, and the folders of its loads, and create it empty. Meant for staging only."""
+    if spark.catalog.databaseExists(name):
+        loads = spark._jvm.org.apache.hadoop.fs.Path(f"{location(spark, name)}/_loads")
+        spark.sql(f"DROP DATABASE {name} CASCADE")
+        loads.getFileSystem(spark._jsc.hadoopConfiguration()).delete(loads, True)
+    create_layer(spark, name, location_uri)
+
+
+def point_to(spark: SparkSession, database: str, table: str, names: Sequence[str], folder: str) -> None:
+    """A table of text columns over a folder that is already written; what had its name before is dropped, not its files."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(path)
+    columns = ", ".join(f"`{name}` STRING" for name in names)
+    spark.sql(f"DROP TABLE IF EXISTS {database}.`{table}`")
+    spark.sql(f"CREATE TABLE {database}.`{table}` ({columns}) USING parquet LOCATION '{folder}'")
 
 
 def create_all(spark: SparkSession, database: str = "current", text_ids: bool = False) -> None:

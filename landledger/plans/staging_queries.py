@@ -13,19 +13,42 @@ from landledger.session import scratch_path
 from landledger.sources import csvfiles, landing
 
 
+TABLES = (
+    "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
+)
+
+
 def _land(t, *names: str) -> str:
     """Spill tables to one snapshot folder, a ``<name>.csv`` folder each."""
     base = scratch_path(t.spark, "landing") + "/2024_01_31_00_00_00"
     for name in names:
-        csvfiles.write_csv(getattr(t, name), f"{base}/{name}.csv")
+        table = getattr(t, name)
+        csvfiles.write_csv(table.select(*[F.col(c).cast("string") if kind.startswith("array") else F.col(c) for c, kind in table.dtypes]), f"{base}/{name}.csv")
     return base
 
 
-@query("""
-    SELECT 'customer' AS "table", 'loaded' AS status, count(*) AS "rows" FROM customer UNION ALL SELECT 'orders', 'loaded', count(*) FROM orders
-    UNION ALL SELECT 'documents', 'loaded', count(*) FROM documents UNION ALL SELECT 'conversations', 'loaded', count(*) FROM conversations""")
+def _land_broken(t, base: str) -> None:
+    """Customers four times more: rows too long, rows too short, a quote that stays open, and parts with unlike headers."""
+    key = F.col("c_custkey")
+    first = t.customer.agg(F.min("c_custkey")).head()[0]
+    faults = {
+        "long": F.when(key % 100 == 50, F.concat(key, F.lit(',"x, y",z'))), "short": F.when(key % 100 == 50, key.cast("string")),
+        "open": F.when(key == first, F.concat(key, F.lit(',"x'))),
+    }
+    header = t.spark.createDataFrame([("c_custkey,c_name",)], "value string")
+    for name, fault in faults.items():
+        lines = t.customer.select(F.coalesce(fault, F.concat_ws(",", "c_custkey", "c_name")).alias("value"))
+        header.unionByName(lines).coalesce(1).write.text(f"{base}/{name}_customer.csv")
+    for columns in (["c_custkey", "c_name"], ["c_name", "c_custkey"]):
+        t.customer.select(*columns).write.mode("append").csv(f"{base}/unlike_customer.csv", header=True)
+
+
+@query(" UNION ALL ".join(f"SELECT '{name}' AS \"table\", 'loaded' AS status, count(*) AS \"rows\" FROM {name}" for name in TABLES)
+       + " UNION ALL SELECT unnest(['long_customer', 'short_customer', 'open_customer', 'unlike_customer']), unnest(['refused', 'failed', 'failed', 'failed']), NULL::BIGINT")
 def staging_load(t):
-    base = _land(t, "customer", "orders", "documents", "conversations")
+    """All tables through the staging load, beside files that must not get in."""
+    base = _land(t, *TABLES)
+    _land_broken(t, base)
     base = landing.newest_landing(t.spark, base.rsplit("/", 1)[0])
     database = f"staging_{uuid.uuid4().hex[:12]}"
     catalog.reset_layer(t.spark, database, scratch_path(t.spark, "staging"))

@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
+import csv
+import uuid
 from collections import Counter
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 
-from py4j.protocol import Py4JJavaError
-from pyspark.errors import PySparkException
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from landledger.functions.names import clean_headers, clean_table, require_safe
 from landledger.operators import catalog
+from landledger.session import materialize, scratch_path
+from landledger.sources import csvscan
 from landledger.sources.landing import list_landing
 
 MAX_COLUMNS = "20000"
@@ -146,35 +149,67 @@ def record_lines(spark: SparkSession, path: str) -> DataFrame:
     return records.where("record <> ''")
 
 
-def _fields_in(record: str) -> Column:
-    """Number of fields of a raw record; quoted fields are set aside before commas are counted.
+@dataclass(frozen=True)
+class Survey:
+    """What one pass over the text of many files has found: a row per landed table, and how splits begin."""
 
-    The possessive pattern runs in constant stack space however long the field is.
+    tables: DataFrame
+    splits: DataFrame
+    files: DataFrame
+
+
+def survey(spark: SparkSession, path: str, units: DataFrame | None = None) -> Survey:
+    """One scan of all CSVs below ``path``.
+
+    ``tables``: (path, table, header, blank, width, n_fields, n_open, n_heads, records, long_rows, ragged_rows) per landed table. ``width``
+    is that of the header or the first data row, whichever is larger; ``ragged_rows`` do not have the header's ``n_fields``.
     """
-    bare = F.regexp_replace(record, '(?<=^|,)"[^"]*+(?:""[^"]*+)*+"', "")
-    return F.length(bare) - F.length(F.translate(bare, ",", "")) + 1
+    units = landed_files(spark, path) if units is None else units
+    units = materialize(units.withColumn("file", F.xxhash64(F.regexp_replace("file_path", "^file:/+", "file:/"))), "landed-files")
+    found = scratch_path(spark, "csv-summary")
+    csvscan.summarised(csvscan.lines(csvscan.steady(spark), path)).write.parquet(found)
+    splits, files = csvscan.chained(spark.read.schema(csvscan.SUMMARY).parquet(found))
+    splits = materialize(splits, "csv-splits")
+    each = materialize(units.join(files, "file", "left"), "csv-files")
+    rows = each.select("path", F.explode("counts").alias("fields", "n")).unionByName(
+        each.where("first is not null").select("path", F.col("first").alias("fields"), F.lit(-1).cast("long").alias("n"))
+    ).groupBy("path", "fields").agg(F.sum("n").alias("n"))
+    width = F.greatest(F.max("first"), F.min_by("second", "file_path"))
+    tables = each.groupBy("path", "table").agg(
+        F.max("header").alias("header"), F.coalesce(F.bool_or("blank"), F.lit(False)).alias("blank"), width.cast("int").alias("width"), F.max("first").cast("int").alias("n_fields"),
+        F.count_if("open").alias("n_open"), F.count_distinct("header").alias("n_heads"), F.coalesce(F.sum(F.greatest(F.col("records") - 1, F.lit(0))), F.lit(0)).alias("records"),
+    )
+    counts = tables.join(rows, "path").groupBy("path").agg(
+        F.coalesce(F.sum(F.when(F.col("fields") > F.col("width"), F.col("n"))), F.lit(0)).alias("long_rows"),
+        F.coalesce(F.sum(F.when(F.col("fields") != F.col("n_fields"), F.col("n"))), F.lit(0)).alias("ragged_rows"),
+    )
+    return Survey(materialize(tables.join(counts, "path", "left").na.fill(0, ["long_rows", "ragged_rows"]), "csv-tables"), splits, each)
+
+
+def _refusal(row: Row) -> str | None:
+    """Why a surveyed file can't be read as records at all."""
+    if row["n_open"]:
+        return f"a quote is never closed in {row['n_open']} file(s) of {row['path']}"
+    if row["header"] is None or row["blank"]:
+        return f"No header row found in {row['path']}"
+    if row["n_heads"] > 1:
+        return f"headers differ between the files of {row['path']}"
+    return None
 
 
 def gate_csv(spark: SparkSession, path: str) -> DataFrame:
     """One row: (path, ok, width, long_rows). Rows with extra fields fail the file, short rows do not.
 
-    As in the reader this stands for, the width is that of the header or of the first data row,
-    whichever is larger. Bytes that are not UTF-8 are replaced. An empty file fails.
+    As in the reader this stands for, the width is that of the header or of the first data row, whichever is larger. Bytes that are
+    not UTF-8 are replaced. A file without a header fails; one with an open quote, or parts with unlike headers, raises. One scan.
     """
-    try:
-        width = len(read_headers(spark, path))
-    except ValueError:
-        return spark.createDataFrame([(path, False, 0, 0)], "path string, ok boolean, width int, long_rows bigint")
-    if has_line_breaks_in_quotes(spark, path):
-        records = record_lines(spark, path).select("record_no", _fields_in("record").alias("n"))
-        first = records.where("record_no > 1").orderBy("record_no").limit(1)
-    else:
-        records = spark.read.text(path).where("value <> ''").select(_fields_in("value").alias("n"))
-        first = spark.createDataFrame(records.head(2)[1:], records.schema)
-    width = max([width, *(row["n"] for row in first.collect())])
-    return records.agg(F.count_if(F.col("n") > width).alias("long_rows")).select(
-        F.lit(path).alias("path"), (F.col("long_rows") == 0).alias("ok"), F.lit(width).alias("width"), "long_rows"
-    )
+    files = list_landing(spark, path).where(~_hidden()).select(F.lit(path).alias("path"), F.lit("").alias("table"), F.col("path").alias("file_path"))
+    found = survey(spark, path, files).tables.head()
+    why = _refusal(found) if found else "empty"
+    if why and found and found["header"] is not None and not found["blank"]:
+        raise ValueError(why)
+    row = (path, False, 0, 0) if why else (path, found["long_rows"] == 0, found["width"], found["long_rows"])
+    return spark.createDataFrame([row], "path string, ok boolean, width int, long_rows bigint")
 
 
 def drop_index_column(df: DataFrame) -> DataFrame:
@@ -212,46 +247,106 @@ def write_csv(df: DataFrame, path: str) -> None:
                                    ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
 
 
-def _cause(error: Exception) -> str:
-    """The innermost message of a failure, on one line."""
-    causes = [line for line in str(error).splitlines() if line.startswith("Caused by: ")]
-    return (causes[-1].removeprefix("Caused by: ") if causes else str(error).splitlines()[0])[:300]
+def _hidden() -> Column:
+    return F.substring("name", 1, 1).isin("_", ".")
 
 
-def landed_tables(spark: SparkSession, path: str) -> DataFrame:
-    """(path, table) per landed table: a CSV file, or a folder named ``*.csv`` with its part files."""
-    files = list_landing(spark, path)
+def landed_files(spark: SparkSession, path: str) -> DataFrame:
+    """(file_path, path, table) per file: ``path`` is the landed table, a CSV file or a folder named ``*.csv`` with its part files."""
     folder = F.regexp_extract("path", r"(?i)^(.*?[.]csv)/[^/]+$", 1)
     unit = F.when(folder != "", folder).when(F.lower("name").endswith(".csv"), F.col("path"))
-    hidden = F.substring("name", 1, 1).isin("_", ".")
-    units = files.where(~hidden).select(unit.alias("path")).dropna().distinct()
-    return units.withColumn("table", clean_table("path"))
+    files = list_landing(spark, path).where(~_hidden()).select(F.col("path").alias("file_path"), unit.alias("path")).where("path is not null")
+    return files.withColumn("table", clean_table("path"))
+
+
+def landed_tables(spark: SparkSession, path: str) -> DataFrame:
+    """(path, table) per landed table."""
+    return landed_files(spark, path).select("path", "table").distinct()
+
+
+# Columns beside those of a table while it is loaded; no cleaned name has such a letter.
+_TABLE, _PART, _BLOCK, _PIECE, _RECORD, _BAD = "@table", "@part", "@block", "@piece", "@record", "@bad"
+
+
+def _parsed(rows: DataFrame, names: list[str]) -> DataFrame:
+    """Records to text columns by position; a record that Spark's reader takes for a different number of fields keeps its text."""
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in (*names, _BAD)])
+    options = {**_OPTIONS, "multiLine": "true", "mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BAD}
+    whole = F.col("piece").isNull()
+    read = rows.withColumn("r", F.from_csv(F.when(whole, F.col("record")), schema.toDDL(), options))
+    bad = F.col("r")[_BAD].isNotNull()
+    return read.select(
+        *[F.col("r")[c].alias(c) for c in names], F.col("table").alias(_TABLE), F.when(~whole, "piece").when(bad, "bad").otherwise("good").alias(_PART),
+        "file", F.col("block").alias(_BLOCK), F.col("piece").alias(_PIECE), F.when(~whole | bad, F.col("record")).alias(_RECORD),
+    ).withColumnRenamed("file", "@file")
+
+
+def _write_layout(spark: SparkSession, names: list[str], units: list[Row], found: Survey, folder: str) -> dict[tuple[str, str], int]:
+    """Write all files of one layout in one job: {(table, part): rows}, a folder per table and part."""
+    rows = csvscan.lines(csvscan.steady(spark), [u["path"] for u in units])
+    inside = found.splits.where("inside").select("file", "block", "inside")
+    crossing = not inside.isEmpty()
+    rows = rows.join(inside, ["file", "block"], "left") if crossing else rows.withColumn("inside", F.lit(False))
+    records = csvscan.records(rows.select("file", "block", "value", "inside"))
+
+    def named(df: DataFrame) -> DataFrame:
+        if len(units) == 1:
+            return df.withColumn("table", F.lit(units[0]["table"]))
+        return df.join(found.files.select("file", "table"), "file")
+
+    def write(df: DataFrame) -> None:
+        _parsed(named(df), names).write.mode("append").partitionBy(_TABLE, _PART).parquet(folder)
+
+    write(records)
+    if crossing:
+        pieces = spark.read.parquet(folder).where(F.col(f"`{_PART}`") == "piece").select(
+            F.col("`@file`").alias("file"), F.col(f"`{_BLOCK}`").alias("block"), F.col(f"`{_PIECE}`").alias("piece"), F.col(f"`{_RECORD}`").alias("record"))
+        write(csvscan.rejoined(pieces, found.splits).select("file", F.lit(None).cast("long").alias("block"), F.lit(None).cast("int").alias("piece"), "record"))
+    written = spark.read.parquet(folder).groupBy(F.col(f"`{_TABLE}`").cast("string").alias("table"), F.col(f"`{_PART}`").alias("part")).agg(F.count(F.lit(1)).alias("n"))
+    return {(r["table"], r["part"]): r["n"] for r in written.collect()}
 
 
 def load_snapshot(spark: SparkSession, path: str, database: str, parallel: int = 4) -> DataFrame:
     """Load every CSV below ``path`` into ``database``: (file, table, status, rows, error).
 
-    One load per file, several at a time. A file that the gate refuses, or that fails, is reported and does not stop the others;
-    files that map to one table are all refused, since one would overwrite the other.
+    One scan decides about all files, another reads the good ones: files with the same header are read and written by one job, so jobs grow
+    with the number of layouts, not of files; ``parallel`` layouts are written at a time. A file that the gate refuses, or that fails, is reported and does not stop the
+    others; files that map to one table are all refused, since one would overwrite the other. Every run writes a folder of its own,
+    and tables change over at its end, so a run that dies leaves them as they were. The driver holds a row per table.
     """
-    work = [(row["path"], row["table"]) for row in landed_tables(spark, path).collect()]
-    uses = Counter(table for _, table in work)
-
-    def load(item: tuple[str, str]):
-        file, table = item
-        if uses[table] > 1:
-            return file, table, "failed", None, "several files map to this table"
+    found = survey(spark, path)
+    surveyed = found.tables.collect()
+    uses = Counter(row["table"] for row in surveyed)
+    layouts: dict[tuple[str, ...], list[Row]] = {}
+    results: list[tuple] = []
+    for row in surveyed:
+        problem = "several files map to this table" if uses[row["table"]] > 1 else _refusal(row)
         try:
-            require_safe([table])
-            verdict = gate_csv(spark, file).head()
-            if verdict["long_rows"]:
-                return file, table, "refused", None, f"{verdict['long_rows']} rows are longer than {verdict['width']} fields"
-            catalog.replace_table(read_text_csv(spark, file), database, table)
-            return file, table, "loaded", spark.table(f"{database}.{table}").count(), None
-        except (PySparkException, Py4JJavaError, ValueError) as error:
-            spark.sql(f"DROP TABLE IF EXISTS {database}.{table}")
-            return file, table, "failed", None, _cause(error)
-
+            require_safe([row["table"]])
+            names = tuple(require_safe(clean_headers(next(csv.reader([row["header"]], strict=False))))) if not problem else ()
+        except ValueError as error:
+            problem, names = str(error), ()
+        if problem:
+            results.append((row["path"], row["table"], "failed", None, problem))
+        elif row["long_rows"]:
+            results.append((row["path"], row["table"], "refused", None, f"{row['long_rows']} rows are longer than {row['width']} fields"))
+        elif row["ragged_rows"]:
+            results.append((row["path"], row["table"], "failed", None, f"{row['ragged_rows']} rows do not have {row['n_fields']} fields"))
+        else:
+            layouts.setdefault(names, []).append(row)
+    home = f"{catalog.location(spark, database)}/_loads/{uuid.uuid4().hex}"
+    folders = [f"{home}/{i}" for i in range(len(layouts))]
     with ThreadPoolExecutor(parallel) as pool:
-        results = list(pool.map(load, work))
-    return spark.createDataFrame(results, "file string, table string, status string, rows bigint, error string")
+        written = list(pool.map(lambda layout, folder: _write_layout(spark, list(layout[0]), layout[1], found, folder), layouts.items(), folders))
+    for (names, units), folder, counts in zip(layouts.items(), folders, written):
+        for row in units:
+            good, bad = counts.get((row["table"], "good"), 0), counts.get((row["table"], "bad"), 0)
+            if bad or good != row["records"]:
+                results.append((row["path"], row["table"], "failed", None, f"{bad or row['records'] - good} rows have quotes inside unquoted fields that hide a comma"))
+                continue
+            catalog.point_to(spark, database, row["table"], names, f"{folder}/{_TABLE}={row['table']}/{_PART}=good")
+            results.append((row["path"], row["table"], "loaded", good, None))
+    for _, table, status, _, _ in results:
+        if status == "failed" and spark.catalog.tableExists(f"{database}.`{table}`"):
+            spark.sql(f"DROP TABLE {database}.`{table}`")
+    return spark.createDataFrame(sorted(results), "file string, table string, status string, rows bigint, error string")
