@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from landledger.functions.projection import CRS, to_degrees
+from landledger.operators.components import connected
 from landledger.session import materialize
 
 GEOMETRY = "array<array<array<struct<x:double,y:double>>>>"
@@ -364,11 +365,12 @@ def dissolve(df: DataFrame, key: str, column: str = "geom", small: int = 20_000)
     """Union per key, one row per key with its multipolygon: (key, geom, dissolved).
 
     Keys with a single row keep their geometry untouched; only repeated keys are traced. Where shapes
-    overlap at an edge or corner no outline can be traced: such a key keeps its distinct polygons side
-    by side, and ``dissolved`` is false. Keys whose shapes are all null or empty get a null geometry.
+    overlap at an edge or corner no outline can be traced: the shapes that hang together there by shared
+    vertices stay side by side as distinct polygons, and ``dissolved`` is false; the other parts of the key
+    are dissolved. Keys whose shapes are all null or empty get a null geometry.
     """
     alone, repeated, polygons = _dissolved(df, key, column, small)
-    united = polygons.groupBy(key, "dissolved").agg(F.array_sort(F.collect_list("polygon")).alias(column))
+    united = polygons.groupBy(key).agg(F.array_sort(F.collect_list("polygon")).alias(column), F.bool_and("dissolved").alias("dissolved"))
     return alone.withColumn("dissolved", F.lit(True)).unionByName(
         repeated.join(united, F.col(key).eqNullSafe(F.col("_key")), "left").select(
             F.col("_key").alias(key), column, F.coalesce("dissolved", F.lit(True)).alias("dissolved")
@@ -395,8 +397,35 @@ def _dissolved(df: DataFrame, key: str, column: str, small: int) -> tuple[DataFr
     follows = materialize(_successors(boundary_edges(several, key, column), key), "edges")
     torn = materialize(follows.where("torn").select(F.col(key).alias("_key")).distinct(), "torn")
     rings = materialize(_trace(follows.join(torn, same, "left_anti"), key, small), "outline")
-    kept = several.join(torn, same, "left_semi").select(key, F.explode(column).alias("polygon")).distinct()
-    polygons = _polygons(rings, key).withColumn("dissolved", F.lit(True)).unionByName(
-        kept.withColumn("dissolved", F.lit(False))
-    )
+    polygons = _polygons(rings, key).withColumn("dissolved", F.lit(True))
+    if not torn.isEmpty():
+        polygons = polygons.unionByName(_part_by_part(several.join(torn, same, "left_semi"), key, column, small))
     return alone, repeated, polygons
+
+
+def shape_parts(df: DataFrame, key: str, column: str = "geom") -> DataFrame:
+    """(key, part, polygon): distinct polygons, with a number for those of a key that hang together by shared vertices.
+
+    At each vertex its polygons are linked to the one with the smallest number there, so links grow with the vertices and not
+    with the pairs of shapes.
+    """
+    shapes = df.select(key, F.explode(column).alias("polygon")).distinct().withColumn("node", F.monotonically_increasing_id())
+    shapes = materialize(shapes, "shapes")
+    corner = shapes.select(key, "node", F.explode(F.array_distinct(F.flatten("polygon"))).alias("v")).select(F.col(key).alias("of"), "node", F.col("v.x").alias("x"), F.col("v.y").alias("y"))
+    least = corner.groupBy("of", "x", "y").agg(F.min("node").alias("b"), F.max("node").alias("most")).where("b < most").select(
+        F.col("of").alias("_of"), F.col("x").alias("_x"), F.col("y").alias("_y"), "b")
+    at = F.col("of").eqNullSafe(F.col("_of")) & (F.col("x") == F.col("_x")) & (F.col("y") == F.col("_y"))
+    links = corner.join(least, at).select(F.col("node").alias("a"), "b").distinct()
+    return shapes.join(connected(shapes.select("node"), links), "node").select(key, "part", "polygon")
+
+
+def _part_by_part(several: DataFrame, key: str, column: str, small: int) -> DataFrame:
+    """Polygons of keys with overlaps: (key, polygon, dissolved). Only the parts in which shapes overlap stay as they are."""
+    parts = materialize(shape_parts(several, key, column).select(F.struct(F.col(key).alias("key"), "part").alias("unit"), F.array("polygon").alias(column)), "parts")
+    follows = materialize(_successors(boundary_edges(parts, "unit", column), "unit"), "edges")
+    torn = materialize(follows.where("torn").select(F.col("unit").alias("_unit")).distinct(), "torn")
+    same = F.col("unit").eqNullSafe(F.col("_unit"))
+    rings = materialize(_trace(follows.join(torn, same, "left_anti"), "unit", small), "outline")
+    clean = _polygons(rings, "unit").select(F.col("unit.key").alias(key), "polygon", F.lit(True).alias("dissolved"))
+    kept = parts.join(torn, same, "left_semi").select(F.col("unit.key").alias(key), F.explode(column).alias("polygon"), F.lit(False).alias("dissolved"))
+    return clean.unionByName(kept)

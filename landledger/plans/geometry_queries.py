@@ -121,6 +121,23 @@ def dissolve_polygons(t):
     return polygons.groupBy("parcel_id", "dissolved").agg(F.sum(G.area(G.to_multipolygon("polygon"))).alias("area"))
 
 
+@query(f"""{_CELLS}
+    SELECT parcel_id, true AS dissolved, count(*)::DOUBLE AS area, (4 * count(*) - 2 * coalesce(any_value(n), 0))::BIGINT AS corners
+    FROM c LEFT JOIN touching USING (parcel_id) GROUP BY parcel_id
+    UNION ALL SELECT DISTINCT parcel_id, false, 6.0, 8 FROM c""")
+def dissolve_parts(t):
+    """Every key has two shapes that overlap, apart from its squares: those stay, and the squares are dissolved all the same."""
+    def box(x, y, width, height):
+        corners = [(x, y), (x + width, y), (x + width, y + height), (x, y + height), (x, y)]
+        return F.array(F.array(*[F.struct(F.lit(float(a)).alias("x"), F.lit(float(b)).alias("y")) for a, b in corners]))
+
+    squares = _squares(t, "p_type").select("parcel_id", "geom")
+    overlapping = F.explode(F.array(F.array(box(-9, 0, 2, 2)), F.array(box(-9, 0, 1, 2)))).alias("geom")
+    polygons = G.dissolve_polygons(squares.unionByName(squares.select("parcel_id").distinct().select("parcel_id", overlapping)), "parcel_id")
+    corners = F.sum(F.aggregate("polygon", F.lit(0).cast("bigint"), lambda n, ring: n + F.size(ring) - 1))
+    return polygons.groupBy("parcel_id", "dissolved").agg(F.sum(G.area(G.to_multipolygon("polygon"))).alias("area"), corners.alias("corners"))
+
+
 def _blocks(t):
     """The squares keyed by brand, type and block: some keys repeat, some do not."""
     squares = _squares(t, "p_type").withColumn("block", F.floor(F.col("p_partkey") / 400).cast("string"))

@@ -153,5 +153,25 @@ def test_overlaps_are_kept_and_flagged(spark):
     empty = spark.createDataFrame([("none", None), ("none", None), (None, None), (None, [])], f"k string, geom {G.GEOMETRY}")
     got = {r["k"]: (r["dissolved"], r["geom"] and len(r["geom"])) for r in G.dissolve(df.unionByName(empty), "k").collect()}
     assert got == {"edge": (False, 2), "fine": (True, 1), "none": (True, None), None: (True, None)}
+    # One overlap leaves the other parts of its key dissolved, also those that only touch in a corner, and a part inside a hole.
+    ring = [[[square(20 + x, y)]] for x in range(3) for y in range(3) if (x, y) != (1, 1)]
+    mixed = [("edge", p) for p in ([[square(10, 0)]], [[square(11, 0)]], [[square(12, 1)]], *[r for r in ring], [[square(21.25, 1.25, 0.5, 0.5)]])]
+    parts = G.dissolve_polygons(df.where("k = 'edge'").unionByName(frame(spark, mixed)), "k")
+    found = sorted((r["dissolved"], r["area"], r["n"]) for r in parts.select("dissolved", G.area(G.to_multipolygon("polygon")).alias("area"), F.size("polygon").alias("n")).collect())
+    assert found == [(False, 2.0, 1), (False, 4.0, 1), (True, 0.25, 1), (True, 1.0, 1), (True, 2.0, 1), (True, 8.0, 2)]
     with pytest.raises(ValueError, match="overlap"):
         G.trace_rings(G.boundary_edges(df, "k"), "k")
+
+
+def test_connected(spark):
+    from landledger.operators.components import connected
+
+    random.seed(4)
+    edges = [(i, i + 1) for i in range(100, 160)] + [(200 + i, 300 - i) for i in range(50)] + [(random.randrange(400, 460), random.randrange(400, 460)) for _ in range(40)] + [(1, 1)]
+    nodes = sorted({n for e in edges for n in e} | {7})
+    part = {n: n for n in nodes}
+    for _ in nodes:
+        for a, b in edges:
+            part[a] = part[b] = min(part[a], part[b])
+    got = connected(spark.createDataFrame([(n,) for n in nodes], "node long"), spark.createDataFrame(edges, "a long, b long"))
+    assert {r.node: r.part for r in got.collect()} == part
