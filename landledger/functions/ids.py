@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 # Segment names and widths, top down.
 SEGMENTS = (("country", 3), ("region", 5), ("parcel", 6), ("building", 4), ("unit", 5))
+# Building 0 stands for the parcel itself.
+MOST_BUILDINGS = 9999
 
 
 def _text(value: Column | str) -> Column:
@@ -19,7 +21,8 @@ def _zero_filled(value: Column | str | int, name: str, width: int) -> Column:
     A building or unit that is null has none and reads 0; any other missing or unreadable number raises.
     """
     number = F.lit(value) if isinstance(value, int) else _text(value)
-    number = number.try_cast("bigint") if name not in ("building", "unit") else F.coalesce(number.cast("bigint"), F.lit(0))
+    read = number.try_cast("bigint")
+    number = read if name not in ("building", "unit") else F.when(number.isNotNull(), read).otherwise(F.lit(0))
     message = F.concat(F.lit(f"{name} does not fit {width} digits: "), F.coalesce(number.cast("string"), F.lit("none")))
     return F.when(
         number.between(0, 10**width - 1), F.lpad(number.cast("string"), width, "0")
@@ -66,9 +69,9 @@ def namespaced_id(country: int, region: int, entity: str, seq: Column | str) ->
 
 
 def _block(value: Column | str) -> Column:
-    """City block ``#.##`` as six digits, the decimal point dropped."""
-    hundredths = F.round(_text(value).cast("decimal(10,2)") * 100)
-    return _zero_filled(hundredths, "city block", 6)
+    """City block ``#.##`` as six digits, the decimal point dropped; null if it is no number."""
+    hundredths = F.round(_text(value).try_cast("decimal(10,2)") * 100)
+    return F.when(hundredths.isNotNull(), _zero_filled(hundredths, "city block", 6))
 
 
 def parcel9(block: Column | str, parcel: Column | str) -> Column:
@@ -86,8 +89,8 @@ def handle(block: Column | str, condo: Column, parcel: Column | str, owner: Colu
 
 
 def _at_least(value: Column | str, width: int) -> Column:
-    """Digits zero-filled to ``width``; longer ones stay whole."""
-    digits = _text(value).cast("bigint").cast("string")
+    """Digits zero-filled to ``width``; longer ones stay whole, and what is no number is null."""
+    digits = _text(value).try_cast("bigint").cast("string")
     return F.lpad(digits, F.greatest(F.length(digits), F.lit(width)), F.lit("0"))
 
 

@@ -191,11 +191,21 @@ def buildings(accounts: DataFrame, shape: DataFrame, detail: DataFrame, key: str
     return simple.unionByName(condo)
 
 
+def natural_order(df: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, list[str]]:
+    """``df`` and the columns that sort it by number where a value reads as one, those first, then by text: 2 before 10 before 1A."""
+    added, order = {}, []
+    for c in columns:
+        number = F.col(c).try_cast("decimal(38,9)")
+        added |= {f"_text_{c}": number.isNull(), f"_number_{c}": number}
+        order += [f"_text_{c}", f"_number_{c}", c]
+    return df.withColumns(added), order
+
+
 def simple_units(building: DataFrame, sections: DataFrame, residential: DataFrame) -> DataFrame:
     """Units of simple plots: (handle, account, bldgnum, unit_seq, sectnum).
 
     A residential or at most single-section building is one unit; any other has one per section, in
-    section order.
+    section order: by number where they are numbers, staged text or not.
     """
     keys = [*ACCOUNT, "bldgnum"]
     number = F.col("bldgnum").try_cast("bigint").alias("bldgnum")
@@ -212,7 +222,8 @@ def simple_units(building: DataFrame, sections: DataFrame, residential: DataFram
         "handle", *keys, F.lit(1).cast("bigint").alias("unit_seq"), F.lit(None).cast("string").alias("sectnum")
     )
     split = kinds.where("not _whole").select("handle", *keys).join(sections, keys)
-    numbered = number_rows(materialize(split, "sections"), ["handle", *keys], ["sectnum"], "unit_seq")
+    split, order = natural_order(split, ["sectnum"])
+    numbered = number_rows(materialize(split, "sections"), ["handle", *keys], order, "unit_seq")
     return whole.unionByName(
         numbered.select("handle", *keys, "unit_seq", F.col("sectnum").cast("string").alias("sectnum"))
     )
@@ -222,18 +233,18 @@ def condo_units(accounts: DataFrame, shape: DataFrame, order: Sequence[str], key
                 footprint: Column | None = None) -> DataFrame:
     """One unit per condo account other than the footprint, numbered per plot in ``order``.
 
-    ``order`` need not be unique: exact copies are told apart by a copy number, and the remaining
-    columns break ties.
+    ``order`` is by number where values are numbers, staged text or not. It need not be unique: exact copies
+    are told apart by a copy number, and the remaining columns break ties.
     """
     if footprint is None:
         footprint = F.expr("parcel = gisparcel AND ownercode = gisownercode AND cityblock = giscityblock")
     condos = shape.where("shape = 'condo'").select(key)
     members = accounts.where(~F.coalesce(footprint, F.lit(False))).join(condos, key, "left_semi")
     ties = [c for c in accounts.columns if c not in (*order, key)]
-    unique = materialize(number_copies(members, "_copy"), "condo-accounts")
-    return number_rows(unique, [key], [*order, *ties, "_copy"], "unit_seq").drop("_copy").withColumn(
-        "bldgnum", F.lit(1).cast("bigint")
-    )
+    unique, ordered = natural_order(number_copies(members, "_copy"), order)
+    unique = materialize(unique, "condo-accounts")
+    numbered = number_rows(unique, [key], [*ordered, *ties, "_copy"], "unit_seq")
+    return numbered.select(*accounts.columns, "unit_seq", F.lit(1).cast("bigint").alias("bldgnum"))
 
 
 def secondary_owners(accounts: DataFrame, shape: DataFrame, owner: Sequence[str], key: str = "handle") -> DataFrame:

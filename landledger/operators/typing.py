@@ -31,47 +31,66 @@ def clean_numeric(df: DataFrame, cols: Iterable[str]) -> DataFrame:
     return df.withColumns({c: V.to_number(c) for c in cols})
 
 
-def infer_types(df: DataFrame, force_text: Iterable[str] = (), sample: int | None = None) -> DataFrame:
+# What a value can be read as, one bit each, in the order of preference. A value fits every type whose bit it has.
+BITS = {"boolean": 1, "int": 2, "bigint": 4, "double": 8, "timestamp": 16, "date": 32}
+
+
+def type_bits(value: Column, long: Column, moment: Column) -> Column:
+    """The types that a text fits, as bits, given the whole number and the moment that it reads as."""
+
+    def bit(name: str, test: Column) -> Column:
+        return F.when(test, F.lit(BITS[name])).otherwise(F.lit(0))
+
+    whole = F.when(long.between(INT_MIN, INT_MAX), BITS["int"] | BITS["bigint"]).when(long.isNotNull(), BITS["bigint"]).otherwise(0)
+    timed = F.when(V.has_time(moment), BITS["timestamp"] | BITS["date"]).when(moment.isNotNull(), BITS["date"]).otherwise(0)
+    return bit("boolean", V.is_boolean(value)).bitwiseOR(whole).bitwiseOR(bit("double", V.is_float(value))).bitwiseOR(timed)
+
+
+def first_rows(df: DataFrame, n: int, order: Iterable[str]) -> DataFrame:
+    """The ``n`` rows that come first in ``order``, the same whatever the partitioning: ties are broken by all other columns.
+
+    Each task keeps its own first ``n``, and those are merged; nothing is sorted as a whole.
+    """
+    order = list(order)
+    return df.orderBy(*order, *[c for c, kind in df.dtypes if c not in order and not kind.startswith(("map", "variant"))]).limit(n)
+
+
+def infer_types(
+    df: DataFrame, force_text: Iterable[str] = (), sample: int | None = None, order: Iterable[str] | None = None, group: int = 40,
+) -> DataFrame:
     """One row per column: (column, position, type, n_values).
 
-    Cells are unpivoted to (column, value) and aggregated with map-side combine, so the plan stays
-    the same size however wide the table is. By default all rows are read; ``sample`` looks at the
-    first rows only.
+    A value gives the set of types that it fits, a few bits; the bits that all values of a column share are its types, and the first
+    of them is taken. That is one aggregate without keys for every ``group`` columns, so no cell becomes a row, nothing is
+    shuffled but one row a task, and generated code stays small however wide the table is. By default all rows are read; ``sample``
+    looks at as many rows only: the first in ``order``, or without one, any.
     """
     forced = {name.strip().lower() for name in force_text}
-    source = df.limit(sample) if sample else df
-    cells = source.select(
-        F.posexplode(
-            F.array(*[
-                F.struct(F.lit(c).alias("column"), F.lit(c.strip().lower() in forced).alias("forced"),
-                         F.col(c).cast("string").alias("value"))
-                for c in df.columns if c.strip()
-            ])
-        )
-    ).select((F.col("pos") + 1).alias("position"), "col.column", "col.forced",
-             V.value_or_null("col.value").alias("value"))
-    # Parsed once per cell, before the tests that share the results.
-    parsed = cells.withColumns({
-        "long": V.to_integer("value"), "moment": V.to_moment("value"),
-    })
-
-    def fits(test: Column) -> Column:
-        return F.bool_and(F.when(F.col("value").isNotNull(), F.coalesce(test, F.lit(False))))
-
-    stats = parsed.groupBy("position", "column", "forced").agg(
-        F.count("value").alias("n_values"),
-        fits(V.is_boolean("value")).alias("boolean"),
-        fits(F.col("long").between(INT_MIN, INT_MAX)).alias("int"),
-        fits(F.col("long").isNotNull()).alias("bigint"),
-        fits(V.is_float("value")).alias("double"),
-        fits(V.has_time("moment")).alias("timestamp"),
-        fits(F.col("moment").isNotNull()).alias("date"),
-    )
+    source = (first_rows(df, sample, order) if order else df.limit(sample)) if sample else df
+    named = [(i, c) for i, c in enumerate((c for c in df.columns if c.strip()), 1)]
+    everything = sum(BITS.values())
+    parts = []
+    for at in range(0, len(named), group):
+        # Values are read once each, in columns of their own, before the tests that share them.
+        texts = source.select(*[V.value_or_null(F.col(f"`{c}`").cast("string")).alias(f"v{i}") for i, c in named[at:at + group]])
+        read = texts.select("*", *[f(f"v{i}").alias(f"{kind}{i}") for i, _ in named[at:at + group] for kind, f in (("l", V.to_integer), ("m", V.to_moment))])
+        measures = []
+        for i, c in named[at:at + group]:
+            value = F.col(f"v{i}")
+            measures.append(F.struct(
+                F.lit(i).alias("position"), F.lit(c).alias("column"), F.lit(c.strip().lower() in forced).alias("forced"), F.count(value).alias("n_values"),
+                F.bit_and(F.when(value.isNotNull(), type_bits(value, F.col(f"l{i}"), F.col(f"m{i}")))).alias("bits"),
+            ))
+        parts.append(read.agg(F.array(*measures).alias("m")).select(F.inline("m")))
+    if not parts:
+        return df.sparkSession.createDataFrame([], "column string, position int, type string, n_values bigint")
+    stats = parts[0]
+    for part in parts[1:]:
+        stats = stats.unionByName(part)
     kind = F.when(F.col("forced") | (F.col("n_values") == 0), "string")
-    for name in ("boolean", "int", "bigint", "double", "timestamp", "date"):
-        kind = kind.when(F.col(name), name)
-    kind = kind.otherwise("string")
-    return stats.select("column", "position", kind.alias("type"), "n_values")
+    for name, bit in BITS.items():
+        kind = kind.when(F.coalesce("bits", F.lit(everything)).bitwiseAND(F.lit(bit)) != 0, name)
+    return stats.select("column", "position", kind.otherwise("string").alias("type"), "n_values")
 
 
 def type_map(inferred: DataFrame) -> dict[str, str]:

@@ -129,6 +129,7 @@ def route_details(detail: DataFrame, accounts: DataFrame) -> DataFrame:
         rejected_if=[
             ("no such account", F.col("_route").isNull()), ("account rejected", F.col("_route") == "rejected"),
             ("plot shared by several accounts", F.col("shape") == "shared"), ("no building number", number.isNull()),
+            ("building number out of range", ~number.between(1, ids.MOST_BUILDINGS)),
             ("repeated building number", F.col("_nth") > 1),
         ],
     ).select(*detail.columns, "route", "reason")

@@ -132,6 +132,15 @@ def infer_types(t):
     return TY.infer_types(as_text(t.orders), force_text=["O_CUSTKEY"])
 
 
+@query(infer_sql("""(SELECT event_id::VARCHAR AS event_id, ts, event_type, CASE WHEN event_id::VARCHAR >= '2' THEN 'n/a' ELSE value::VARCHAR END AS value
+        FROM events ORDER BY event_id::VARCHAR LIMIT 100)""", ["event_id", "ts", "event_type", "value"]))
+def sampled_types(t):
+    """Types by the first rows in the order of a key: amounts are numbers there, and text further down."""
+    landed = as_text(t.events.select("event_id", "ts", "event_type", "value"))
+    landed = landed.withColumn("value", F.when(F.col("event_id") >= "2", "n/a").otherwise(F.col("value")))
+    return TY.infer_types(landed, sample=100, order=["event_id"])
+
+
 @query(infer_sql("events", ["event_id", "ts", "user_id", "event_type", "value", "props"], ""))
 def infer_event_types(t):
     return TY.infer_types(as_text(t.events))

@@ -218,3 +218,24 @@ def test_demolition_effect(spark):
     razed = spark.createDataFrame([("t", 3), ("t", 9)], "area string, at int")
     levels = spark.createDataFrame([("t", 0), ("c", 0), ("other", 1)], "area string, level int")
     assert rows(usecases.demolition_effect(values, razed, levels)) == [(0, 10.0, 16.0, 8.0, 9.0, 5.0)]
+
+
+def test_sections_and_accounts_are_numbered_as_numbers(spark):
+    keys = "cityblock string, parcel string, ownercode string"
+    building = spark.createDataFrame([("h", "1", "2", "3", 1, "simple")], f"handle string, {keys}, bldgnum long, shape string")
+    sections = spark.createDataFrame([("1", "2", "3", "1", s) for s in ("10", "2", "A", "1", "2")], f"{keys}, bldgnum string, sectnum string")
+    units = E.simple_units(building, sections, sections.limit(0))
+    assert {r.sectnum: r.unit_seq for r in units.collect()} == {"1": 1, "2": 2, "10": 3, "A": 4}
+    accounts = spark.createDataFrame([("h", "1", p, "0", "1", "1", "0") for p in ("1", "10", "9", "9B")], f"handle string, {keys}, giscityblock string, gisparcel string, gisownercode string")
+    shape = spark.createDataFrame([("h", "condo")], "handle string, shape string")
+    found = E.condo_units(accounts, shape, ["parcel", "ownercode"])
+    assert {r.parcel: r.unit_seq for r in found.collect()} == {"9": 1, "10": 2, "9B": 3} and found.columns == [*accounts.columns, "unit_seq", "bldgnum"]
+
+
+def test_building_numbers_out_of_range_are_rejected(spark):
+    """0 is the parcel's own id, and what does not fit four digits would end the build."""
+    detail = spark.createDataFrame([("1", "2", "3", n) for n in ("0", "1", "9999", "10000", "-1", None, "x")], "cityblock string, parcel string, ownercode string, bldgnum string")
+    accounts = spark.createDataFrame([("1", "2", "3", "loaded", "simple", False)], "cityblock string, parcel string, ownercode string, _route string, shape string, _vacant boolean")
+    got = {r.bldgnum: r.reason for r in spine.route_details(detail, accounts).collect()}
+    wrong = "building number out of range"
+    assert got == {"0": wrong, "1": None, "9999": None, "10000": wrong, "-1": wrong, None: "no building number", "x": "no building number"}

@@ -1,4 +1,5 @@
 import datetime as dt
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -97,3 +98,31 @@ def test_legacy_ids(spark):
         ids.is_condo_placeholder("parcel").alias("no"), ids.is_condo_placeholder("big").alias("yes"),
     ).head()
     assert tuple(row) == ("001250030", "0012500309", "001250800309", False, True)
+
+
+def test_first_rows_do_not_depend_on_the_layout(spark):
+    df = spark.createDataFrame([(i % 10, str(i)) for i in range(200)], "k int, v string")
+    want = sorted([(i % 10, str(i)) for i in range(200)])[:25]
+    for layout in (df.repartition(7), df.coalesce(1).orderBy("v")):
+        assert [tuple(r) for r in TY.first_rows(layout, 25, ["k"]).collect()] == want
+    plan = TY.first_rows(df.repartition(7), 25, ["k"])._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrderedAndProject" in plan
+
+
+def test_inference_makes_no_row_per_cell(spark):
+    wide = spark.createDataFrame([tuple("1" if j % 2 else "x" for j in range(90)), ("",) * 90], [f"c{j}" for j in range(90)])
+    found = TY.infer_types(wide)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    # One row of aggregates per 40 columns is taken apart, nothing else.
+    assert len(re.findall(r"Generate inline\(m", plan)) == 3 == len(re.findall("Generate", plan))
+    assert TY.type_map(found) == {f"c{j}": "int" if j % 2 else "string" for j in range(90)}
+
+
+def test_unreadable_legacy_numbers_are_null(spark):
+    from landledger.functions import ids
+
+    df = spark.createDataFrame([("12.5", "7", "1"), ("x", "7", "1"), ("12.5", "?", "1")], "block string, parcel string, owner string")
+    got = [tuple(r) for r in df.select(ids.parcel9("block", "parcel"), ids.parcel11("block", "parcel", "owner")).collect()]
+    assert got == [("001250007", "0012500071"), (None, None), (None, None)]
+    with pytest.raises(Exception, match="does not fit"):
+        df.select(ids.global_id(1, F.lit(2), F.lit(3), "block")).collect()
