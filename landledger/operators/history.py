@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from landledger.operators.ordering import next_in_order
+from landledger.operators.ordering import next_by_range, next_in_order
 from landledger.operators.quality import require_unique
 
 
@@ -53,12 +53,15 @@ def changes(old: DataFrame, new: DataFrame, keys: Sequence[str], check: bool = T
 
 
 def validity(
-    history: DataFrame, keys: Sequence[str], at: str, bucket: Column, tie_break: Sequence[str] = ()
+    history: DataFrame, keys: Sequence[str], at: str, bucket: Column | None = None, tie_break: Sequence[str] = ()
 ) -> DataFrame:
     """``valid_from`` / ``valid_to`` per version; the open version ends with null.
 
-    ``bucket`` is a coarser form of ``at`` (its month, say) that splits long-lived keys over tasks.
+    ``bucket`` is a coarser form of ``at`` (its month, say) that splits long-lived keys over tasks with one shuffle. Without it rows
+    are placed by range, which also splits a key with very many versions on one date.
     """
-    bucketed = history.withColumn("_bucket", bucket)
-    ranged = next_in_order(bucketed, keys, [at, *tie_break], "_bucket", "valid_to").drop("_bucket")
+    if bucket is None:
+        ranged = next_by_range(history, keys, [at, *tie_break], "valid_to")
+    else:
+        ranged = next_in_order(history.withColumn("_bucket", bucket), keys, [at, *tie_break], "_bucket", "valid_to").drop("_bucket")
     return ranged.withColumnRenamed(at, "valid_from").withColumn("is_current", F.col("valid_to").isNull())

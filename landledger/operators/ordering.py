@@ -103,8 +103,10 @@ def next_in_order(df: DataFrame, keys: Sequence[str], order: Sequence[str], buck
     most of the table is shared by as many tasks as it has buckets.
     """
     keys, order, value = list(keys), list(order), order[0]
-    # Null values come first in the order, in a bucket of their own.
-    heads = df.groupBy(*keys, bucket).agg(F.min(value).alias(value))
+    # Null values come first in the order, so a bucket that has one begins with it.
+    heads = df.groupBy(*keys, bucket).agg(F.min(value).alias("_least"), F.max(F.col(value).isNull()).alias("_null")).select(
+        *keys, bucket, F.when(~F.col("_null"), F.col("_least")).alias(value)
+    )
     place = Window.partitionBy(*keys).orderBy(bucket)
     markers = heads.select(
         *keys, F.lag(bucket).over(place).alias(bucket), value, F.lit(True).alias("_marker"), (F.row_number().over(place) > 1).alias("_has_previous"),
@@ -112,3 +114,17 @@ def next_in_order(df: DataFrame, keys: Sequence[str], order: Sequence[str], buck
     rows = df.withColumn("_marker", F.lit(False)).unionByName(markers, allowMissingColumns=True)
     ahead = F.lead(value).over(Window.partitionBy(*keys, bucket).orderBy("_marker", *order))
     return rows.withColumn(out, ahead).where("not _marker").drop("_marker")
+
+
+def next_by_range(df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str, parts: int | None = None) -> DataFrame:
+    """``lead(order[0]) over (partition by keys order by order)`` for keys of any size, with as many equal values as there may be.
+
+    Rows are placed by range in the order of keys and ``order``, a number given before telling equal ones apart, so a key with most of
+    the table on one date is shared by many tasks. The range a row falls into is its bucket for ``next_in_order``: one row is
+    carried over each boundary, and no window holds a whole key.
+    """
+    tied = materialize(df.withColumn("_tie", F.monotonically_increasing_id()), "lead-rows")
+    sort = [*keys, *order, "_tie"]
+    ranged = tied.repartitionByRange(parts, *sort) if parts else tied.repartitionByRange(*sort)
+    placed = materialize(ranged.withColumn("_range", F.spark_partition_id()), "lead-ranges")
+    return next_in_order(placed, keys, [*order, "_tie"], "_range", out).drop("_range", "_tie")

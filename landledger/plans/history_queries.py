@@ -48,6 +48,18 @@ def history_ranges(t):
     return ranged.withColumns({c: F.col(c).cast("string") for c in ("valid_from", "valid_to")})
 
 
+@query("""
+    WITH v AS (SELECT *, CASE WHEN l_returnflag = 'N' THEN '2000-01-01' ELSE strftime(l_shipdate, '%Y-%m-01') END AS day FROM lineitem),
+    r AS (SELECT *, lead(day) OVER (PARTITION BY l_returnflag ORDER BY day, l_orderkey, l_linenumber, l_suppkey, l_partkey, l_extendedprice) AS nxt FROM v)
+    SELECT l_returnflag, l_orderkey, l_linenumber, l_suppkey, day AS valid_from, nxt AS valid_to, nxt IS NULL AS is_current FROM r""")
+def history_ranges_hot_key(t):
+    """Three keys hold all versions, and one of them has all of its own on one date."""
+    day = F.when(F.col("l_returnflag") == "N", "2000-01-01").otherwise(F.date_format(F.trunc("l_shipdate", "month"), "yyyy-MM-dd"))
+    ties = ["l_orderkey", "l_linenumber", "l_suppkey", "l_partkey", "l_extendedprice"]
+    ranged = H.validity(t.lineitem.select("l_returnflag", *ties, day.alias("day")), ["l_returnflag"], "day", tie_break=ties)
+    return ranged.select("l_returnflag", "l_orderkey", "l_linenumber", "l_suppkey", "valid_from", "valid_to", "is_current")
+
+
 @query("""
     SELECT snapshot, count(*) AS n_rows, count(DISTINCT o_orderkey) AS n_keys FROM (
       SELECT o_orderkey, '2024_01_01_00_00_00' AS snapshot FROM orders WHERE o_orderstatus = 'F'

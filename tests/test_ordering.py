@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from landledger.operators import keys as K
-from landledger.operators.ordering import next_in_order, number_copies, number_rows
+from landledger.operators.ordering import next_by_range, next_in_order, number_copies, number_rows
 
 
 def brute_numbers(rows):
@@ -68,6 +68,23 @@ def test_next_in_order_matches_lead(spark):
     assert got.exceptAll(want).isEmpty() and got.count() == 800
 
 
+@pytest.mark.parametrize("parts", [1, 6])
+def test_next_by_range_matches_lead(spark, parts):
+    """Also where one key has one date, where dates are missing, and where rows are equal."""
+    random.seed(parts)
+    rows = [("hot", "2024-01-01", i) for i in range(300)] + [("hot", "2024-02-01", i) for i in range(5)] + [("null", None, i) for i in range(100)]
+    rows += [("null", "2024-03-01", i) for i in range(40)] + [(random.choice(["b", None]), random.choice([None, "2024-05-01", "2024-06-01"]), i // 3) for i in range(90)] + [("b", "x", 1)] * 4
+    df = spark.createDataFrame(rows, "k string, day string, id int").repartition(5)
+    got = next_by_range(df, ["k"], ["day", "id"], "nxt", parts)
+    df.createOrReplaceTempView("v")
+    want = spark.sql("select *, lead(day) over (partition by k order by day, id) as nxt from v")
+    assert got.exceptAll(want).isEmpty() and got.count() == len(rows)
+    text = got._jdf.queryExecution().optimizedPlan().toString()
+    windows = [line for line in text.splitlines() if "Window [" in line]
+    # The window over the rows is cut at the ranges; those over a key see one row per range.
+    assert any("[k#" in line and "_range#" in line.split("], [")[1] for line in windows)
+
+
 def refs(spark, pairs):
     return K.native_refs(spark.createDataFrame(pairs, "region string, ref string"), "region", "ref")
 
