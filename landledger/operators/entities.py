@@ -52,7 +52,8 @@ def decode(df: DataFrame, vocabulary: DataFrame, code: str, out: str,
            identifier: str = "IDENTIFIER", title: str = "TITLE") -> DataFrame:
     """Code to title; rows whose code is unknown keep a null title.
 
-    The vocabulary is reduced to one title per code first, so no row fans out. Spark broadcasts it
+    The vocabulary is reduced to one title per code first, so no row fans out: the first in text order, where
+    ``repeated_codes`` lists the codes that have several. Spark broadcasts it
     when it is below the size threshold, and sort-merges with skew handling when it is not.
     """
     words = (
@@ -69,6 +70,13 @@ def undecoded(decoded: DataFrame, code: str, out: str) -> DataFrame:
     return missing.groupBy(code).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+def repeated_codes(vocabulary: DataFrame, identifier: str = "IDENTIFIER", title: str = "TITLE") -> DataFrame:
+    """(code, n_titles, first_title, last_title): codes with more than one title, of which ``decode`` uses the first."""
+    filled = vocabulary.where(F.col(identifier).cast("string") != "").groupBy(F.col(identifier).alias("code"), F.col(title).alias("title")).agg(F.lit(1).alias("_one"))
+    counted = filled.groupBy("code").agg(F.count("title").alias("n_titles"), F.min("title").alias("first_title"), F.max("title").alias("last_title"))
+    return counted.where("n_titles > 1")
+
+
 # --- unions and merges ---------------------------------------------------------------------------
 
 def union_standard(frames: Sequence[DataFrame], columns: Sequence[str]) -> DataFrame:

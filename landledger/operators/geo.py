@@ -304,7 +304,7 @@ def _hole_parents(rings: DataFrame, key: str) -> DataFrame:
         F.max(F.array_max(F.transform("points", lambda p: p["y"]))).alias("y_high"),
         F.sum(F.size("points")).alias("n_points"),
     )
-    # As many stripes as the key has points keeps stripes short; a long edge covers several.
+    # The square root of the key's points as the number of stripes; a stripe holds all edges of its height, a long edge covers several.
     height = F.greatest((F.col("y_high") - F.col("y_low")) / F.sqrt(F.col("n_points").cast("double")), F.lit(1e-12))
     # Only keys with holes take part.
     bounds = bounds.join(holes.select(F.col(key).alias("_key")).distinct(), F.col(key).eqNullSafe(F.col("_key")), "left_semi")

@@ -105,9 +105,9 @@ def as_text(df: DataFrame) -> DataFrame:
 def profile(df: DataFrame, exact: bool = False, placeholders: Sequence[str] = ("0", "-", "N/A")) -> DataFrame:
     """One row per column: rows, nulls, blanks, distinct values, text bounds, kind and bucket.
 
-    All measures of all columns are one aggregate without keys, so no cell becomes a row and nothing is sorted. The default
-    counts distinct values approximately. ``exact`` counts them from distinct (column, value) pairs, which shuffles each
-    distinct value once.
+    All measures of all columns are one aggregate without keys, and nothing is sorted. The default counts distinct values
+    approximately, and no cell becomes a row. ``exact`` counts them from distinct (column, value) pairs: there every filled cell
+    becomes a row, and each distinct value is shuffled once from every task that has it.
     """
     words = as_text(df)
     measures = []

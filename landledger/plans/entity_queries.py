@@ -95,6 +95,13 @@ def decode_join(t):
     return E.decode(placed, t.region, "region_key", "region", "r_regionkey", "r_name").select("s_suppkey", "nation", "region")
 
 
+@query("""
+    SELECT p_type AS code, count(DISTINCT p_size) AS n_titles, min(p_size::VARCHAR) AS first_title, max(p_size::VARCHAR) AS last_title
+    FROM part WHERE p_type <> '' GROUP BY p_type HAVING count(DISTINCT p_size) > 1""")
+def repeated_codes(t):
+    return E.repeated_codes(t.part.select("p_type", F.col("p_size").cast("string").alias("size")), "p_type", "size")
+
+
 @query("""
     SELECT c_nationkey, count(*) AS n_rows FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE n_regionkey = 0 GROUP BY c_nationkey""")
 def undecoded_codes(t):

@@ -35,8 +35,8 @@ def snapshot_key(at: Column | None = None) -> Column:
 def latest_snapshot(df: DataFrame, col: str = "snapshot") -> DataFrame:
     """Rows of the newest snapshot; with none at all, rows outside any snapshot.
 
-    On a table partitioned by ``col`` the newest key comes from the partition list, and the filter
-    prunes all other partitions.
+    Finding the newest key is a job over ``col`` alone; on a table partitioned by it that reads no data columns, and the
+    filter then prunes all other partitions.
     """
     newest = df.agg(F.max(col).alias("m")).head()["m"]
     return df.where(F.col(col).isNull() if newest is None else F.col(col) == newest)
