@@ -90,27 +90,32 @@ def interleaved(
     other. Columns of the new names that were there before are replaced. Nothing is dropped or repeated.
     """
     bits = (parts_for(documents.count(), WINDOW_ROWS) - 1).bit_length()
-    rows = documents.withColumns({
-        "mix_size": F.coalesce(F.char_length(F.col(text_column)), F.lit(0)).cast("long"), "mix_place": hashed_place(id_column),
-    }).withColumn("mix_part", F.shiftright(F.col("mix_place"), PLACE_BITS - bits))
+    added = ("mix_start", "mix_block", "mix_slot", "mix_k", "mix_total")
+    # The caller's row travels in one column, so that no name of its own meets one of these.
+    rows = documents.select(F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("row")).select("row", *[
+        F.col("row")[c].alias(name) for c, name in ((source_column, "source"), (id_column, "id"))
+    ]).withColumns({"size": F.coalesce(F.char_length(F.col("row")[text_column]), F.lit(0)).cast("long"), "place": hashed_place("id")})
+    rows = rows.withColumn("part", F.shiftright(F.col("place"), PLACE_BITS - bits))
     # Sizes of the parts of each source: what stands before a part is added to what stands before a row inside it.
-    parts = rows.groupBy(F.col(source_column).alias("source"), F.col("mix_part").alias("part")).agg(F.sum("mix_size").alias("chars"))
+    parts = rows.groupBy("source", "part").agg(F.sum("size").alias("chars"))
     before = Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = materialize(parts.select("source", "part", "chars", F.coalesce(F.sum("chars").over(before), F.lit(0)).alias("offset")), "mix-offsets")
     plan = materialize(timetable(target_slots(offsets.groupBy("source").agg(F.sum("chars").alias("chars")), weights, temper, slots)), "mix-timetable")
-    within = Window.partitionBy(source_column, "mix_part").orderBy("mix_place", id_column, text_column).rowsBetween(Window.unboundedPreceding, 0)
-    numbered = rows.withColumn("mix_start", F.sum("mix_size").over(within) - F.col("mix_size"))
-    offsets = offsets.select(F.col("source").alias("mix_source"), F.col("part").alias("mix_of"), F.col("offset").alias("mix_offset"))
+    within = Window.partitionBy("source", "part").orderBy("place", "id", F.col("row")[text_column]).rowsBetween(Window.unboundedPreceding, 0)
+    numbered = rows.withColumn("start", F.sum("size").over(within) - F.col("size"))
+    offsets = offsets.select(F.col("source").alias("o_source"), F.col("part").alias("o_part"), "offset")
     placed = numbered.join(
-        offsets, F.col(source_column).eqNullSafe(F.col("mix_source")) & (F.col("mix_part") == F.col("mix_of")),
-    ).withColumn("mix_start", F.col("mix_start") + F.col("mix_offset")).withColumn("mix_block", F.expr(f"mix_start div {int(block_chars)}"))
-    shares = plan.select(F.col("source").alias("mix_name"), F.col("k").alias("mix_k"), F.col("total").alias("mix_total")).distinct()
-    turns = plan.select(F.col("source").alias("mix_from"), F.col("nth").alias("mix_nth"), F.col("slot").alias("mix_turn"))
-    placed = placed.join(shares, F.col(source_column).eqNullSafe(F.col("mix_name")))
-    placed = placed.join(turns, F.col(source_column).eqNullSafe(F.col("mix_from")) & (F.expr("mix_block % mix_k") == F.col("mix_nth")))
-    placed = placed.withColumn("mix_slot", F.expr("mix_block div mix_k * mix_total + mix_turn"))
-    own = [c for c in documents.columns if c not in ("mix_start", "mix_block", "mix_slot", "mix_k", "mix_total")]
-    return placed.select(*own, "mix_start", "mix_block", "mix_slot", "mix_k", "mix_total")
+        offsets, F.col("source").eqNullSafe(F.col("o_source")) & (F.col("part") == F.col("o_part")),
+    ).withColumn("start", F.col("start") + F.col("offset")).withColumn("block", F.expr(f"start div {int(block_chars)}"))
+    shares = plan.select(F.col("source").alias("k_source"), "k", "total").distinct()
+    turns = plan.select(F.col("source").alias("t_source"), "nth", F.col("slot").alias("turn"))
+    placed = placed.join(shares, F.col("source").eqNullSafe(F.col("k_source")))
+    placed = placed.join(turns, F.col("source").eqNullSafe(F.col("t_source")) & (F.expr("block % k") == F.col("nth")))
+    return placed.select(
+        *[F.col("row")[c].alias(c) for c in documents.columns if c not in added],
+        F.col("start").alias("mix_start"), F.col("block").alias("mix_block"), F.expr("block div k * total + turn").alias("mix_slot"),
+        F.col("k").alias("mix_k"), F.col("total").alias("mix_total"),
+    )
 
 
 def in_order(mixed: DataFrame) -> DataFrame:

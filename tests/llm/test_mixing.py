@@ -51,3 +51,13 @@ def test_edges(spark):
     one = none.unionAll(spark.createDataFrame([(1, None, None)], none.schema))
     assert [r.mix_slot for r in mixing.interleaved(one).collect()] == [0]
     assert mixing.interleaved(one).select(F.col("mix_k") == F.col("mix_total")).head()[0]
+
+
+def test_columns_of_any_name_come_back(spark):
+    names = ["mix_size", "mix_place", "mix_part", "mix_of", "mix_name", "mix_from", "mix_source", "mix_offset", "mix_nth", "mix_turn", "row", "size", "place", "part", "start",
+             "block", "k", "total", "nth", "turn", "offset", "id", "o_source", "with space"]
+    rows = [(i, "x" * i, f"s{i % 3}", *[f"{name} {i}" for name in names]) for i in range(40)]
+    docs = spark.createDataFrame(rows, ["doc_id", "text", "source", *names])
+    got = mixing.interleaved(docs, block_chars=50)
+    assert got.columns == [*docs.columns, "mix_start", "mix_block", "mix_slot", "mix_k", "mix_total"]
+    assert sorted(tuple(r)[:len(docs.columns)] for r in got.collect()) == sorted(rows)
