@@ -91,17 +91,18 @@ def interleaved(
     """
     bits = (parts_for(documents.count(), WINDOW_ROWS) - 1).bit_length()
     added = ("mix_start", "mix_block", "mix_slot", "mix_k", "mix_total")
-    # The caller's row travels in one column, so that no name of its own meets one of these.
-    rows = documents.select(F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("row")).select("row", *[
-        F.col("row")[c].alias(name) for c, name in ((source_column, "source"), (id_column, "id"))
-    ]).withColumns({"size": F.coalesce(F.char_length(F.col("row")[text_column]), F.lit(0)).cast("long"), "place": hashed_place("id")})
+    # The caller's row travels in one column, so that no name of its own meets one of these; its text beside it, for it sorts rows.
+    others = [c for c in documents.columns if c != text_column]
+    rows = documents.select(
+        F.struct(*[F.col(f"`{c}`") for c in others]).alias("row"), *[F.col(f"`{c}`").alias(name) for c, name in ((source_column, "source"), (id_column, "id"), (text_column, "text"))],
+    ).withColumns({"size": F.coalesce(F.char_length("text"), F.lit(0)).cast("long"), "place": hashed_place("id")})
     rows = rows.withColumn("part", F.shiftright(F.col("place"), PLACE_BITS - bits))
     # Sizes of the parts of each source: what stands before a part is added to what stands before a row inside it.
     parts = rows.groupBy("source", "part").agg(F.sum("size").alias("chars"))
     before = Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = materialize(parts.select("source", "part", "chars", F.coalesce(F.sum("chars").over(before), F.lit(0)).alias("offset")), "mix-offsets")
     plan = materialize(timetable(target_slots(offsets.groupBy("source").agg(F.sum("chars").alias("chars")), weights, temper, slots)), "mix-timetable")
-    within = Window.partitionBy("source", "part").orderBy("place", "id", F.col("row")[text_column]).rowsBetween(Window.unboundedPreceding, 0)
+    within = Window.partitionBy("source", "part").orderBy("place", "id", "text").rowsBetween(Window.unboundedPreceding, 0)
     numbered = rows.withColumn("start", F.sum("size").over(within) - F.col("size"))
     offsets = offsets.select(F.col("source").alias("o_source"), F.col("part").alias("o_part"), "offset")
     placed = numbered.join(
@@ -112,7 +113,7 @@ def interleaved(
     placed = placed.join(shares, F.col("source").eqNullSafe(F.col("k_source")))
     placed = placed.join(turns, F.col("source").eqNullSafe(F.col("t_source")) & (F.expr("block % k") == F.col("nth")))
     return placed.select(
-        *[F.col("row")[c].alias(c) for c in documents.columns if c not in added],
+        *[(F.col("text") if c == text_column else F.col("row")[c]).alias(c) for c in documents.columns if c not in added],
         F.col("start").alias("mix_start"), F.col("block").alias("mix_block"), F.expr("block div k * total + turn").alias("mix_slot"),
         F.col("k").alias("mix_k"), F.col("total").alias("mix_total"),
     )
