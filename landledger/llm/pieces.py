@@ -11,21 +11,22 @@ import hashlib
 import os
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import sentencepiece
 import tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from sentencepiece import sentencepiece_model_pb2
 
-from landledger.llm.common import as_bytes
+from landledger.llm.common import as_bytes, tidy
 
 MARKER = "▁"
 # Kinds in the protobuf (fixed values).
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
 # Kinds of result columns.
-SCHEMA = "doc_id long, n_tokens long, ids binary, decoded string, round_trip boolean, checked boolean"
-DIGESTS = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, round_trip boolean, checked boolean"
+SCHEMA = "doc_id long, n_tokens long, ids binary, decoded string, round_trip boolean, checked boolean, differed boolean"
+DIGESTS = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, round_trip boolean, checked boolean, differed boolean"
 
 
 def parse(serialized: bytes) -> sentencepiece_model_pb2.ModelProto:
@@ -77,7 +78,10 @@ def rebuild(proto) -> tokenizers.Tokenizer:
         steps.append(tokenizers.normalizers.Prepend(" "))
     steps.append(tokenizers.normalizers.Replace(" ", MARKER))
     tokenizer.normalizer = tokenizers.normalizers.Sequence(steps)
-    undo = [tokenizers.decoders.Replace(MARKER, " "), tokenizers.decoders.ByteFallback(), tokenizers.decoders.Fuse()]
+    undo = [tokenizers.decoders.ByteFallback(), tokenizers.decoders.Fuse()]
+    # If the marker is a piece, no text is encoded as the bytes that spell it, so one replacement in the joined text will do. Else
+    # those bytes must not become a space, and each token is replaced by itself.
+    undo.insert(2 if any(p.piece == MARKER and p.type == NORMAL for p in proto.pieces) else 0, tokenizers.decoders.Replace(MARKER, " "))
     if proto.normalizer_spec.add_dummy_prefix:
         undo.append(tokenizers.decoders.Strip(" ", 1, 0))
     tokenizer.decoder = tokenizers.decoders.Sequence(undo)
@@ -100,6 +104,25 @@ def decode(ids: list[list[int]], tokenizer: tokenizers.Tokenizer) -> list[str]:
     return tokenizer.decode_batch(ids, skip_special_tokens=False)
 
 
+def packed(ids: list[int]) -> bytes:
+    return np.array(ids, "<i4").tobytes()
+
+
+def compared(
+    texts: list[str], compare: set[str], tokenizer: tokenizers.Tokenizer, original: sentencepiece.SentencePieceProcessor, threads: int,
+) -> list[tuple[bytes, str, bool]]:
+    """(ids, decoded, differed) of each text; SentencePiece's own ids and text where it differs on one that ``compare`` names."""
+    coded = encode(texts, tokenizer)
+    back = decode(coded, tokenizer)
+    rows = [n for n, text in enumerate(texts) if text in compare]
+    differed = set()
+    for n, ids in zip(rows, original.encode([texts[n] for n in rows], num_threads=threads)):
+        if ids != coded[n]:
+            differed.add(n)
+            coded[n], back[n] = ids, original.decode(ids)
+    return [(packed(ids), text, n in differed) for n, (ids, text) in enumerate(zip(coded, back))]
+
+
 def round_trip(
     documents: DataFrame, serialized: bytes, id_column: str = "doc_id", text_column: str = "text",
     threads: int = 2, check_every: int = 1, group: int = 256, digests: bool = False, carry: list[str] | None = None,
@@ -107,38 +130,33 @@ def round_trip(
     """Every text encoded and decoded again: one row per row of ``documents``, with no shuffle.
 
     ``ids``: the token ids as little-endian 32-bit integers. ``round_trip``: whether decoding gave the text back.
-    Every text is also encoded by SentencePiece (``checked``), or with ``check_every``, that of one row of so many; a difference
-    raises, so by default no wrong ids go out. Equal texts of a group are encoded once. Null counts as the empty text, which has no tokens.
+    Every text is compared with SentencePiece (``checked``), or with ``check_every``, that of one row of so many. Where the rebuilt
+    model differs, the row has SentencePiece's ids and ``differed`` is true, so no wrong ids go out. Equal texts of a group are
+    encoded once. Null counts as the empty text, which has no tokens. A very long text is encoded whole, in one call.
     ``digests`` gives SHA-256 of the ids and of the decoded text in place of both. The columns of ``carry`` come last, as they are.
     """
     carry = carry or []
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer, original = backends(serialized, threads)
         for whole in batches:
             for start in range(0, whole.num_rows, group):
                 batch = whole.slice(start, group)
                 texts = [value.decode() for value in as_bytes(batch.column(1))]
-                different = list(dict.fromkeys(texts))
-                coded = dict(zip(different, encode(different, tokenizer)))
-                back = dict(zip(different, decode(list(coded.values()), tokenizer)))
-                packed = {text: pa.array(ids, pa.int32()).buffers()[1] for text, ids in coded.items()}
-                packed = {text: bytes(memoryview(buffer)[:4 * len(coded[text])]) if buffer else b"" for text, buffer in packed.items()}
                 checked = [row % check_every == 0 for row in range(len(texts))]
-                compared = list(dict.fromkeys(text for text, check in zip(texts, checked) if check))
-                for text, ids in zip(compared, original.encode(compared, num_threads=threads)):
-                    if ids != coded[text]:
-                        raise ValueError("the rebuilt tokenizer differs from SentencePiece")
-                own = [batch.column(0), pa.array([len(coded[text]) for text in texts], pa.int64())]
+                compare = {text for text, check in zip(texts, checked) if check}
+                different = list(dict.fromkeys(texts))
+                coded = dict(zip(different, compared(different, compare, tokenizer, original, threads)))
+                own = [batch.column(0), pa.array([len(coded[text][0]) // 4 for text in texts], pa.int64())]
                 if digests:
-                    ids_sum = {text: hashlib.sha256(value).hexdigest() for text, value in packed.items()}
-                    back_sum = {text: hashlib.sha256(value.encode()).hexdigest() for text, value in back.items()}
-                    own += [pa.array([ids_sum[text] for text in texts]), pa.array([back_sum[text] for text in texts])]
+                    sums = {text: (hashlib.sha256(ids).hexdigest(), hashlib.sha256(back.encode()).hexdigest()) for text, (ids, back, _) in coded.items()}
+                    own += [pa.array([sums[text][0] for text in texts]), pa.array([sums[text][1] for text in texts])]
                 else:
-                    own += [pa.array([packed[text] for text in texts], pa.binary()), pa.array([back[text] for text in texts], pa.string())]
-                own += [pa.array([back[text] == text for text in texts]), pa.array(checked), *batch.columns[2:]]
-                names = ["doc_id", "n_tokens", *(("ids_sha256", "decoded_sha256") if digests else ("ids", "decoded")), "round_trip", "checked", *carry]
-                yield pa.RecordBatch.from_arrays(own, names=names)
+                    own += [pa.array([coded[text][0] for text in texts], pa.binary()), pa.array([coded[text][1] for text in texts], pa.string())]
+                own += [pa.array([coded[text][1] == text for text in texts]), pa.array(checked), pa.array([coded[text][2] for text in texts])]
+                names = ["doc_id", "n_tokens", *(("ids_sha256", "decoded_sha256") if digests else ("ids", "decoded")), "round_trip", "checked", "differed"]
+                yield pa.RecordBatch.from_arrays([*own, *batch.columns[2:]], names=[*names, *carry])
 
     rows = documents.selectExpr(f"cast(`{id_column}` as long) as doc_id", f"cast(`{text_column}` as string) as text", *(f"`{c}`" for c in carry))
     kinds = "".join(f", `{c}` {documents.schema[c].dataType.simpleString()}" for c in carry)

@@ -1,6 +1,5 @@
 import sentencepiece
 import numpy as np
-import pytest
 from sentencepiece import sentencepiece_model_pb2
 
 from landledger.llm import pieces
@@ -68,8 +67,23 @@ def test_round_trip(spark):
 
 def test_every_text_is_compared(spark, monkeypatch):
     docs = spark.createDataFrame([(i, f"text number {i}") for i in range(120)], "doc_id long, text string").coalesce(1)
-    assert all(r.checked for r in pieces.round_trip(docs, file_bytes(PIECES)).collect())
+    assert all(r.checked and not r.differed for r in pieces.round_trip(docs, file_bytes(PIECES)).collect())
     plain = pieces.encode
-    monkeypatch.setattr(pieces, "encode", lambda texts, tokenizer: [ids + [5] * (text == "text number 77") for text, ids in zip(texts, plain(texts, tokenizer))])
-    with pytest.raises(Exception, match="differs from SentencePiece"):
-        pieces.round_trip(docs, file_bytes(PIECES)).collect()
+    monkeypatch.setattr(pieces, "encode", lambda texts, tokenizer: [ids + [5] * text.endswith("77") for text, ids in zip(texts, plain(texts, tokenizer))])
+    original = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    for check_every in (1, 2):
+        got = pieces.round_trip(docs, file_bytes(PIECES), check_every=check_every, group=78).collect()
+        for r in got:
+            if r.checked:
+                assert np.frombuffer(r.ids, "<i4").tolist() == original.encode(f"text number {r.doc_id}")
+                assert r.differed == (r.doc_id == 77) and r.round_trip
+
+
+def test_bytes_of_the_marker_are_no_space():
+    proto = pieces.parse(unigram_model())
+    kept = [p for p in proto.pieces if p.piece != "▁"]
+    del proto.pieces[:]
+    proto.pieces.extend(kept)
+    tokenizer, original = pieces.backends(proto.SerializeToString(), 1)
+    spelt = [original.piece_to_id(f"<0x{byte:02X}>") for byte in "▁".encode()]
+    assert pieces.decode([[original.piece_to_id("a"), *spelt]], tokenizer) == ["a▁"]
