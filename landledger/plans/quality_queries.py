@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from landledger.operators import catalog, loading
 from landledger.operators import quality as Q
+from landledger.operators import summaries
 from landledger.operators.typing import infer_types
 from landledger.plans.registry import query
 from landledger.plans.text_queries import infer_sql
@@ -136,6 +137,51 @@ def flag_profile(t):
     return Q.profile(staged, exact=True)
 
 
+# Per column its text in either snapshot; null text means that the snapshot lacks the column.
+_DRIFT_COLUMNS = {
+    "o_orderkey": ("o_orderkey", "o_orderkey"),
+    "o_custkey": ("o_custkey", "CASE WHEN o_orderstatus <> 'P' THEN o_custkey::VARCHAR ELSE 'unknown' END"),
+    "o_orderstatus": ("o_orderstatus", "CASE WHEN o_orderstatus <> 'F' THEN o_orderstatus ELSE ' ' END"),
+    "o_orderpriority": ("o_orderpriority", None),
+    "o_shippriority": (None, "CASE WHEN o_orderstatus <> 'F' THEN '0' END"),
+}
+
+
+def _summary_sql(which: int) -> str:
+    return " UNION ALL ".join(
+        f"""SELECT '{column}' AS c, count(*) AS n, count(*) FILTER (v IS NULL) AS nulls, count(*) FILTER (trim(v) = '') AS blanks,
+            count(TRY_CAST(nullif(trim(v), '') AS DOUBLE)) AS numbers, min(v) FILTER (trim(v) <> '') AS lo, max(v) FILTER (trim(v) <> '') AS hi,
+            min(TRY_CAST(nullif(trim(v), '') AS DOUBLE)) AS low, max(TRY_CAST(nullif(trim(v), '') AS DOUBLE)) AS high
+            FROM (SELECT ({texts[which]})::VARCHAR AS v FROM orders)"""
+        for column, texts in _DRIFT_COLUMNS.items() if texts[which]
+    )
+
+
+@query(f"""
+    WITH b AS ({_summary_sql(0)}), a AS ({_summary_sql(1)})
+    SELECT coalesce(b.c, a.c) AS "column",
+        CASE WHEN b.c IS NULL THEN 'added' WHEN a.c IS NULL THEN 'removed'
+             WHEN 100 * ((a.n - a.nulls - a.blanks) * b.n - (b.n - b.nulls - b.blanks) * a.n) < -5 * a.n * b.n THEN 'emptier'
+             WHEN 100 * ((a.n - a.nulls - a.blanks) * b.n - (b.n - b.nulls - b.blanks) * a.n) > 5 * a.n * b.n THEN 'fuller'
+             WHEN b.numbers = b.n - b.nulls - b.blanks AND b.numbers > 0 AND a.numbers < a.n - a.nulls - a.blanks THEN 'not numeric'
+             WHEN CASE WHEN b.numbers = b.n - b.nulls - b.blanks AND a.numbers = a.n - a.nulls - a.blanks
+                       THEN a.low < b.low OR a.high > b.high ELSE a.lo < b.lo OR a.hi > b.hi END THEN 'wider' ELSE 'same' END AS change,
+        b.n AS n_rows_before, a.n AS n_rows_after, b.nulls AS n_null_before, a.nulls AS n_null_after, b.blanks AS n_blank_before,
+        a.blanks AS n_blank_after, b.numbers AS n_numbers_before, a.numbers AS n_numbers_after, b.lo AS min_text_before,
+        a.lo AS min_text_after, b.hi AS max_text_before, a.hi AS max_text_after
+    FROM b FULL OUTER JOIN a USING (c)""")
+def profile_drift(t):
+    """Summaries of the orders of each status, merged to those of two snapshots, which are then compared without another scan."""
+    def merged(which: int):
+        texts = {c: v[which] for c, v in _DRIFT_COLUMNS.items() if v[which]}
+        staged = t.orders.select(
+            F.col("o_orderstatus").alias("part"), *[F.expr(v.replace("::VARCHAR", "::string")).cast("string").alias(c) for c, v in texts.items()],
+        )
+        return summaries.merge(summaries.summarize(staged, ["part"]))
+
+    return summaries.drift(merged(0), merged(1))
+
+
 _DIFF_SQL = f"""
     WITH later AS (SELECT o_custkey, o_orderkey, o_orderstatus, o_totalprice || '$' AS o_totalprice, o_orderdate, '' AS o_comment FROM orders),
     old AS ({infer_sql("orders", ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"])}),
