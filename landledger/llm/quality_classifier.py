@@ -11,15 +11,16 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from landledger.llm.common import materialize
+from landledger.llm.common import as_bytes, give_back, materialize
 
 PIECE = 4096
 LEVEL = 3
+GROUP = 256
 
 
 @dataclass(frozen=True)
@@ -145,14 +146,21 @@ def fit(
 def scorer(model: Model):
     """A column function from text to the probability that its label is 1. Null counts as the empty text."""
 
-    @F.pandas_udf("double")
-    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def scores(raw: list[bytes], good: zstandard.ZstdCompressor, bad: zstandard.ZstdCompressor) -> np.ndarray:
+        z = np.column_stack([np.ones(len(raw)), (features(raw, good, bad) - np.array(model.mean)) / np.array(model.scale)])
+        z[[not text for text in raw], 1:] = 0  # an empty text has no evidence: the odds of an average one
+        return 1 / (1 + np.exp(-np.clip(z @ np.array(model.weights), -30, 30)))
+
+    @F.arrow_udf("double")
+    def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         good, bad = compressor(model.good), compressor(model.bad)
-        for texts in batches:
-            raw = [text.encode() if isinstance(text, str) else b"" for text in texts]
-            z = np.column_stack([np.ones(len(raw)), (features(raw, good, bad) - np.array(model.mean)) / np.array(model.scale)])
-            z[[not text for text in raw], 1:] = 0  # an empty text has no evidence: the odds of an average one
-            yield pd.Series(1 / (1 + np.exp(-np.clip(z @ np.array(model.weights), -30, 30))))
+        try:
+            for whole in batches:
+                # A group of rows at a time, so that a batch does not stand in memory twice.
+                groups = (as_bytes(whole.slice(start, GROUP)) for start in range(0, len(whole), GROUP))
+                yield pa.array(np.concatenate([np.zeros(0), *(scores(raw, good, bad) for raw in groups)]))
+        finally:
+            give_back()
 
     return score
 

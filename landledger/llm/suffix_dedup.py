@@ -28,7 +28,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from landledger.llm.common import as_bytes, parts_for
+from landledger.llm.common import as_bytes, parts_for, tidy
 
 WIDTH = 100
 SEED = 32
@@ -540,25 +540,25 @@ def remove_repeats(
     texts = identified(documents, id_column, text_column, carry or [])
     n = documents.count()
     share = min(1.0, sample_docs / max(1, n))
-    sample = texts.select("doc.text").sample(share, seed=7).limit(2 * sample_docs).mapInArrow(sampled_leads, "leads array<binary>, size long").collect()
+    sample = texts.select("doc.text").sample(share, seed=7).limit(2 * sample_docs).mapInArrow(tidy(sampled_leads), "leads array<binary>, size long").collect()
     size = n * sum(row.size for row in sample) // max(1, len(sample))
     parts = parts_for(size, bucket_bytes, least=4)
     leads = sorted(bytes(lead) for row in sample for lead in row.leads)
     splitters = [leads[len(leads) * i // parts] for i in range(1, parts)] if leads else []
 
-    places = texts.select("d", "t", "doc.text").mapInArrow(anchor_rows(parts), ANCHORS).groupBy("bucket").applyInArrow(repeated_places, PLACES)
+    places = texts.select("d", "t", "doc.text").mapInArrow(tidy(anchor_rows(parts)), ANCHORS).groupBy("bucket").applyInArrow(repeated_places, PLACES)
     per_text = places.groupBy("d", "t").agg(F.collect_list("at").alias("at"))
     found = texts.join(per_text, ["d", "t"]).select("d", "t", "doc", "at")
     settled = (
-        found.mapInArrow(suffixes(splitters, parts), SUFFIXES)
+        found.mapInArrow(tidy(suffixes(splitters, parts)), SUFFIXES)
         .groupBy("bucket").applyInArrow(settle_bucket(parts), SUFFIXES)
-        .mapInArrow(open_windows(parts), WINDOWS)
+        .mapInArrow(tidy(open_windows(parts)), WINDOWS)
         .groupBy("bucket").applyInArrow(later_windows, CUTS)
     )
     cuts = settled.groupBy("d", "t").agg(F.collect_list("cut").alias("cut"))
     marked = texts.join(cuts, ["d", "t"], "left").select(F.when(F.col("d") != LOWEST, F.col("d")).alias("doc_id"), "doc", "cut")
     row = f", row {texts.schema['doc'].dataType['row'].dataType.simpleString()}" if carry else ""
-    return marked.mapInArrow(cut_out(with_text, bool(carry)), KEPT + row)
+    return marked.mapInArrow(tidy(cut_out(with_text, bool(carry))), KEPT + row)
 
 
 ORACLE = r"""
