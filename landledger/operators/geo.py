@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from functools import partial
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
@@ -132,6 +133,23 @@ def area(geometry: Column | str) -> Column:
     return F.aggregate(F.transform(geometry, polygon_area), F.lit(0.0), lambda total, v: total + v)
 
 
+def without_straight_corners(polygon: Column | str) -> Column:
+    """The rings of a polygon less the points on a straight line between their neighbours; the shape is the same."""
+    polygon = F.col(polygon) if isinstance(polygon, str) else polygon
+
+    def bent(ring: Column) -> Column:
+        n = F.size(ring) - 1
+
+        def turns(p: Column, i: Column) -> Column:
+            before, after = ring[F.pmod(i - 1 + n, n)], ring[F.pmod(i + 1, n)]
+            return (p["x"] - before["x"]) * (after["y"] - p["y"]) != (p["y"] - before["y"]) * (after["x"] - p["x"])
+
+        kept = F.filter(F.slice(ring, F.lit(1), n), turns)
+        return F.concat(kept, F.slice(kept, 1, 1))
+
+    return F.transform(polygon, bent)
+
+
 # --- dissolve ------------------------------------------------------------------------------------
 
 def boundary_edges(df: DataFrame, key: str, column: str = "geom") -> DataFrame:
@@ -198,7 +216,7 @@ def trace_rings(edges: DataFrame, key: str, small: int = 20_000) -> DataFrame:
 
 
 def _trace(follows: DataFrame, key: str, small: int = 20_000) -> DataFrame:
-    """Rings of materialized successors.
+    """Rings of materialized successors. None meets itself: one that does is cut there, so holes that touch are two rings.
 
     A key with at most ``small`` edges is stitched within one task, after a single shuffle. Larger
     keys, of any size, go through ``_trace_large``.
@@ -213,7 +231,9 @@ def _trace(follows: DataFrame, key: str, small: int = 20_000) -> DataFrame:
         traced = _trace_small(follows.join(large, same, "left_anti"), key).unionByName(
             _trace_large(follows.join(large, same, "left_semi"), key)
         )
-    return traced.withColumns({
+    loops = F.arrow_udf(_loops, "array<array<struct<x:double,y:double>>>")
+    simple = traced.select(key, F.explode(loops("points")).alias("points"))
+    return simple.withColumns({
         "ring_id": F.struct(F.col("points")[0].alias("a"), F.col("points")[1].alias("b")),
         "signed_area": _signed_area(F.col("points")),
     }).select(key, "ring_id", "points", "signed_area")
@@ -252,6 +272,36 @@ def _stitch(corners: pa.Array) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(row_ends, pa.int32()), rings)
 
 
+def _loops(rings: pa.Array) -> pa.Array:
+    """Per closed ring the loops that it is made of, none of which meets a point twice, each from its smallest point."""
+    points = rings.flatten()
+    x, y = (points.field(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+    bounds = np.concatenate([[0], np.cumsum(pc.list_value_length(rings).to_numpy(zero_copy_only=False))])
+    taken, sizes, per_row = [np.zeros(0, np.int64)], [], []
+    for low, high in zip(bounds, bounds[1:]):
+        _, names = np.unique(x[low:high - 1] + 1j * y[low:high - 1], return_inverse=True)
+        loops = [np.arange(high - 1 - low)]
+        if names.max(initial=-1) + 1 < len(names):
+            loops, path, at = [], [], {}
+            for n, name in enumerate(names.tolist()):
+                if name in at:
+                    start = at[name]
+                    loops.append(np.array(path[start:]))
+                    for gone in path[start:]:
+                        del at[names[gone]]
+                    del path[start:]
+                at[name] = len(path)
+                path.append(n)
+            loops.append(np.array(path))
+        for loop in loops:
+            loop = np.roll(loop, -int(np.argmin(names[loop]))) if len(loop) else loop
+            taken.append(low + np.append(loop, loop[:1]))
+            sizes.append(len(loop) + 1)
+        per_row.append(len(loops))
+    inner = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), points.take(pa.array(np.concatenate(taken), pa.int64())))
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(per_row)]), pa.int32()), inner)
+
+
 def _trace_large(follows: DataFrame, key: str, max_rounds: int = 40) -> DataFrame:
     """Rings of keys of any size by pointer doubling: (key, points).
 
@@ -292,52 +342,76 @@ def _trace_large(follows: DataFrame, key: str, max_rounds: int = 40) -> DataFram
 def _hole_parents(rings: DataFrame, key: str) -> DataFrame:
     """(key, hole_id, shell_id): the smallest shell around each hole.
 
-    A ray to the left of the hole's start crosses its surrounding shells an odd number of times. Ray
-    and edges meet on horizontal stripes, an equi-join, never all edges of a key.
+    The box of a key's shells is cut into about as many cells as they have points. Each cell has a reference point, halfway up its
+    left side. Which shells hold it follows from the crossings of the middle line of the cell's row: their parity per column,
+    summed along the row. From there a path leads up or down the side and then across to the hole's first edge, and passes edges of that
+    cell only. So a hole meets the shells that hold its cell and the edges of its cell, wherever the other edges of its height are.
     """
+    # The middle of an edge, not a corner: a shell may touch the hole there.
+    first = [(F.col(f"ring_id.a.{axis}") + F.col(f"ring_id.b.{axis}")) / 2 for axis in "xy"]
     holes = rings.where("signed_area < 0").select(
-        key, F.col("ring_id").alias("hole_id"), F.col("ring_id")["a"]["x"].alias("hx"), F.col("ring_id")["a"]["y"].alias("hy")
-    )
-    shells = rings.where("signed_area > 0")
-    bounds = shells.groupBy(key).agg(
-        F.min(F.array_min(F.transform("points", lambda p: p["y"]))).alias("y_low"),
-        F.max(F.array_max(F.transform("points", lambda p: p["y"]))).alias("y_high"),
-        F.sum(F.size("points")).alias("n_points"),
-    )
-    # The square root of the key's points as the number of stripes; a stripe holds all edges of its height, a long edge covers several.
-    height = F.greatest((F.col("y_high") - F.col("y_low")) / F.sqrt(F.col("n_points").cast("double")), F.lit(1e-12))
+        F.col(key).alias("_key"), F.col("ring_id").alias("hole_id"), first[0].alias("hx"), first[1].alias("hy"))
     # Only keys with holes take part.
-    bounds = bounds.join(holes.select(F.col(key).alias("_key")).distinct(), F.col(key).eqNullSafe(F.col("_key")), "left_semi")
-    grid = bounds.select(F.col(key).alias("_key"), "y_low", height.alias("height"))
+    shells = rings.where("signed_area > 0").select(F.col(key).alias("of"), F.col("ring_id").alias("shell_id"), "signed_area", "points").join(
+        holes.select("_key").distinct(), F.col("of").eqNullSafe(F.col("_key")), "left_semi")
+
+    def ends(axis: str) -> list[Column]:
+        along = F.transform("points", lambda p: p[axis])
+        return [F.min(F.array_min(along)).alias(f"{axis}_low"), F.max(F.array_max(along)).alias(f"{axis}_high")]
 
-    def on_grid(df: DataFrame) -> DataFrame:
-        return df.join(grid, F.col(key).eqNullSafe(F.col("_key"))).drop("_key")
+    bounds = shells.groupBy("of").agg(*ends("x"), *ends("y"), F.sum(F.size("points")).alias("n"))
+    # The grid begins off the corner by an odd fraction of a cell, so that its lines do not run along those of regular shapes.
+    side = F.sqrt(F.col("n").cast("double"))
+    grid = bounds.select(F.col("of").alias("grid_of"), *[
+        c for axis in "xy" for size in [F.greatest((F.col(f"{axis}_high") - F.col(f"{axis}_low")) / side, F.lit(1e-12))]
+        for c in (size.alias(f"d{axis}"), (F.col(f"{axis}_low") - size * 0.3819660112501051).alias(f"{axis}0"))
+    ])
 
-    def stripe(y: Column) -> Column:
-        return F.floor((y - F.col("y_low")) / F.col("height"))
+    def cell(value: Column, axis: str) -> Column:
+        return F.floor((value - F.col(f"{axis}0")) / F.col(f"d{axis}"))
 
     n = F.size("points") - 1
-    edges = on_grid(
-        shells.select(
-            key, F.col("ring_id").alias("shell_id"), "signed_area",
-            F.explode(F.arrays_zip(F.slice("points", F.lit(1), n).alias("p"), F.slice("points", F.lit(2), n).alias("q"))).alias("e"),
-        ).where("e.p.y <> e.q.y")
-    )
-    low, high = F.least("e.p.y", "e.q.y"), F.greatest("e.p.y", "e.q.y")
-    edges = edges.withColumn("stripe", F.explode(F.sequence(stripe(low), stripe(high)))).select(
-        F.col(key).alias("_key"), "shell_id", "signed_area", F.col("stripe").alias("_stripe"), "e"
+    edges = shells.select(
+        "of", "shell_id", "signed_area", F.explode(F.arrays_zip(F.slice("points", F.lit(1), n).alias("p"), F.slice("points", F.lit(2), n).alias("q"))).alias("e"),
+    ).select("of", "shell_id", "signed_area", *[F.col(f"e.{end}.{axis}").alias(f"{end}{axis}") for end in "pq" for axis in "xy"])
+    edges = edges.join(grid, F.col("of").eqNullSafe(F.col("grid_of"))).drop("grid_of")
+    low, high = F.least("py", "qy"), F.greatest("py", "qy")
+
+    def x_at(y: Column) -> Column:
+        return F.col("px") + (y - F.col("py")) * (F.col("qx") - F.col("px")) / F.nullif(F.col("qy") - F.col("py"), F.lit(0.0))
+
+    def y_at(x: Column) -> Column:
+        return F.col("py") + (x - F.col("px")) * (F.col("qy") - F.col("py")) / F.nullif(F.col("qx") - F.col("px"), F.lit(0.0))
+
+    by_row = edges.withColumn("row", F.explode(F.sequence(cell(low, "y"), cell(high, "y"))))
+    bottom = F.col("y0") + F.col("row") * F.col("dy")
+    middle = bottom + F.col("dy") / 2
+    # Half-open edges count a crossing at a corner once. Crossings of one column cancel in pairs; the others bound the insides.
+    odd = (
+        by_row.where((low <= middle) & (middle < high)).select("of", "shell_id", "signed_area", "row", cell(x_at(middle), "x").alias("col"))
+        .groupBy("of", "shell_id", "signed_area", "row", "col").agg(F.count(F.lit(1)).alias("n")).where("n % 2 = 1")
     )
-    rays = on_grid(holes).withColumn("stripe", stripe(F.col("hy")))
-    # The start of a hole may be a vertex of the shell: half-open edges count each crossing once.
-    spans = (F.least("e.p.y", "e.q.y") <= F.col("hy")) & (F.col("hy") < F.greatest("e.p.y", "e.q.y"))
-    at = F.col("e.p.x") + (F.col("hy") - F.col("e.p.y")) * (F.col("e.q.x") - F.col("e.p.x")) / (F.col("e.q.y") - F.col("e.p.y"))
-    crossings = (
-        rays.join(edges, F.col(key).eqNullSafe(F.col("_key")) & (F.col("stripe") == F.col("_stripe")) & spans & (at < F.col("hx")))
-        .groupBy(key, "hole_id", "shell_id", "signed_area")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .where("n % 2 = 1")
+    along = Window.partitionBy("of", "shell_id", "row").orderBy("col")
+    inside = (
+        odd.withColumns({"nth": F.row_number().over(along), "last": F.lead("col").over(along)}).where("nth % 2 = 1")
+        .select("of", "shell_id", "signed_area", "row", F.explode(F.sequence(F.col("col") + 1, F.col("last"))).alias("col"))
     )
-    return crossings.groupBy(key, "hole_id").agg(F.min_by("shell_id", "signed_area").alias("shell_id"))
+    # Columns that an edge passes in a row, a little wider, for rounding; the path decides what counts.
+    spare = F.col("dx") * 1e-6
+    ya, yb = F.greatest(low, F.least(bottom, high)), F.least(high, F.greatest(bottom + F.col("dy"), low))
+    xa, xb = F.coalesce(x_at(ya), F.col("px")), F.coalesce(x_at(yb), F.col("qx"))
+    passed = by_row.withColumn("col", F.explode(F.sequence(cell(F.least(xa, xb) - spare, "x"), cell(F.greatest(xa, xb) + spare, "x"))))
+    placed = holes.join(grid, F.col("_key").eqNullSafe(F.col("grid_of"))).select(
+        "_key", "hole_id", "hx", "hy", cell(F.col("hy"), "y").alias("_row"), cell(F.col("hx"), "x").alias("_col"))
+    there = F.col("of").eqNullSafe(F.col("_key")) & (F.col("row") == F.col("_row")) & (F.col("col") == F.col("_col"))
+    left = F.col("x0") + F.col("col") * F.col("dx")
+    up = (F.least("px", "qx") < left) & (left <= F.greatest("px", "qx")) & ((y_at(left) > middle) != (y_at(left) > F.col("hy")))
+    across = (low <= F.col("hy")) & (F.col("hy") < high) & (x_at(F.col("hy")) >= left) & (x_at(F.col("hy")) < F.col("hx"))
+    crossed = F.coalesce(up, F.lit(False)).cast("int") + F.coalesce(across, F.lit(False)).cast("int")
+    met = inside.join(placed, there).select("_key", "hole_id", "shell_id", "signed_area", F.lit(1).alias("n")).unionByName(
+        passed.join(placed, there).select("_key", "hole_id", "shell_id", "signed_area", crossed.alias("n")))
+    around = met.groupBy("_key", "hole_id", "shell_id", "signed_area").agg(F.sum("n").alias("n")).where("n % 2 = 1")
+    return around.groupBy("_key", "hole_id").agg(F.min_by("shell_id", "signed_area").alias("shell_id")).withColumnRenamed("_key", key)
 
 
 def _polygons(rings: DataFrame, key: str) -> DataFrame:

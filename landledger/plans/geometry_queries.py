@@ -138,6 +138,48 @@ def dissolve_parts(t):
     return polygons.groupBy("parcel_id", "dissolved").agg(F.sum(G.area(G.to_multipolygon("polygon"))).alias("area"), corners.alias("corners"))
 
 
+_FRAMES = f"""
+    WITH s AS (SELECT p_type AS parcel_id, p_partkey % {WIDTH} AS x, p_partkey // {WIDTH} AS y, p_size % 3 AS kind FROM part)"""
+
+
+@query(f"""{_FRAMES}
+    SELECT parcel_id, count(*)::BIGINT AS n_polygons, sum(CASE kind WHEN 0 THEN 0 WHEN 1 THEN 1 ELSE 2 END)::BIGINT AS n_holes,
+           sum(CASE kind WHEN 0 THEN 4 WHEN 1 THEN 8 ELSE 12 END)::BIGINT AS corners,
+           sum(CASE kind WHEN 0 THEN 64.0 WHEN 1 THEN 48.0 ELSE 56.0 END)::DOUBLE AS area,
+           min(10 * x)::DOUBLE AS x_low, max(10 * x + 8)::DOUBLE AS x_high, min(10 * y)::DOUBLE AS y_low, max(10 * y + 8)::DOUBLE AS y_high
+    FROM s GROUP BY parcel_id
+    UNION ALL SELECT 'all', count(*), sum(kind)::BIGINT, sum(4 + 4 * kind)::BIGINT, sum(CASE kind WHEN 0 THEN 64.0 WHEN 1 THEN 48.0 ELSE 56.0 END),
+           min(10 * x), max(10 * x + 8), min(10 * y), max(10 * y + 8) FROM s""")
+def dissolve_holes(t):
+    """Two halves of each part's square, with no hole, one, or two that touch in a corner; per type, and all of them under one key."""
+    x, y = F.col("x"), F.col("y")
+
+    def ring(*points):
+        return F.array(*[F.struct((x + a).cast("double").alias("x"), (y + b).cast("double").alias("y")) for a, b in [*points, points[0]]])
+
+    # The halves meet in the middle, at x = 4; their inner corners stand on it, so that they share vertices.
+    wholes = {
+        0: [[(0, 0), (4, 0), (4, 8), (0, 8)], [(4, 0), (8, 0), (8, 8), (4, 8)]],
+        1: [[(0, 0), (4, 0), (4, 2), (2, 2), (2, 6), (4, 6), (4, 8), (0, 8)], [(4, 0), (8, 0), (8, 8), (4, 8), (4, 6), (6, 6), (6, 2), (4, 2)]],
+        2: [[(0, 0), (4, 0), (4, 2), (2, 2), (2, 4), (4, 4), (4, 6), (4, 8), (0, 8)], [(4, 0), (8, 0), (8, 8), (4, 8), (4, 6), (6, 6), (6, 4), (4, 4), (4, 2)]],
+    }
+    base = t.part.select("p_type", (F.col("p_partkey") % WIDTH * 10).alias("x"), (F.floor(F.col("p_partkey") / WIDTH) * 10).alias("y"), (F.col("p_size") % 3).alias("kind"))
+    halves = F.explode(F.array(*[
+        F.when(F.col("kind") == 0, ring(*wholes[0][i])).when(F.col("kind") == 1, ring(*wholes[1][i])).otherwise(ring(*wholes[2][i])) for i in (0, 1)
+    ])).alias("ring")
+    rows = base.select(F.explode(F.array("p_type", F.lit("all"))).alias("parcel_id"), "x", "y", "kind").select("parcel_id", halves)
+    polygons = G.dissolve_polygons(rows.select("parcel_id", F.array(F.array("ring")).alias("geom")), "parcel_id")
+    straight = G.without_straight_corners("polygon")
+    points = F.flatten("polygon")
+    low, high = (lambda axis: F.min(F.array_min(F.transform(points, lambda p: p[axis])))), (lambda axis: F.max(F.array_max(F.transform(points, lambda p: p[axis]))))
+    return polygons.where("dissolved").groupBy("parcel_id").agg(
+        F.count(F.lit(1)).alias("n_polygons"), F.sum((F.size("polygon") - 1).cast("bigint")).alias("n_holes"),
+        F.sum(F.aggregate(straight, F.lit(0).cast("bigint"), lambda n, r: n + F.size(r) - 1)).alias("corners"),
+        F.sum(G.area(G.to_multipolygon("polygon"))).alias("area"),
+        low("x").alias("x_low"), high("x").alias("x_high"), low("y").alias("y_low"), high("y").alias("y_high"),
+    )
+
+
 def _blocks(t):
     """The squares keyed by brand, type and block: some keys repeat, some do not."""
     squares = _squares(t, "p_type").withColumn("block", F.floor(F.col("p_partkey") / 400).cast("string"))

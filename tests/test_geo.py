@@ -118,6 +118,8 @@ CASES = [
     ("hole filled", [[[square(0, 0, 9, 9), square(3, 3, 2, 2)]], [[square(3, 3, 2, 2)]]], (81, 1, [1])),
     ("island in hole", [[[square(0, 0, 9, 9), square(2, 2, 5, 5)]], [[square(4, 4)]]], (57, 2, [1, 2])),
     ("ring of squares", [[[square(x, y)]] for x in range(3) for y in range(3) if (x, y) != (1, 1)], (8, 1, [2])),
+    ("holes touch", [[[square(x, y)]] for x in range(4) for y in range(4) if (x, y) not in ((1, 1), (2, 2))], (14, 1, [3])),
+    ("hole touches shell", [[[square(x, y)]] for x in range(3) for y in range(3) if (x, y) not in ((1, 1), (0, 0))], (7, 1, [2])),
     ("two rings of squares", [[[square(x + d, y)]] for d in (0, 10) for x in range(3) for y in range(3) if (x, y) != (1, 1)], (16, 2, [2, 2])),
 ]
 
@@ -147,6 +149,49 @@ def test_dissolve_random_cells(spark, small):
     assert G.dissolve(df, "k").select(G.area("geom").alias("a")).head()["a"] == len(cells)
 
 
+def test_holes_find_their_shells(spark):
+    """Against a plain ray test over all shells: nested frames, a comb whose teeth part the cells, slanted shells, and many holes in one row."""
+    def ring(points, hole=False):
+        """Counter-clockwise, holes clockwise, from the smallest edge."""
+        turn = sum(a[0] * b[1] - b[0] * a[1] for a, b in zip(points, points[1:] + points[:1]))
+        points = points[::-1] if (turn > 0) == hole else points
+        at = points.index(min(points))
+        points = points[at:] + points[:at]
+        return points + points[:1]
+
+    def box(x, y, w, h=None):
+        return [(x, y), (x + w, y), (x + w, y + (h or w)), (x, y + (h or w))]
+
+    random.seed(11)
+    shells = [box(0, 0, 100), box(10, 10, 40), box(14, 14, 6), [(200.0, 0.5), (260.25, 30), (240, 90), (190, 60)]]
+    comb = [(110, 0), (180, 0)] + [p for i in range(35) for p in ((180 - 2 * i, 50), (179 - 2 * i, 50), (179 - 2 * i, 2), (178 - 2 * i, 2))]
+    shells.append(comb[:-2])
+    holes = [box(5, 5, 90), box(12, 12, 10), box(179.25, 20, 0.5), box(111.25, 45, 0.25), box(230, 40, 1)]
+    holes += [box(55 + x, 3 + y * 0.01, 0.125) for x in range(30) for y in (1, 50, 120)]
+    holes += [box(round(random.uniform(205, 235), 3), round(random.uniform(25, 60), 3), 0.001) for _ in range(40)]
+
+    def holds(shell, x, y):
+        return sum((a[1] <= y) != (b[1] <= y) and a[0] + (y - a[1]) * (b[0] - a[0]) / (b[1] - a[1]) < x for a, b in zip(shell, shell[1:])) % 2
+
+    def size(points):
+        return sum(a[0] * b[1] - b[0] * a[1] for a, b in zip(points, points[1:])) / 2
+
+    shells, holes = [ring(p) for p in shells], [ring(p, True) for p in holes]
+    rows = [(key, (r[0], r[1]), r, size(r)) for key in ("a", None) for r in shells + holes]
+    point = "struct<x:double,y:double>"
+    df = spark.createDataFrame(
+        [(k, tuple((float(x), float(y)) for x, y in i), [(float(x), float(y)) for x, y in p], float(s)) for k, i, p, s in rows],
+        f"k string, ring_id struct<a:{point},b:{point}>, points array<{point}>, signed_area double")
+    got = {(r["k"], tuple(r["hole_id"]["a"]), tuple(r["hole_id"]["b"])): tuple(r["shell_id"]["a"]) for r in G._hole_parents(df, "k").collect()}
+    want = {}
+    for h in holes:
+        around = [s for s in shells if holds(s, *h[0])]
+        for key in ("a", None):
+            if around:
+                want[key, h[0], h[1]] = min(around, key=size)[0]
+    assert got == want and len(want) > 250
+
+
 def test_overlaps_are_kept_and_flagged(spark):
     rows = [("edge", [[square(0, 0, 2, 2)]]), ("edge", [[square(0, 0, 1, 2)]]), ("edge", [[square(0, 0, 1, 2)]]), ("fine", [[square(0, 0)]]), ("fine", [[square(1, 0)]])]
     df = frame(spark, rows)
