@@ -36,6 +36,7 @@ def query(sql: str | None = None):
 def load_all() -> None:
     """Import every module that registers queries."""
     from landledger.plans import (  # noqa: F401
+        address_queries,
         entity_queries,
         geometry_queries,
         history_queries,
