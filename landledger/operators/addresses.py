@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from landledger.operators.entities import DIRECTIONS, route
+from landledger.session import materialize
 
 # Titles of street types with their postal abbreviations.
 STREET_TYPES = {
@@ -78,9 +79,21 @@ def routed_ranges(ranges: DataFrame, parts: str) -> DataFrame:
     ])
 
 
-def _at(number: Column, level: Column) -> Column:
-    """The bin of a number among those of 2**level numbers."""
-    return F.call_function("shiftright", number, level)
+def _bins(low: Column, high: Column) -> Column:
+    """The numbers from ``low`` to ``high`` as whole bins of 2**level numbers: at most two of a level, and no number in two of them."""
+    low, end = low.cast("bigint"), high.cast("bigint") + 1
+
+    def of(level: Column) -> Column:
+        first = F.call_function("shiftright", low + F.call_function("shiftleft", F.lit(1).cast("bigint"), level) - 1, level)
+        last = F.call_function("shiftright", end, level) - 1
+
+        def taken(bin_: Column, parity: int) -> Column:
+            return F.when((first <= last) & (F.pmod(bin_, F.lit(2)) == parity), F.struct(level.alias("level"), bin_.alias("bin")))
+
+        return F.array(taken(first, 1), taken(last, 0))
+
+    levels = F.sequence(F.lit(0), F.length(F.bin(end - low)) - 1)
+    return F.filter(F.flatten(F.transform(levels, of)), lambda bin_: bin_.isNotNull())
 
 
 def match_ranges(addresses: DataFrame, ranges: DataFrame, key: str, parts: str, range_key: str, range_parts: str) -> DataFrame:
@@ -91,38 +104,43 @@ def match_ranges(addresses: DataFrame, ranges: DataFrame, key: str, parts: str,
     not read, the street has no range, the number lies on the other side, or outside all ranges. Equal rows of ``addresses`` are one
     row with their number in ``n_rows``. Rejected ranges take no part.
 
-    A range of up to 2**n numbers lies in at most two bins of that width, so it is two rows at most, whatever its length. An address
-    looks its number up once for each width that occurs, 32 at most. Both sides meet by (street, width, bin), an equi-join
-    that Spark can split where a street or a number is hot.
+    A range is cut into bins of 2**n numbers that it fills, two of a width at most. All ranges that fill a bin are one row, with their
+    count and the best of them for even and for odd numbers. A number lies in one bin of each width, 32 at most, so rows grow with
+    ranges and numbers, not with the pairs of both. A number of a street is looked up once, however many addresses have it. Both
+    sides meet by (street, width, bin), an equi-join that Spark can split where a street or a number is hot.
     """
     low, high = F.col(f"{range_parts}.low"), F.col(f"{range_parts}.high")
-    span = F.when(high > low, F.length(F.bin(high - low))).otherwise(0)
-    usable = ranges.select(F.col(range_key).alias("r"), low.alias("low"), high.alias("high"), street_key(range_parts).alias("_street"), span.alias("_level"))
+    usable = ranges.select(F.col(range_key).alias("r"), low.alias("low"), high.alias("high"), street_key(range_parts).alias("_street"))
     usable = usable.where("_street is not null and low <= high")
-    levels = [row[0] for row in usable.select("_level").distinct().collect()]  # at most 32 small numbers
-    bins = F.array_distinct(F.array(_at(F.col("low"), F.col("_level")), _at(F.col("high"), F.col("_level"))))
+    narrow = F.struct((F.col("high") - F.col("low")).alias("width"), "low", "r").alias("range")
+    serves = [((side_of(F.col("low"), F.col("high")) == BOTH) | (F.pmod("low", F.lit(2)) == parity)).alias(f"serves{parity}") for parity in (0, 1)]
+    filled = usable.select("_street", narrow, *serves, F.inline(_bins(F.col("low"), F.col("high"))))
+    bins = materialize(filled.groupBy("_street", F.col("level").alias("_level"), F.col("bin").alias("_bin")).agg(*[
+        c for parity in (0, 1) for c in (
+            F.count_if(f"serves{parity}").alias(f"n{parity}"), F.min(F.when(F.col(f"serves{parity}"), F.col("range"))).alias(f"best{parity}"))
+    ]), "range-bins")
+    levels = [row[0] for row in bins.select("_level").distinct().collect()]  # at most 32 small numbers
     # A row of its own for each street tells streets without ranges from numbers that no range holds.
-    streets = usable.select("_street").distinct().select("_street", F.lit(-1).alias("_level"), F.lit(0).alias("_bin"))
-    table = usable.withColumn("_bin", F.explode(bins)).unionByName(streets, allowMissingColumns=True)
+    streets = bins.select("_street").distinct().select("_street", F.lit(-1).alias("_level"), F.lit(0).cast("bigint").alias("_bin"))
+    table = bins.unionByName(streets, allowMissingColumns=True)
 
     number = F.col(f"{parts}.low")
     given = addresses.select(F.col(key).alias("k"), street_key(parts).alias("street"), number.alias("number"))
-    asked = given.groupBy("k", "street", "number").agg(F.count(F.lit(1)).alias("n_rows"))
-    own = F.array(F.struct(F.lit(-1).alias("level"), F.lit(0).alias("bin")), *[
-        F.struct(F.lit(n).alias("level"), F.shiftright("number", n).alias("bin")) for n in sorted(levels)
+    asked = materialize(given.groupBy("k", "street", "number").agg(F.count(F.lit(1)).alias("n_rows")), "addresses")
+    own = F.array(F.struct(F.lit(-1).alias("level"), F.lit(0).cast("bigint").alias("bin")), *[
+        F.struct(F.lit(n).alias("level"), F.shiftright(F.col("number").cast("bigint"), n).alias("bin")) for n in sorted(levels)
     ])
-    looked = asked.withColumn("at", F.explode(own))
-    found = looked.join(table, (F.col("street") == F.col("_street")) & (F.col("at.level") == F.col("_level")) & (F.col("at.bin") == F.col("_bin")), "left")
-    held = F.col("number").between(F.col("low"), F.col("high"))
-    side = side_of(F.col("low"), F.col("high"))
-    on_side = held & ((side == BOTH) | (F.col("number") % 2 == F.col("low") % 2))
-    best = found.groupBy("k", "street", "number", "n_rows").agg(
-        F.min(F.when(on_side, F.struct((F.col("high") - F.col("low")).alias("width"), "low", "r"))).alias("best"),
-        F.count_if(on_side).alias("n_ranges"),
-        F.coalesce(F.bool_or(held), F.lit(False)).alias("held"), F.coalesce(F.bool_or(F.col("_level") == -1), F.lit(False)).alias("known"),
+    looked = asked.select("street", "number").dropna().distinct().select("street", "number", F.inline(own))
+    found = looked.join(table, (F.col("street") == F.col("_street")) & (F.col("level") == F.col("_level")) & (F.col("bin") == F.col("_bin")))
+    even = F.pmod("number", F.lit(2)) == 0
+    answers = found.groupBy(F.col("street").alias("_street"), F.col("number").alias("_number")).agg(
+        F.min(F.when(even, F.col("best0")).otherwise(F.col("best1"))).alias("best"),
+        F.sum(F.when(even, F.col("n0")).otherwise(F.col("n1"))).alias("n_ranges"), F.bool_or(F.col("level") >= 0).alias("held"),
     )
+    best = asked.join(materialize(answers, "range-answers"), (F.col("street") == F.col("_street")) & (F.col("number") == F.col("_number")), "left")
     reason = (
         F.when(F.col("best").isNotNull(), F.lit(None).cast("string")).when(F.col("street").isNull() | F.col("number").isNull(), "unreadable line")
-        .when(~F.col("known"), "street without ranges").when(F.col("held"), "other side of the street").otherwise("outside all ranges")
+        .when(F.col("_street").isNull(), "street without ranges").when(F.col("held"), "other side of the street").otherwise("outside all ranges")
     )
-    return best.select(F.col("k").alias(key), "street", "number", "n_rows", "n_ranges", F.col("best.r").alias(range_key), reason.alias("reason"))
+    return best.select(
+        F.col("k").alias(key), "street", "number", "n_rows", F.coalesce("n_ranges", F.lit(0)).alias("n_ranges"), F.col("best.r").alias(range_key), reason.alias("reason"))

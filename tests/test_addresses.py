@@ -61,3 +61,28 @@ def test_match_ranges(spark):
     assert A.match_ranges(a.limit(0), r, "id", "p", "rid", "p").isEmpty()
     routes = {(row.rid, row.side, row.reason) for row in A.routed_ranges(r, "p").where("route = 'rejected'").select("rid", "side", "reason").collect()}
     assert routes == {(1000, None, "unreadable line"), (1004, None, "unreadable line"), (1001, "even", "range runs backwards")}
+
+
+def test_ranges_become_few_bins(spark):
+    """Every number of a range lies in one of its bins, and a width has two at most: a number meets rows, not ranges."""
+    bounds = [(0, 0), (5, 48), (7, 8), (1, 1023), (0, 999_999_999), (100, 163), (64, 127)]
+    df = spark.createDataFrame(bounds, "low int, high int")
+    for row in df.select("low", "high", A._bins(F.col("low"), F.col("high")).alias("bins")).collect():
+        spans = sorted((b.bin << b.level, ((b.bin + 1) << b.level) - 1) for b in row.bins)
+        assert spans[0][0] == row.low and spans[-1][1] == row.high
+        assert all(after[0] == before[1] + 1 for before, after in zip(spans, spans[1:]))
+        levels = [b.level for b in row.bins]
+        assert max(levels.count(n) for n in levels) <= 2
+
+
+def test_many_ranges_over_many_numbers(spark):
+    """2,000 ranges that all hold the 2,000 numbers asked for: four million pairs, none of which becomes a row."""
+    ranges = spark.range(2000).select(F.col("id").alias("rid"), A.street_line(F.format_string("%d-%d Elm", 5000 - F.col("id"), 10_000 + F.col("id") % 7)).alias("p"))
+    asked = spark.range(2000).select("id", A.street_line(F.format_string("%d Elm", 6000 + F.col("id"))).alias("p"))
+    found = A.match_ranges(asked, ranges, "id", "p", "rid", "p")
+    bounds = [(5000 - i, 10_000 + i % 7, i) for i in range(2000)]
+    want = {}
+    for parity in (0, 1):
+        sided = [(high - low, low, i) for low, high, i in bounds if low % 2 != high % 2 or low % 2 == parity]
+        want[parity] = (len(sided), min(sided)[2])
+    assert {(r.number % 2, r.n_ranges, r.rid) for r in found.collect()} == {(p, *w) for p, w in want.items()}
