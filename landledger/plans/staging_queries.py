@@ -79,7 +79,9 @@ def csv_gate(t):
     """Documents hold quoted commas and line breaks and pass; orders get short rows, which pass, and long ones."""
     base = _land(t, "documents")
     extra = F.when(F.col("o_orderkey") % 100 == 50, ',"a, ""b""",').when(F.col("o_orderkey") % 100 == 70, "").otherwise(",x")
-    t.orders.select(F.concat("o_orderkey", F.lit(",p"), extra)).write.text(f"{base}/orders.csv")
+    # Every part begins with the header, and a regular row first: the width is the larger one of the two.
+    lines = t.orders.select(F.concat("o_orderkey", F.lit(",p"), extra).alias("o_orderkey,p,x"), (F.col("o_orderkey") % 100 == 50).alias("long"))
+    lines.sortWithinPartitions("long").drop("long").write.csv(f"{base}/orders.csv", header=True, sep="\u0001", quote="", escapeQuotes=False)
     verdicts = [csvfiles.gate_csv(t.spark, f"{base}/{name}.csv") for name in ("documents", "orders")]
     return verdicts[0].unionByName(verdicts[1]).select(F.substring_index("path", "/", -1).alias("name"), "ok", "width", "long_rows")
 

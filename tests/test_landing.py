@@ -219,3 +219,14 @@ def test_newest_landing(spark, tmp_path):
     assert landing.newest_landing(spark, str(tmp_path)) == str(tmp_path / "2024_02_01_00_00_00")
     tables = csvfiles.landed_tables(spark, landing.newest_landing(spark, str(tmp_path)))
     assert sorted(r["table"] for r in tables.collect()) == ["a", "b"]
+
+
+def test_gated_orders_in_several_parts(spark, tmp_path):
+    """Each part of the landed orders has the header; long rows are counted wherever they stand, the first row of a part included."""
+    from landledger.plans import registry
+
+    registry.load_all()
+    spark.range(50, 1050, numPartitions=5).withColumnRenamed("id", "o_orderkey").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.createDataFrame([(1, 'a, "b"\nc', "en", "s", 8)], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    found = {row["name"]: (row.ok, row.width, row.long_rows) for row in registry.QUERIES["csv_gate"](spark, str(tmp_path)).collect()}
+    assert found == {"orders.csv": (False, 3, 10), "documents.csv": (True, 5, 0)}
