@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Collection
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -9,14 +11,16 @@ from pyspark.sql import functions as F
 SEGMENTS = (("country", 3), ("region", 5), ("parcel", 6), ("building", 4), ("unit", 5))
 # Building 0 stands for the parcel itself.
 MOST_BUILDINGS = 9999
+# Parcels are minted without an upper bound: a region has as many as it registers, a million or more included.
+MINTED = ("parcel",)
 
 
 def _text(value: Column | str) -> Column:
     return F.col(value) if isinstance(value, str) else value
 
 
-def _zero_filled(value: Column | str | int, name: str, width: int) -> Column:
-    """Digits filled to ``width``. A wider number raises: padding alone would cut it silently.
+def _zero_filled(value: Column | str | int, name: str, width: int, grows: bool = False) -> Column:
+    """Digits filled to ``width``. A wider number raises, since padding alone would cut it silently; with ``grows`` it stays whole.
 
     A building or unit that is null has none and reads 0; any other missing or unreadable number raises.
     """
@@ -24,15 +28,19 @@ def _zero_filled(value: Column | str | int, name: str, width: int) -> Column:
     read = number.try_cast("bigint")
     number = read if name not in ("building", "unit") else F.when(number.isNotNull(), read).otherwise(F.lit(0))
     message = F.concat(F.lit(f"{name} does not fit {width} digits: "), F.coalesce(number.cast("string"), F.lit("none")))
+    digits, fits = number.cast("string"), number >= 0 if grows else number.between(0, 10**width - 1)
     return F.when(
-        number.between(0, 10**width - 1), F.lpad(number.cast("string"), width, "0")
+        fits, F.lpad(digits, F.greatest(F.length(digits), F.lit(width)) if grows else width, "0")
     ).otherwise(F.raise_error(message).cast("string"))
 
 
-def global_id(country, region, parcel, building=0, unit=0) -> Column:
-    """Zero-filled text id; a segment wider than its slot raises, since cutting it would merge parcels."""
+def global_id(country, region, parcel, building=0, unit=0, grows: Collection[str] = ()) -> Column:
+    """Zero-filled text id; a segment wider than its slot raises, since cutting it would merge parcels.
+
+    Segments named in ``grows`` stay whole instead: points part the segments, so ids differ and read back all the same.
+    """
     values = (country, region, parcel, building, unit)
-    return F.concat_ws(".", *[_zero_filled(value, name, width) for value, (name, width) in zip(values, SEGMENTS)])
+    return F.concat_ws(".", *[_zero_filled(value, name, width, name in grows) for value, (name, width) in zip(values, SEGMENTS)])
 
 
 def parse_global_id(value: Column | str) -> Column:

@@ -81,7 +81,7 @@ def municipal_mapping(crosswalk: DataFrame, country: int, municipality: Column |
     """Native parcel number, verbatim, next to the id minted for it."""
     municipality = F.col(municipality) if isinstance(municipality, str) else municipality
     return crosswalk.select(
-        ids.global_id(country, "region", "seq").alias("parcel_id"),
+        ids.global_id(country, "region", "seq", grows=ids.MINTED).alias("parcel_id"),
         F.col("native_ref").alias("municpal_parcel_id"),
         municipality.alias("municipality_id"),
     )

@@ -57,8 +57,8 @@ def remint_is_stable(t):
 def global_id(t):
     region = F.col("c_nationkey") + 29510
     return t.customer.select(
-        "c_custkey", ids.global_id(840, region, "c_custkey").alias("parcel_id"),
-        ids.global_id(840, region, "c_custkey", F.col("c_custkey") % 7 + 1, F.col("c_custkey") % 3).alias("unit_id"),
+        "c_custkey", ids.global_id(840, region, "c_custkey", grows=ids.MINTED).alias("parcel_id"),
+        ids.global_id(840, region, "c_custkey", F.col("c_custkey") % 7 + 1, F.col("c_custkey") % 3, grows=ids.MINTED).alias("unit_id"),
     )
 
 
@@ -72,7 +72,7 @@ def global_id(t):
 def parse_global_id(t):
     building = F.col("c_custkey") % 7
     unit = F.when(building == 0, 0).otherwise(F.col("c_custkey") % 3)
-    made = t.customer.select(ids.global_id(840, F.col("c_nationkey") + 29510, "c_custkey", building, unit).alias("id"))
+    made = t.customer.select(ids.global_id(840, F.col("c_nationkey") + 29510, "c_custkey", building, unit, grows=ids.MINTED).alias("id"))
     parts = ids.parse_global_id("id")
     return made.where(ids.in_region("id", 840, 29510)).select("id", parts.alias("p"), ids.parent_id("id").alias("parent")).select(
         "id", "p.country", "p.region", "p.parcel", "p.building", "p.unit", "parent"
@@ -84,12 +84,12 @@ def parse_global_id(t):
     FROM lineitem GROUP BY l_orderkey""")
 def hierarchy_join(t):
     unit = t.lineitem.select(
-        ids.global_id(840, F.lit(29510), "l_orderkey", 1, F.col("l_linenumber")).alias("unit_id"), "l_quantity"
+        ids.global_id(840, F.lit(29510), "l_orderkey", 1, F.col("l_linenumber"), grows=ids.MINTED).alias("unit_id"), "l_quantity"
     )
     rolled = unit.select(ids.parcel_of("unit_id").alias("parcel_id"), "l_quantity").groupBy("parcel_id").agg(
         F.count(F.lit(1)).alias("n_units"), F.sum("l_quantity").alias("quantity")
     )
-    parcel = t.orders.select(ids.global_id(840, F.lit(29510), "o_orderkey").alias("parcel_id"))
+    parcel = t.orders.select(ids.global_id(840, F.lit(29510), "o_orderkey", grows=ids.MINTED).alias("parcel_id"))
     return parcel.join(rolled, "parcel_id")
 
 
@@ -106,9 +106,9 @@ def namespaced_surrogate(t):
     FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey AND o_orderstatus <> 'P' WHERE o_orderkey IS NULL GROUP BY ALL""")
 def parent_links(t):
     # Ids are stored columns of the published tables; links are checked on those.
-    building = t.lineitem.select(ids.global_id(840, F.lit(29510), "l_orderkey", "l_linenumber").alias("building_id"))
+    building = t.lineitem.select(ids.global_id(840, F.lit(29510), "l_orderkey", "l_linenumber", grows=ids.MINTED).alias("building_id"))
     linked = materialize(building, "building").withColumn("parent_id", ids.parent_id("building_id"))
-    parcel = t.orders.where("o_orderstatus <> 'P'").select(ids.global_id(840, F.lit(29510), "o_orderkey").alias("parcel_id"))
+    parcel = t.orders.where("o_orderstatus <> 'P'").select(ids.global_id(840, F.lit(29510), "o_orderkey", grows=ids.MINTED).alias("parcel_id"))
     orphans = Q.fk_violations(linked, parcel, [("parent_id", "parcel_id")]).select("parent_id")
     return linked.join(orphans, "parent_id").groupBy("building_id", "parent_id").agg(F.count(F.lit(1)).alias("n_rows"))
 
@@ -119,7 +119,7 @@ def federation(t):
     city, county = (
         K.mint(K.empty_crosswalk(t.spark), K.native_refs(t.customer, F.lit(region), "c_name")) for region in ("29510", "29189")
     )
-    both = K.federate(*[part.select(ids.global_id(840, "region", "seq").alias("id"), "native_ref") for part in (city, county)])
+    both = K.federate(*[part.select(ids.global_id(840, "region", "seq", grows=ids.MINTED).alias("id"), "native_ref") for part in (city, county)])
     return both.groupBy("id").agg(F.count(F.lit(1)).alias("n")).agg(
         F.sum("n").alias("n_rows"), F.count(F.lit(1)).alias("n_ids"), F.count_if(F.col("n") > 1).alias("n_clashes")
     )

@@ -161,7 +161,7 @@ def build(feeds: Feeds, crosswalk: DataFrame, where: Region, not_real_estate: Co
         return K.lookup(df, crosswalk, region, "handle", "parcel_seq")
 
     def gid(building=0, unit=0) -> Column:
-        return ids.global_id(where.country, F.lit(where.code), "parcel_seq", building, unit)
+        return ids.global_id(where.country, F.lit(where.code), "parcel_seq", building, unit, grows=ids.MINTED)
 
     present = {target: source for target, source in PARCEL_SOURCE.items() if source in loaded.columns}
     parcel = with_seq(E.parcels(loaded, present)).select(gid().alias("parcel_id"), "handle", *present)

@@ -258,7 +258,7 @@ def publication_survives_failure(t):
     def tables(customers):
         crosswalk = store.mint(K.native_refs(customers, "c_nationkey", "c_name"))
         parcel = K.lookup(customers, crosswalk, F.col("c_nationkey"), "c_name", "seq").select(
-            ids.global_id(840, "c_nationkey", "seq").alias("parcel_id"), F.coalesce("n_orders", F.lit(0)).alias("n_orders"),
+            ids.global_id(840, "c_nationkey", "seq", grows=ids.MINTED).alias("parcel_id"), F.coalesce("n_orders", F.lit(0)).alias("n_orders"),
         )
         return {"municipal_parcel_id_mapping": K.municipal_mapping(crosswalk, 840, "region"), "parcel": parcel}
 

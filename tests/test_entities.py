@@ -176,6 +176,25 @@ def test_ids_follow_the_hierarchy(city):
     assert linked.isEmpty()
 
 
+def test_a_region_has_more_than_a_million_parcels(spark, tmp_path):
+    """Minted numbers go on past six digits, in all tables, checks and the published mapping."""
+    known = spark.createDataFrame([("29510", "old", 999_999)], K.CROSSWALK)
+    keys = "cityblock string, parcel string, ownercode string"
+    accounts = spark.createDataFrame(
+        [("100", "1", "10", "0", "1", "10", "0", "R", "N"), ("200", "2", "20", "0", "2", "20", "0", "R", "N")],
+        f"handle string, {keys}, giscityblock string, gisparcel string, gisownercode string, landuse string, vacantland string")
+    detail = spark.createDataFrame([("1", "10", "0", "1"), ("2", "20", "0", "1")], f"{keys}, bldgnum string")
+    sections = spark.createDataFrame([("2", "20", "0", "1", "A")], f"{keys}, bldgnum string, sectnum string")
+    built = spine.build(spine.Feeds(accounts, detail, detail, sections), known, spine.Region(840, 29510))
+    assert rows(built.parcel.select("parcel_id")) == [(gid(1_000_000),), (gid(1_000_001),)]
+    assert rows(built.unit.select("unit_id", "building_id")) == [(gid(1_000_000, 1, 1), gid(1_000_000, 1)), (gid(1_000_001, 1, 1), gid(1_000_001, 1))]
+    assert built.unit.where(ids.building_of("unit_id") != F.col("building_id")).isEmpty()
+    assert built.building.where(ids.parent_id("building_id") != F.col("parcel_id")).isEmpty()
+    assert built.parcel.where(ids.parse_global_id("parcel_id")["parcel"] < 1_000_000).isEmpty() and spine.violations(built).isEmpty()
+    store = Store(spark, str(tmp_path / "published"))
+    assert spine.publish(built, store) == 1 and store.read("municipal_parcel_id_mapping").count() == 3
+
+
 def test_publish(spark, city, tmp_path):
     store = Store(spark, str(tmp_path / "published"))
     assert spine.publish(city, store) == 1 and "unit" in store.current().tables
