@@ -6,6 +6,7 @@ closed ``array<struct<x,y>>``; its ``srid`` is a column beside it.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import partial
 
 import numpy as np
@@ -18,6 +19,10 @@ from landledger.functions.projection import CRS, to_degrees
 from landledger.operators.components import connected
 from landledger.session import materialize
 
+# Edges of large keys that one task strings together.
+BLOCK_EDGES = 100_000
+# Rows that a task sorts at most, about; tasks grow in number, not in memory.
+TASK_ROWS = 500_000
 GEOMETRY = "array<array<array<struct<x:double,y:double>>>>"
 _POINT = r"([-+0-9.eE]+)\s+([-+0-9.eE]+)(\s+[-+0-9.eE]+)*"
 
@@ -186,6 +191,12 @@ def boundary_edges(df: DataFrame, key: str, column: str = "geom") -> DataFrame:
     )
 
 
+def _dealt(df: DataFrame, rows: int, *columns: str) -> DataFrame:
+    """``df`` of about ``rows`` rows, by ``columns`` on tasks of ``TASK_ROWS`` each; as Spark deals it out where its cores do for that."""
+    parts = -(-rows // TASK_ROWS)
+    return df.repartition(parts, *columns) if parts > df.sparkSession.sparkContext.defaultParallelism else df
+
+
 def _successors(edges: DataFrame, key: str) -> DataFrame:
     """For each edge the one that follows it: at its end, the first outgoing edge clockwise.
 
@@ -195,6 +206,7 @@ def _successors(edges: DataFrame, key: str) -> DataFrame:
     def angle(to: str, at: str) -> Column:
         return F.atan2(F.col(to)["y"] - F.col(at)["y"], F.col(to)["x"] - F.col(at)["x"])
 
+    edges = materialize(edges, "outline-edges")
     edge = F.struct("a", "b").alias("edge")
     ends = edges.select(key, F.col("b").alias("v"), angle("a", "b").alias("angle"), edge, F.lit(1).alias("arrives"))
     starts = edges.select(key, F.col("a").alias("v"), angle("b", "a").alias("angle"), edge, F.lit(0).alias("arrives"))
@@ -202,7 +214,7 @@ def _successors(edges: DataFrame, key: str) -> DataFrame:
     whole = around.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     end = F.struct("edge", "arrives")
     following = F.coalesce(F.lead(end).over(around), F.first(end).over(whole))
-    rows = ends.unionByName(starts).withColumn("_next", following).where("arrives = 1")
+    rows = _dealt(ends.unionByName(starts), 2 * edges.count(), key, "v").withColumn("_next", following).where("arrives = 1")
     return rows.select(key, "edge", F.col("_next.edge").alias("next"), (F.col("_next.arrives") == 1).alias("torn"))
 
 
@@ -227,9 +239,9 @@ def _trace(follows: DataFrame, key: str, small: int = 20_000) -> DataFrame:
     if large.isEmpty():
         traced = _trace_small(follows, key)
     else:
-        large = materialize(large, "large")
+        large = materialize(large.withColumn("_id", F.monotonically_increasing_id()), "large")
         traced = _trace_small(follows.join(large, same, "left_anti"), key).unionByName(
-            _trace_large(follows.join(large, same, "left_semi"), key)
+            _trace_large(follows.join(large, same).select("_id", "edge", "next")).join(large, "_id").select(F.col("_key").alias(key), "points")
         )
     loops = F.arrow_udf(_loops, "array<array<struct<x:double,y:double>>>")
     simple = traced.select(key, F.explode(loops("points")).alias("points"))
@@ -302,15 +314,29 @@ def _loops(rings: pa.Array) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(per_row)]), pa.int32()), inner)
 
 
-def _trace_large(follows: DataFrame, key: str, max_rounds: int = 40) -> DataFrame:
-    """Rings of keys of any size by pointer doubling: (key, points).
+def _trace_large(follows: DataFrame, max_rounds: int = 40) -> DataFrame:
+    """Rings of numbered keys of any size: (_id, points).
 
-    In each round an edge learns the smallest edge, and its distance, within twice the previous
-    reach, and jumps twice as far; n edges in a ring need about log2(n) rounds. Work is joined edge by
-    edge, so neither a large ring nor a large key burdens one task until a ring's points are put into
-    its array.
+    Edges that lie together are strung to chains first, a block of ``BLOCK_EDGES`` of them in a task. Most rings close there. The others are
+    one chain for each block that they pass, and those few rows are put in order by pointer doubling: in each round a chain learns the
+    smallest chain, and its distance, within twice the previous reach, and jumps twice as far; n chains in a ring need about log2(n) rounds.
+    Neither a large ring nor a large key burdens one task until a ring's points are put into its array.
     """
-    state = follows.select(key, "edge", "next", F.col("edge").alias("head"), F.lit(0).cast("bigint").alias("hops"))
+    a, b, c = F.col("edge.a"), F.col("edge.b"), F.col("next.b")
+    key, flat = "_id", follows.select("_id", a["x"].alias("ax"), a["y"].alias("ay"), b["x"].alias("bx"), b["y"].alias("by"), c["x"].alias("cx"), c["y"].alias("cy"))
+    bounds = flat.groupBy("_id").agg(F.min("ax").alias("x0"), F.min("ay").alias("y0"), F.max("ax").alias("x1"), F.max("ay").alias("y1"), F.count(F.lit(1)).alias("n"))
+    # Strips of each key's box, cut across their length by the ranges below: blocks about as wide as they are high.
+    blocks, wide, high = F.col("n") / BLOCK_EDGES, F.col("x1") - F.col("x0"), F.greatest(F.col("y1") - F.col("y0"), F.lit(1e-12))
+    strips = materialize(bounds.select(F.col("_id").alias("of"), "n", "x0", (wide / F.least(F.greatest(F.ceil(F.sqrt(blocks * wide / high)), F.lit(1)), F.ceil(blocks))).alias("strip")), "strips")
+    total = strips.agg(F.sum("n")).head()[0] or 0
+    placed = flat.join(strips.select("of", "x0", "strip"), F.col("_id") == F.col("of")).withColumn("strip", F.floor((F.col("ax") - F.col("x0")) / F.nullif("strip", F.lit(0.0))))
+    ranged = placed.repartitionByRange(max(1, -(-total // BLOCK_EDGES)), "_id", "strip", "ay", "ax").select(*flat.columns)
+    strung = materialize(ranged.mapInArrow(_chains, "_id long, edge struct<a:struct<x:double,y:double>,b:struct<x:double,y:double>>, next struct<a:struct<x:double,y:double>,b:struct<x:double,y:double>>, points array<struct<x:double,y:double>>"), "chains")
+    whole = strung.where("next is null").select("_id", "points")
+    chains = strung.where("next is not null")
+    if chains.isEmpty():
+        return whole
+    state = chains.select(key, "edge", "next", F.col("edge").alias("head"), F.lit(0).cast("bigint").alias("hops"))
     reach = 1
     for _ in range(max_rounds):
         ahead = state.select(
@@ -333,10 +359,66 @@ def _trace_large(follows: DataFrame, key: str, max_rounds: int = 40) -> DataFram
         raise RuntimeError("rings did not close; the edges are not a union outline")
     # Hops count down to the head, which comes first.
     place = F.when(F.col("hops") == 0, F.lit(-(2**62))).otherwise(-F.col("hops"))
-    point = F.struct(place.alias("place"), F.col("edge")["a"].alias("point"))
-    rings = state.groupBy(key, "head").agg(F.array_sort(F.collect_list(point)).alias("sorted"))
-    open_ring = F.transform("sorted", lambda item: item["point"])
-    return rings.select(key, F.concat(open_ring, F.slice(open_ring, 1, 1)).alias("points"))
+    parts = state.select(key, "edge", "head", place.alias("place")).join(chains.select(key, "edge", "points"), [key, "edge"])
+    rings = parts.groupBy(key, "head").agg(F.array_sort(F.collect_list(F.struct("place", "points"))).alias("sorted"))
+    closed = F.arrow_udf(_closed, "array<struct<x:double,y:double>>")
+    return whole.unionByName(rings.select(key, closed(F.flatten(F.transform("sorted", lambda item: item["points"]))).alias("points")))
+
+
+def _chains(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of a task's edges with their follow-up points, the closed rings, each from its smallest edge, and the chains that lead out of the task.
+
+    A ring has its first point again at its end and no ``next``. A chain has the points its edges begin at, and ``next``, the edge beyond it.
+    """
+    found = [batch for batch in batches if batch.num_rows]
+    if not found:
+        return
+    rows = pa.Table.from_batches(found)
+    columns = [rows.column(i).to_numpy() for i in range(7)]
+    order = np.lexsort(columns[4::-1])
+    of, ax, ay, bx, by, cx, cy = (values[order].tolist() for values in columns)
+    at = {edge: i for i, edge in enumerate(zip(of, ax, ay, bx, by))}
+    ahead = [at.get(edge, -1) for edge in zip(of, bx, by, cx, cy)]
+    led = np.zeros(len(of), bool)
+    led[[i for i in ahead if i >= 0]] = True
+    taken, ends, first, last = [], [0], [], []
+    done = [False] * len(of)
+    for start in [*np.flatnonzero(~led).tolist(), *range(len(of))]:
+        if done[start]:
+            continue
+        i = start
+        while i >= 0 and not done[i]:
+            done[i], end = True, i
+            taken.append(i)
+            i = ahead[i]
+        if i >= 0:
+            taken.append(start)
+        first.append(start)
+        last.append(end if i < 0 else -1)
+        ends.append(len(taken))
+
+    def points(x: list, y: list, some) -> pa.StructArray:
+        return pa.StructArray.from_arrays([pa.array(np.array(v)[some], pa.float64()) for v in (x, y)], names=["x", "y"])
+
+    first, last = np.array(first), np.array(last)
+    edge = pa.StructArray.from_arrays([points(ax, ay, first), points(bx, by, first)], names=["a", "b"])
+    beyond = pa.StructArray.from_arrays([points(bx, by, last), points(cx, cy, last)], names=["a", "b"], mask=pa.array(last < 0))
+    lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), points(ax, ay, np.array(taken)))
+    yield pa.RecordBatch.from_arrays([pa.array(np.array(of)[first], pa.int64()), edge, beyond, lists], names=["_id", "edge", "next", "points"])
+
+
+def _closed(rings: pa.Array) -> pa.Array:
+    """Open rings, each turned to begin with its smallest edge, and closed."""
+    points = rings.flatten()
+    x, y = (points.field(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+    ends = np.concatenate([[0], np.cumsum(pc.list_value_length(rings).to_numpy(zero_copy_only=False))])
+    taken = [np.zeros(0, np.int64)]
+    for low, high in zip(ends, ends[1:]):
+        u, v = x[low:high], y[low:high]
+        least = int(np.lexsort((np.roll(v, -1), np.roll(u, -1), v, u))[0])
+        taken.append(low + np.append(np.roll(np.arange(high - low), -least), least))
+    bounds = np.concatenate([[0], np.cumsum([len(t) for t in taken[1:]])])
+    return pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), points.take(pa.array(np.concatenate(taken), pa.int64())))
 
 
 def _hole_parents(rings: DataFrame, key: str) -> DataFrame:
@@ -351,9 +433,9 @@ def _hole_parents(rings: DataFrame, key: str) -> DataFrame:
     first = [(F.col(f"ring_id.a.{axis}") + F.col(f"ring_id.b.{axis}")) / 2 for axis in "xy"]
     holes = rings.where("signed_area < 0").select(
         F.col(key).alias("_key"), F.col("ring_id").alias("hole_id"), first[0].alias("hx"), first[1].alias("hy"))
-    # Only keys with holes take part.
+    # Only keys with holes take part. What has a row per key is written, so that joins by key, however few there are, need no shuffle by it.
     shells = rings.where("signed_area > 0").select(F.col(key).alias("of"), F.col("ring_id").alias("shell_id"), "signed_area", "points").join(
-        holes.select("_key").distinct(), F.col("of").eqNullSafe(F.col("_key")), "left_semi")
+        materialize(holes.select("_key").distinct(), "hole-keys"), F.col("of").eqNullSafe(F.col("_key")), "left_semi")
 
     def ends(axis: str) -> list[Column]:
         along = F.transform("points", lambda p: p[axis])
@@ -362,10 +444,10 @@ def _hole_parents(rings: DataFrame, key: str) -> DataFrame:
     bounds = shells.groupBy("of").agg(*ends("x"), *ends("y"), F.sum(F.size("points")).alias("n"))
     # The grid begins off the corner by an odd fraction of a cell, so that its lines do not run along those of regular shapes.
     side = F.sqrt(F.col("n").cast("double"))
-    grid = bounds.select(F.col("of").alias("grid_of"), *[
+    grid = materialize(bounds.select(F.col("of").alias("grid_of"), F.monotonically_increasing_id().alias("grid"), "n", *[
         c for axis in "xy" for size in [F.greatest((F.col(f"{axis}_high") - F.col(f"{axis}_low")) / side, F.lit(1e-12))]
         for c in (size.alias(f"d{axis}"), (F.col(f"{axis}_low") - size * 0.3819660112501051).alias(f"{axis}0"))
-    ])
+    ]), "hole-grid")
 
     def cell(value: Column, axis: str) -> Column:
         return F.floor((value - F.col(f"{axis}0")) / F.col(f"d{axis}"))
@@ -374,7 +456,8 @@ def _hole_parents(rings: DataFrame, key: str) -> DataFrame:
     edges = shells.select(
         "of", "shell_id", "signed_area", F.explode(F.arrays_zip(F.slice("points", F.lit(1), n).alias("p"), F.slice("points", F.lit(2), n).alias("q"))).alias("e"),
     ).select("of", "shell_id", "signed_area", *[F.col(f"e.{end}.{axis}").alias(f"{end}{axis}") for end in "pq" for axis in "xy"])
-    edges = edges.join(grid, F.col("of").eqNullSafe(F.col("grid_of"))).drop("grid_of")
+    edges = edges.join(grid.drop("n"), F.col("of").eqNullSafe(F.col("grid_of"))).drop("grid_of", "of")
+    total = grid.agg(F.sum("n")).head()[0] or 0
     low, high = F.least("py", "qy"), F.greatest("py", "qy")
 
     def x_at(y: Column) -> Column:
@@ -388,28 +471,30 @@ def _hole_parents(rings: DataFrame, key: str) -> DataFrame:
     middle = bottom + F.col("dy") / 2
     # Half-open edges count a crossing at a corner once. Crossings of one column cancel in pairs; the others bound the insides.
     odd = (
-        by_row.where((low <= middle) & (middle < high)).select("of", "shell_id", "signed_area", "row", cell(x_at(middle), "x").alias("col"))
-        .groupBy("of", "shell_id", "signed_area", "row", "col").agg(F.count(F.lit(1)).alias("n")).where("n % 2 = 1")
+        by_row.where((low <= middle) & (middle < high)).select("grid", "shell_id", "signed_area", "row", cell(x_at(middle), "x").alias("col"))
+        .groupBy("grid", "shell_id", "signed_area", "row", "col").agg(F.count(F.lit(1)).alias("n")).where("n % 2 = 1")
     )
-    along = Window.partitionBy("of", "shell_id", "row").orderBy("col")
+    along = Window.partitionBy("grid", "shell_id", "row").orderBy("col")
     inside = (
         odd.withColumns({"nth": F.row_number().over(along), "last": F.lead("col").over(along)}).where("nth % 2 = 1")
-        .select("of", "shell_id", "signed_area", "row", F.explode(F.sequence(F.col("col") + 1, F.col("last"))).alias("col"))
+        .select("grid", "shell_id", "signed_area", "row", F.explode(F.sequence(F.col("col") + 1, F.col("last"))).alias("col"))
     )
     # Columns that an edge passes in a row, a little wider, for rounding; the path decides what counts.
     spare = F.col("dx") * 1e-6
     ya, yb = F.greatest(low, F.least(bottom, high)), F.least(high, F.greatest(bottom + F.col("dy"), low))
     xa, xb = F.coalesce(x_at(ya), F.col("px")), F.coalesce(x_at(yb), F.col("qx"))
     passed = by_row.withColumn("col", F.explode(F.sequence(cell(F.least(xa, xb) - spare, "x"), cell(F.greatest(xa, xb) + spare, "x"))))
-    placed = holes.join(grid, F.col("_key").eqNullSafe(F.col("grid_of"))).select(
-        "_key", "hole_id", "hx", "hy", cell(F.col("hy"), "y").alias("_row"), cell(F.col("hx"), "x").alias("_col"))
-    there = F.col("of").eqNullSafe(F.col("_key")) & (F.col("row") == F.col("_row")) & (F.col("col") == F.col("_col"))
+    # Holes and edges meet by cell, in as many tasks as the edges ask for.
+    at = ["grid", "row", "col"]
+    placed = _dealt(holes.join(grid, F.col("_key").eqNullSafe(F.col("grid_of"))).select(
+        "_key", "hole_id", "hx", "hy", "grid", cell(F.col("hy"), "y").alias("row"), cell(F.col("hx"), "x").alias("col")), 3 * total, *at)
+    inside, passed = _dealt(inside, 3 * total, *at), _dealt(passed, 3 * total, *at)
     left = F.col("x0") + F.col("col") * F.col("dx")
     up = (F.least("px", "qx") < left) & (left <= F.greatest("px", "qx")) & ((y_at(left) > middle) != (y_at(left) > F.col("hy")))
     across = (low <= F.col("hy")) & (F.col("hy") < high) & (x_at(F.col("hy")) >= left) & (x_at(F.col("hy")) < F.col("hx"))
     crossed = F.coalesce(up, F.lit(False)).cast("int") + F.coalesce(across, F.lit(False)).cast("int")
-    met = inside.join(placed, there).select("_key", "hole_id", "shell_id", "signed_area", F.lit(1).alias("n")).unionByName(
-        passed.join(placed, there).select("_key", "hole_id", "shell_id", "signed_area", crossed.alias("n")))
+    met = inside.join(placed, at).select("_key", "hole_id", "shell_id", "signed_area", F.lit(1).alias("n")).unionByName(
+        passed.join(placed, at).select("_key", "hole_id", "shell_id", "signed_area", crossed.alias("n")))
     around = met.groupBy("_key", "hole_id", "shell_id", "signed_area").agg(F.sum("n").alias("n")).where("n % 2 = 1")
     return around.groupBy("_key", "hole_id").agg(F.min_by("shell_id", "signed_area").alias("shell_id")).withColumnRenamed("_key", key)
 

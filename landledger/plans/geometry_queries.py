@@ -8,15 +8,24 @@ from pyspark.sql import functions as F
 
 from landledger.operators import geo as G
 from landledger.plans.registry import query
+from landledger.session import materialize
 
 WIDTH = 40
 
 
+def _parts(t):
+    """The parts, dealt to all cores: a few megabytes of keys, else read by one task or two, from which all shapes are made.
+
+    Written, since Spark would move the making of shapes before the shuffle, to filter by it.
+    """
+    return materialize(t.part.repartition(t.spark.sparkContext.defaultParallelism, "p_partkey"), "parts")
+
+
 def _squares(t, key: str):
     """One unit square per part on a grid ``WIDTH`` wide, as WKT."""
     x, y = F.col("p_partkey") % WIDTH, F.floor(F.col("p_partkey") / WIDTH)
     wkt = F.format_string("MULTIPOLYGON (((%1$d %2$d, %3$d %2$d, %3$d %4$d, %1$d %4$d, %1$d %2$d)))", x, y, x + 1, y + 1)
-    return G.load_polygons(t.part.select("p_partkey", F.col(key).alias("parcel_id"), wkt.alias("geom")), srid=26796)
+    return G.load_polygons(_parts(t).select("p_partkey", F.col(key).alias("parcel_id"), wkt.alias("geom")), srid=26796)
 
 
 @query("""
@@ -163,7 +172,7 @@ def dissolve_holes(t):
         1: [[(0, 0), (4, 0), (4, 2), (2, 2), (2, 6), (4, 6), (4, 8), (0, 8)], [(4, 0), (8, 0), (8, 8), (4, 8), (4, 6), (6, 6), (6, 2), (4, 2)]],
         2: [[(0, 0), (4, 0), (4, 2), (2, 2), (2, 4), (4, 4), (4, 6), (4, 8), (0, 8)], [(4, 0), (8, 0), (8, 8), (4, 8), (4, 6), (6, 6), (6, 4), (4, 4), (4, 2)]],
     }
-    base = t.part.select("p_type", (F.col("p_partkey") % WIDTH * 10).alias("x"), (F.floor(F.col("p_partkey") / WIDTH) * 10).alias("y"), (F.col("p_size") % 3).alias("kind"))
+    base = _parts(t).select("p_type", (F.col("p_partkey") % WIDTH * 10).alias("x"), (F.floor(F.col("p_partkey") / WIDTH) * 10).alias("y"), (F.col("p_size") % 3).alias("kind"))
     halves = F.explode(F.array(*[
         F.when(F.col("kind") == 0, ring(*wholes[0][i])).when(F.col("kind") == 1, ring(*wholes[1][i])).otherwise(ring(*wholes[2][i])) for i in (0, 1)
     ])).alias("ring")

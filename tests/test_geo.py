@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from landledger.functions import projection as P
 from landledger.operators import geo as G
+from landledger.session import materialize
 
 
 def forward(crs, lon, lat):
@@ -220,3 +221,30 @@ def test_connected(spark):
             part[a] = part[b] = min(part[a], part[b])
     got = connected(spark.createDataFrame([(n,) for n in nodes], "node long"), spark.createDataFrame(edges, "a long, b long"))
     assert {r.node: r.part for r in got.collect()} == part
+
+
+def test_large_keys_are_strung_in_blocks(spark, monkeypatch):
+    """Edges of a large key are traced block by block: rings over many blocks, rings within one, and none with a row per edge and round."""
+    def ring(*points):
+        return [dict(zip("xy", map(float, p))) for p in (*points, points[0])]
+
+    def square(x, y):
+        return [[ring((x, y), (x + 1, y), (x + 1, y + 1), (x, y + 1))]]
+
+    comb = [square(x, y) for x in range(30) for y in range(20) if y == 0 or x % 2 == 0]
+    apart = [square(100 + 3 * i % 60, 3 * (i // 20)) for i in range(60)]
+    df = spark.createDataFrame([(key, g) for key in ("k", None) for g in comb + apart], f"key string, geom {G.GEOMETRY}")
+    edges = G.boundary_edges(df, "key")
+
+    def traced(small):
+        return sorted(((r.key, tuple(r.ring_id.a), tuple(r.ring_id.b), r.signed_area, tuple(map(tuple, r.points))) for r in G.trace_rings(edges, "key", small).collect()), key=repr)
+
+    want = traced(20_000)
+    written = []
+    monkeypatch.setattr(G, "materialize", lambda frame, label="step": written.append((label, kept := materialize(frame, label))) or kept)
+    for block in (100_000, 40):
+        monkeypatch.setattr(G, "BLOCK_EDGES", block)
+        written.clear()
+        assert traced(10) == want and len(want) > 60
+        rounds = [frame.count() for label, frame in written if label == "rings"]
+        assert (len(rounds) > 2 and max(rounds) < edges.count() / 4) if block == 40 else not rounds
