@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from landledger.functions.values import cast_text
-from landledger.operators.ordering import number_copies, number_rows
+from landledger.operators.ordering import dealt, number_copies, number_rows
 from landledger.operators.quality import route
 from landledger.session import materialize
 
@@ -179,12 +179,12 @@ def buildings(accounts: DataFrame, shape: DataFrame, detail: DataFrame, key: str
     """(handle, account, bldgnum, detail...) rows.
 
     Simple plots: one per detail row of their account. Condo plots: one synthesized building 1 per
-    plot, without account or detail.
+    plot, without account or detail. Both joins are dealt out by the number of their rows.
     """
     extra = [c for c in detail.columns if c not in (*ACCOUNT, "bldgnum")]
-    placed = accounts.select(key, *ACCOUNT).join(shape, key)
+    placed = accounts.select(key, *ACCOUNT).join(dealt(shape, accounts.count(), key), key).where("shape = 'simple'")
     simple = (
-        placed.where("shape = 'simple'")
+        dealt(placed, detail.count(), *ACCOUNT)
         .join(detail, list(ACCOUNT))
         .select(key, *ACCOUNT, F.col("bldgnum").try_cast("bigint").alias("bldgnum"), *extra, F.lit("simple").alias("shape"))
     )
@@ -213,25 +213,35 @@ def simple_units(building: DataFrame, sections: DataFrame, residential: DataFram
     """Units of simple plots: (handle, account, bldgnum, unit_seq, sectnum).
 
     A residential or at most single-section building is one unit; any other has one per section, in
-    section order: by number where they are numbers, staged text or not.
+    section order: by number where they are numbers, staged text or not. Sections and residential rows of other
+    buildings leave before they are compared, and every step is dealt out by the building, in tasks of bounded rows.
     """
     keys = [*ACCOUNT, "bldgnum"]
     number = F.col("bldgnum").try_cast("bigint").alias("bldgnum")
-    sections = sections.select(*ACCOUNT, number, "sectnum").dropDuplicates()
-    homes = residential.select(*ACCOUNT, number).distinct().withColumn("_home", F.lit(True))
+    simple = materialize(building.where("shape = 'simple'").select("handle", *keys), "simple-buildings")
+    known, n = simple.select(*keys), simple.count()
+
+    def of_simple(part: DataFrame, *columns: str) -> DataFrame:
+        dealt_known = dealt(known, max(n, part.count()), *keys)
+        return part.select(*ACCOUNT, number, *columns).join(dealt_known, keys, "left_semi").dropDuplicates()
+
+    sections = materialize(of_simple(sections, "sectnum"), "simple-sections")
+    homes = of_simple(residential).withColumn("_home", F.lit(True))
     n_sections = sections.groupBy(*keys).agg(F.count(F.lit(1)).alias("_sections"))
-    kinds = (
-        building.where("shape = 'simple'")
+    kinds = materialize(
+        dealt(simple, n, *keys)
         .join(homes, keys, "left")
         .join(n_sections, keys, "left")
-        .withColumn("_whole", F.coalesce("_home", F.lit(False)) | (F.coalesce("_sections", F.lit(0)) <= 1))
+        .select("handle", *keys, (F.coalesce("_home", F.lit(False)) | (F.coalesce("_sections", F.lit(0)) <= 1)).alias("_whole")),
+        "unit-kinds",
     )
     whole = kinds.where("_whole").select(
         "handle", *keys, F.lit(1).cast("bigint").alias("unit_seq"), F.lit(None).cast("string").alias("sectnum")
     )
-    split = kinds.where("not _whole").select("handle", *keys).join(sections, keys)
+    split = dealt(kinds.where("not _whole").select("handle", *keys), sections.count(), *keys).join(sections, keys)
     split, order = natural_order(split, ["sectnum"])
-    numbered = number_rows(materialize(split, "sections"), ["handle", *keys], order, "unit_seq")
+    split = materialize(split, "sections")
+    numbered = number_rows(dealt(split, split.count(), "handle", *keys), ["handle", *keys], order, "unit_seq")
     return whole.unionByName(
         numbered.select("handle", *keys, "unit_seq", F.col("sectnum").cast("string").alias("sectnum"))
     )

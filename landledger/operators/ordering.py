@@ -9,6 +9,19 @@ from pyspark.sql import functions as F
 
 from landledger.session import materialize
 
+# Rows that a task takes on where rows are sorted or grouped by key: a pure work size.
+TASK_ROWS = 1_000_000
+
+
+def dealt(df: DataFrame, rows: int, *columns: str) -> DataFrame:
+    """``df`` by ``columns`` on tasks of about ``TASK_ROWS`` of ``rows`` each; as Spark deals it out where its own number of tasks does for that.
+
+    Joins and aggregates by these columns keep the tasks, so what one of them sorts does not grow with the input. It is enough to deal out
+    the smaller side of a join by the rows of the larger one: that one follows, and stays where it is if the smaller is broadcast.
+    """
+    tasks = -(-rows // TASK_ROWS)
+    return df.repartition(tasks, *columns) if tasks > int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) else df
+
 
 def number_rows(
     df: DataFrame,

@@ -254,12 +254,12 @@ def parcels_from_footprints(t):
     return E.parcels(accounts(t), {"ward": "l_returnflag", "zoning": "l_linestatus", "owner": "l_suppkey"})
 
 
-def _detail(t):
-    """One to three building rows per account, by its quantity."""
+def _detail(t, **more):
+    """One to three building rows per account, by its quantity, with ``more`` columns of the account."""
     n = F.pmod(F.col("l_quantity").cast("int"), F.lit(3)) + 1
     rows = t.lineitem.select(
         F.col("l_orderkey").alias("cityblock"), F.col("l_linenumber").alias("parcel"), F.col("l_suppkey").alias("ownercode"),
-        F.col("l_extendedprice").alias("totalarea"), n.alias("n"),
+        F.col("l_extendedprice").alias("totalarea"), n.alias("n"), *[column.alias(name) for name, column in more.items()],
     )
     return E.explode_count(rows, "n", "bldgnum").drop("n")
 
@@ -285,11 +285,7 @@ def building_from_accounts(t):
 def unit_from_buildings(t):
     owned = accounts(t)
     built = E.buildings(owned, E.shapes(owned), _detail(t))
-    keyed = _detail(t).join(t.lineitem.select(
-        F.col("l_orderkey").alias("cityblock"), F.col("l_linenumber").alias("parcel"), F.col("l_suppkey").alias("ownercode"),
-        F.pmod(F.col("l_quantity").cast("int"), F.lit(4)).alias("n"),
-    ).distinct(), list(E.ACCOUNT))
-    sections = E.explode_count(keyed, "n", "sectnum").select(*E.ACCOUNT, "bldgnum", "sectnum")
+    sections = E.explode_count(_detail(t, sections=F.pmod(F.col("l_quantity").cast("int"), F.lit(4))), "sections", "sectnum").select(*E.ACCOUNT, "bldgnum", "sectnum")
     homes = _detail(t).where("bldgnum <> 2")
     return E.simple_units(built, sections, homes).select("handle", "bldgnum", "unit_seq", "sectnum")
 

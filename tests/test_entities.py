@@ -258,3 +258,31 @@ def test_building_numbers_out_of_range_are_rejected(spark):
     got = {r.bldgnum: r.reason for r in spine.route_details(detail, accounts).collect()}
     wrong = "building number out of range"
     assert got == {"0": wrong, "1": None, "9999": None, "10000": wrong, "-1": wrong, None: "no building number", "x": "no building number"}
+
+
+def test_units_and_buildings_are_dealt_out_by_their_rows(spark, monkeypatch):
+    """More rows are more tasks, not larger ones; sections and residential rows of other buildings, nulls and copies change nothing."""
+    monkeypatch.setattr("landledger.operators.ordering.TASK_ROWS", 20)
+    accounts = [(f"h{i}", i, 1, 7) for i in range(300)] + [("c", 900, j, 7) for j in range(1, 4)] + [(None, 901, 1, 7)]
+    accounts = spark.createDataFrame(accounts, "handle string, cityblock int, parcel int, ownercode int")
+    detail = spark.createDataFrame(
+        [(i, 1, 7, str(b)) for i in range(300) for b in (1, 2)] + [(900, 1, 7, "1"), (None, 1, 7, "1"), (5000, 1, 7, "1")],
+        "cityblock int, parcel int, ownercode int, bldgnum string",
+    )
+    sections = [(i, 1, 7, "2", str(s)) for i in range(300) for s in range(1, 1 + i % 4)] * 2 + [(900, 1, 7, "1", "1"), (900, 1, 7, "1", "2"), (3, 1, 7, None, "1")]
+    sections = spark.createDataFrame(sections, "cityblock int, parcel int, ownercode int, bldgnum string, sectnum string")
+    homes = spark.createDataFrame([(i, 1, 7, "2") for i in range(0, 300, 5)] * 2 + [(900, 1, 7, "1")], "cityblock int, parcel int, ownercode int, bldgnum string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        built = E.buildings(accounts, E.shapes(accounts), detail)
+        plan = built._jdf.queryExecution().executedPlan().toString()
+        # 304 accounts and 603 building rows.
+        assert ", 16), REPARTITION_BY_NUM" in plan and ", 31), REPARTITION_BY_NUM" in plan
+        assert sorted(map(tuple, built.where("handle is not null and shape = 'condo'").select("handle", "bldgnum").collect())) == [("c", 1)]
+        got = E.simple_units(built, sections, homes).where("handle is not null").select("handle", "bldgnum", "unit_seq", "sectnum")
+        want = [(f"h{i}", 1, 1, None) for i in range(300)]
+        for i in range(300):
+            want += [(f"h{i}", 2, 1, None)] if i % 5 == 0 or i % 4 <= 1 else [(f"h{i}", 2, s, str(s)) for s in range(1, 1 + i % 4)]
+        assert rows(got) == sorted(want, key=repr)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
