@@ -71,20 +71,24 @@ def cascade(routed: Mapping[str, DataFrame], keys: Mapping[str, str], foreign: F
 
 
 def lost_keys(child: DataFrame, links: Sequence[tuple[str, str]], tables: Mapping[str, DataFrame], keys: Mapping[str, str]) -> DataFrame:
-    """(link, key, state, root): keys that loaded rows of ``child`` use and that no loaded row of the parent has."""
+    """(link, key, state, root): keys that loaded rows of ``child`` use and that no loaded row of the parent has.
+
+    Every row of either side meets one aggregate of small numbers, which is hashed and not sorted; states and roots, which are texts, are
+    then looked up for the lost keys alone.
+    """
     uses = F.array(*[F.struct(F.lit(i).alias("link"), F.col(column).cast("string").alias("key")) for i, (column, _) in enumerate(links)])
-    used = child.where("route = 'loaded'").select(F.inline(uses)).where("key is not null").select("link", "key", F.lit(1).alias("used"), F.lit(None).cast("string").alias("state"), F.lit(None).cast("string").alias("root"))
-    parts = [used]
-    for i, (_, parent) in enumerate(links):
-        key = F.col(keys[parent]).cast("string")
-        parts.append(tables[parent].where(key.isNotNull()).select(F.lit(i).alias("link"), key.alias("key"), F.lit(0).alias("used"), F.col("route").alias("state"), "root"))
+    used = child.where("route = 'loaded'").select(F.inline(uses)).where("key is not null").select("link", "key", F.lit(1).alias("used"), F.lit(0).alias("there"))
+    parents = union_standard([
+        tables[parent].select(F.lit(i).alias("link"), F.col(keys[parent]).cast("string").alias("key"), F.col("route").alias("state"), "root").where("key is not null")
+        for i, (_, parent) in enumerate(links)
+    ], ["link", "key", "state", "root"])
+    there = parents.where("state = 'loaded'").select("link", "key", F.lit(0).alias("used"), F.lit(1).alias("there"))
+    counted = used.unionByName(there).groupBy("link", "key").agg(F.max("used").alias("used"), F.max("there").alias("there"))
+    lost = materialize(counted.where("used = 1 and there = 0").select("link", "key"), "lost-keys")
     rank = F.array_position(F.array(F.lit("loaded"), F.lit("excluded"), F.lit("rejected")), F.col("state"))
-    found = union_standard(parts, ["link", "key", "used", "state", "root"]).groupBy("link", "key").agg(
-        F.max("used").alias("used"), F.min(F.when(F.col("state").isNotNull(), F.struct(rank.alias("rank"), "state", "root"))).alias("best"),
-    )
-    return found.where("used = 1 and (best is null or best.state <> 'loaded')").select(
-        "link", "key", F.coalesce("best.state", F.lit("missing")).alias("state"), "best.root",
-    )
+    # Of lost keys that several parent rows share, the state and root of the first by rank.
+    best = parents.where("state <> 'loaded'").join(lost, ["link", "key"], "left_semi").groupBy("link", "key").agg(F.min(F.struct(rank.alias("rank"), "state", "root")).alias("best"))
+    return lost.join(best, ["link", "key"], "left").select("link", "key", F.coalesce("best.state", F.lit("missing")).alias("state"), "best.root")
 
 
 def without_parents(child: DataFrame, links: Sequence[tuple[str, str]], lost: DataFrame) -> DataFrame:

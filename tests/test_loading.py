@@ -82,3 +82,14 @@ def test_loading_in_registry_order(spark):
     found = C.load_in_order(routed)
     assert list(found) == ["parcel", "building"]
     assert Q.reconcile(found["building"]).head().asDict() == {"loaded": 1, "excluded": 0, "rejected": 1, "source": 2, "balanced": True}
+
+
+def test_used_keys_are_hashed_and_not_sorted(spark, monkeypatch):
+    """Only lost keys meet the texts of their parents; of several parent rows with one key the first by state counts."""
+    plans, real = {}, L.materialize
+    monkeypatch.setattr(L, "materialize", lambda df, label="step": (plans.setdefault(label, df._jdf.queryExecution().executedPlan().toString()), real(df, label))[1])
+    child = spark.createDataFrame([(1, "loaded"), (2, "loaded"), (3, "loaded"), (4, "loaded"), (5, "rejected"), (None, "loaded")], "k int, route string")
+    parent = spark.createDataFrame([(1, "rejected", "z"), (1, "loaded", None), (2, "rejected", "a"), (2, "excluded", "b"), (4, "rejected", "d"), (4, "rejected", "c"), (5, "rejected", "e")], "id long, route string, root string")
+    got = L.lost_keys(child, [("k", "p")], {"p": parent}, {"p": "id"})
+    assert {tuple(r) for r in got.collect()} == {(0, "2", "excluded", "b"), (0, "3", "missing", None), (0, "4", "rejected", "c")}
+    assert "HashAggregate" in plans["lost-keys"] and "SortAggregate" not in plans["lost-keys"]
