@@ -33,9 +33,11 @@ def steady(spark: SparkSession, split_bytes: int = 64 << 20) -> SparkSession:
 
 
 def plain_path(column: Column | str) -> Column:
-    """A file's path as the file list spells it."""
+    """A file's path as the file list spells it. It is worked out for every line, so only a path with escapes is decoded."""
     column = F.col(column) if isinstance(column, str) else column
-    return F.url_decode(F.replace(F.regexp_replace(column, "^file:/+", "file:/"), F.lit("+"), F.lit("%2B")))
+    local = F.concat(F.lit("file:/"), F.ltrim(F.substring(column, len("file:") + 1, 1 << 30), F.lit("/")))
+    path = F.when(column.startswith("file:/"), local).otherwise(column)
+    return F.when(path.contains("%"), F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))).otherwise(path)
 
 
 def lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
@@ -57,6 +59,11 @@ class Lines:
 
 
 def counted(values: pa.Array) -> Lines:
+    quotes = pc.count_substring(values, '"').to_numpy(zero_copy_only=False)
+    if not quotes.any():
+        # The usual case: all commas count alike, and no line is inside quotes unless its first one is.
+        blank = pc.or_(pc.equal(pc.binary_length(values), 0), pc.equal(values, "\r")).to_numpy(zero_copy_only=False)
+        return Lines(np.zeros(len(values), np.int64), (pc.count_substring(values, ",").to_numpy(zero_copy_only=False).astype(np.int64), np.zeros(len(values), np.int64)), blank)
     values = values.cast(pa.large_binary())
     offsets = np.frombuffer(values.buffers()[1], np.int64)[values.offset:values.offset + len(values) + 1]
     buffer = values.buffers()[2]
@@ -97,7 +104,11 @@ class Case:
         """Count finished records by their fields."""
         if len(self.known) < 2:
             self.known += numbers[: 2 - len(self.known)].tolist()
-        for value, n in zip(*(x.tolist() for x in np.unique(numbers, return_counts=True))):
+        if len(numbers) and (numbers == numbers[0]).all():
+            found = [(int(numbers[0]), len(numbers))]
+        else:
+            found = zip(*(x.tolist() for x in np.unique(numbers, return_counts=True)))
+        for value, n in found:
             self.fields[value] = self.fields.get(value, 0) + n
 
     def add(self, part: Lines, values: pa.Array) -> None:
@@ -222,7 +233,7 @@ def records(rows: DataFrame) -> DataFrame:
             texts = found if isinstance(found, pa.Array) else pa.array(found, pa.string())
             n = len(texts)
             return pa.RecordBatch.from_arrays(
-                [pa.array([at[0]] * n, pa.int64()), pa.array([at[1]] * n, pa.int64()), pa.array([piece] * n, pa.int32()), texts], ["file", "block", "piece", "record"],
+                [pa.repeat(pa.scalar(at[0], pa.int64()), n), pa.repeat(pa.scalar(at[1], pa.int64()), n), pa.repeat(pa.scalar(piece, pa.int32()), n), texts], ["file", "block", "piece", "record"],
             )
 
         def closed() -> Iterator[pa.RecordBatch]:
@@ -258,7 +269,7 @@ def records(rows: DataFrame) -> DataFrame:
                     skip = False
                 whole = values.slice(skip_one, len(values) - 1 - skip_one) if len(values) > skip_one else values.slice(0, 0)
                 if len(whole):
-                    yield out(pc.replace_substring_regex(whole, r"\r$", ""))
+                    yield out(pc.replace_substring_regex(whole, r"\r$", "") if pc.any(pc.ends_with(whole, "\r")).as_py() else whole)
                 head = False
                 if skip_one and len(values) == 1:
                     held, skip = [values[0].as_py()], True

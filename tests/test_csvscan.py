@@ -1,6 +1,7 @@
 import random
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 
 from landledger.operators import catalog
@@ -131,3 +132,22 @@ def test_quotes_that_readers_take_differently_are_reported(spark, tmp_path):
     assert report == {"pipes": ("failed", None), "fine": ("loaded", 1)}
     assert [tuple(r) for r in spark.table("quote_t.fine").collect()] == [('5" x 6"', "2")]
     spark.sql("drop database quote_t cascade")
+
+
+@pytest.mark.parametrize("lines", [["a,b", "", "\r", "1,2\r", "é,,"], ["", "\r"], ['"x,y",z', "1,2"], ['"x', "1,2", '"'], []])
+def test_counts_of_lines(lines):
+    """Lines without a quote are counted without looking at their bytes one by one, and alike."""
+    got = csvscan.counted(pa.array(lines, pa.string()))
+    for i, line in enumerate(lines):
+        sides = [0, 0]
+        for at, letter in enumerate(line):
+            sides[line[:at].count('"') % 2] += letter == ","
+        assert (got.quotes[i], got.commas[0][i], got.commas[1][i], bool(got.blank[i])) == (line.count('"'), *sides, line in ("", "\r"))
+
+
+def test_paths_as_the_list_spells_them(spark):
+    """Worked out for every line: no regular expression, and decoding only where there is something to decode."""
+    paths = {"file:///a/b.csv": "file:/a/b.csv", "file:/a%20b+c.csv": "file:/a b+c.csv", "s3a://x/file:/%C3%A9%25+.csv": "s3a://x/file:/é%+.csv", "file:////x/y+": "file:/x/y+"}
+    column = csvscan.plain_path("path")
+    assert "regexp" not in str(column)
+    assert {r.path: r.plain for r in spark.createDataFrame([(p,) for p in paths], "path string").select("path", column.alias("plain")).collect()} == paths
