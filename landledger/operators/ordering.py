@@ -41,12 +41,11 @@ def number_rows(
     """
     keys, order = list(keys), list(order)
     window = Window.partitionBy(*keys).orderBy(*order)
-    hot = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > window_rows).select(*keys)
+    # At most one key per ``window_rows`` rows; written, so the planner knows how few.
+    hot = materialize(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > window_rows).select(*keys), "hot")
     if hot.isEmpty():
         numbered = df.withColumn(out, F.row_number().over(window).cast("bigint"))
     else:
-        # At most one key per ``window_rows`` rows; written, so the planner knows how few.
-        hot = materialize(hot, "hot")
         cold = null_safe_join(df, hot, keys, "left_anti")
         numbered = cold.withColumn(out, F.row_number().over(window).cast("bigint")).unionByName(
             _place_by_range(null_safe_join(df, hot, keys, "left_semi"), keys, order, out)

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from landledger.operators import keys as K
-from landledger.session import materialize
+from landledger.session import materialize, passing, write
 
 
 class Conflict(RuntimeError):
@@ -93,6 +93,10 @@ class Store:
         A reference that the log knows under another number, or a number that it has given away, is a ``Conflict``: the caller
         minted from an older crosswalk and must mint again. Known references with their own number are passed over.
         """
+        with passing():
+            return self._appended(crosswalk)
+
+    def _appended(self, crosswalk: DataFrame) -> int:
         batches = self._numbers("crosswalk")
         known = materialize(self.crosswalk().select(F.col("region").alias("_region"), F.col("native_ref").alias("_ref"), F.col("seq").alias("_seq")), "crosswalk-log")
         on = (F.col("region") == F.col("_region")) & (F.col("native_ref") == F.col("_ref"))
@@ -106,7 +110,7 @@ class Store:
         n = new.count()
         if n:
             made = f"crosswalk/_{uuid.uuid4().hex}"
-            new.write.parquet(f"{self.root}/{made}")
+            write(new, f"{self.root}/{made}")
             self._claim(made, "crosswalk", (batches[-1] if batches else 0) + 1)
         return n
 
@@ -157,7 +161,7 @@ class Store:
         entries = dict(before.tables) if keep and before else {}
         for name, rows in tables.items():
             path = f"versions/{folder}/{name}"
-            rows.write.parquet(f"{self.root}/{path}")
+            write(rows, f"{self.root}/{path}")
             written = self.spark.read.schema(rows.schema).parquet(f"{self.root}/{path}")
             entries[name] = {"path": path, "rows": written.count(), "schema": rows.schema.json()}
         return self._enter(folder, entries, before.number if before else 0)

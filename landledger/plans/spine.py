@@ -19,7 +19,7 @@ from landledger.operators import quality as Q
 from landledger.operators.loading import integrity_violations
 from landledger.operators.ordering import number_copies, number_rows
 from landledger.operators.versions import Store
-from landledger.session import materialize
+from landledger.session import materialize, passing, settled
 
 
 @dataclass(frozen=True)
@@ -99,9 +99,13 @@ def one_footprint_each(routed: DataFrame) -> DataFrame:
     account key. The others are rejected, and so are all accounts of a plot without a footprint.
     """
     columns = [c for c in routed.columns if c not in ("route", "reason")]
-    loaded = materialize(number_copies(routed.where("route = 'loaded'"), "_copy"), "loaded-accounts")
     ties = [c for c in columns if c not in E.ACCOUNT]
-    nth = materialize(number_rows(loaded, E.ACCOUNT, [*ties, "_copy"], "_nth"), "account-copies")
+
+    def numbered() -> DataFrame:
+        loaded = materialize(number_copies(routed.where("route = 'loaded'"), "_copy"), "loaded-accounts")
+        return number_rows(loaded, E.ACCOUNT, [*ties, "_copy"], "_nth")
+
+    nth = settled(numbered, "account-copies")
     marked = nth.withColumn("_foot", F.coalesce(F.expr(FOOTPRINT), F.lit(False)) & (F.col("_nth") == 1))
     main = marked.where("_foot").groupBy("handle").agg(F.min(F.struct(*E.ACCOUNT)).alias("_main")).withColumnRenamed("handle", "_plot")
     placed = marked.join(main, F.col("handle") == F.col("_plot"), "left")
@@ -151,11 +155,12 @@ def build(feeds: Feeds, crosswalk: DataFrame, where: Region, not_real_estate: Co
     are vacant; vacant unit accounts of other condo plots get no unit. Plots shared by several accounts without a condo
     flag get a parcel, and their buildings are rejected.
     """
-    routed = materialize(one_footprint_each(route_accounts(feeds.accounts, not_real_estate)), "routed-accounts")
+    routed = settled(lambda: one_footprint_each(route_accounts(feeds.accounts, not_real_estate)), "routed-accounts")
     loaded = routed.where("route = 'loaded'").drop("route", "reason")
     shape = materialize(E.shapes(loaded, condo=condo), "shapes")
     region = F.lit(f"{where.code:05d}")
-    crosswalk = materialize(K.extend(crosswalk, K.native_refs(loaded, region, "handle")), "crosswalk")
+    before = crosswalk
+    crosswalk = settled(lambda: K.extend(before, K.native_refs(loaded, region, "handle")), "crosswalk")
 
     def with_seq(df: DataFrame) -> DataFrame:
         return K.lookup(df, crosswalk, region, "handle", "parcel_seq")
@@ -177,7 +182,7 @@ def build(feeds: Feeds, crosswalk: DataFrame, where: Region, not_real_estate: Co
         F.min_by(F.struct(F.col("route").alias("_route"), F.when(kept, F.col("shape")).alias("shape"), F.when(kept, F.col("vacantland") == "Y").alias("_vacant")),
                  F.array_position(F.array(F.lit("loaded"), F.lit("rejected"), F.lit("excluded")), F.col("route"))).alias("_account"),
     ).select(*E.ACCOUNT, "_account.*")
-    details = materialize(route_details(feeds.buildings, flagged), "routed-details")
+    details = settled(lambda: route_details(feeds.buildings, flagged), "routed-details")
     used_details = details.where("route = 'loaded'").drop("route", "reason").withColumn("bldgnum", F.col("bldgnum").try_cast("bigint"))
     built = materialize(E.buildings(standing, built_shape, used_details), "buildings")
     building = with_seq(built).select(
@@ -190,13 +195,15 @@ def build(feeds: Feeds, crosswalk: DataFrame, where: Region, not_real_estate: Co
     def loaded_of(routed_part: DataFrame) -> DataFrame:
         return routed_part.where("route = 'loaded'").drop("route", "reason")
 
-    simple = E.simple_units(built, loaded_of(sections), loaded_of(residential)).select("handle", "bldgnum", "unit_seq")
-    condos = E.condo_units(standing, built_shape, unit_order).select("handle", "bldgnum", "unit_seq")
-    unit = with_seq(simple.unionByName(condos)).select(
-        gid("bldgnum", "unit_seq").alias("unit_id"), gid("bldgnum").alias("building_id"), "handle"
-    )
+    def units() -> DataFrame:
+        simple = E.simple_units(built, loaded_of(sections), loaded_of(residential)).select("handle", "bldgnum", "unit_seq")
+        condos = E.condo_units(standing, built_shape, unit_order).select("handle", "bldgnum", "unit_seq")
+        return with_seq(simple.unionByName(condos)).select(
+            gid("bldgnum", "unit_seq").alias("unit_id"), gid("bldgnum").alias("building_id"), "handle"
+        )
+
     return Spine(
-        parcel=materialize(parcel, "parcel"), building=materialize(building, "building"), unit=materialize(unit, "unit"), crosswalk=crosswalk,
+        parcel=materialize(parcel, "parcel"), building=materialize(building, "building"), unit=settled(units, "unit"), crosswalk=crosswalk,
         mapping=K.municipal_mapping(crosswalk, where.country, F.lit(f"{where.code:05d}")),
         routed=routed, secondary_owners=E.secondary_owners(loaded, shape, ["ownercode"]),
         details=details, sections=sections, residential=residential,
@@ -228,7 +235,8 @@ def publish(spine: Spine, store: Store) -> int:
     New rows of the crosswalk are appended first. A run that ends half way leaves the version before it in place, and ids that
     the next run finds in ``store.crosswalk()``, so no id moves. A crosswalk that grew since the build is a ``Conflict``: build again.
     """
-    broken = {row["rule"]: row["n"] for row in violations(spine).collect()}
+    with passing():
+        broken = {row["rule"]: row["n"] for row in materialize(violations(spine), "violations").collect()}
     if broken:
         raise ValueError(f"not published: {broken}")
     store.append(spine.crosswalk)

@@ -13,7 +13,7 @@ from landledger.operators import quality as Q
 from landledger.operators.versions import Store
 from landledger.plans import owners, spine, usecases
 from landledger.plans.registry import query
-from landledger.session import scratch_path
+from landledger.session import passing, scratch_path
 
 
 @query("""
@@ -234,8 +234,11 @@ def spine_reconciliation(t):
 def spine_republished(t):
     """Published for part of the plots, then for all: the plots of the first time keep their ids."""
     store = Store(t.spark, scratch_path(t.spark, "published"))
-    spine.publish(_spine(t, only="handle % 2 = 0"), store)
-    spine.publish(_spine(t, store.crosswalk()), store)
+    # What a build has written is of no use once it is published.
+    with passing():
+        spine.publish(_spine(t, only="handle % 2 = 0"), store)
+    with passing():
+        spine.publish(_spine(t, store.crosswalk()), store)
     first = store.read("municipal_parcel_id_mapping", 1).select("municpal_parcel_id", F.col("parcel_id").alias("was"))
     joined = store.read("municipal_parcel_id_mapping").join(first, "municpal_parcel_id", "left")
     return joined.select("parcel_id", "municpal_parcel_id", F.coalesce(F.col("parcel_id") != F.col("was"), F.lit(False)).alias("moved"))
