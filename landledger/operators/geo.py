@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from landledger.functions.projection import CRS, to_degrees
 from landledger.operators.components import connected
-from landledger.session import materialize
+from landledger.session import discard, materialize, settled
 
 # Edges of large keys that one task strings together.
 BLOCK_EDGES = 100_000
@@ -191,10 +191,15 @@ def boundary_edges(df: DataFrame, key: str, column: str = "geom") -> DataFrame:
     )
 
 
-def _dealt(df: DataFrame, rows: int, *columns: str) -> DataFrame:
-    """``df`` of about ``rows`` rows, by ``columns`` on tasks of ``TASK_ROWS`` each; as Spark deals it out where its cores do for that."""
+def _dealt(df: DataFrame, rows: int, *columns: str, always: bool = False) -> DataFrame:
+    """``df`` of about ``rows`` rows, by ``columns`` on tasks of ``TASK_ROWS`` each; as Spark deals it out where its cores do for that.
+
+    With ``always`` it is dealt out here in any case, so that what is worked out next for a window is not sent along.
+    """
     parts = -(-rows // TASK_ROWS)
-    return df.repartition(parts, *columns) if parts > df.sparkSession.sparkContext.defaultParallelism else df
+    if parts > df.sparkSession.sparkContext.defaultParallelism:
+        return df.repartition(parts, *columns)
+    return df.repartition(*columns) if always else df
 
 
 def _successors(edges: DataFrame, key: str) -> DataFrame:
@@ -203,24 +208,29 @@ def _successors(edges: DataFrame, key: str) -> DataFrame:
     ``torn`` marks a corner where the next edge clockwise arrives too: shapes overlap there. Windows
     hold the edges at one vertex, a handful of rows.
     """
-    def angle(to: str, at: str) -> Column:
-        return F.atan2(F.col(to)["y"] - F.col(at)["y"], F.col(to)["x"] - F.col(at)["x"])
-
     edges = materialize(edges, "outline-edges")
-    edge = F.struct("a", "b").alias("edge")
-    ends = edges.select(key, F.col("b").alias("v"), angle("a", "b").alias("angle"), edge, F.lit(1).alias("arrives"))
-    starts = edges.select(key, F.col("a").alias("v"), angle("b", "a").alias("angle"), edge, F.lit(0).alias("arrives"))
-    around = Window.partitionBy(key, "v").orderBy(F.desc("angle"), F.desc("arrives"))
+    # An end is its vertex, the edge's other vertex, and whether the edge arrives; the rest is worked out where the ends of a vertex meet.
+    # The hash bears on the dealing out only; Spark would send them once more for a window by numbers with a point.
+    corner = [F.col("v")["x"].alias("vx"), F.col("v")["y"].alias("vy"), F.col("o")["x"].alias("ox"), F.col("o")["y"].alias("oy")]
+    ends = edges.select(key, F.col("b").alias("v"), F.col("a").alias("o"), F.lit(True).alias("arrives")).unionByName(
+        edges.select(key, F.col("a").alias("v"), F.col("b").alias("o"), F.lit(False).alias("arrives"))).select(key, *corner, "arrives")
+    ends = ends.withColumn("place", F.pmod(F.hash("vx", "vy"), F.lit(1 << 16)))
+    at = [key, "place", "vx", "vy"]
+    met = _dealt(ends, 2 * edges.count(), key, "place", always=True)
+    angle = F.atan2(F.col("oy") - F.col("vy"), F.col("ox") - F.col("vx"))
+    around = Window.partitionBy(*at).orderBy(F.desc("angle"), F.desc("arrives"))
     whole = around.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    end = F.struct("edge", "arrives")
+    end = F.struct("ox", "oy", "arrives")
     following = F.coalesce(F.lead(end).over(around), F.first(end).over(whole))
-    rows = _dealt(ends.unionByName(starts), 2 * edges.count(), key, "v").withColumn("_next", following).where("arrives = 1")
-    return rows.select(key, "edge", F.col("_next.edge").alias("next"), (F.col("_next.arrives") == 1).alias("torn"))
+    rows = met.withColumn("angle", angle).withColumn("_next", following).where("arrives")
+    v, o, beyond = (F.struct(F.col(x).alias("x"), F.col(y).alias("y")) for x, y in (("vx", "vy"), ("ox", "oy"), ("_next.ox", "_next.oy")))
+    ahead = F.struct(F.when(F.col("_next.arrives"), beyond).otherwise(v).alias("a"), F.when(F.col("_next.arrives"), v).otherwise(beyond).alias("b"))
+    return rows.select(key, F.struct(o.alias("a"), v.alias("b")).alias("edge"), ahead.alias("next"), F.col("_next.arrives").alias("torn"))
 
 
 def trace_rings(edges: DataFrame, key: str, small: int = 20_000) -> DataFrame:
     """Closed rings from directed edges: (key, ring_id, points, signed_area). Overlaps raise."""
-    follows = materialize(_successors(edges, key), "edges")
+    follows = settled(lambda: _successors(edges, key), "edges")
     torn = follows.where("torn").select(key).head(1)
     if torn:
         raise ValueError(f"shapes overlap, e.g. of {torn}")
@@ -421,8 +431,13 @@ def _closed(rings: pa.Array) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), points.take(pa.array(np.concatenate(taken), pa.int64())))
 
 
-def _hole_parents(rings: DataFrame, key: str) -> DataFrame:
-    """(key, hole_id, shell_id): the smallest shell around each hole.
+def _numbered(rings: DataFrame) -> DataFrame:
+    """``rings`` with a number for each; they are written before it is read."""
+    return rings.withColumn("ring", F.monotonically_increasing_id())
+
+
+def _hole_shells(rings: DataFrame, key: str) -> DataFrame:
+    """(hole, shell): the number of the smallest shell around each hole, by the holes' numbers.
 
     The box of a key's shells is cut into about as many cells as they have points. Each cell has a reference point, halfway up its
     left side. Which shells hold it follows from the crossings of the middle line of the cell's row: their parity per column,
@@ -432,9 +447,9 @@ def _hole_parents(rings: DataFrame, key: str) -> DataFrame:
     # The middle of an edge, not a corner: a shell may touch the hole there.
     first = [(F.col(f"ring_id.a.{axis}") + F.col(f"ring_id.b.{axis}")) / 2 for axis in "xy"]
     holes = rings.where("signed_area < 0").select(
-        F.col(key).alias("_key"), F.col("ring_id").alias("hole_id"), first[0].alias("hx"), first[1].alias("hy"))
+        F.col(key).alias("_key"), F.col("ring").alias("hole"), first[0].alias("hx"), first[1].alias("hy"))
     # Only keys with holes take part. What has a row per key is written, so that joins by key, however few there are, need no shuffle by it.
-    shells = rings.where("signed_area > 0").select(F.col(key).alias("of"), F.col("ring_id").alias("shell_id"), "signed_area", "points").join(
+    shells = rings.where("signed_area > 0").select(F.col(key).alias("of"), F.col("ring").alias("shell"), "signed_area", "points").join(
         materialize(holes.select("_key").distinct(), "hole-keys"), F.col("of").eqNullSafe(F.col("_key")), "left_semi")
 
     def ends(axis: str) -> list[Column]:
@@ -454,8 +469,8 @@ def _hole_parents(rings: DataFrame, key: str) -> DataFrame:
 
     n = F.size("points") - 1
     edges = shells.select(
-        "of", "shell_id", "signed_area", F.explode(F.arrays_zip(F.slice("points", F.lit(1), n).alias("p"), F.slice("points", F.lit(2), n).alias("q"))).alias("e"),
-    ).select("of", "shell_id", "signed_area", *[F.col(f"e.{end}.{axis}").alias(f"{end}{axis}") for end in "pq" for axis in "xy"])
+        "of", "shell", "signed_area", F.explode(F.arrays_zip(F.slice("points", F.lit(1), n).alias("p"), F.slice("points", F.lit(2), n).alias("q"))).alias("e"),
+    ).select("of", "shell", "signed_area", *[F.col(f"e.{end}.{axis}").alias(f"{end}{axis}") for end in "pq" for axis in "xy"])
     edges = edges.join(grid.drop("n"), F.col("of").eqNullSafe(F.col("grid_of"))).drop("grid_of", "of")
     total = grid.agg(F.sum("n")).head()[0] or 0
     low, high = F.least("py", "qy"), F.greatest("py", "qy")
@@ -471,52 +486,60 @@ def _hole_parents(rings: DataFrame, key: str) -> DataFrame:
     middle = bottom + F.col("dy") / 2
     # Half-open edges count a crossing at a corner once. Crossings of one column cancel in pairs; the others bound the insides.
     odd = (
-        by_row.where((low <= middle) & (middle < high)).select("grid", "shell_id", "signed_area", "row", cell(x_at(middle), "x").alias("col"))
-        .groupBy("grid", "shell_id", "signed_area", "row", "col").agg(F.count(F.lit(1)).alias("n")).where("n % 2 = 1")
+        by_row.where((low <= middle) & (middle < high)).select("grid", "shell", "signed_area", "row", cell(x_at(middle), "x").alias("col"))
+        .groupBy("grid", "shell", "signed_area", "row", "col").agg(F.count(F.lit(1)).alias("n")).where("n % 2 = 1")
     )
-    along = Window.partitionBy("grid", "shell_id", "row").orderBy("col")
+    along = Window.partitionBy("grid", "shell", "row").orderBy("col")
     inside = (
         odd.withColumns({"nth": F.row_number().over(along), "last": F.lead("col").over(along)}).where("nth % 2 = 1")
-        .select("grid", "shell_id", "signed_area", "row", F.explode(F.sequence(F.col("col") + 1, F.col("last"))).alias("col"))
+        .select("grid", "shell", "signed_area", "row", F.explode(F.sequence(F.col("col") + 1, F.col("last"))).alias("col"))
     )
     # Columns that an edge passes in a row, a little wider, for rounding; the path decides what counts.
     spare = F.col("dx") * 1e-6
     ya, yb = F.greatest(low, F.least(bottom, high)), F.least(high, F.greatest(bottom + F.col("dy"), low))
     xa, xb = F.coalesce(x_at(ya), F.col("px")), F.coalesce(x_at(yb), F.col("qx"))
     passed = by_row.withColumn("col", F.explode(F.sequence(cell(F.least(xa, xb) - spare, "x"), cell(F.greatest(xa, xb) + spare, "x"))))
-    # Holes and edges meet by cell, in as many tasks as the edges ask for.
+    # Holes and edges meet by cell, in as many tasks as the edges ask for. Rings go by number, and the holes bring what belongs to their grid.
     at = ["grid", "row", "col"]
     placed = _dealt(holes.join(grid, F.col("_key").eqNullSafe(F.col("grid_of"))).select(
-        "_key", "hole_id", "hx", "hy", "grid", cell(F.col("hy"), "y").alias("row"), cell(F.col("hx"), "x").alias("col")), 3 * total, *at)
-    inside, passed = _dealt(inside, 3 * total, *at), _dealt(passed, 3 * total, *at)
+        "hole", "hx", "hy", "grid", "x0", "y0", "dx", "dy", cell(F.col("hy"), "y").alias("row"), cell(F.col("hx"), "x").alias("col")), 3 * total, *at)
+    inside, passed = _dealt(inside, 3 * total, *at), _dealt(passed.drop("x0", "y0", "dx", "dy"), 3 * total, *at)
     left = F.col("x0") + F.col("col") * F.col("dx")
     up = (F.least("px", "qx") < left) & (left <= F.greatest("px", "qx")) & ((y_at(left) > middle) != (y_at(left) > F.col("hy")))
     across = (low <= F.col("hy")) & (F.col("hy") < high) & (x_at(F.col("hy")) >= left) & (x_at(F.col("hy")) < F.col("hx"))
     crossed = F.coalesce(up, F.lit(False)).cast("int") + F.coalesce(across, F.lit(False)).cast("int")
-    met = inside.join(placed, at).select("_key", "hole_id", "shell_id", "signed_area", F.lit(1).alias("n")).unionByName(
-        passed.join(placed, at).select("_key", "hole_id", "shell_id", "signed_area", crossed.alias("n")))
-    around = met.groupBy("_key", "hole_id", "shell_id", "signed_area").agg(F.sum("n").alias("n")).where("n % 2 = 1")
-    return around.groupBy("_key", "hole_id").agg(F.min_by("shell_id", "signed_area").alias("shell_id")).withColumnRenamed("_key", key)
+    met = inside.join(placed, at).select("hole", "shell", "signed_area", F.lit(1).alias("n")).unionByName(
+        passed.join(placed, at).select("hole", "shell", "signed_area", crossed.alias("n")))
+    around = met.groupBy("hole", "shell", "signed_area").agg(F.sum("n").alias("n")).where("n % 2 = 1")
+    return around.groupBy("hole").agg(F.min_by("shell", "signed_area").alias("shell"))
+
+
+def _hole_parents(rings: DataFrame, key: str) -> DataFrame:
+    """(key, hole_id, shell_id): ``_hole_shells`` of rings without numbers, by their ids."""
+    numbered = materialize(_numbered(rings), "numbered-rings")
+    found = settled(lambda: _hole_shells(numbered, key), "hole-shells")
+    holes = numbered.select(key, F.col("ring").alias("hole"), F.col("ring_id").alias("hole_id"))
+    shells = numbered.select(F.col("ring").alias("shell"), F.col("ring_id").alias("shell_id"))
+    return found.join(holes, "hole").join(shells, "shell").select(key, "hole_id", "shell_id")
 
 
 def _polygons(rings: DataFrame, key: str) -> DataFrame:
-    """Rings to polygons, each shell with its holes: (key, polygon)."""
+    """Numbered rings to polygons, each shell with its holes: (key, polygon)."""
     owners = rings.where("signed_area > 0").select(
-        key, F.col("ring_id").alias("shell_id"), F.struct(F.lit(0).alias("o"), "ring_id", "points").alias("r")
+        key, F.col("ring").alias("shell"), F.struct(F.lit(0).alias("o"), "ring_id", "points").alias("r")
     )
-    parents = _hole_parents(rings, key)
+    parents = settled(lambda: _hole_shells(rings, key), "hole-shells")
     held = (
         rings.where("signed_area < 0")
-        .select(F.col(key).alias("_key"), F.col("ring_id"), "points")
-        .join(parents, F.col(key).eqNullSafe(F.col("_key")) & (F.col("ring_id") == F.col("hole_id")))
-        .select(key, "shell_id", F.struct(F.lit(1).alias("o"), "ring_id", "points").alias("r"))
+        .join(parents, F.col("ring") == F.col("hole"))
+        .select(key, "shell", F.struct(F.lit(1).alias("o"), "ring_id", "points").alias("r"))
     )
     sorted_rings = F.array_sort(F.collect_list("r"))
     return (
         owners.unionByName(held)
-        .groupBy(key, "shell_id")
+        .groupBy(key, "shell")
         .agg(F.transform(sorted_rings, lambda r: r["points"]).alias("polygon"))
-        .drop("shell_id")
+        .drop("shell")
     )
 
 
@@ -553,9 +576,10 @@ def _dissolved(df: DataFrame, key: str, column: str, small: int) -> tuple[DataFr
     same = F.col(key).eqNullSafe(F.col("_key"))
     alone = df.join(repeated, same, "left_anti").select(key, column)
     several = df.join(repeated, same, "left_semi").select(key, column)
-    follows = materialize(_successors(boundary_edges(several, key, column), key), "edges")
+    follows = settled(lambda: _successors(boundary_edges(several, key, column), key), "edges")
     torn = materialize(follows.where("torn").select(F.col(key).alias("_key")).distinct(), "torn")
-    rings = materialize(_trace(follows.join(torn, same, "left_anti"), key, small), "outline")
+    rings = settled(lambda: _numbered(_trace(follows.join(torn, same, "left_anti"), key, small)), "outline")
+    discard(follows)
     polygons = _polygons(rings, key).withColumn("dissolved", F.lit(True))
     if not torn.isEmpty():
         polygons = polygons.unionByName(_part_by_part(several.join(torn, same, "left_semi"), key, column, small))
@@ -581,10 +605,11 @@ def shape_parts(df: DataFrame, key: str, column: str = "geom") -> DataFrame:
 def _part_by_part(several: DataFrame, key: str, column: str, small: int) -> DataFrame:
     """Polygons of keys with overlaps: (key, polygon, dissolved). Only the parts in which shapes overlap stay as they are."""
     parts = materialize(shape_parts(several, key, column).select(F.struct(F.col(key).alias("key"), "part").alias("unit"), F.array("polygon").alias(column)), "parts")
-    follows = materialize(_successors(boundary_edges(parts, "unit", column), "unit"), "edges")
+    follows = settled(lambda: _successors(boundary_edges(parts, "unit", column), "unit"), "edges")
     torn = materialize(follows.where("torn").select(F.col("unit").alias("_unit")).distinct(), "torn")
     same = F.col("unit").eqNullSafe(F.col("_unit"))
-    rings = materialize(_trace(follows.join(torn, same, "left_anti"), "unit", small), "outline")
+    rings = settled(lambda: _numbered(_trace(follows.join(torn, same, "left_anti"), "unit", small)), "outline")
+    discard(follows)
     clean = _polygons(rings, "unit").select(F.col("unit.key").alias(key), "polygon", F.lit(True).alias("dissolved"))
     kept = parts.join(torn, same, "left_semi").select(F.col("unit.key").alias(key), F.explode(column).alias("polygon"), F.lit(False).alias("dissolved"))
     return clean.unionByName(kept)
